@@ -80,7 +80,7 @@ def line_measures(sales: DataFrame, articles: DataFrame, clients: DataFrame, sel
                                     "nom_art": "a_nom_art", "cod_uni1": "a_cod_uni1", "cod_dep": "a_cod_dep",
                                     "cap_bulto": "a_cap_bulto", "peso": "a_peso"})
     x = s.join(art, [TENANT, "cod_art"], "left")
-    x = x.join(_lk(clients, "cod_cli", {"nom_cli": "m_nom_cli"}), [TENANT, "cod_cli"], "left")
+    x = x.join(_lk(clients, "cod_cli", {"nom_cli": "m_nom_cli", "rif": "m_rif"}), [TENANT, "cod_cli"], "left")
     x = x.join(_lk(sellers, "cod_ven", {"nom_ven": "m_nom_ven"}), [TENANT, "cod_ven"], "left")
     x = x.join(_lk(suppliers, "cod_pro", {"nom_pro": "m_nom_pro"}), [TENANT, "cod_pro"], "left")
     x = x.withColumn("_cod_mar", first_nonblank("cod_mar", "a_cod_mar"))
@@ -105,7 +105,8 @@ def line_measures(sales: DataFrame, articles: DataFrame, clients: DataFrame, sel
         safe_ratio("can_ven", "a_cap_bulto", 2).alias("cajas_vendidas"),
         F.round(F.col("can_ven") * peso, 2).alias("peso_total_kg"),
         F.round(F.try_divide(F.col("can_ven") * peso, F.lit(1000)), 3).alias("peso_total_toneladas"),
-        "monto_bruto", "cod_mon", "rif", "cod_imp", "neto", "dcto", "tasa", "neto_dcto",
+        "monto_bruto", "cod_mon", first_nonblank("rif", "m_rif").alias("rif"), "cod_imp", "neto", "dcto", "tasa",
+        "neto_dcto",
     )
 
 
@@ -118,13 +119,32 @@ def with_calendar(fact: DataFrame, cal: DataFrame, date_col: str = "fecha_regist
     return fact.join(F.broadcast(c), date_col, "inner")
 
 
-def fct_sales(lines: DataFrame, companies: DataFrame, cal: DataFrame) -> DataFrame:
-    """M8: line fact + tenant names + calendar attributes (inner on the day)."""
+CAL_COLS = ["fecha_key", "anio", "mes", "nombre_mes", "anio_mes", "trimestre", "trimestre_nombre", "anio_trimestre",
+            "semana_del_anio", "anio_semana", "quincena", "quincena_nombre"]
+
+
+def fct_sales(lines: DataFrame, companies: DataFrame, cal: DataFrame | None = None) -> DataFrame:
+    """M8: line fact + tenant names + calendar attributes (inner on the day).
+
+    With ``cal=None`` the attributes are derived in-line from the day: the same
+    result as an inner join to a calendar that covers every day (lines without a
+    day are dropped), without a join or a pass to find the date span.
+    """
+    from .dims import calendar_columns
+
     emp = companies.select(TENANT, F.col("nombre_empresa").alias("_nombre_empresa"),
                            F.col("razon_social").alias("razon_social_empresa"))
     x = lines.join(F.broadcast(emp), TENANT, "left")
     x = x.withColumn("nombre_empresa", F.coalesce("_nombre_empresa", TENANT)).drop("_nombre_empresa")
-    return with_calendar(x, cal)
+    if cal is not None:
+        return with_calendar(x, cal, cols=CAL_COLS)
+    cal_cols = [c for c in calendar_columns(F.col("fecha_registro"))]
+    named = dict(zip(["fecha_key", "fecha", "anio", "mes", "nombre_mes", "nombre_mes_corto", "dia", "dia_del_anio",
+                      "trimestre", "trimestre_nombre", "anio_trimestre", "semana_del_anio", "anio_semana",
+                      "anio_semana_num", "inicio_semana", "fin_semana", "dia_de_semana", "nombre_dia",
+                      "es_fin_de_semana", "quincena", "quincena_nombre", "anio_mes", "anio_mes_num",
+                      "es_primer_dia_mes", "es_fin_de_mes"], cal_cols))
+    return x.filter(F.col("fecha_registro").isNotNull()).select("*", *[named[c] for c in CAL_COLS])
 
 
 def union_tagged(parts: list[tuple[DataFrame, str]], col: str) -> DataFrame:

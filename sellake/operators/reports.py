@@ -38,3 +38,342 @@ def period_summary(fact: DataFrame, companies: DataFrame, lo: str | None = None,
     emp = companies.select(TENANT, "nombre_empresa", F.col("razon_social").alias("razon_social_empresa"))
     g = g.join(F.broadcast(emp.withColumnRenamed("nombre_empresa", "_n")), TENANT, "left")
     return g.withColumn("nombre_empresa", F.coalesce("_n", TENANT)).drop("_n")
+
+
+def _window(fact: DataFrame, as_of: str, days: int) -> DataFrame:
+    """Lines of the ``days`` days up to ``as_of`` (inclusive)."""
+    return fact.filter(F.col("fecha_registro").between(F.date_sub(_d(as_of), days), _d(as_of)))
+
+
+def _month_start(as_of: str) -> Column:
+    return F.trunc(_d(as_of), "month")
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Equi join where NULL keys match NULL keys (group columns may be NULL)."""
+    r = right.select(*[F.col(k).alias("_r_" + k) for k in keys], *[c for c in right.columns if c not in keys])
+    cond = [left[k].eqNullSafe(r["_r_" + k]) for k in keys]
+    return left.join(r, cond, how).drop(*["_r_" + k for k in keys])
+
+
+def with_branch_name(fact: DataFrame, branches: DataFrame) -> DataFrame:
+    b = branches.select(TENANT, "cod_suc", F.col("nom_suc").alias("_nom_suc"))
+    return fact.join(b, [TENANT, "cod_suc"], "left").withColumn(
+        "nombre_sucursal", F.coalesce("_nom_suc", "cod_suc")).drop("_nom_suc")
+
+
+def _group_90d() -> list:
+    return [F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"), "nombre_sucursal",
+             F.col("cod_ven").alias("codigo_vendedor"), F.col("nom_ven").alias("nombre_vendedor"),
+             F.col("cod_pro").alias("codigo_proveedor"), F.col("nom_pro").alias("nombre_proveedor"),
+             F.col("cod_mar").alias("codigo_marca"), F.col("nom_mar").alias("nombre_marca")]
+
+
+GROUP_90D_NAMES = ["empresa", "codigo_sucursal", "nombre_sucursal", "codigo_vendedor", "nombre_vendedor",
+                   "codigo_proveedor", "nombre_proveedor", "codigo_marca", "nombre_marca"]
+
+
+def _two_step_activation(f: DataFrame, member: str, as_of: str) -> DataFrame:
+    """Exact distinct counts without expanding rows: reduce to one row per (group, member)
+    with month flags and partial sums, then count/sum per group (two aggregations)."""
+    in_month = F.col("fecha_registro") >= _month_start(as_of)
+    per = f.groupBy(*GROUP_90D_NAMES, member).agg(
+        F.max(in_month.cast("int")).alias("_m"),
+        F.sum(F.when(in_month, F.col("cajas_vendidas")).otherwise(F.lit(0))).alias("_cm"),
+        F.sum(F.when(in_month, F.col("neto_dcto")).otherwise(F.lit(0))).alias("_vm"),
+        F.sum("cajas_vendidas").alias("_c"),
+        F.sum("neto_dcto").alias("_v"),
+        F.max("fecha_registro").alias("_f"),
+    )
+    return per
+
+
+def activable_90d(fact: DataFrame, branches: DataFrame, as_of: str) -> DataFrame:
+    """G1: per branch/seller/supplier/brand: distinct customers in 90 days, activated this month,
+    pending, activation %, boxes and amount (month and 90 days), last sale."""
+    f = with_branch_name(_window(fact, as_of, 90), branches).select(*_group_90d(), "cod_cli", "fecha_registro",
+                                                                     "cajas_vendidas", "neto_dcto")
+    per = _two_step_activation(f, "cod_cli", as_of)
+    g = per.groupBy(*GROUP_90D_NAMES).agg(
+        F.count("cod_cli").alias("base_activable_clientes_90d"),
+        F.sum("_m").alias("clientes_activados_mes_actual"),
+        F.round(F.sum("_cm"), 2).alias("cajas_vendidas_mes_actual"),
+        F.round(F.sum("_vm"), 2).alias("venta_usd_mes_actual"),
+        F.round(F.sum("_c"), 2).alias("total_cajas_90d"),
+        F.round(F.sum("_v"), 2).alias("monto_total_venta_usd_90d"),
+        F.max("_f").alias("fecha_ultima_venta"),
+    )
+    return g.withColumns({
+        "clientes_pendientes_activacion_mes": F.col("base_activable_clientes_90d") - F.col("clientes_activados_mes_actual"),
+        "pct_activacion_mes_actual": F.round(F.try_divide(F.col("clientes_activados_mes_actual"),
+                                                          F.nullif(F.col("base_activable_clientes_90d"), F.lit(0))) * 100, 2),
+    })
+
+
+def activable_rif_90d(fact: DataFrame, branches: DataFrame, as_of: str) -> DataFrame:
+    """Like G1 by fiscal id (blank ids dropped), plus the number of points of sale (customer codes)."""
+    rif = F.nullif(F.trim(F.col("rif")), F.lit(""))
+    f = _window(fact, as_of, 90).withColumn("_rif", rif).filter(F.col("_rif").isNotNull())
+    f = with_branch_name(f, branches).select(*_group_90d(), "_rif", "cod_cli", "fecha_registro", "cajas_vendidas", "neto_dcto")
+    per = _two_step_activation(f, "_rif", as_of)
+    g = per.groupBy(*GROUP_90D_NAMES).agg(
+        F.count("_rif").alias("base_activable_rifs_90d"),
+        F.sum("_m").alias("rifs_activados_mes_actual"),
+        F.round(F.sum("_cm"), 2).alias("cajas_vendidas_mes_actual"),
+        F.round(F.sum("_vm"), 2).alias("venta_usd_mes_actual"),
+        F.round(F.sum("_c"), 2).alias("total_cajas_90d"),
+        F.round(F.sum("_v"), 2).alias("monto_total_venta_usd_90d"),
+        F.max("_f").alias("fecha_ultima_venta"),
+    )
+    pos = f.groupBy(*GROUP_90D_NAMES).agg(F.count_distinct("cod_cli").alias("total_puntos_de_venta_cod_cli"))
+    g = join_null_safe(g, pos, GROUP_90D_NAMES)
+    return g.withColumns({
+        "rifs_pendientes_activacion_mes": F.col("base_activable_rifs_90d") - F.col("rifs_activados_mes_actual"),
+        "pct_activacion_rif_mes_actual": F.round(F.try_divide(F.col("rifs_activados_mes_actual"),
+                                                              F.nullif(F.col("base_activable_rifs_90d"), F.lit(0))) * 100, 2),
+    })
+
+
+def activable_volume(fact: DataFrame, as_of: str) -> DataFrame:
+    """90-day base per tenant/seller/supplier/brand with distinct customers, SKUs, documents,
+    units, boxes and tons."""
+    f = _window(fact, as_of, 90)
+    return f.groupBy(F.col(TENANT).alias("empresa"), F.col("cod_ven").alias("codigo_vendedor"),
+                     F.col("cod_pro").alias("codigo_proveedor"), F.col("cod_mar").alias("codigo_marca")).agg(
+        F.count_distinct("cod_cli").alias("clientes_90d"),
+        F.count_distinct("cod_art").alias("skus_distintos"),
+        F.count_distinct("documento").alias("documentos"),
+        F.sum("unidades_vendidas").alias("unidades"),
+        F.round(F.sum("cajas_vendidas"), 2).alias("cajas"),
+        F.round(F.sum("peso_total_toneladas"), 3).alias("toneladas"),
+    )
+
+
+PORTFOLIO_KEY = ["empresa", "codigo_sucursal", "codigo_vendedor", "codigo_proveedor", "codigo_cliente"]
+
+
+def customer_master(fact: DataFrame, companies: DataFrame, branches: DataFrame, as_of: str) -> DataFrame:
+    """Portfolio of customers (whole history) with last purchase, days without purchase
+    (999 when none in 90 days), 90-day and month metrics and status labels.
+
+    The 90-day and month metrics come from ONE conditional aggregation over the
+    window (not two scans), joined to the portfolio on the code key.
+    """
+    emp = companies.select(TENANT, F.col("nombre_empresa").alias("_ne"))
+    f = with_branch_name(fact, branches).join(F.broadcast(emp), TENANT, "left")
+    portfolio = f.select(
+        F.col(TENANT).alias("empresa"), F.coalesce("_ne", TENANT).alias("nombre_empresa"),
+        F.col("cod_suc").alias("codigo_sucursal"), "nombre_sucursal",
+        F.col("cod_ven").alias("codigo_vendedor"), F.col("nom_ven").alias("nombre_vendedor"),
+        F.col("cod_pro").alias("codigo_proveedor"), F.col("nom_pro").alias("nombre_proveedor"),
+        F.col("cod_cli").alias("codigo_cliente"), F.col("nom_cli").alias("nombre_cliente"),
+        F.nullif(F.trim("rif"), F.lit("")).alias("rif_cliente"), F.col("nom_cla").alias("clase_cliente"),
+        F.col("nom_est").alias("estado_cliente"), F.col("nom_ciu").alias("ciudad_cliente"),
+    ).dropDuplicates()
+    in_month = F.col("fecha_registro") >= _month_start(as_of)
+    w = _window(fact, as_of, 90).select(
+        F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"),
+        F.col("cod_ven").alias("codigo_vendedor"), F.col("cod_pro").alias("codigo_proveedor"),
+        F.col("cod_cli").alias("codigo_cliente"), "fecha_registro", "cajas_vendidas", "neto_dcto")
+    m = w.groupBy(*PORTFOLIO_KEY).agg(
+        F.max("fecha_registro").alias("fecha_ultima_compra"),
+        F.sum("cajas_vendidas").alias("_c90"), F.sum("neto_dcto").alias("_v90"),
+        F.max(F.when(in_month, F.col("fecha_registro"))).alias("_fmes"),
+        F.sum(F.when(in_month, F.col("cajas_vendidas"))).alias("_cmes"),
+        F.sum(F.when(in_month, F.col("neto_dcto"))).alias("_vmes"),
+    )
+    x = portfolio.join(m, PORTFOLIO_KEY, "left")
+    z = F.lit(0)
+    return x.select(
+        *[c for c in portfolio.columns], "fecha_ultima_compra",
+        F.coalesce(F.datediff(_d(as_of), F.col("fecha_ultima_compra")), F.lit(999)).alias("dias_sin_comprar"),
+        F.when(F.col("fecha_ultima_compra").isNotNull(), F.lit("ACTIVADO (<=90d)"))
+         .otherwise(F.lit("PENDIENTE POR ACTIVAR (>90d)")).alias("estatus_activacion_90d"),
+        F.col("fecha_ultima_compra").isNotNull().alias("es_cliente_activado_90d"),
+        F.col("_fmes").isNotNull().alias("compro_en_mes_actual"),
+        F.coalesce(F.round("_cmes", 2), z).alias("cajas_mes_actual"),
+        F.coalesce(F.round("_vmes", 2), z).alias("venta_usd_mes_actual"),
+        F.coalesce(F.round("_c90", 2), z).alias("cajas_totales_90d"),
+        F.coalesce(F.round("_v90", 2), z).alias("venta_usd_totales_90d"),
+    )
+
+
+# --- Fixed values: weekly-frequency labels ---------------------------------
+FREQ_LABELS = {
+    4: "Tipo 4 (Todas las Semanas / Frecuente)",
+    3: "Tipo 3 (3 Semanas / Regular)",
+    2: "Tipo 2 (2 Semanas / Ocasional)",
+    1: "Tipo 1 (1 Semana / Esporádico)",
+    0: "Tipo 0 (Inactivo)",
+}
+# ---------------------------------------------------------------------------
+
+
+def weekly_frequency(fact: DataFrame, branches: DataFrame) -> DataFrame:
+    """Distinct ISO weeks with purchases per customer and month -> frequency type 0-4
+    ("type 4" = at least 4 distinct ISO weeks inside the month)."""
+    f = with_branch_name(fact, branches)
+    keys = [F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"), "nombre_sucursal",
+            F.col("cod_ven").alias("codigo_vendedor"), F.col("nom_ven").alias("nombre_vendedor"),
+            F.col("cod_pro").alias("codigo_proveedor"), F.col("nom_pro").alias("nombre_proveedor"),
+            F.col("cod_mar").alias("codigo_marca"), F.col("nom_mar").alias("nombre_marca"),
+            F.col("cod_cli").alias("codigo_cliente"), F.col("nom_cli").alias("nombre_cliente"),
+            F.nullif(F.trim("rif"), F.lit("")).alias("rif_cliente"), "anio_mes", "nombre_mes", "anio"]
+    g = f.groupBy(*keys).agg(
+        F.count_distinct("anio_semana").alias("semanas_con_compra"),
+        F.count_distinct("documento").alias("total_facturas_mes"),
+        F.round(F.sum("cajas_vendidas"), 2).alias("cajas_compradas_mes"),
+        F.round(F.sum("neto_dcto"), 2).alias("venta_usd_mes"),
+        F.max("fecha_registro").alias("fecha_ultima_compra_mes"),
+    )
+    n = F.col("semanas_con_compra")
+    num = F.when(n >= 4, 4).when(n == 3, 3).when(n == 2, 2).when(n == 1, 1).otherwise(0)
+    label = F.element_at(F.create_map(*[x for k, v in FREQ_LABELS.items() for x in (F.lit(k), F.lit(v))]), num)
+    return g.withColumn("tipo_cliente_frecuencia_num", num).withColumn("tipo_cliente_frecuencia_nombre", label)
+
+
+def frequency_distribution(freq: DataFrame, month: str | None = None) -> DataFrame:
+    """Customers and amount per frequency type (for one month, or every month)."""
+    f = freq if month is None else freq.filter(F.col("anio_mes") == month)
+    return f.groupBy("empresa", "anio_mes", "tipo_cliente_frecuencia_num", "tipo_cliente_frecuencia_nombre").agg(
+        F.count_distinct("codigo_cliente").alias("clientes"),
+        F.round(F.sum("venta_usd_mes"), 2).alias("venta_usd"),
+    )
+
+
+def zero_sale_sku(fact: DataFrame, branches: DataFrame, as_of: str) -> DataFrame:
+    """Zero-sale SKU gaps per portfolio customer, as counts.
+
+    Expected matrix = the tenant's 90-day SKU catalogue for every customer in a
+    seller's 90-day portfolio. Instead of emitting every (customer, SKU) pair,
+    each portfolio row carries the catalogue size of its tenant (one row per
+    tenant, joined by key), the SKUs it bought this month with a positive amount,
+    and their difference: the number of zero-sale SKUs.
+    """
+    w = _window(fact, as_of, 90)
+    portfolio = w.select(F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"),
+                         F.col("cod_ven").alias("codigo_vendedor"), F.col("cod_cli").alias("codigo_cliente")).dropDuplicates()
+    catalogue = w.groupBy(F.col(TENANT).alias("empresa")).agg(F.count_distinct("cod_art").alias("skus_catalogo"))
+    month = fact.filter(F.col("fecha_registro").between(_month_start(as_of), _d(as_of)))
+    bought = month.groupBy(F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"),
+                           F.col("cod_ven").alias("codigo_vendedor"), F.col("cod_cli").alias("codigo_cliente"),
+                           "cod_art").agg(F.sum("neto_dcto").alias("_v"))
+    # only SKUs of the tenant catalogue count (the month is inside the 90-day window)
+    per_cli = bought.filter(F.col("_v") > 0).groupBy("empresa", "codigo_sucursal", "codigo_vendedor", "codigo_cliente") \
+        .agg(F.count("cod_art").alias("skus_comprados_mes"))
+    x = portfolio.join(catalogue, "empresa", "inner").join(per_cli, ["empresa", "codigo_sucursal", "codigo_vendedor",
+                                                                    "codigo_cliente"], "left")
+    x = x.withColumn("skus_comprados_mes", F.coalesce("skus_comprados_mes", F.lit(0)))
+    x = x.withColumn("skus_venta_cero", F.col("skus_catalogo") - F.col("skus_comprados_mes"))
+    return with_branch_name(x.withColumnRenamed("empresa", TENANT).withColumnRenamed("codigo_sucursal", "cod_suc"),
+                            branches).withColumnRenamed(TENANT, "empresa").withColumnRenamed("cod_suc", "codigo_sucursal")
+
+
+def sku_penetration(fact: DataFrame, as_of: str) -> DataFrame:
+    """Per seller and brand (pairs seen in the 90-day window): expected pairs =
+    portfolio customers x catalogue SKUs of the brand, bought pairs this month,
+    gaps and penetration %. Both factors are per-key aggregates joined by key."""
+    w = _window(fact, as_of, 90)
+    pairs = w.select(F.col(TENANT).alias("empresa"), F.col("cod_ven").alias("codigo_vendedor"),
+                     F.col("cod_mar").alias("codigo_marca")).dropDuplicates()
+    cust = w.groupBy(F.col(TENANT).alias("empresa"), F.col("cod_ven").alias("codigo_vendedor")).agg(
+        F.count_distinct("cod_cli").alias("clientes_cartera"))
+    skus = w.groupBy(F.col(TENANT).alias("empresa"), F.col("cod_mar").alias("codigo_marca")).agg(
+        F.count_distinct("cod_art").alias("skus_marca"))
+    month = fact.filter(F.col("fecha_registro").between(_month_start(as_of), _d(as_of)))
+    b = month.groupBy(F.col(TENANT).alias("empresa"), F.col("cod_ven").alias("codigo_vendedor"),
+                      F.col("cod_mar").alias("codigo_marca"), "cod_cli", "cod_art").agg(F.sum("neto_dcto").alias("_v"))
+    bought = b.filter(F.col("_v") > 0).groupBy("empresa", "codigo_vendedor", "codigo_marca").agg(
+        F.count("*").alias("pares_comprados"))
+    x = pairs.join(cust, ["empresa", "codigo_vendedor"]).join(skus, ["empresa", "codigo_marca"]) \
+        .join(bought, ["empresa", "codigo_vendedor", "codigo_marca"], "left")
+    x = x.withColumn("pares_comprados", F.coalesce("pares_comprados", F.lit(0)).cast("long"))
+    x = x.withColumn("pares_esperados", (F.col("clientes_cartera") * F.col("skus_marca")).cast("long"))
+    return x.withColumns({
+        "brechas_venta_cero": F.col("pares_esperados") - F.col("pares_comprados"),
+        "pct_penetracion": F.round(F.try_divide(F.col("pares_comprados"), F.nullif(F.col("pares_esperados"), F.lit(0))) * 100, 2),
+    })
+
+
+SELLOUT_KEYS = ["empresa", "codigo_sucursal", "codigo_vendedor", "codigo_proveedor", "codigo_marca", "codigo_articulo"]
+
+
+def same_day_last_year(daily: DataFrame, prev: DataFrame, keys: list[str], date_col: str = "fecha") -> DataFrame:
+    """Current day ⋈ same day last year (prev already shifted to ``fecha_equivalente``)."""
+    return daily.join(prev.withColumnRenamed("fecha_equivalente", date_col), [*keys, date_col], "left")
+
+
+def sellout_yoy(fact: DataFrame, branches: DataFrame) -> DataFrame:
+    """Daily sell-out per branch/seller/supplier/brand/SKU with the same day last year
+    (Feb 29 + 1 year = Feb 28), variation and growth %."""
+    f = with_branch_name(fact, branches)
+    act = f.groupBy(
+        F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"), "nombre_sucursal",
+        F.col("cod_ven").alias("codigo_vendedor"), F.col("nom_ven").alias("nombre_vendedor"),
+        F.col("cod_pro").alias("codigo_proveedor"), F.col("nom_pro").alias("nombre_proveedor"),
+        F.col("cod_mar").alias("codigo_marca"), F.col("nom_mar").alias("nombre_marca"),
+        F.col("cod_art").alias("codigo_articulo"), F.col("nom_art").alias("nombre_articulo"), "modelo",
+        F.col("fecha_registro").alias("fecha"), "anio", "mes", "nombre_mes", "anio_mes", "trimestre", "trimestre_nombre",
+        "anio_trimestre", "semana_del_anio", "anio_semana", "quincena", "quincena_nombre",
+    ).agg(
+        F.count_distinct("documento").alias("total_documentos"),
+        F.count_distinct("cod_cli").alias("clientes_unicos_compradores"),
+        F.sum("unidades_vendidas").alias("unidades_vendidas_actual"),
+        F.round(F.sum("cajas_vendidas"), 2).alias("cajas_vendidas_actual"),
+        F.round(F.sum("peso_total_toneladas"), 3).alias("toneladas_vendidas_actual"),
+        F.round(F.sum("neto_dcto"), 2).alias("venta_usd_actual"),
+    )
+    prev = fact.groupBy(
+        F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"), F.col("cod_ven").alias("codigo_vendedor"),
+        F.col("cod_pro").alias("codigo_proveedor"), F.col("cod_mar").alias("codigo_marca"),
+        F.col("cod_art").alias("codigo_articulo"), F.add_months("fecha_registro", 12).alias("fecha_equivalente"),
+    ).agg(F.round(F.sum("cajas_vendidas"), 2).alias("_cp"), F.round(F.sum("neto_dcto"), 2).alias("_vp"))
+    x = same_day_last_year(act, prev, SELLOUT_KEYS)
+    vp = F.coalesce("_vp", F.lit(0))
+    return x.withColumns({
+        "cajas_vendidas_anio_anterior": F.coalesce("_cp", F.lit(0)),
+        "venta_usd_anio_anterior": vp,
+        "variacion_venta_usd_yoy": F.round(F.col("venta_usd_actual") - vp, 2),
+        "pct_crecimiento_yoy": F.round(F.try_divide(F.col("venta_usd_actual") - vp, F.nullif(F.col("_vp"), F.lit(0))) * 100, 2),
+    }).drop("_cp", "_vp")
+
+
+def invoice_detail(fact: DataFrame, branches: DataFrame) -> DataFrame:
+    """Line-level invoice detail with the branch name."""
+    f = with_branch_name(fact, branches)
+    return f.select(
+        F.col(TENANT).alias("empresa"), "nombre_empresa", F.col("cod_suc").alias("codigo_sucursal"), "nombre_sucursal",
+        "tipo_documento", "documento", "renglon", F.col("fecha_registro").alias("fecha"),
+        F.col("cod_cli").alias("codigo_cliente"), F.col("nom_cli").alias("nombre_cliente"),
+        F.nullif(F.trim("rif"), F.lit("")).alias("rif_cliente"),
+        F.col("cod_ven").alias("codigo_vendedor"), F.col("nom_ven").alias("nombre_vendedor"),
+        F.col("cod_art").alias("codigo_articulo"), F.col("nom_art").alias("nombre_articulo"),
+        "unidades_vendidas", "cajas_vendidas", "peso_total_kg", "monto_bruto", "neto", "neto_dcto",
+    )
+
+
+def inventory_report(stock: DataFrame, companies: DataFrame, warehouses: DataFrame, articles: DataFrame) -> DataFrame:
+    """Stock > 0 with boxes (units / fraccion), kg, tons and bulk capacity fallback
+    (cap_bulto, else fraccion, else 1)."""
+    emp = companies.select(TENANT, F.col("nombre_empresa").alias("_ne"), F.col("razon_social"))
+    alm = warehouses.select(TENANT, "cod_alm", F.col("nom_alm").alias("_na"))
+    art = articles.select(TENANT, "cod_art", F.col("nom_art").alias("_nart"), "modelo", "cod_mar", "cod_pro",
+                          "fraccion", "peso", "cap_bulto")
+    x = stock.filter(F.col("exi_act1") > 0).join(F.broadcast(emp), TENANT, "left") \
+        .join(alm, [TENANT, "cod_alm"], "left").join(art, [TENANT, "cod_art"], "left")
+    units = F.coalesce(F.col("exi_act1"), F.lit(0))
+    peso = F.coalesce(F.col("peso"), F.lit(0))
+    frac = F.nullif(F.col("fraccion"), F.lit(0))
+    cap = F.coalesce(F.nullif(F.col("cap_bulto"), F.lit(0)), frac, F.lit(1))
+    return x.select(
+        F.col(TENANT).alias("empresa"), F.coalesce("_ne", TENANT).alias("nombre_empresa"), "razon_social",
+        F.col("cod_alm").alias("codigo_almacen"), F.coalesce("_na", "cod_alm").alias("nombre_almacen"),
+        F.col("cod_art").alias("codigo_articulo"), F.coalesce("_nart", "cod_art").alias("nombre_articulo"),
+        "modelo", F.col("cod_mar").alias("marca"), F.col("cod_pro").alias("proveedor"),
+        F.coalesce(frac, F.lit(1)).alias("fraccion_unitaria"), units.alias("unidades_totales"),
+        F.round(F.try_divide(F.col("exi_act1"), frac), 2).alias("cajas_totales"),
+        peso.alias("peso_unitario"), F.round(units * peso, 2).alias("kg_totales"),
+        F.round(F.try_divide(units * peso, F.lit(1000)), 3).alias("toneladas_totales"),
+        cap.alias("capacidad_bultos"), F.round(F.try_divide(F.col("exi_act1"), cap), 2).alias("bultos_totales"),
+        F.col("registro").alias("fecha_ultima_actualizacion"),
+    )

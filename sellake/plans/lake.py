@@ -74,7 +74,7 @@ class Lake:
 
     @cached_property
     def fct_ventas(self) -> DataFrame:
-        return facts.fct_sales(self.lines, self.dim_empresa, self.calendar)
+        return facts.fct_sales(self.lines, self.dim_empresa)
 
     @cached_property
     def branches(self) -> DataFrame:

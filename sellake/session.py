@@ -20,7 +20,10 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.ui.showConsoleProgress": "false",
 }
+# Local runs: the driver JVM is the only executor, so it needs the memory.
+LOCAL_CONF = {"spark.driver.memory": "16g"}
 
 
 def get_spark(master: str | None = None, app: str = "sellake", shuffle_partitions: int | None = None,
@@ -28,6 +31,9 @@ def get_spark(master: str | None = None, app: str = "sellake", shuffle_partition
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            for k, v in LOCAL_CONF.items():
+                b = b.config(k, v)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     if shuffle_partitions:

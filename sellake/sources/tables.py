@@ -9,7 +9,18 @@ DRIVER_TABLES = (
 ).split()
 
 
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | None = None) -> DataFrame:
-    """Parquet table ``<sf_dir>/<name>.parquet``; only ``cols`` reach the scan's ReadSchema."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table ``<sf_dir>/<name>.parquet``; only ``cols`` reach the scan's ReadSchema.
+
+    The relation (file listing + footer schema) is resolved once per session and
+    path; DataFrames are immutable, so sharing the reader is safe.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READERS.get(key)
+    if df is None:
+        df = _READERS[key] = spark.read.parquet(path)
     return df.select(*cols) if cols else df
