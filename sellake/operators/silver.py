@@ -101,7 +101,7 @@ def latest_by_key(df: DataFrame, keys: list[str], order: list[Column | str] | No
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def last_per_day(df: DataFrame, keys: list[str], ts: str, day_col: str = "fecha") -> DataFrame:
+def last_per_day(df: DataFrame, keys: list[str], ts: str, day_col: str = "dia") -> DataFrame:
     """D3: last row per key and calendar day of ``ts``."""
     return latest_by_key(df.withColumn(day_col, F.to_date(ts)), [*keys, day_col], [F.col(ts)])
 
@@ -159,3 +159,14 @@ def snapshot_dedup(hist: DataFrame, keys=("source_empresa", "snapshot_date", "ru
         .withColumn(qty, to_num(qty))
     cleaned = cleaned.filter((F.col("cod_alm") != "") & (F.col("cod_art") != "") & F.col(qty).isNotNull())
     return latest_by_key(cleaned, list(keys), ["_ingested_at"])
+
+
+def silver_clientes(staging: DataFrame, entity: Entity, rejected_at: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """M1 for customers: the generic master plus parsed GPS (P8) and its classification."""
+    from ..functions.columns import gps_lat_lon, gps_status
+
+    cur, rej = silver_master(staging, entity, rejected_at)
+    lat, lon = gps_lat_lon("gps")
+    cur = cur.withColumns({"latitud": lat, "longitud": lon})
+    valid, state = gps_status("latitud", "longitud")
+    return cur.withColumns({"gps_valido": valid, "gps_estado": state}), rej

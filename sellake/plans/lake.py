@@ -39,6 +39,8 @@ class Lake:
         e = C.ALL[entity]
         if entity in C.TRANSACTIONS:
             return silver.silver_transaction(self.stg(entity), e, REJECTED_AT)
+        if entity == "clientes":
+            return silver.silver_clientes(self.stg(entity), e, REJECTED_AT)
         return silver.silver_master(self.stg(entity), e, REJECTED_AT)
 
     def sil(self, entity: str) -> DataFrame:
