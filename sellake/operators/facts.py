@@ -165,10 +165,13 @@ def fct_pre_cutover(sales: DataFrame, snapshot: DataFrame, cutover: str, snapsho
                     key: list[str] = SALES_KEY) -> DataFrame:
     """M9: lines before the cutover; the warehouse falls back to the branch code.
     Silver wins; the older snapshot only fills keys Silver lacks (left anti)."""
-    s = sales.filter(F.col("fecha_registro") < F.lit(cutover).cast("date")) \
-        .withColumn("cod_alm", first_nonblank("cod_alm", "cod_suc"))
-    snap = snapshot.filter(F.col("fecha_registro") < F.lit(snapshot_until).cast("date")) \
-        .withColumn("cod_alm", first_nonblank("cod_alm", "cod_suc"))
+    def alm(df):
+        return first_nonblank("cod_alm", "cod_suc") if "cod_alm" in df.columns else F.col("cod_suc")
+
+    s = sales.filter(F.col("fecha_registro") < F.lit(cutover).cast("date"))
+    s = s.withColumn("cod_alm", alm(s))
+    snap = snapshot.filter(F.col("fecha_registro") < F.lit(snapshot_until).cast("date"))
+    snap = snap.withColumn("cod_alm", alm(snap))
     fill = snap.join(s.select(*key), key, "left_anti")
     return union_tagged([(s, "SILVER"), (fill, "SNAPSHOT")], "origen")
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contracts as C
-from ..operators import dims, facts, silver
+from ..operators import dims, facts, history, silver
 from ..sources import erp_adapter as A
 
 AS_OF = "2001-07-31"
@@ -78,6 +78,70 @@ class Lake:
     def fct_ventas(self) -> DataFrame:
         return facts.fct_sales(self.lines, self.dim_empresa)
 
+    # ---- history -----------------------------------------------------------
+    HISTORY_ATTRS = {
+        "clientes": ("cod_cli", ["cod_cli", "nom_cli", "prioridad", "estado"]),
+        "articulos": ("cod_art", ["cod_art", "nom_art", "cod_mar", "cod_pro", "modelo", "peso", "cap_bulto", "status"]),
+        "vendedores": ("cod_ven", ["cod_ven", "nom_ven", "status"]),
+        "sucursales": ("cod_suc", ["cod_suc", "nom_suc", "status"]),
+        "almacenes": ("cod_alm", ["cod_alm", "nom_alm", "status"]),
+        "proveedores": ("cod_pro", ["cod_pro", "nom_pro", "status"]),
+    }
+    DIM_ATTRS = {
+        "clientes": ["nom_cli", "prioridad", "estado"], "articulos": ["nom_art", "cod_mar", "cod_pro", "modelo"],
+        "vendedores": ["nom_ven"], "sucursales": ["nom_suc"], "almacenes": ["nom_alm"], "proveedores": ["nom_pro"],
+    }
+
+    @cached_property
+    def master_history(self) -> DataFrame:
+        src = {}
+        for ent, (key, cols) in self.HISTORY_ATTRS.items():
+            df = A.stg_cliente_snapshots(self.spark, self.d) if ent == "clientes" else self.stg(ent)
+            src[ent] = (df, key, cols)
+        return history.stack_history(src)
+
+    @cached_property
+    def scd2(self) -> DataFrame:
+        return history.scd2(self.master_history)
+
+    def dim_scd2(self, entity: str) -> DataFrame:
+        return history.scd2_dim(self.scd2, entity, self.HISTORY_ATTRS[entity][0], self.DIM_ATTRS[entity])
+
+    @cached_property
+    def fct_ventas_v2(self) -> DataFrame:
+        dims_ = {
+            "cliente": (self.dim_scd2("clientes"), "cod_cli", "cod_cli", ["nom_cli"]),
+            "articulo": (self.dim_scd2("articulos"), "cod_art", "cod_art", ["nom_art"]),
+            "vendedor": (self.dim_scd2("vendedores"), "cod_ven", "cod_ven", ["nom_ven"]),
+            "sucursal": (self.dim_scd2("sucursales"), "cod_suc", "cod_suc", []),
+            "almacen": (self.dim_scd2("almacenes"), "cod_alm", "cod_alm", ["nom_alm"]),
+            "proveedor": (self.dim_scd2("proveedores"), "cod_pro", "cod_pro", ["nom_pro"]),
+        }
+        return history.fct_sales_scd2(self.lines, dims_, facts.SALES_KEY)
+
+    # ---- cutover facts -----------------------------------------------------------
+    CUTOVER = "2000-01-01"
+    SNAPSHOT_UNTIL = "1998-01-01"
+
+    @cached_property
+    def snapshot_lines(self) -> DataFrame:
+        """Legacy full snapshot of sales lines (the legacy contract, cleaned)."""
+        e = C.SALES["legacy"]
+        s = silver.contract_clean(self.stg_ventas["legacy"], e, keep=["source_empresa", "_ingested_at"])
+        return s.withColumn("fecha_registro", F.to_date("registro"))
+
+    @cached_property
+    def fct_pre(self) -> DataFrame:
+        return facts.fct_pre_cutover(self.sil_ventas, self.snapshot_lines, self.CUTOVER, self.SNAPSHOT_UNTIL)
+
+    @cached_property
+    def fct_post_split(self):
+        return facts.fct_post_cutover(self.sil_ventas, self.CUTOVER)
+
+    @cached_property
+    def fct_gold(self) -> DataFrame:
+        return facts.fct_gold(self.fct_pre, self.fct_post_split[0])
+
     @cached_property
     def branches(self) -> DataFrame:
         return self.sil("sucursales").select("source_empresa", "cod_suc", "nom_suc")

@@ -330,20 +330,27 @@ def stg_renglones_monedas(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("_ingested_at", F.col("registro").cast("timestamp_ntz"))
 
 
-def stg_master_snapshots(spark: SparkSession, d: str) -> DataFrame:
-    """Master snapshots for history/SCD2: each order is a snapshot of its customer
-    (attributes = order priority and status) taken on the order day."""
-    o = read_table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"])
-    c = read_table(spark, d, "customer", ["c_custkey", "c_nationkey"])
+def stg_cliente_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """Customer master snapshots for history/SCD2: every order day lands a snapshot of the
+    ordering customer (name, order priority and status as its changing attributes)."""
+    o = read_table(spark, d, "orders", ["o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"])
+    c = read_table(spark, d, "customer", ["c_custkey", "c_name", "c_nationkey"])
     x = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(nation_tenant(spark, d)),
                                                   F.col("c_nationkey") == F.col("n_nationkey"))
-    return x.select(
-        F.lit("clientes").alias("entity_name"), "source_empresa",
-        F.col("o_custkey").cast("string").alias("natural_key"),
-        F.to_date("o_orderdate").alias("snapshot_date"),
-        F.date_format("o_orderdate", "yyyyMMdd").alias("run_id"),
-        F.col("o_orderdate").alias("ingested_at"),
-        F.col("o_orderkey"),
-        F.col("o_orderpriority").alias("prioridad"),
-        F.col("o_orderstatus").alias("estado"),
-    )
+    a = x.select("source_empresa", F.col("o_custkey").cast("string").alias("cod_cli"), F.col("c_name").alias("nom_cli"),
+                 F.col("o_orderpriority").alias("prioridad"), F.col("o_orderstatus").alias("estado"),
+                 F.col("o_orderdate").alias("_ingested_at"), F.date_format("o_orderdate", "yyyyMMdd").alias("_run_id"))
+    return with_row_hash(a, ["cod_cli", "nom_cli", "prioridad", "estado"])
+
+
+def stg_renglones_aprecios(spark: SparkSession, d: str) -> DataFrame:
+    """Price-change lines: each sold line records the unit price it was sold at."""
+    s = sales_source_lines(spark, d)
+    a = s.select("source_empresa", F.col("documento"), F.col("renglon"), F.col("cod_art"),
+                 F.lit(None).cast("double").alias("pre_ant"),
+                 F.round(F.try_divide(F.col("mon_bru").cast("decimal(18,2)"), F.col("can_art1").cast("decimal(18,2)")), 2)
+                 .cast("double").alias("pre_nue"),
+                 F.lit(None).cast("double").alias("cos_ult1"), F.lit("1").alias("tip_pre"),
+                 F.lit(None).cast("string").alias("notas"), _ts_text(F.col("_ingested_at")).alias("registro"),
+                 F.col("_ingested_at"))
+    return with_row_hash(a, ALL["renglones_aprecios"].names)
