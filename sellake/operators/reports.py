@@ -377,3 +377,140 @@ def inventory_report(stock: DataFrame, companies: DataFrame, warehouses: DataFra
         cap.alias("capacidad_bultos"), F.round(F.try_divide(F.col("exi_act1"), cap), 2).alias("bultos_totales"),
         F.col("registro").alias("fecha_ultima_actualizacion"),
     )
+
+
+def inventory_time(stock: DataFrame, cal: DataFrame, articles: DataFrame) -> DataFrame:
+    """Stock with calendar attributes (J2 inner join on the day) and boxes by bulk capacity."""
+    from .facts import with_calendar
+
+    art = articles.select(TENANT, "cod_art", "nom_art", "cod_mar", "cap_bulto")
+    x = with_calendar(stock, cal, "fecha_registro", ["anio", "mes", "nombre_mes", "anio_mes", "trimestre", "anio_semana"])
+    x = x.join(art, [TENANT, "cod_art"], "left")
+    return x.select(F.col(TENANT).alias("empresa"), F.col("cod_alm").alias("codigo_almacen"),
+                    F.col("cod_art").alias("codigo_articulo"), "nom_art", "cod_mar", "fecha_registro", "anio", "mes",
+                    "nombre_mes", "anio_mes", "trimestre", "anio_semana", F.col("exi_act1").alias("unidades"),
+                    F.round(F.try_divide(F.col("exi_act1"), F.nullif(F.col("cap_bulto"), F.lit(0))), 2).alias("cajas"))
+
+
+def inventory_bi(snapshots: DataFrame, warehouses: DataFrame, articles: DataFrame, brands: DataFrame) -> DataFrame:
+    """Snapshot fact enriched with warehouse, article and brand names."""
+    alm = warehouses.select(F.col(TENANT), F.col("cod_alm").alias("codigo_almacen"), "nom_alm")
+    art = articles.select(F.col(TENANT), F.col("cod_art").alias("codigo_articulo"), "nom_art", "cod_mar", "peso")
+    mar = brands.select(TENANT, "cod_mar", "nom_mar")
+    x = snapshots.join(alm, [TENANT, "codigo_almacen"], "left").join(art, [TENANT, "codigo_articulo"], "left") \
+        .join(mar, [TENANT, "cod_mar"], "left")
+    return x.select(TENANT, "snapshot_date", "codigo_almacen", "nom_alm", "codigo_articulo", "nom_art", "cod_mar", "nom_mar",
+                    "unidades", F.round(F.col("unidades") * F.coalesce(F.col("peso"), F.lit(0)), 2).alias("kg"))
+
+
+def inventory_matrix(stock: DataFrame, articles: DataFrame, sections: DataFrame) -> DataFrame:
+    """Current stock > 0 matrix with section name, price and barcode."""
+    art = articles.select(TENANT, "cod_art", "nom_art", "cod_sec", "precio", "codigo_barras")
+    sec = sections.select(TENANT, "cod_sec", "nom_sec")
+    x = stock.filter(F.col("exi_act1") > 0).join(art, [TENANT, "cod_art"], "left").join(sec, [TENANT, "cod_sec"], "left")
+    return x.select(F.col(TENANT).alias("Empresa"), F.col("cod_alm").alias("Almacen"), F.col("cod_art").alias("Codigo"),
+                    F.col("nom_art").alias("Descripcion"), F.col("nom_sec").alias("Seccion"),
+                    F.col("codigo_barras").alias("Codigo_Barras"), F.col("precio").alias("Precio"),
+                    F.col("exi_act1").alias("Existencia"))
+
+
+def sales_matrix(fct: DataFrame, articles: DataFrame) -> DataFrame:
+    """Sales matrix with display names, unit fraction and Fracc_Tot = units x fraccion."""
+    art = articles.select(TENANT, "cod_art", "fraccion")
+    x = fct.join(art, [TENANT, "cod_art"], "left")
+    return x.select(F.col(TENANT).alias("Empresa"), F.col("fecha_registro").alias("Fecha"), F.col("documento").alias("Documento"),
+                    F.col("renglon").alias("Renglon"), F.col("tipo_documento").alias("Tipo"), F.col("cod_cli").alias("Cliente"),
+                    F.col("cod_ven").alias("Vendedor"), F.col("cod_art").alias("Articulo"), F.col("nom_art").alias("Descripcion"),
+                    F.col("fraccion").alias("Frac Uni"),
+                    F.round(F.col("unidades_vendidas") * F.coalesce(F.col("fraccion"), F.lit(0)), 2).alias("Fracc_Tot"),
+                    F.col("unidades_vendidas").alias("Unidades"), F.col("neto_dcto").alias("Venta_USD"))
+
+
+def project_contract(df: DataFrame, mapping: list[tuple[str, str | None, str]]) -> DataFrame:
+    """Business projection: (source column or None, display name, type) -> typed NULL when absent."""
+    cols = []
+    for src, name, typ in mapping:
+        c = F.col(src) if src is not None else F.lit(None)
+        cols.append(c.cast(typ).alias(name))
+    return df.select(*cols)
+
+
+SALES_CONSUMER = [("source_empresa", "source_empresa", "string"), ("tipo_documento", "tipo_documento", "string"),
+                  ("cod_suc", "cod_suc", "string"), ("documento", "documento", "string"), ("renglon", "renglon", "double"),
+                  ("registro", "registro", "timestamp"), ("fecha_registro", "fec_ini", "date"), ("cod_ven", "cod_ven", "string"),
+                  ("nom_ven", "nom_ven", "string"), ("cod_cli", "cod_cli", "string"), ("nom_cli", "nom_cli", "string"),
+                  ("cod_art", "cod_art", "string"), ("nom_art", "nom_art", "string"), ("cod_pro", "cod_pro", "string"),
+                  ("unidades_vendidas", "unidades_vendidas", "double"), ("cajas_vendidas", "cajas_vendidas", "double"),
+                  ("neto_dcto", "neto_dcto", "double"), (None, "canal", "string")]
+CUSTOMERS_BI = [("source_empresa", "Empresa", "string"), ("cod_cli", "Codigo_Cliente", "string"),
+                ("nom_cli", "Nombre_Cliente", "string"), ("rif", "RIF", "string"), ("nom_est", "Estado", "string"),
+                ("nom_ciu", "Ciudad", "string"), ("nom_ven", "Vendedor", "string"), ("latitud", "Latitud", "double"),
+                ("longitud", "Longitud", "double"), ("gps_estado", "Estado_GPS", "string"), (None, "Zona", "string")]
+
+
+def customers_bi(customers: DataFrame, states: DataFrame, cities: DataFrame, sellers: DataFrame) -> DataFrame:
+    """Customer contract view (names of state, city and seller joined by code)."""
+    x = customers.join(states.select(TENANT, "cod_est", "nom_est"), [TENANT, "cod_est"], "left") \
+        .join(cities.select(TENANT, "cod_ciu", "nom_ciu"), [TENANT, "cod_ciu"], "left") \
+        .join(sellers.select(TENANT, "cod_ven", "nom_ven"), [TENANT, "cod_ven"], "left")
+    return project_contract(x, CUSTOMERS_BI)
+
+
+def sales_kpi(fact: DataFrame, lo: str, hi: str) -> DataFrame:
+    """Day x tenant x seller x customer x SKU KPIs (no fiscal id, no document)."""
+    f = fact.filter(F.col("fecha_registro").between(_d(lo), _d(hi)))
+    return f.groupBy(F.col("fecha_registro").alias("fecha"), TENANT, "cod_suc", "cod_ven", "cod_cli", "cod_art", "cod_mar",
+                     "cod_pro").agg(
+        F.count_distinct("documento").alias("documentos"), F.sum("unidades_vendidas").alias("unidades"),
+        F.round(F.sum("cajas_vendidas"), 2).alias("cajas"), F.round(F.sum("peso_total_kg"), 2).alias("kg"),
+        F.round(F.sum("neto_dcto"), 2).alias("venta_usd"))
+
+
+def inventory_shared(stock: DataFrame, articles: DataFrame) -> DataFrame:
+    """Shared stock contract: warehouse, article, units, boxes by fraction, kg."""
+    art = articles.select(TENANT, "cod_art", "nom_art", "cod_mar", "cod_pro", "fraccion", "peso")
+    x = stock.join(art, [TENANT, "cod_art"], "left")
+    return x.select(TENANT, "cod_alm", "cod_art", "nom_art", "cod_mar", "cod_pro", F.col("exi_act1").alias("unidades"),
+                    F.round(F.try_divide(F.col("exi_act1"), F.nullif(F.col("fraccion"), F.lit(0))), 2).alias("cajas"),
+                    F.round(F.col("exi_act1") * F.coalesce(F.col("peso"), F.lit(0)), 2).alias("kg"),
+                    F.col("fecha_registro").alias("fecha_actualizacion"))
+
+
+def inventory_sync(silver_stock: DataFrame, gold_snapshots: DataFrame) -> DataFrame:
+    """Per tenant rows, warehouses, articles and units in Silver vs the latest Gold snapshot."""
+    s = silver_stock.groupBy(TENANT).agg(F.count("*").alias("filas_silver"),
+                                         F.count_distinct("cod_alm").alias("almacenes_silver"),
+                                         F.count_distinct("cod_art").alias("articulos_silver"),
+                                         F.round(F.sum("exi_act1"), 2).alias("unidades_silver"))
+    last = gold_snapshots.groupBy(TENANT).agg(F.max("snapshot_date").alias("_last"))
+    g = gold_snapshots.join(last, TENANT).filter(F.col("snapshot_date") == F.col("_last")).groupBy(TENANT).agg(
+        F.count("*").alias("filas_gold"), F.round(F.sum("unidades"), 2).alias("unidades_gold"),
+        F.max("snapshot_date").alias("ultimo_snapshot"))
+    x = s.join(g, TENANT, "full")
+    return x.withColumn("sincronizado", F.coalesce(F.col("unidades_silver") == F.col("unidades_gold"), F.lit(False)))
+
+
+def gps_coverage(customers: DataFrame) -> DataFrame:
+    """Customers with GPS text, with valid coordinates, and coverage %."""
+    has_text = F.coalesce(F.col("gps"), F.lit("")) != ""
+    g = customers.groupBy(TENANT).agg(F.count("*").alias("clientes"), F.count_if(has_text).alias("con_gps"),
+                                      F.count_if(F.col("gps_valido")).alias("gps_validos"))
+    return g.withColumn("pct_validos", F.round(F.try_divide(F.col("gps_validos"), F.col("clientes")) * 100, 2))
+
+
+def scope_summary(scopes: DataFrame) -> DataFrame:
+    """Scope rows and distinct users per domain, role, status and tenant."""
+    return scopes.groupBy("domain", "role_type", "status", "source_empresa").agg(
+        F.count("*").alias("filas"), F.count_distinct("correo").alias("usuarios"))
+
+
+def usage_monitor(jobs: DataFrame, as_of: str, tz: str, days: int = 30) -> DataFrame:
+    """Queries, TiB read and slot seconds per local day and user over a job log,
+    SELECT statements of the last ``days`` days only."""
+    local = F.from_utc_timestamp(F.col("creation_time"), tz)
+    j = jobs.filter((F.col("statement_type") == "SELECT") &
+                    (F.to_date(local) > F.date_sub(_d(as_of), days)) & (F.to_date(local) <= _d(as_of)))
+    return j.groupBy(F.to_date(local).alias("dia"), "user_email").agg(
+        F.count("*").alias("consultas"),
+        F.round(F.sum("total_bytes_processed") / F.lit(1024 ** 4), 6).alias("tib_leidos"),
+        F.round(F.sum("total_slot_ms") / F.lit(1000), 3).alias("slot_segundos"))

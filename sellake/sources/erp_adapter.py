@@ -354,3 +354,51 @@ def stg_renglones_aprecios(spark: SparkSession, d: str) -> DataFrame:
                  F.lit(None).cast("string").alias("notas"), _ts_text(F.col("_ingested_at")).alias("registro"),
                  F.col("_ingested_at"))
     return with_row_hash(a, ALL["renglones_aprecios"].names)
+
+
+def user_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Security user documents (nested seller assignments), one per seller plus one analyst
+    per tenant; some mails arrive in mixed case, some users or assignments inactive."""
+    s = stg_vendedores(spark, d)
+    code = F.col("cod_ven").cast("int")
+    sellers = s.select(
+        F.sha2(F.col("correo"), 256).substr(1, 20).alias("id"),
+        F.when(code % 3 == 0, F.upper("correo")).otherwise(F.col("correo")).alias("email"),
+        (code % 7 != 0).alias("isActive"), F.col("source_empresa").alias("tenantId"), F.lit("vendedor").alias("role"),
+        F.array(F.struct(F.col("source_empresa").alias("empresa"), F.col("source_empresa").alias("tenantId"),
+                         F.col("cod_ven").alias("codVendedor"), F.lit(None).cast("string").alias("codSucursal"),
+                         F.when(code % 5 == 0, F.lit("inactive")).otherwise(F.lit("active")).alias("status"))).alias("vendedores"))
+    t = tenants(spark, d)
+    analysts = t.select(
+        F.sha2(F.col("source_empresa"), 256).substr(1, 20).alias("id"),
+        F.concat(F.lit("analista@"), F.col("source_empresa"), F.lit(".com")).alias("email"), F.lit(True).alias("isActive"),
+        F.col("source_empresa").alias("tenantId"), F.lit("analista_ventas").alias("role"),
+        F.array().cast(sellers.schema["vendedores"].dataType).alias("vendedores"))
+    return sellers.unionByName(analysts)
+
+
+def job_log(spark: SparkSession, d: str) -> DataFrame:
+    """Warehouse job log stand-in: one job per event (statement type by event kind)."""
+    e = read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    return e.select(F.col("event_id").alias("job_id"), F.col("ts").cast("timestamp").alias("creation_time"),
+                    F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@corp.com")).alias("user_email"),
+                    F.when(F.col("event_type").isin("view", "click"), F.lit("SELECT")).otherwise(F.lit("SCRIPT"))
+                    .alias("statement_type"),
+                    (F.col("value") * 1e9).cast("long").alias("total_bytes_processed"),
+                    (F.col("value") * 1000).cast("long").alias("total_slot_ms"))
+
+
+def telemetry_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Telemetry JSON lines from events; every 53rd line arrives truncated (malformed)."""
+    e = read_table(spark, d, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    rec = F.to_json(F.struct(
+        F.col("event_id"), F.col("event_type").alias("event_name"),
+        F.concat(F.lit("req-"), (F.col("event_id") / 3).cast("long").cast("string")).alias("request_id"),
+        F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("subject"),
+        F.when(F.col("event_type") == "error", F.lit("ERROR")).otherwise(F.lit("SUCCESS")).alias("status"),
+        (F.col("value") * 1000).alias("duration_ms"),
+        F.when(F.col("event_type") == "error", F.lit("E500")).alias("error_code"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+        F.col("props").alias("attributes")))
+    x = e.select(F.col("event_id"), rec.alias("_r"))
+    return x.select(F.when(F.col("event_id") % 53 == 0, F.substring("_r", 1, 20)).otherwise(F.col("_r")).alias("value"))
