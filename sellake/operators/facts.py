@@ -62,10 +62,11 @@ def _lk(dim: DataFrame, code: str, cols: dict[str, str], code_alias: str | None
 
 
 def star_enrich(fact: DataFrame, dims: list[tuple[DataFrame, list[str], list[str]]]) -> DataFrame:
-    """Chain of LEFT equi joins; each dim is (df, join keys, columns to add)."""
+    """Chain of LEFT equi joins; each dim is (df, join keys, columns to add).
+    A fact column with the same name as an added column is replaced by the dimension's."""
     out = fact
     for dim, keys, cols in dims:
-        out = out.join(dim.select(*keys, *cols), keys, "left")
+        out = out.drop(*[c for c in cols if c in out.columns]).join(dim.select(*keys, *cols), keys, "left")
     return out
 
 

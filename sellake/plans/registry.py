@@ -1,4 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
-from . import q_core, q_history, q_kpis, q_reports, q_silver  # noqa: F401
+from . import q_core, q_history, q_kpis, q_more, q_reports, q_silver  # noqa: F401
 from .queries import ORACLE, QUERIES  # noqa: F401
