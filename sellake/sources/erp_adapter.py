@@ -402,3 +402,65 @@ def telemetry_lines(spark: SparkSession, d: str) -> DataFrame:
         F.col("props").alias("attributes")))
     x = e.select(F.col("event_id"), rec.alias("_r"))
     return x.select(F.when(F.col("event_id") % 53 == 0, F.substring("_r", 1, 20)).otherwise(F.col("_r")).alias("value"))
+
+
+# --- payload variants (fixed rules of the stand-in envelopes) ------------------
+_V3_FIELDS = ["tipo_documento", "cod_suc", "documento", "renglon", "registro", "cod_ven", "cod_cli", "cod_art", "cod_alm",
+              "can_ven", "monto_bruto", "cod_mon", "cod_imp", "por_imp1", "neto", "dcto", "tasa", "neto_dcto"]
+QUERY_SQL_HASH = "sha256:ventas_diarias_v3:1"
+
+
+def _pascal(name: str) -> str:
+    return "_".join(p[:1].upper() + p[1:] for p in name.split("_"))
+
+
+def sales_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """Raw ERP responses: one JSON envelope per sales document (bounded size), with the
+    envelope variants the landing must handle: BOM (k%5), legacy root ``datos`` (k%3),
+    Pascal_Case keys (k%11), HTML error page (k%101), llError (k%103), empty table (k%107),
+    a row missing a required key (k%109, line 2), an extra column (k%113), a reserved
+    ``_`` key (k%127)."""
+    from ..operators.facts import erp_sales_lines
+
+    lines = erp_sales_lines(sales_source_lines(spark, d))
+    k = F.col("o_orderkey")
+    cols = {f: F.col(f) for f in _V3_FIELDS}
+    cols["documento"] = F.when((k % 109 == 0) & (F.col("renglon") == 2), F.lit(None).cast("string")).otherwise(F.col("documento"))
+    extra = F.when(k % 113 == 0, F.lit("x"))
+    reserved = F.when(k % 127 == 0, F.lit("1"))
+    snake = F.to_json(F.struct(*[c.alias(n) for n, c in cols.items()], extra.alias("campo_extra"), reserved.alias("_interno")))
+    pascal = F.to_json(F.struct(*[c.alias(_pascal(n)) for n, c in cols.items()], extra.alias("Campo_Extra"),
+                                reserved.alias("_Interno")))
+    rows = lines.withColumn("_j", F.when(k % 11 == 0, pascal).otherwise(snake))
+    g = rows.groupBy("source_empresa", "o_orderkey", "o_orderdate").agg(
+        F.array_join(F.sort_array(F.collect_list("_j")), ",").alias("_rows"))
+    root = F.when(k % 3 == 0, F.lit("datos")).otherwise(F.lit("d"))
+    env = F.concat(F.lit('{"'), root, F.lit('":{"laTablas":[['), F.col("_rows"), F.lit("]]}}"))
+    env = F.when(k % 5 == 0, F.concat(F.lit("﻿"), env)).otherwise(env)
+    payload = (F.when(k % 101 == 0, F.lit("<html><body>Error 500</body></html>"))
+                .when(k % 103 == 0, F.lit('{"llError":true,"d":{"laTablas":[]}}'))
+                .when(k % 107 == 0, F.lit('{"d":{"laTablas":[[]]}}'))
+                .otherwise(env))
+    return g.select(
+        F.concat(F.col("source_empresa"), F.lit("-"), k.cast("string")).alias("payload_id"),
+        "source_empresa", F.lit("ventas_diarias_v3").alias("query_id"), F.lit("3").alias("query_version"),
+        F.lit(QUERY_SQL_HASH).alias("query_sql_hash"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"),
+        F.concat(F.lit("run-"), F.date_format("o_orderdate", "yyyyMMdd")).alias("run_id"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).cast("timestamp").alias("_ingested_at"),
+        payload.alias("payload"))
+
+
+def batch_log(payloads_hashed: DataFrame, outcome: DataFrame) -> DataFrame:
+    """Append-only batch status log: WRITTEN then the final status one second later;
+    every 17th landed batch stays at WRITTEN (crash between stage and promote)."""
+    x = payloads_hashed.join(outcome, "payload_id")
+    k = F.substring_index("payload_id", "-", -1).cast("long")
+    final = F.when(F.col("final_status") == "SUCCESS", F.when(F.pmod(k, 17) == 0, F.lit(None)).otherwise(F.lit("SUCCESS"))) \
+        .otherwise(F.col("final_status"))
+    ev = F.array(F.struct(F.lit("WRITTEN").alias("status"), F.lit(0).alias("o")),
+                 F.struct(final.alias("status"), F.lit(1).alias("o")))
+    y = x.select("*", F.explode(ev).alias("_e")).filter(F.col("_e.status").isNotNull())
+    return y.select(F.col("_lote_id").alias("batch_id"), "run_id", F.col("query_id").alias("entity"), "source_empresa", "dt",
+                    F.col("_e.status").alias("status"), "record_count", F.col("_payload_hash").alias("payload_hash"),
+                    (F.col("_ingested_at") + F.make_interval(secs=F.col("_e.o"))).alias("inserted_at"))
