@@ -116,7 +116,7 @@ def with_batch_id(df: DataFrame) -> DataFrame:
 def map_row_hash(m: Column) -> Column:
     """H3 over a map row: values ordered by key, 0x1F-joined, NULL as a sentinel."""
     keys = F.array_sort(F.map_keys(m))
-    vals = F.transform(keys, lambda k: F.coalesce(m.getItem(k), F.lit(NULL_SENTINEL)))
+    vals = F.transform(keys, lambda k: F.coalesce(m[k], F.lit(NULL_SENTINEL)))
     return F.sha2(F.array_join(vals, UNIT_SEPARATOR), 256)
 
 

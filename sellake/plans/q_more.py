@@ -373,3 +373,10 @@ def l4(lk):
     """L4: pass count and exact P95 latency per event kind and day."""
     e = _parsed(lk).withColumn("dia", F.substring("ts", 1, 10))
     return L.latency_summary(e, ["event_name", "dia"])
+
+
+@query("P10_geo_density")
+def p10(lk):
+    """P10: customers and net sales per level-10 S2 cell (vectorised pandas UDF for the cell ids)."""
+    from ..operators.geo import geo_density
+    return geo_density(lk.sil("clientes"), lk.fct_ventas, 10)
