@@ -128,7 +128,7 @@ def union_versions(parts: list[tuple[DataFrame, int]], priority_col: str = "_pri
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def silver_sales(versions: dict[str, DataFrame], articles: DataFrame,
+def silver_sales(versions: dict[str, DataFrame] | DataFrame, articles: DataFrame,
                  rejected_at: str | None = None) -> tuple[DataFrame, DataFrame]:
     """M3: sales lines from the v3 + v2 + legacy contracts.
 
@@ -137,8 +137,10 @@ def silver_sales(versions: dict[str, DataFrame], articles: DataFrame,
     -> supplier code from the line, else from the current article.
     """
     entity = SALES["v2"]  # superset of the three contracts' business columns
-    parts = [(df, SALES_PRIORITY[v]) for v, df in versions.items()]
-    union = union_versions(parts)
+    if isinstance(versions, DataFrame):  # already one relation tagged with ``_priority``
+        union = versions
+    else:
+        union = union_versions([(df, SALES_PRIORITY[v]) for v, df in versions.items()])
     audit = _present(union, ["source_empresa", "_ingested_at", TIE_BREAK, "_priority"])
     good = contract_clean(valid_rows(union, entity), entity, keep=audit)
     good = latest_by_key(good, entity.key, ["_priority", "_ingested_at"])

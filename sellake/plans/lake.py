@@ -25,17 +25,32 @@ class Lake:
         self.spark = spark
         self.d = sf_dir
         self.as_of = as_of
+        self._stg: dict[str, DataFrame] = {}
+        self._sil: dict[str, tuple[DataFrame, DataFrame]] = {}
 
     # ---- staging (adapter) -------------------------------------------------
+    @cached_property
+    def stg_ventas_union(self) -> DataFrame:
+        return A.stg_ventas_union(self.spark, self.d)
+
     @cached_property
     def stg_ventas(self) -> dict[str, DataFrame]:
-        return A.stg_ventas(self.spark, self.d)
+        u = self.stg_ventas_union
+        return {v: u.filter(F.col("_version") == v).select("source_empresa", "_ingested_at", *e.names, "_row_hash")
+                for v, e in C.SALES.items()}
 
     def stg(self, entity: str) -> DataFrame:
-        return getattr(A, "stg_" + entity)(self.spark, self.d)
+        if entity not in self._stg:
+            self._stg[entity] = getattr(A, "stg_" + entity)(self.spark, self.d)
+        return self._stg[entity]
 
     # ---- Silver --------------------------------------------------------------
     def silver_split(self, entity: str) -> tuple[DataFrame, DataFrame]:
+        if entity not in self._sil:
+            self._sil[entity] = self._silver_split(entity)
+        return self._sil[entity]
+
+    def _silver_split(self, entity: str) -> tuple[DataFrame, DataFrame]:
         e = C.ALL[entity]
         if entity in C.TRANSACTIONS:
             return silver.silver_transaction(self.stg(entity), e, REJECTED_AT)
@@ -48,7 +63,7 @@ class Lake:
 
     @cached_property
     def sil_ventas_split(self) -> tuple[DataFrame, DataFrame]:
-        return silver.silver_sales(self.stg_ventas, self.sil("articulos"), REJECTED_AT)
+        return silver.silver_sales(self.stg_ventas_union.drop("_version"), self.sil("articulos"), REJECTED_AT)
 
     @property
     def sil_ventas(self) -> DataFrame:

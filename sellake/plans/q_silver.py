@@ -174,8 +174,7 @@ _E2 = C.SALES["v2"]
                                    KEY_SPEC + "_priority:i"))
 def r1(lk):
     """Sales rows whose required columns are present (all three contracts)."""
-    u = silver.union_versions([(df, C.SALES_PRIORITY[v]) for v, df in lk.stg_ventas.items()])
-    return silver.valid_rows(u, _E2).select(*KEY, "_priority")
+    return silver.valid_rows(lk.stg_ventas_union, _E2).select(*KEY, "_priority")
 
 
 @query("R2_rejects", O.out(f"""SELECT {', '.join(KEY)}, _priority, motivo_rechazo, TIMESTAMP '{REJECTED_AT}' AS _rechazado_en

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import ALL, SALES
-from ..functions.columns import money_columns
+from ..operators.facts import erp_sales_lines
 from ..functions.hashing import with_row_hash
 from .tables import read_table
 
@@ -264,15 +264,19 @@ def sales_source_lines(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def stg_ventas(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Sales staging per contract version (v3, v2, legacy), with overlapping periods.
+def stg_ventas_union(spark: SparkSession, d: str) -> DataFrame:
+    """Sales staging of the three contract versions (v3, v2, legacy) as ONE tagged relation.
+
+    Each source line is exploded into the versions whose period covers it; columns
+    a version's contract lacks are NULL for its rows and the row hash covers that
+    version's own columns. One scan and one join feed all three versions (instead
+    of three filtered copies of the same join). ``_version`` / ``_priority`` tag rows.
 
     The ERP source query itself (sign of returns P15, money rule P16) runs here
-    through the library's operators. The source join runs once: each line is
-    exploded into the versions whose period covers it, so the three version
-    views share one scan and one join (identical exchanges are reused).
+    through the library's operators.
     """
-    from ..operators.facts import erp_sales_lines
+    from ..contracts import SALES_PRIORITY
+    from ..functions.hashing import row_hash_expr
 
     lines = erp_sales_lines(sales_source_lines(spark, d))
     odate = F.col("o_orderdate")
@@ -292,15 +296,27 @@ def stg_ventas(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         "nom_cli": _pad(F.col("nom_cli")),
         "cod_pro": F.when(is_v("v2"), F.lit("")).otherwise(F.lit(None).cast("string")),
     })
-    out = {}
-    for name in ("v3", "v2", "legacy"):
-        e = SALES[name]
-        df = lines.filter(is_v(name))
-        missing = [c for c in e.names if c not in df.columns]
-        df = df.select("source_empresa", "_ingested_at", *[c for c in e.names if c in df.columns],
-                       *[F.lit(None).cast("double" if e.col(m).type == "number" else "string").alias(m) for m in missing])
-        out[name] = with_row_hash(df.select("source_empresa", "_ingested_at", *e.names), e.names)
-    return out
+    wide = SALES["v2"]  # superset of the three contracts
+    cols = {}
+    for c in wide.columns:
+        typ = "double" if c.type == "number" else "string"
+        have = [v for v, e in SALES.items() if c.name in e.names]
+        val = F.col(c.name).cast(typ) if c.name in lines.columns else F.lit(None).cast(typ)
+        cols[c.name] = F.when(F.col("_version").isin(*have), val).otherwise(F.lit(None).cast(typ))
+    x = lines.select("source_empresa", "_ingested_at", "_version", *[v.alias(n) for n, v in cols.items()])
+    h = None
+    for v, e in SALES.items():
+        expr = row_hash_expr(x, e.names)
+        h = F.when(is_v(v), expr) if h is None else h.when(is_v(v), expr)
+    prio = F.create_map(*[z for v, p in SALES_PRIORITY.items() for z in (F.lit(v), F.lit(p))])
+    return x.withColumn("_row_hash", h).withColumn("_priority", F.element_at(prio, F.col("_version")))
+
+
+def stg_ventas(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Per-version views of the landed sales staging (each with its own contract's columns)."""
+    u = stg_ventas_union(spark, d)
+    return {v: u.filter(F.col("_version") == v).select("source_empresa", "_ingested_at", *e.names, "_row_hash")
+            for v, e in SALES.items()}
 
 
 def stg_renglones_almacenes(spark: SparkSession, d: str) -> DataFrame:
@@ -420,8 +436,6 @@ def sales_payloads(spark: SparkSession, d: str) -> DataFrame:
     Pascal_Case keys (k%11), HTML error page (k%101), llError (k%103), empty table (k%107),
     a row missing a required key (k%109, line 2), an extra column (k%113), a reserved
     ``_`` key (k%127)."""
-    from ..operators.facts import erp_sales_lines
-
     lines = erp_sales_lines(sales_source_lines(spark, d))
     k = F.col("o_orderkey")
     cols = {f: F.col(f) for f in _V3_FIELDS}
