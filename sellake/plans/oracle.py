@@ -194,17 +194,21 @@ FROM erp_sales_lines s,
 _PRESENT_SALES = {"tipo_documento", "cod_suc", "documento", "renglon", "registro", "cod_ven", "cod_cli", "nom_cli", "cod_art",
                   "cod_alm", "can_ven", "monto_bruto", "cod_mon", "cod_imp", "por_imp1", "neto", "dcto", "tasa", "neto_dcto",
                   "cod_pro"}
+_WIDE = C.SALES["v2"]
+_wcols = []
+for _n in _WIDE.names:
+    _t = "DOUBLE" if _WIDE.col(_n).type == "number" else "VARCHAR"
+    _have = ", ".join(f"'{v}'" for v, e in C.SALES.items() if _n in e.names)
+    _src = f"CAST({_n} AS {_t})" if _n in _PRESENT_SALES else f"NULL::{_t}"
+    _wcols.append(f"CASE WHEN _version IN ({_have}) THEN {_src} END AS {_n}")
+_wk = {n: ("n" if _WIDE.col(n).type == "number" else "s") for n in _WIDE.names}
+view("stg_ventas_union", ["sales_versions"], f"""
+SELECT *, {row_hash(_wk)} AS _row_hash,
+  CASE _version WHEN 'v3' THEN 3 WHEN 'v2' THEN 2 ELSE 1 END AS _priority FROM (
+  SELECT source_empresa, _ingested_at, _version, {', '.join(_wcols)} FROM sales_versions) z""")
 for _v, _e in C.SALES.items():
-    _cols = []
-    for _n in _e.names:
-        if _n in _PRESENT_SALES:
-            _cols.append(_n)
-        else:
-            _cols.append(f"NULL::{'DOUBLE' if _e.col(_n).type == 'number' else 'VARCHAR'} AS {_n}")
-    _kinds_v = {n: ("n" if _e.col(n).type == "number" else "s") for n in _e.names}
-    view(f"stg_ventas_{_v}", ["sales_versions"], f"""
-SELECT *, {row_hash(_kinds_v)} AS _row_hash FROM (
-  SELECT source_empresa, _ingested_at, {', '.join(_cols)} FROM sales_versions WHERE _version = '{_v}') z""")
+    view(f"stg_ventas_{_v}", ["stg_ventas_union"],
+         f"SELECT source_empresa, _ingested_at, {', '.join(_e.names)}, _row_hash FROM stg_ventas_union WHERE _version = '{_v}'")
 
 view("stg_renglones_almacenes", ["sales_source_lines"], f"""
 SELECT *, {row_hash({'cod_alm': 's', 'cod_art': 's', 'exi_act1': 'n', 'registro': 's'})} AS _row_hash,
@@ -302,9 +306,7 @@ SELECT *, CASE WHEN latitud IS NULL OR longitud IS NULL THEN FALSE
 FROM (SELECT *, {_LATX} AS latitud, {_LONX} AS longitud FROM ({V["sil_clientes"][1]}) b) g""")
 
 _E2 = C.SALES["v2"]
-view("ventas_union", ["stg_ventas_v3", "stg_ventas_v2", "stg_ventas_legacy"],
-     "SELECT *, 3 AS _priority FROM stg_ventas_v3 UNION ALL BY NAME SELECT *, 2 AS _priority FROM stg_ventas_v2 "
-     "UNION ALL BY NAME SELECT *, 1 AS _priority FROM stg_ventas_legacy")
+view("ventas_union", ["stg_ventas_union"], "SELECT * EXCLUDE (_version) FROM stg_ventas_union")
 view("sil_ventas_dedup", ["ventas_union"],
      silver_sql(_E2, "ventas_union", _E2.names, ["source_empresa", "_ingested_at", "_row_hash", "_priority"],
                 ["_priority", "_ingested_at"]))

@@ -269,7 +269,7 @@ def stg_ventas_union(spark: SparkSession, d: str) -> DataFrame:
 
     Each source line is exploded into the versions whose period covers it; columns
     a version's contract lacks are NULL for its rows and the row hash covers that
-    version's own columns. One scan and one join feed all three versions (instead
+    widest contract's columns. One scan and one join feed all three versions (instead
     of three filtered copies of the same join). ``_version`` / ``_priority`` tag rows.
 
     The ERP source query itself (sign of returns P15, money rule P16) runs here
@@ -304,12 +304,9 @@ def stg_ventas_union(spark: SparkSession, d: str) -> DataFrame:
         val = F.col(c.name).cast(typ) if c.name in lines.columns else F.lit(None).cast(typ)
         cols[c.name] = F.when(F.col("_version").isin(*have), val).otherwise(F.lit(None).cast(typ))
     x = lines.select("source_empresa", "_ingested_at", "_version", *[v.alias(n) for n, v in cols.items()])
-    h = None
-    for v, e in SALES.items():
-        expr = row_hash_expr(x, e.names)
-        h = F.when(is_v(v), expr) if h is None else h.when(is_v(v), expr)
     prio = F.create_map(*[z for v, p in SALES_PRIORITY.items() for z in (F.lit(v), F.lit(p))])
-    return x.withColumn("_row_hash", h).withColumn("_priority", F.element_at(prio, F.col("_version")))
+    # one hash over the widest contract's columns (NULL where the row's version lacks a column)
+    return x.withColumn("_row_hash", row_hash_expr(x, wide.names)).withColumn("_priority", F.element_at(prio, F.col("_version")))
 
 
 def stg_ventas(spark: SparkSession, d: str) -> dict[str, DataFrame]:
