@@ -139,10 +139,12 @@ def enrich(rows: DataFrame, entity: Entity, id_col: str = "payload_id") -> DataF
                     "dt")
 
 
-def land(payloads: DataFrame, entity: Entity) -> tuple[DataFrame, DataFrame]:
-    """S1 + V1/V2 + H1-H4: (landed rows, quarantined payloads with reason)."""
+def land(payloads: DataFrame, entity: Entity, scanned: tuple[DataFrame, DataFrame] | None = None
+         ) -> tuple[DataFrame, DataFrame]:
+    """S1 + V1/V2 + H1-H4: (landed rows, quarantined payloads with reason).
+    ``scanned`` may pass an already computed (rows, invalid) scan of the hashed payloads."""
     hashed = with_batch_id(with_payload_hash(payloads))
-    rows, invalid = scan_envelopes(hashed)
+    rows, invalid = scanned if scanned is not None else scan_envelopes(hashed)
     bad = reduce(DataFrame.unionByName, [
         invalid.select("payload_id", "reason"),
         empty_batches(rows, entity),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import contracts as C
 from ..operators import dims, facts, history, silver
 from ..sources import erp_adapter as A
+from . import materialize as MT
 
 AS_OF = "2001-07-31"
 REJECTED_AT = "2001-08-01 07:00:00"
@@ -26,12 +27,17 @@ class Lake:
         self.d = sf_dir
         self.as_of = as_of
         self._stg: dict[str, DataFrame] = {}
-        self._sil: dict[str, tuple[DataFrame, DataFrame]] = {}
+        self._sil: dict[str, DataFrame] = {}
+        self.key = MT.layer_key(sf_dir, as_of)
+
+    def table(self, name: str, build, prepare=None) -> DataFrame:
+        """A Silver/Gold boundary: written once, then read (see ``materialize``)."""
+        return MT.table(self.spark, self.key, name, build, prepare)
 
     # ---- staging (adapter) -------------------------------------------------
     @cached_property
     def stg_ventas_union(self) -> DataFrame:
-        return A.stg_ventas_union(self.spark, self.d)
+        return self.table("stg_ventas_union", lambda: A.stg_ventas_union(self.spark, self.d))
 
     @cached_property
     def stg_ventas(self) -> dict[str, DataFrame]:
@@ -46,9 +52,10 @@ class Lake:
 
     # ---- Silver --------------------------------------------------------------
     def silver_split(self, entity: str) -> tuple[DataFrame, DataFrame]:
-        if entity not in self._sil:
-            self._sil[entity] = self._silver_split(entity)
-        return self._sil[entity]
+        return self.sil(entity), self.rejects(entity)
+
+    def rejects(self, entity: str) -> DataFrame:
+        return self.table(f"rej_{entity}", lambda: self._silver_split(entity)[1])
 
     def _silver_split(self, entity: str) -> tuple[DataFrame, DataFrame]:
         e = C.ALL[entity]
@@ -59,15 +66,20 @@ class Lake:
         return silver.silver_master(self.stg(entity), e, REJECTED_AT)
 
     def sil(self, entity: str) -> DataFrame:
-        return self.silver_split(entity)[0]
+        if entity not in self._sil:
+            self._sil[entity] = self.table(f"sil_{entity}", lambda: self._silver_split(entity)[0])
+        return self._sil[entity]
 
-    @cached_property
-    def sil_ventas_split(self) -> tuple[DataFrame, DataFrame]:
+    def _sales_split(self):
         return silver.silver_sales(self.stg_ventas_union.drop("_version"), self.sil("articulos"), REJECTED_AT)
 
     @property
+    def sil_ventas_split(self) -> tuple[DataFrame, DataFrame]:
+        return self.sil_ventas, self.table("rej_ventas", lambda: self._sales_split()[1])
+
+    @cached_property
     def sil_ventas(self) -> DataFrame:
-        return self.sil_ventas_split[0]
+        return self.table("sil_ventas", lambda: self._sales_split()[0])
 
     # ---- Gold ----------------------------------------------------------------
     @cached_property
@@ -91,7 +103,9 @@ class Lake:
 
     @cached_property
     def fct_ventas(self) -> DataFrame:
-        return facts.fct_sales(self.lines, self.dim_empresa)
+        # Gold fact: range-partitioned and sorted by day so date-window reports skip row groups
+        return self.table("fct_ventas", lambda: facts.fct_sales(self.lines, self.dim_empresa),
+                          lambda df: df.repartitionByRange("fecha_registro").sortWithinPartitions("fecha_registro"))
 
     # ---- history -----------------------------------------------------------
     HISTORY_ATTRS = {
@@ -117,7 +131,7 @@ class Lake:
 
     @cached_property
     def scd2(self) -> DataFrame:
-        return history.scd2(self.master_history)
+        return self.table("scd2", lambda: history.scd2(self.master_history))
 
     def dim_scd2(self, entity: str) -> DataFrame:
         return history.scd2_dim(self.scd2, entity, self.HISTORY_ATTRS[entity][0], self.DIM_ATTRS[entity])
@@ -132,7 +146,7 @@ class Lake:
             "almacen": (self.dim_scd2("almacenes"), "cod_alm", "cod_alm", ["nom_alm"]),
             "proveedor": (self.dim_scd2("proveedores"), "cod_pro", "cod_pro", ["nom_pro"]),
         }
-        return history.fct_sales_scd2(self.lines, dims_, facts.SALES_KEY)
+        return self.table("fct_ventas_v2", lambda: history.fct_sales_scd2(self.lines, dims_, facts.SALES_KEY))
 
     # ---- cutover facts -----------------------------------------------------------
     CUTOVER = "2000-01-01"

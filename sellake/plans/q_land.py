@@ -26,10 +26,14 @@ def _scratch(spark, name: str) -> str:
 class Landing:
     def __init__(self, lk):
         self.lk = lk
-        self.payloads = A.sales_payloads(lk.spark, lk.d)
+        self.payloads = lk.table("payloads", lambda: A.sales_payloads(lk.spark, lk.d))
         self.hashed = LD.with_batch_id(LD.with_payload_hash(self.payloads))
-        self.rows, self.invalid = LD.scan_envelopes(self.hashed)
-        self.landed, self.quarantined = LD.land(self.payloads, E3)
+        scan = lambda: LD.scan_envelopes(self.hashed)
+        self.rows = lk.table("scan_rows", lambda: scan()[0])
+        self.invalid = lk.table("scan_invalid", lambda: scan()[1])
+        landing = lambda: LD.land(self.payloads, E3, (self.rows, self.invalid))
+        self.landed = lk.table("landed", lambda: landing()[0])
+        self.quarantined = lk.table("quarantined", lambda: landing()[1])
 
     def outcome(self):
         cnt = self.landed.groupBy("payload_id").agg(F.count("*").alias("record_count"))
