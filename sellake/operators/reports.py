@@ -514,3 +514,14 @@ def usage_monitor(jobs: DataFrame, as_of: str, tz: str, days: int = 30) -> DataF
         F.count("*").alias("consultas"),
         F.round(F.sum("total_bytes_processed") / F.lit(1024 ** 4), 6).alias("tib_leidos"),
         F.round(F.sum("total_slot_ms") / F.lit(1000), 3).alias("slot_segundos"))
+
+
+def between_dates(df: DataFrame, col: str, lo: str, hi: str) -> DataFrame:
+    """Inclusive date range filter on a date column (a plain predicate, so it reaches the
+    parquet scan as a pushed filter and prunes partitions when the table is partitioned by it)."""
+    return df.filter(F.col(col).between(_d(lo), _d(hi)))
+
+
+def sales_consumer(fct_bi: DataFrame) -> DataFrame:
+    """Consumer projection of the BI sales fact (P11 with the consumer contract)."""
+    return project_contract(fct_bi, SALES_CONSUMER)

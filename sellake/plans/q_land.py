@@ -47,10 +47,13 @@ class Landing:
 
 
 # ---------------------------------------------------------------- oracle views
-_Q = lambda n: f'"{n}"'
+def _quoted(name: str) -> str:
+    return f'"{name}"'
+
+
 _snake = ", ".join(f"{n} := {'CASE WHEN o_orderkey % 109 = 0 AND renglon = 2 THEN NULL ELSE documento END' if n == 'documento' else n}"
                    for n in A._V3_FIELDS)
-_pasc = ", ".join(f"{_Q(A._pascal(n))} := {'CASE WHEN o_orderkey % 109 = 0 AND renglon = 2 THEN NULL ELSE documento END' if n == 'documento' else n}"
+_pasc = ", ".join(f"{_quoted(A._pascal(n))} := {'CASE WHEN o_orderkey % 109 = 0 AND renglon = 2 THEN NULL ELSE documento END' if n == 'documento' else n}"
                   for n in A._V3_FIELDS)
 _EXTRA = "CASE WHEN o_orderkey % 113 = 0 THEN 'x' END"
 _RES = "CASE WHEN o_orderkey % 127 = 0 THEN '1' END"

@@ -98,8 +98,7 @@ def p11(lk):
                                      _CONS_SPEC))
 def g16(lk):
     """Consumer projection of the BI sales window."""
-    f = lk.fct_ventas.filter(F.col("fecha_registro").between(F.lit("1999-01-01").cast("date"), F.lit(AS_OF).cast("date")))
-    return R.project_contract(f, R.SALES_CONSUMER)
+    return R.sales_consumer(R.between_dates(lk.fct_ventas, "fecha_registro", "1999-01-01", AS_OF))
 
 
 _CB = ", ".join(f"{'NULL' if s is None else ('c.' + s if s in ('source_empresa', 'cod_cli', 'nom_cli', 'rif', 'latitud', 'longitud', 'gps_estado') else s)}"

@@ -92,9 +92,8 @@ def p9(lk):
                                   KEY_SPEC + "fecha_registro:dt, neto_dcto:d"))
 def p12(lk):
     """BETWEEN date filter on the partition date (pruned at the scan when the table is partitioned)."""
-    from ..operators.reports import _d
-    s = lk.sil_ventas
-    return s.filter(F.col("fecha_registro").between(_d("2000-01-01"), _d("2000-12-31"))).select(*KEY, "fecha_registro", "neto_dcto")
+    from ..operators.reports import between_dates
+    return between_dates(lk.sil_ventas, "fecha_registro", "2000-01-01", "2000-12-31").select(*KEY, "fecha_registro", "neto_dcto")
 
 
 @query("P13_pseudonymize", O.out(f"SELECT source_empresa, cod_ven, 'usr_' || substr(sha256(lower({cs('correo')})), 1, 16) AS usuario "
