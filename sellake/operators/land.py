@@ -24,10 +24,6 @@ BATCH_STATUSES = ("WRITTEN", "SUCCESS", "SKIPPED", "QUARANTINED", "FAILED")
 # -------------------------------------------------------------------------------
 
 
-def _obj(text: Column) -> Column:
-    return F.from_json(text, "map<string,string>")
-
-
 def scan_envelopes(payloads: DataFrame, id_col: str = "payload_id", payload_col: str = "payload") -> tuple[DataFrame, DataFrame]:
     """Payloads -> (rows, invalid).
 
@@ -38,19 +34,25 @@ def scan_envelopes(payloads: DataFrame, id_col: str = "payload_id", payload_col:
     the payload invalid too. An empty first table is valid with zero rows.
     """
     p = F.regexp_replace(F.col(payload_col), f"^{BOM}", "")
-    doc = _obj(p)
-    d_root = doc.getItem(ROOT_KEYS[0])
-    root_txt = F.when(F.coalesce(d_root, F.lit("")).isin("", "{}", "null"), doc.getItem(ROOT_KEYS[1])).otherwise(d_root)
-    root = _obj(root_txt)
-    tables = F.from_json(root.getItem("laTablas"), "array<string>")
-    first = F.from_json(F.try_element_at(tables, F.lit(1)), "array<string>")
-    rows = F.transform(first, lambda r: _obj(r))
-    x = payloads.select("*", doc.alias("_doc"), root.alias("_root"), tables.alias("_tables"), first.alias("_first"),
-                        rows.alias("_rows"))
-    ok_rows = F.forall(F.col("_rows"), lambda m: m.isNotNull())
+
+    def obj(text):  # only a JSON object parses as one
+        return F.ltrim(F.coalesce(text, F.lit(""))).startswith("{")
+
+    # three parses per payload, each its own projection step so it is evaluated once:
+    # document fields (raw text) -> root's laTablas (raw texts) -> first table as rows
+    x = payloads.withColumn("_doc", F.when(obj(p), F.from_json(p, "struct<llError: string, d: string, datos: string>")))
+    d_root = F.col("_doc").getField(ROOT_KEYS[0])
+    root_txt = F.when(F.coalesce(d_root, F.lit("")).isin("", "{}", "null", "false", "0", "[]", '""'),
+                      F.col("_doc").getField(ROOT_KEYS[1])).otherwise(d_root)
+    x = x.withColumn("_root", F.when(obj(root_txt), F.from_json(root_txt, "struct<laTablas: array<string>>")))
+    x = x.withColumn("_tables", F.col("_root").getField("laTablas"))
+    # a first table that is not a list, or a row that is not an object, comes back NULL here
+    x = x.withColumn("_first", F.from_json(F.try_element_at(F.col("_tables"), F.lit(1)), "array<map<string,string>>"))
+    x = x.withColumn("_rows", F.col("_first"))
+    ok_rows = F.col("_rows").isNotNull() & F.forall(F.col("_rows"), lambda m: m.isNotNull())
     case_clash = F.exists(F.col("_rows"), lambda m: F.size(F.array_distinct(F.transform(F.map_keys(m), F.lower)))
                           != F.size(F.map_keys(m)))
-    err = F.lower(F.coalesce(F.col("_doc").getItem("llError"), F.lit("false"))).isin("true", "1")
+    err = F.lower(F.coalesce(F.col("_doc").getField("llError"), F.lit("false"))).isin("true", "1")
     reason = (F.when(F.col("_doc").isNull(), F.lit("parse_error"))
                .when(err, F.lit("parse_error"))
                .when(F.col("_root").isNull(), F.lit("parse_error"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import cached_property
 
 from pyspark.sql import functions as F
 
@@ -24,16 +25,28 @@ def _scratch(spark, name: str) -> str:
 
 
 class Landing:
+    """Landing tables of one Lake, each written on first use (see ``Lake.table``)."""
+
     def __init__(self, lk):
         self.lk = lk
         self.payloads = lk.table("payloads", lambda: A.sales_payloads(lk.spark, lk.d))
         self.hashed = LD.with_batch_id(LD.with_payload_hash(self.payloads))
-        scan = lambda: LD.scan_envelopes(self.hashed)
-        self.rows = lk.table("scan_rows", lambda: scan()[0])
-        self.invalid = lk.table("scan_invalid", lambda: scan()[1])
-        landing = lambda: LD.land(self.payloads, E3, (self.rows, self.invalid))
-        self.landed = lk.table("landed", lambda: landing()[0])
-        self.quarantined = lk.table("quarantined", lambda: landing()[1])
+
+    @cached_property
+    def rows(self):
+        return self.lk.table("scan_rows", lambda: LD.scan_envelopes(self.hashed)[0])
+
+    @cached_property
+    def invalid(self):
+        return self.lk.table("scan_invalid", lambda: LD.scan_envelopes(self.hashed)[1])
+
+    @cached_property
+    def landed(self):
+        return self.lk.table("landed", lambda: LD.land(self.payloads, E3, (self.rows, self.invalid))[0])
+
+    @cached_property
+    def quarantined(self):
+        return self.lk.table("quarantined", lambda: LD.land(self.payloads, E3, (self.rows, self.invalid))[1])
 
     def outcome(self):
         cnt = self.landed.groupBy("payload_id").agg(F.count("*").alias("record_count"))
