@@ -14,8 +14,8 @@ from ..contracts import SILVER_DECIMAL
 ColumnOrName = Column | str
 
 # --- Fixed values -----------------------------------------------------------
-# Whitespace strip used for every string in Silver (both ends, any whitespace).
-STRIP_PATTERN = r"^\s+|\s+$"
+# Whitespace stripped from both ends of every string in Silver (space, tab, LF, CR, FF, VT).
+WHITESPACE = " \t\n\r\f\u000b"
 # GPS free-text patterns: a signed decimal latitude, then a separator
 # (comma, semicolon, slash, or plain spaces), then a longitude whose sign may be
 # followed by spaces.
@@ -33,8 +33,9 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def clean_str(c: ColumnOrName) -> Column:
-    """Value as string with leading/trailing whitespace removed."""
-    return F.regexp_replace(_c(c).cast("string"), STRIP_PATTERN, "")
+    """Value as string with leading/trailing whitespace removed (a plain character-set
+    trim, no regex engine per value)."""
+    return F.btrim(_c(c).cast("string"), F.lit(WHITESPACE))
 
 
 def to_ts(c: ColumnOrName) -> Column:

@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import clean_str
 from .silver import latest_by_key
 
 TENANT = "source_empresa"
@@ -53,8 +54,8 @@ def stack_history(sources: dict[str, tuple[DataFrame, str, list[str]]]) -> DataF
     """
     parts = []
     for entity, (df, key, cols) in sources.items():
-        rec = F.to_json(F.struct(*[F.regexp_replace(F.col(c).cast("string"), r"^\s+|\s+$", "").alias(c)
-                                   if dict(df.dtypes)[c] == "string" else F.col(c) for c in cols]),
+        types = dict(df.dtypes)
+        rec = F.to_json(F.struct(*[clean_str(c).alias(c) if types[c] == "string" else F.col(c) for c in cols]),
                         {"ignoreNullFields": "false"})
         parts.append(df.filter(F.col("_ingested_at").isNotNull()).select(
             F.lit(entity).alias("entity_name"), F.trim(F.col(TENANT)).alias(TENANT),
