@@ -48,6 +48,11 @@ def _fs(spark: SparkSession, path: str):
 def table(spark: SparkSession, key: str, name: str, build: Callable[[], DataFrame],
           prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The table ``name`` of the layer set ``key``: read it if published, else build, write, publish, read."""
+    try:
+        spark.sparkContext._jvm  # noqa: B018  (needs a classic session to manage files)
+    except Exception:  # noqa: BLE001
+        df = build()
+        return prepare(df) if prepare is not None else df
     base = f"{checkpoint_dir(spark).rstrip('/')}/sellake-tables/{CODE_VERSION}/{key}"
     path = f"{base}/{name}"
     with _LOCK:

@@ -51,9 +51,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when the session has none (local tests) a fresh scratch folder is made
     and registered, so lineage cuts never land on a machine-local path on a cluster.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (sessions without a local SparkContext)
+        sc = None
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="sellake-ckpt-", dir=os.environ.get("SELLAKE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
