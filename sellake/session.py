@@ -23,7 +23,8 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 # Local runs: the driver JVM is the only executor, so it needs the memory.
-LOCAL_CONF = {"spark.driver.memory": "16g"}
+LOCAL_CONF = {"spark.driver.memory": os.environ.get("SELLAKE_LOCAL_MEMORY", "8g")}
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def get_spark(master: str | None = None, app: str = "sellake", shuffle_partitions: int | None = None,
@@ -46,21 +47,17 @@ def get_spark(master: str | None = None, app: str = "sellake", shuffle_partition
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+    """The shared folder named by the session in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a fresh scratch folder is made
-    and registered, so lineage cuts never land on a machine-local path on a cluster.
+    On a cluster it must be set: a machine-local folder would give each executor files that the others cannot see. A
+    ``local`` master is one machine, so there, and only there, an unset folder is replaced by a new temporary one.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001  (sessions without a local SparkContext)
-        sc = None
-    if not d and sc is not None:
-        d = sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="sellake-ckpt-", dir=os.environ.get("SELLAKE_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None:
-        sc.setCheckpointDir(d)
-    return d
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if d:
+        return d
+    if not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if sc.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="sellake-ckpt-")
+    return _LOCAL_DIRS[sc.applicationId]
