@@ -1,10 +1,20 @@
 """Registered queries of the training-data operators and their DuckDB SQL."""
 
+from . import op04_quality, op05_line_dedup
 from .op02_arrow_tokens import op2_arrow_tokens
+from .op04_quality import op4_quality_rules
+from .op05_line_dedup import op5_line_dedup
+from .op09_language import op9_language
 from .op10_packing import op10_packing
 
 QUERIES = {
     "op2_arrow_tokens": op2_arrow_tokens,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_line_dedup": op5_line_dedup,
+    "op9_language": op9_language,
     "op10_packing": op10_packing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_quality_rules": op04_quality.SQL,
+    "op5_line_dedup": op05_line_dedup.SQL,
+}
