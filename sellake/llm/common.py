@@ -62,15 +62,25 @@ def publish(path: str, write) -> None:
 class ChunkEncoder:
     """Ids of whole texts from a ``tokenizers`` file, as little-endian uint32 bytes.
 
-    A text is cut before each single space or newline that stands between two non-space characters. Both public
-    tokenizers split there themselves before any merge, so the ids of the chunks in a row are the ids of the text. Each
-    distinct chunk goes through the library once per worker; the memory is bounded: at most ``entries`` chunks of at most
-    ``longest`` characters are kept.
+    A text of printable characters in which no two white-space characters meet is cut before each space and newline. Both public tokenizers split
+    there themselves before any merge, so the ids of the chunks in a row are the ids of the text. Chunks that are not known
+    go through the library many at a time, with a mark between them by which their ids are told apart. Any other text, and
+    any chunk that holds the mark, goes through the library by itself. Memory is bounded: two generations of at most
+    ``entries`` chunks of at most ``longest`` characters are kept, for all tasks of a worker.
     """
 
-    _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+    MARK = "\x01"
+    _ODD = re.compile(r"\s\s|^\s|\s$")
+    _made: dict[str, ChunkEncoder] = {}
+
+    @classmethod
+    def of(cls, path: str) -> ChunkEncoder:
+        """The encoder of this worker process."""
+        if path not in cls._made:
+            cls._made[path] = cls(path)
+        return cls._made[path]
 
-    def __init__(self, path: str, entries: int = 200_000, longest: int = 80):
+    def __init__(self, path: str, entries: int = 250_000, longest: int = 60):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -78,28 +88,91 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.entries, self.longest, self.kept = entries, longest, {}
+        self.entries, self.longest, self.kept, self.old = entries, longest, {}, {}
+        self.tails = {c: self._ids(c).tobytes() for c in ".,;:!?"}
+        self.mark, self.first = self._ids(" " + self.MARK), len(self._ids("\n.")) - len(self._ids("."))
+
+    def _ids(self, text: str):
+        import numpy as np
 
-    def _ids(self, chunks: list[str]) -> list[bytes]:
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _learn(self, chunks: list[str]) -> None:
+        """A chunk after the first begins with its space (left out) or newline; \x02 stands before the first of a text."""
         import numpy as np
 
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        lead = {"\n": "\n", "\x02": "\n"}
+        for i in range(0, len(chunks), 4096):
+            some = chunks[i : i + 4096]
+            ids = self._ids("".join([" " + self.MARK + (lead[p[0]] + p[1:] if p[0] in lead else " " + p) for p in some]))
+            at = np.flatnonzero(ids == self.mark[-1]) + 1
+            if len(at) != len(some):
+                raise AssertionError("the mark does not stand alone")
+            ends, raw = [*(at[1:] - len(self.mark)).tolist(), len(ids)], ids.tobytes()
+            for p, a, b in zip(some, at.tolist(), ends):
+                self.kept[p] = raw[4 * (a + (self.first if p[0] == "\x02" else 0)) : 4 * b]
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if any(s in text for s in self.special):
-            return self._ids([text])[0]
-        parts, kept = self._CUT.split(text), self.kept
+        parts = ("\x02" + text).replace("\n", " \n").split(" ")
+        if "" in parts or "\n" in parts or parts[0] == "\x02" or not text.replace("\n", " ").isprintable() or any(s in text for s in self.special):
+            return self._odd(text)
+        return self._plain(parts)
+
+    def _plain(self, parts: list[str]) -> bytes:
+        kept = self.kept
         try:
             return b"".join([kept[p] for p in parts])
         except KeyError:
             pass
         if len(kept) > self.entries:
-            kept.clear()
-        new, long = list({p for p in parts if p not in kept}), {}
-        for i in range(0, len(new), 2048):
-            some = new[i : i + 2048]
-            for p, ids in zip(some, self._ids(some)):
-                (kept if len(p) <= self.longest else long)[p] = ids
-        return b"".join([kept[p] if p in kept else long[p] for p in parts])
+            self.old, self.kept = kept, {}
+            kept = self.kept
+        new, marked, old = set(), [], self.old
+        for p in set(parts):
+            if p not in kept:
+                if p in old:
+                    kept[p] = old[p]
+                elif p[-1] in self.tails and p[-2:-1].isalpha():  # letters and what follows are always apart
+                    marked.append(p)
+                    if (core := p[:-1]) not in kept:
+                        if core in old:
+                            kept[core] = old[core]
+                        else:
+                            new.add(core)
+                else:
+                    new.add(p)
+        self._learn(list(new))
+        for p in marked:
+            kept[p] = kept[p[:-1]] + self.tails[p[-1]]
+        out = b"".join([kept[p] for p in parts])
+        for p in [*new, *marked]:
+            if len(p) > self.longest:
+                del kept[p]
+        return out
+
+    #: Where a text with other white space is cut all the same: before a space or newline between two other characters.
+    _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+
+    def _odd(self, text: str) -> bytes:
+        if self.MARK in text or "\x02" in text or any(s in text for s in self.special):
+            return self._ids(text).tobytes()
+        out, run = [], []
+        for i, p in enumerate(self._CUT.split(text)):
+            if self._ODD.search(p[1:] if i else p):
+                out += [self._run(run), self._ids(p).tobytes()]
+                run = []
+            else:
+                run.append((i, p))
+        return b"".join([*out, self._run(run)])
+
+    def _run(self, run: list[tuple[int, str]]) -> bytes:
+        keys = ["\x02" + p if i == 0 else p.removeprefix(" ") for i, p in run]
+        new = [p for p in dict.fromkeys(keys) if p not in self.kept]
+        self._learn(new)
+        out = b"".join([self.kept[p] for p in keys])
+        for p in new:
+            if len(p) > self.longest:
+                del self.kept[p]
+        return out

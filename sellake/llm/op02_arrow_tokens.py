@@ -68,7 +68,7 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(batches):
-        encode, end, most = ChunkEncoder(tokenizer), np.array([end_id], dtype="<u4").tobytes(), np.iinfo(id_type).max
+        encode, end, most = ChunkEncoder.of(tokenizer), np.array([end_id], dtype="<u4").tobytes(), np.iinfo(id_type).max
         part = TaskContext.get().partitionId()
         path, done = f"{out_dir}/{part:06d}-{uuid.uuid4().hex}", [0, 0, 0]
 

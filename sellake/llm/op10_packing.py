@@ -39,7 +39,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, max_len: int = 2048, doc_
     piece_lengths(0, max_len)
 
     def cut_up(batches):
-        encode, end = ChunkEncoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+        encode, end = ChunkEncoder.of(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         number, rows, held = TaskContext.get().partitionId() << 36, {n: [] for n in _SCHEMA.names}, 0
         for batch in batches:
             for doc, t in zip(batch.column(0).to_pylist(), batch.column(1)):
