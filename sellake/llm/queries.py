@@ -4,6 +4,7 @@ from . import op04_quality, op05_line_dedup
 from .op02_arrow_tokens import op2_arrow_tokens
 from .op04_quality import op4_quality_rules
 from .op05_line_dedup import op5_line_dedup
+from .op06_ngram_join import op6_ngram_join
 from .op09_language import op9_language
 from .op10_packing import op10_packing
 
@@ -11,6 +12,7 @@ QUERIES = {
     "op2_arrow_tokens": op2_arrow_tokens,
     "op4_quality_rules": op4_quality_rules,
     "op5_line_dedup": op5_line_dedup,
+    "op6_ngram_join": op6_ngram_join,
     "op9_language": op9_language,
     "op10_packing": op10_packing,
 }
