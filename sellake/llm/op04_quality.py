@@ -91,7 +91,7 @@ def binomial_tail(n: Column, k: Column, risk: float) -> Column:
 
 
 def fit(counts: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """Cutoffs per stratum: ``stratum`` (text, '' for NULL), one column ``cut_<rule>`` each (NULL: rule off).
+    """``counts`` should be a written table. Cutoffs per stratum: ``stratum`` (text, '' for NULL), one column ``cut_<rule>`` each (NULL: rule off).
 
     ``counts`` has doc_id, the stratum and the counts. ``labels`` has doc_id and quality; 1 means good. A document with
     several labels is good if one says so; labels without a document, and NULL ones, have no effect. Labels are aggregated
@@ -119,14 +119,16 @@ def judge(counts: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataF
     for r in RULES:
         rejected = rejected | F.coalesce(_above(r, F.col(f"cut_{r}")), F.lit(False))
     joined = counts.withColumn("_stratum", _stratum(stratum)).join(side.withColumnRenamed("stratum", "_stratum"), "_stratum", "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & ~rejected).select(*counts.columns, "kept")
+    # one expression of both sides: a part that is pushed below the join would make the counts once more for each time it names them
+    return joined.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(~rejected)).select(*counts.columns, "kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """The rows of ``docs`` that the rules keep. Counts are made twice, once for the cutoffs and once in the pass that
     filters; that costs less than to write the texts in between."""
-    cutoffs = fit(add_counts(docs).select("doc_id", stratum, *_COUNTS), labels, stratum)
-    return judge(add_counts(docs).withColumn("_text", F.col("text")), cutoffs, stratum).where("kept").select(*docs.columns)
+    cutoffs = fit(cut(add_counts(docs.select("doc_id", "text", stratum)).select("doc_id", stratum, *_COUNTS), "quality"), labels, stratum)
+    counted = add_counts(docs.select(F.struct(*docs.columns).alias("row"), "text", stratum))
+    return judge(counted, cutoffs, stratum).where("kept").select("row.*")
 
 
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, read
 
@@ -120,23 +121,23 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: st
     """
     if keep not in ("first", "none") or min_docs < 2:
         raise ValueError("keep: first or none; min_docs: 2 or more")
-    cols = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "_doc", "_drop")]
+    cols = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     # a row without an id is known by its text; rows that meet under one key lose the same keys anyway
-    keyed = docs.select(*cols, F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("_doc"))
-    plain = keyed.select(F.col("_doc").alias("doc"), F.col(text).cast("string").alias("text"))
+    keyed = docs.select(*cols, F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("__doc"))
+    plain = keyed.select(F.col("__doc").alias("doc"), F.col(text).cast("string").alias("text"))
     n = plain.agg(F.sum(F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"))) + 1)).head()[0] or 0
     m = MIN_BITS
     while m < min(MAX_BITS, n * BITS_PER_LINE):
         m *= 2
     found = cut(suspects(plain, twice_seen(plain.select("text"), m, min_chars), min_chars), "suspect-lines")
     counted = found.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("first")).where(F.col("n") >= min_docs)
-    drop = found.join(counted, "key").groupBy("doc").agg(F.collect_list(F.struct("key", (F.col("doc") == F.col("first")).alias("first"))).alias("_drop"))
+    drop = found.join(counted, "key").groupBy("doc").agg(F.collect_list(F.struct("key", (F.col("doc") == F.col("first")).alias("first"))).alias("__drop"))
     first = keep == "first"
 
     def clean(batches):
         for b in batches:
             texts, before, gone = [], [], []
-            for t, d in zip(_texts(b.column(text)), b.column("_drop").to_pylist()):
+            for t, d in zip(_texts(b.column(text)), b.column("__drop").to_pylist()):
                 lines = t.split(b"\n")
                 before.append(len(lines))
                 if d:
@@ -157,9 +158,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: st
             new = {text: pa.array(texts, pa.binary()).cast(pa.string())}
             yield pa.RecordBatch.from_arrays([*(new.get(c, b.column(c)) for c in cols), pa.array(before, pa.int64()), pa.array(gone, pa.int64())], names=[*cols, "n_lines", "n_dropped"])
 
-    types = ", ".join(f"`{f.name}` {'string' if f.name == text else f.dataType.simpleString()}" for f in docs.select(*cols).schema)
-    joined = keyed.join(drop.withColumnRenamed("doc", "_doc"), "_doc", "left")
-    return joined.select(*cols, "_drop").mapInArrow(clean, f"{types}, n_lines long, n_dropped long")
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType) for f in docs.select(*cols).schema] + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    joined = keyed.join(drop.withColumnRenamed("doc", "__doc"), "__doc", "left")
+    return joined.select(*cols, "__drop").mapInArrow(clean, schema)
 
 
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, key_back, key_of, read
@@ -334,6 +334,16 @@ def ngram_components(docs: DataFrame, size: int = 3, percent: int = 90, doc_id:
         key_back("doc").alias("doc_id"), F.col("n").alias("n_shingles"), key_back(F.when(F.col("n") > 0, F.coalesce("component", "doc")).otherwise(F.col("doc"))).alias("component_id"))
 
 
+def keep_one(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+    """The rows of ``docs`` less all but one document of each component, that of least id. Rows equal in id and text count as
+    one; rows without words all stay."""
+    found = ngram_components(docs, size, percent)
+    ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key_of("doc_id").alias("__key")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key_of("doc_id").alias("__key"), "text").join(ids, "__key", "left_semi")
+    first = F.row_number().over(Window.partitionBy("__key", "text").orderBy(F.lit(1)))
+    return rows.withColumn("__nth", first).where("__nth = 1").select("row.*")
+
+
 def op6_ngram_join(spark, sf_dir: str) -> DataFrame:
     """Components of all documents at three-word shingles and a likeness of 0.9."""
     return ngram_components(read(spark, sf_dir, "documents", "doc_id", "text"), size=3, percent=90)

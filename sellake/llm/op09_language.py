@@ -14,6 +14,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut, read
 
@@ -24,7 +25,6 @@ ZSTD = {"strategy": 4, "min_match": 4, "window_log": 18, "hash_log": 16, "chain_
 #: A prediction is rejected where the best size is not smaller than the second best by this share.
 MIN_MARGIN = 0.004
 UNKNOWN = "und"
-_OUT = "lang_pred string, score double, accepted boolean"
 
 
 def letters(text) -> F.Column:
@@ -103,18 +103,18 @@ def predict(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text")
     def classify(batches):
         classifier = _Compressors.of(key, shared.value)
         for b in batches:
-            got = [classifier(t.as_py()) for t in b.column("_letters")]
+            got = [classifier(t.as_py()) for t in b.column("__letters")]
             cols = [b.column(c) for c in keep] + [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([g[2] for g in got], pa.bool_())]
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, "lang_pred", "score", "accepted"])
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.select(*keep, letters(F.col(text)).alias("_letters")).mapInArrow(classify, f"{types}, {_OUT}")
+    out = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("accepted", T.BooleanType())]
+    return docs.select(*keep, letters(F.col(text)).alias("__letters")).mapInArrow(classify, T.StructType([*docs.select(*keep).schema, *out]))
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is told apart, learned from the rows that are not held out."""
     model = learn(docs.where(~held_out() & F.col("doc_id").isNotNull()))
-    return predict(docs, model).where("accepted").select(*docs.columns)
+    return predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), model).where("accepted").select("row.*")
 
 
 def op9_language(spark, sf_dir: str) -> DataFrame:
