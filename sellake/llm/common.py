@@ -60,17 +60,21 @@ def publish(path: str, write) -> None:
 
 
 class ChunkEncoder:
-    """Ids of whole texts from a ``tokenizers`` file, as little-endian uint32 bytes.
-
-    A text of printable characters in which no two white-space characters meet is cut before each space and newline. Both public tokenizers split
-    there themselves before any merge, so the ids of the chunks in a row are the ids of the text. Chunks that are not known
-    go through the library many at a time, with a mark between them by which their ids are told apart. Any other text, and
-    any chunk that holds the mark, goes through the library by itself. Memory is bounded: two generations of at most
-    ``entries`` chunks of at most ``longest`` characters are kept, for all tasks of a worker.
+    """Ids of whole texts from a ``tokenizers`` file.
+
+    A text of printable characters in which no two white-space characters meet is cut before each space and newline. Both
+    public tokenizers split there themselves before any merge, so the ids of the chunks in a row are the ids of the text. The
+    chunks of a batch are numbered by Arrow, and each chunk that is not known yet goes through the library once: a plain Latin
+    word through its BPE model, which gives what the whole library gives (checked when the file is read), the rest many at
+    a time with a mark between them. Other texts are cut at the safe places only. Memory is bounded: at most ``entries`` chunks
+    are kept, for all tasks of a worker, and about ``portion`` bytes of text are taken at a time.
     """
 
-    MARK = "\x01"
+    MARK, FIRST, TAILS = "\x01", "\x02", ".,;:!?"
     _ODD = re.compile(r"\s\s|^\s|\s$")
+    #: Where a text with other white space is cut: before a space or newline between two other characters.
+    _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+    _WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
     _made: dict[str, ChunkEncoder] = {}
 
     @classmethod
@@ -80,99 +84,175 @@ class ChunkEncoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def __init__(self, path: str, entries: int = 250_000, longest: int = 60):
+    def __init__(self, path: str, entries: int = 800_000, portion: int = 2 << 20):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.entries, self.portion = Tokenizer.from_file(path), entries, portion
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.entries, self.longest, self.kept, self.old = entries, longest, {}, {}
-        self.tails = {c: self._ids(c).tobytes() for c in ".,;:!?"}
         self.mark, self.first = self._ids(" " + self.MARK), len(self._ids("\n.")) - len(self._ids("."))
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = str.maketrans({chr(b): level.pre_tokenize_str(bytes([b]).decode("latin-1"))[0][0][-1] for b in range(33, 127)})
+        for c in "ÀÖØöøÿ\u0080\u00bf\u0100\u013f":
+            for b, x in zip(c.encode(), level.pre_tokenize_str(c)[0][0]):
+                self.bytes[b] = x
+        for b in range(128, 192):
+            self.bytes[b] = level.pre_tokenize_str(bytes([0xC3, b]).decode())[0][0][1]
+        self.bytes[0xC3] = level.pre_tokenize_str("Ã")[0][0][0]
+        self.bytes[32] = level.pre_tokenize_str(" ")[0][0]
+        self.lower, self.spaced = list(self._ids("AB")) == list(self._ids("ab")), list(self._ids(" a")) != list(self._ids("a"))
+        probes = ["the", "Straße", "ÉTÉ", "xyzzyq", "où", "ñandú", "INTERNATIONAL", "þÿ"]
+        self.plain = all(self._word(w) == self._ids(" " + w).tolist() for w in probes)
+        self._clear()
+
+    def _clear(self) -> None:
+        import numpy as np
+
+        self.known, self.flat, self.used = {}, np.zeros(1 << 16, "<u4"), 0
+        self.starts, self.lens = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self._keep([*self.TAILS, "\n"], [self._ids(c).tolist() for c in (*self.TAILS, "\n")], prefix=self.FIRST + self.FIRST)
+
+    def _keep(self, chunks: list[str], ids: list[list[int]], prefix: str = "") -> None:
+        import numpy as np
+
+        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        n, total = len(self.known), int(lens.sum())
+        while len(self.starts) < n + len(ids):
+            self.starts, self.lens = np.resize(self.starts, 2 * n + len(ids)), np.resize(self.lens, 2 * n + len(ids))
+        if len(self.flat) < self.used + total:
+            self.flat = np.resize(self.flat, 2 * self.used + total)
+        self.flat[self.used : self.used + total] = [i for x in ids for i in x]
+        self.starts[n : n + len(ids)] = self.used + np.cumsum(lens) - lens
+        self.lens[n : n + len(ids)] = lens
+        self.used += total
+        for i, c in enumerate(chunks):
+            self.known[prefix + c] = n + i
 
     def _ids(self, text: str):
         import numpy as np
 
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, chunks: list[str]) -> None:
-        """A chunk after the first begins with its space (left out) or newline; \x02 stands before the first of a text."""
-        import numpy as np
+    def _word(self, word: str) -> list[int]:
+        """Ids of a plain word after a space, or with FIRST before it, of the word alone."""
+        w = (" " if self.spaced else "") + word if word[0] != self.FIRST else word[1:]
+        w = w.lower() if self.lower else w
+        return [t.id for t in self.tokenizer.model.tokenize(w.encode().decode("latin-1").translate(self.bytes))]
 
-        lead = {"\n": "\n", "\x02": "\n"}
-        for i in range(0, len(chunks), 4096):
-            some = chunks[i : i + 4096]
-            ids = self._ids("".join([" " + self.MARK + (lead[p[0]] + p[1:] if p[0] in lead else " " + p) for p in some]))
+    def _of(self, chunk: str) -> list[int]:
+        at = self.known[chunk]
+        return self.flat[self.starts[at] : self.starts[at] + self.lens[at]].tolist()
+
+    def _learn(self, chunks: list[str]) -> None:
+        """A chunk stands after a space that is left out, or begins with its newline, or with FIRST where its text begins."""
+        known, cores, rest, whole = self.known, {}, [], []
+        for p in chunks:
+            lead = p[0] if p[0] in "\n\x02" else ""
+            tail = p[-1] if p[-1] in self.TAILS else ""
+            body = p[len(lead) : len(p) - len(tail)]
+            if self.plain and self._WORD.fullmatch(body):  # letters and a stop after them are always apart
+                core = self.FIRST + body if lead and self.spaced else body
+                cores[core] = None
+                whole.append((p, lead, core, tail))
+            else:
+                rest.append(p)
+        new = [c for c in cores if c not in known]
+        self._keep(new, [self._word(c) for c in new])
+        tails = {c: self._of(self.FIRST * 2 + c) for c in (*self.TAILS, "\n")} | {"": [], self.FIRST: []}
+        whole = [w for w in whole if w[0] not in known]
+        self._keep([w[0] for w in whole], [tails[lead] + self._of(core) + tails[tail] for _, lead, core, tail in whole])
+        lead = {"\n": "", self.FIRST: ""}
+        for i in range(0, len(rest), 4096):
+            some = rest[i : i + 4096]
+            import numpy as np
+
+            ids = self._ids("".join([" " + self.MARK + (lead.get(p[0], " ") + (p if p[0] != self.FIRST else "\n" + p[1:])) for p in some]))
             at = np.flatnonzero(ids == self.mark[-1]) + 1
             if len(at) != len(some):
                 raise AssertionError("the mark does not stand alone")
-            ends, raw = [*(at[1:] - len(self.mark)).tolist(), len(ids)], ids.tobytes()
-            for p, a, b in zip(some, at.tolist(), ends):
-                self.kept[p] = raw[4 * (a + (self.first if p[0] == "\x02" else 0)) : 4 * b]
-
-    def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        parts = ("\x02" + text).replace("\n", " \n").split(" ")
-        if "" in parts or "\n" in parts or parts[0] == "\x02" or not text.replace("\n", " ").isprintable() or any(s in text for s in self.special):
-            return self._odd(text)
-        return self._plain(parts)
-
-    def _plain(self, parts: list[str]) -> bytes:
-        kept = self.kept
-        try:
-            return b"".join([kept[p] for p in parts])
-        except KeyError:
-            pass
-        if len(kept) > self.entries:
-            self.old, self.kept = kept, {}
-            kept = self.kept
-        new, marked, old = set(), [], self.old
-        for p in set(parts):
-            if p not in kept:
-                if p in old:
-                    kept[p] = old[p]
-                elif p[-1] in self.tails and p[-2:-1].isalpha():  # letters and what follows are always apart
-                    marked.append(p)
-                    if (core := p[:-1]) not in kept:
-                        if core in old:
-                            kept[core] = old[core]
-                        else:
-                            new.add(core)
-                else:
-                    new.add(p)
-        self._learn(list(new))
-        for p in marked:
-            kept[p] = kept[p[:-1]] + self.tails[p[-1]]
-        out = b"".join([kept[p] for p in parts])
-        for p in [*new, *marked]:
-            if len(p) > self.longest:
-                del kept[p]
-        return out
-
-    #: Where a text with other white space is cut all the same: before a space or newline between two other characters.
-    _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+            ends, flat = [*(at[1:] - len(self.mark)).tolist(), len(ids)], ids.tolist()
+            self._keep(some, [flat[a + (self.first if p[0] == self.FIRST else 0) : b] for p, a, b in zip(some, at.tolist(), ends)])
 
-    def _odd(self, text: str) -> bytes:
-        if self.MARK in text or "\x02" in text or any(s in text for s in self.special):
-            return self._ids(text).tobytes()
+    def _numbers(self, chunks: list[str]):
+        import numpy as np
+
+        if len(self.known) + len(chunks) > self.entries + 50_000:
+            self._clear()
+        known = self.known
+        new = [c for c in chunks if c not in known]
+        if new:
+            self._learn(new)
+        return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+
+    def _gather(self, numbers):
+        """Flat ids of chunks in a row, and where each ends."""
+        import numpy as np
+
+        lens = self.lens[numbers]
+        ends = np.cumsum(lens)
+        return self.flat[np.repeat(self.starts[numbers] - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+    def _is_plain(self, t: str) -> bool:
+        u = t.replace("\n", " ")
+        return bool(t) and u.isprintable() and "  " not in u and u[0] != " " and u[-1] != " " and not any(s in t for s in self.special)
+
+    def __call__(self, text: str | None):
+        """Ids of one text."""
+        import pyarrow as pa
+
+        return next(iter(self.each(pa.array([text], pa.string()))))
+
+    def each(self, texts):
+        """Ids (uint32 array) of each text of an Arrow string array, in order; NULL has none."""
+        import numpy as np
+        import pyarrow.compute as pc
+
+        texts = pc.fill_null(texts, "")
+        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + self.portion)))
+            yield from self._portion(texts.slice(at, to - at).to_pylist())
+            at = to
+
+    def _portion(self, texts: list[str]):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        plain = [self._is_plain(t) for t in texts]
+        rows = pa.array([self.FIRST + t.replace("\n", " \n") for t, ok in zip(texts, plain) if ok], pa.large_string())
+        split = pc.split_pattern(rows, " ")
+        coded = split.flatten().dictionary_encode()
+        ids, ends = self._gather(self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)])
+        ends = np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        k = 0
+        for t, ok in zip(texts, plain):
+            if ok:
+                yield ids[ends[k] : ends[k + 1]]
+                k += 1
+            else:
+                yield self._odd(t)
+
+    def _odd(self, text: str):
+        import numpy as np
+
+        if not text or self.MARK in text or self.FIRST in text or any(s in text for s in self.special):
+            return self._ids(text)
         out, run = [], []
         for i, p in enumerate(self._CUT.split(text)):
             if self._ODD.search(p[1:] if i else p):
-                out += [self._run(run), self._ids(p).tobytes()]
+                out += [self._run(run), self._ids(p)]
                 run = []
             else:
-                run.append((i, p))
-        return b"".join([*out, self._run(run)])
-
-    def _run(self, run: list[tuple[int, str]]) -> bytes:
-        keys = ["\x02" + p if i == 0 else p.removeprefix(" ") for i, p in run]
-        new = [p for p in dict.fromkeys(keys) if p not in self.kept]
-        self._learn(new)
-        out = b"".join([self.kept[p] for p in keys])
-        for p in new:
-            if len(p) > self.longest:
-                del self.kept[p]
-        return out
+                run.append(p.removeprefix(" ") if i else self.FIRST + p)
+        return np.concatenate([*out, self._run(run)])
+
+    def _run(self, run: list[str]):
+        unique = list(dict.fromkeys(run))
+        number = dict(zip(unique, self._numbers(unique).tolist()))
+        import numpy as np
+
+        return self._gather(np.array([number[p] for p in run], np.int64))[0]

@@ -68,7 +68,7 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(batches):
-        encode, end, most = ChunkEncoder.of(tokenizer), np.array([end_id], dtype="<u4").tobytes(), np.iinfo(id_type).max
+        encode, end, most = ChunkEncoder.of(tokenizer), np.array([end_id], dtype="<u4"), np.iinfo(id_type).max
         part = TaskContext.get().partitionId()
         path, done = f"{out_dir}/{part:06d}-{uuid.uuid4().hex}", [0, 0, 0]
 
@@ -77,8 +77,8 @@ def write_token_files(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int
                 sink, at = _Rows(writer, seq_len, id_type), 0
                 for batch in batches:
                     starts, lengths = [], []
-                    for t in batch.column("text"):
-                        ids = np.frombuffer(encode(t.as_py()) + end, dtype="<u4")
+                    for ids in encode.each(batch.column("text")):
+                        ids = np.concatenate([ids, end])
                         if len(ids) and int(ids.max()) > most:
                             raise ValueError(f"{id_type} cannot hold token id {ids.max()}")
                         sink.add(ids)

@@ -42,8 +42,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, max_len: int = 2048, doc_
         encode, end = ChunkEncoder.of(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         number, rows, held = TaskContext.get().partitionId() << 36, {n: [] for n in _SCHEMA.names}, 0
         for batch in batches:
-            for doc, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = memoryview(encode(t.as_py()) + end)
+            for doc, ids in zip(batch.column(0).to_pylist(), encode.each(batch.column(1))):
+                ids = memoryview(ids.tobytes() + end)
                 total, at = len(ids) // 4, 0
                 for n in piece_lengths(total, max_len):
                     for name, v in zip(_SCHEMA.names, (number, doc, at, n, total, bytes(ids[4 * at : 4 * (at + n)]))):
