@@ -54,12 +54,100 @@ def publish(path: str, write) -> None:
     fs, inner = open_fs(path)
     fs.create_dir(inner.rsplit("/", 1)[0], recursive=True)
     tmp = f"{inner}.{uuid.uuid4().hex}.tmp"
-    with fs.open_output_stream(tmp) as out:
+    with fs.open_output_stream(tmp, compression=None) as out:
         write(out)
     fs.move(tmp, inner)
 
 
-class ChunkEncoder:
+class ChunkTable:
+    """Ids of chunks of text, each found once: chunk -> number -> a slice of one array of ids, and a score. Beyond ``entries``
+    chunks it forgets those that came in fewer than two portions since it last did, or all but its first if that is not half.
+    A subclass has ``_learn``, which must ``_keep`` each chunk it is given."""
+
+    FIRST = "\x02"
+
+    def __init__(self, entries: int):
+        self.entries = entries
+        self._clear()
+
+    def _clear(self) -> None:
+        import numpy as np
+
+        self.known, self.flat, self.used = {}, np.zeros(1 << 16, "<u4"), 0
+        self.starts, self.lens, self.scores, self.hits = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14), np.zeros(1 << 14, np.int32)
+        self.fixed = 0
+
+    def _forget(self) -> None:
+        import numpy as np
+
+        n = len(self.known)
+        stay = self.hits[:n] > 1
+        stay[: self.fixed] = True
+        if stay.sum() > self.entries // 2:
+            return self._clear()
+        names, numbers = list(self.known), np.flatnonzero(stay)
+        ids, ends = self._gather(numbers)
+        self.flat, self.used, self.known = ids, len(ids), {names[i]: k for k, i in enumerate(numbers.tolist())}
+        self.lens, self.scores = self.lens[numbers], self.scores[numbers]
+        self.starts, self.hits = ends - self.lens, np.ones(len(numbers), np.int32)
+
+    def _keep(self, chunks: list[str], ids: list[list[int]], prefix: str = "", scores=0.0) -> None:
+        import numpy as np
+
+        lens = np.fromiter(map(len, ids), np.int64, len(ids))
+        n, total = len(self.known), int(lens.sum())
+        if len(self.starts) < n + len(ids):
+            self.starts, self.lens, self.scores, self.hits = (np.resize(x, 2 * n + len(ids)) for x in (self.starts, self.lens, self.scores, self.hits))
+        if len(self.flat) < self.used + total:
+            self.flat = np.resize(self.flat, 2 * self.used + total)
+        self.flat[self.used : self.used + total] = [i for x in ids for i in x]
+        self.starts[n : n + len(ids)] = self.used + np.cumsum(lens) - lens
+        self.lens[n : n + len(ids)], self.scores[n : n + len(ids)], self.hits[n : n + len(ids)] = lens, scores, 0
+        self.used += total
+        for i, c in enumerate(chunks):
+            self.known[prefix + c] = n + i
+
+    def _of(self, chunk: str) -> list[int]:
+        at = self.known[chunk]
+        return self.flat[self.starts[at] : self.starts[at] + self.lens[at]].tolist()
+
+    def _numbers(self, chunks: list[str]):
+        """Numbers of distinct chunks."""
+        import numpy as np
+
+        if len(self.known) > self.entries:
+            self._forget()
+        known = self.known
+        new = [c for c in chunks if c not in known]
+        if new:
+            self._learn(new)
+        numbers = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+        self.hits[numbers] += 1
+        return numbers
+
+    def _gather(self, numbers):
+        """Flat ids of chunks in a row, and where each ends."""
+        import numpy as np
+
+        lens = self.lens[numbers]
+        ends = np.cumsum(lens)
+        return self.flat[np.repeat(self.starts[numbers] - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)], ends
+
+
+def portions(texts, size: int):
+    """Lists of texts of an Arrow string array, about ``size`` bytes or one text each; NULL is empty."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    texts = pc.fill_null(texts, "")
+    total, at = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + size)))
+        yield texts.slice(at, to - at).to_pylist()
+        at = to
+
+
+class ChunkEncoder(ChunkTable):
     """Ids of whole texts from a ``tokenizers`` file.
 
     A text of printable characters in which no two white-space characters meet is cut before each space and newline. Both
@@ -70,7 +158,7 @@ class ChunkEncoder:
     are kept, for all tasks of a worker, and about ``portion`` bytes of text are taken at a time.
     """
 
-    MARK, FIRST, TAILS = "\x01", "\x02", ".,;:!?"
+    MARK, TAILS = "\x01", ".,;:!?"
     _ODD = re.compile(r"\s\s|^\s|\s$")
     #: Where a text with other white space is cut: before a space or newline between two other characters.
     _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -84,13 +172,13 @@ class ChunkEncoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def __init__(self, path: str, entries: int = 800_000, portion: int = 2 << 20):
+    def __init__(self, path: str, entries: int = 700_000, portion: int = 6 << 20):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.entries, self.portion = Tokenizer.from_file(path), entries, portion
+        self.tokenizer, self.portion = Tokenizer.from_file(path), portion
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.mark, self.first = self._ids(" " + self.MARK), len(self._ids("\n.")) - len(self._ids("."))
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -105,30 +193,12 @@ class ChunkEncoder:
         self.lower, self.spaced = list(self._ids("AB")) == list(self._ids("ab")), list(self._ids(" a")) != list(self._ids("a"))
         probes = ["the", "Straße", "ÉTÉ", "xyzzyq", "où", "ñandú", "INTERNATIONAL", "þÿ"]
         self.plain = all(self._word(w) == self._ids(" " + w).tolist() for w in probes)
-        self._clear()
+        super().__init__(entries)
 
     def _clear(self) -> None:
-        import numpy as np
-
-        self.known, self.flat, self.used = {}, np.zeros(1 << 16, "<u4"), 0
-        self.starts, self.lens = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        super()._clear()
         self._keep([*self.TAILS, "\n"], [self._ids(c).tolist() for c in (*self.TAILS, "\n")], prefix=self.FIRST + self.FIRST)
-
-    def _keep(self, chunks: list[str], ids: list[list[int]], prefix: str = "") -> None:
-        import numpy as np
-
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        n, total = len(self.known), int(lens.sum())
-        while len(self.starts) < n + len(ids):
-            self.starts, self.lens = np.resize(self.starts, 2 * n + len(ids)), np.resize(self.lens, 2 * n + len(ids))
-        if len(self.flat) < self.used + total:
-            self.flat = np.resize(self.flat, 2 * self.used + total)
-        self.flat[self.used : self.used + total] = [i for x in ids for i in x]
-        self.starts[n : n + len(ids)] = self.used + np.cumsum(lens) - lens
-        self.lens[n : n + len(ids)] = lens
-        self.used += total
-        for i, c in enumerate(chunks):
-            self.known[prefix + c] = n + i
+        self.fixed = len(self.known)
 
     def _ids(self, text: str):
         import numpy as np
@@ -141,10 +211,6 @@ class ChunkEncoder:
         w = w.lower() if self.lower else w
         return [t.id for t in self.tokenizer.model.tokenize(w.encode().decode("latin-1").translate(self.bytes))]
 
-    def _of(self, chunk: str) -> list[int]:
-        at = self.known[chunk]
-        return self.flat[self.starts[at] : self.starts[at] + self.lens[at]].tolist()
-
     def _learn(self, chunks: list[str]) -> None:
         """A chunk stands after a space that is left out, or begins with its newline, or with FIRST where its text begins."""
         known, cores, rest, whole = self.known, {}, [], []
@@ -175,25 +241,6 @@ class ChunkEncoder:
             ends, flat = [*(at[1:] - len(self.mark)).tolist(), len(ids)], ids.tolist()
             self._keep(some, [flat[a + (self.first if p[0] == self.FIRST else 0) : b] for p, a, b in zip(some, at.tolist(), ends)])
 
-    def _numbers(self, chunks: list[str]):
-        import numpy as np
-
-        if len(self.known) + len(chunks) > self.entries + 50_000:
-            self._clear()
-        known = self.known
-        new = [c for c in chunks if c not in known]
-        if new:
-            self._learn(new)
-        return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
-
-    def _gather(self, numbers):
-        """Flat ids of chunks in a row, and where each ends."""
-        import numpy as np
-
-        lens = self.lens[numbers]
-        ends = np.cumsum(lens)
-        return self.flat[np.repeat(self.starts[numbers] - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)], ends
-
     def _is_plain(self, t: str) -> bool:
         u = t.replace("\n", " ")
         return bool(t) and u.isprintable() and "  " not in u and u[0] != " " and u[-1] != " " and not any(s in t for s in self.special)
@@ -206,16 +253,8 @@ class ChunkEncoder:
 
     def each(self, texts):
         """Ids (uint32 array) of each text of an Arrow string array, in order; NULL has none."""
-        import numpy as np
-        import pyarrow.compute as pc
-
-        texts = pc.fill_null(texts, "")
-        size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
-        at = 0
-        while at < len(texts):
-            to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + self.portion)))
-            yield from self._portion(texts.slice(at, to - at).to_pylist())
-            at = to
+        for some in portions(texts, self.portion):
+            yield from self._portion(some)
 
     def _portion(self, texts: list[str]):
         import numpy as np
@@ -223,7 +262,7 @@ class ChunkEncoder:
         import pyarrow.compute as pc
 
         plain = [self._is_plain(t) for t in texts]
-        rows = pa.array([self.FIRST + t.replace("\n", " \n") for t, ok in zip(texts, plain) if ok], pa.large_string())
+        rows = pa.array([self._row(t) for t, ok in zip(texts, plain) if ok], pa.large_string())
         split = pc.split_pattern(rows, " ")
         coded = split.flatten().dictionary_encode()
         ids, ends = self._gather(self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)])
@@ -236,6 +275,13 @@ class ChunkEncoder:
             else:
                 yield self._odd(t)
 
+    def _row(self, t: str) -> str:
+        """A plain text with a space before each chunk but the first."""
+        if self.spaced:
+            return self.FIRST + t.replace("\n", " \n")
+        t = t.replace("\n", " ")  # where a chunk has no ids for what stands before it, all may stand after a space
+        return t.lower() if self.lower and t.isascii() else t
+
     def _odd(self, text: str):
         import numpy as np
 
