@@ -130,7 +130,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: st
     while m < min(MAX_BITS, n * BITS_PER_LINE):
         m *= 2
     found = cut(suspects(plain, twice_seen(plain.select("text"), m, min_chars), min_chars), "suspect-lines")
-    counted = found.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("first")).where(F.col("n") >= min_docs)
+    # written, so that the join below has a shuffle on either side and a key of many documents can be split
+    counted = cut(found.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("first")).where(F.col("n") >= min_docs), "repeated-lines")
     drop = found.join(counted, "key").groupBy("doc").agg(F.collect_list(F.struct("key", (F.col("doc") == F.col("first")).alias("first"))).alias("__drop"))
     first = keep == "first"
 
