@@ -43,7 +43,9 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[s
     hashes = cut(rows.select("lang", "h"), "lang-hashes").distinct()
     if (n := hashes.select("lang").distinct().count()) > MAX_LANGUAGES:
         raise ValueError(f"{n} languages; at most {MAX_LANGUAGES}")
-    picked = hashes.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= SAMPLE_ROWS).drop("n")
+    # first within parts of a language, as one language may hold most rows
+    least = lambda df, *by: df.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy("h"))).where(F.col("n") <= SAMPLE_ROWS).drop("n")
+    picked = least(least(hashes.withColumn("part", F.pmod("h", F.lit(64))), "lang", "part").drop("part"), "lang")
     picked = cut(picked, "lang-sample")
     # at most MAX_LANGUAGES * SAMPLE_ROWS hashes
     sample = rows.join(F.broadcast(picked), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min(F.substring("t", 1, SAMPLE_CHARS)).alias("t"))
