@@ -71,8 +71,9 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return cut(docs.mapInArrow(make, _ROWS), "gram-sets")
 
 
-def _merged(parts: DataFrame, size: int, dtype, add: Callable) -> dict[int, np.ndarray]:
-    """One array a segment, from rows (seg, data): a task holds one segment at a time; the whole is of fixed size."""
+def _merged(parts: DataFrame, segments: int, size: int, dtype, add: Callable, finish: Callable = lambda x: x) -> bytes:
+    """The segments of an array in a row, each merged from rows (seg, data); a task holds one segment at a time and hands on
+    what ``finish`` makes of it. Segments without rows are zeros. The whole is of fixed size."""
 
     def merge(batches):
         held, total = None, None
@@ -80,14 +81,18 @@ def _merged(parts: DataFrame, size: int, dtype, add: Callable) -> dict[int, np.n
             for seg, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if seg != held:
                     if held is not None:
-                        yield pa.RecordBatch.from_arrays([pa.array([held], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["seg", "data"])
+                        yield pa.RecordBatch.from_arrays([pa.array([held], pa.int32()), pa.array([finish(total).tobytes()], pa.binary())], names=["seg", "data"])
                     held, total = seg, np.zeros(size, dtype)
                 add(total, data)
         if held is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([held], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["seg", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array([held], pa.int32()), pa.array([finish(total).tobytes()], pa.binary())], names=["seg", "data"])
 
+    width = len(finish(np.zeros(size, dtype)).tobytes())
     done = parts.repartition("seg").sortWithinPartitions("seg").mapInArrow(merge, "seg int, data binary")
-    return {r.seg: np.frombuffer(r.data, dtype) for r in done.toLocalIterator()}
+    out = bytearray(width * segments)
+    for r in done.toLocalIterator():
+        out[r.seg * width : (r.seg + 1) * width] = r.data
+    return out
 
 
 def _sketch(rows: DataFrame) -> np.ndarray:
@@ -97,12 +102,21 @@ def _sketch(rows: DataFrame) -> np.ndarray:
     def count(batches):
         import zstandard
 
-        total = np.zeros(SKETCH, np.int64)
+        total, waiting, size = np.zeros(SKETCH, np.int64), [], 0
+
+        def add_up():
+            nonlocal waiting, size, total
+            if waiting:
+                total += np.bincount((np.concatenate(waiting) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+            waiting, size = [], 0
+
         for b in batches:
             for raw in b.column(0):
-                total += 0 if not len(g := np.frombuffer(raw.as_buffer(), np.uint64)) else np.bincount((g & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) if len(g) > SKETCH // 8 else 0
-                if 0 < len(g) <= SKETCH // 8:
-                    np.add.at(total, (g & np.uint64(SKETCH - 1)).astype(np.int64), 1)
+                waiting.append(np.frombuffer(raw.as_buffer(), np.uint64))
+                size += len(waiting[-1])
+                if size > SKETCH:
+                    add_up()
+            add_up()
         pack = zstandard.ZstdCompressor(level=1)
         if total.any():
             planes = [pack.compress(np.ascontiguousarray(total[s * width : (s + 1) * width].view(np.uint8).reshape(-1, 8).T).tobytes()) for s in range(64)]
@@ -114,9 +128,7 @@ def _sketch(rows: DataFrame) -> np.ndarray:
         raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
         total += np.ascontiguousarray(raw.T).reshape(-1).view(np.int64)
 
-    counts = np.zeros(SKETCH, np.int64)
-    for seg, c in _merged(rows.select("grams").mapInArrow(count, "seg int, data binary"), width, np.int64, add).items():
-        counts[seg * width : (seg + 1) * width] = c
+    counts = np.frombuffer(_merged(rows.select("grams").mapInArrow(count, "seg int, data binary"), 64, width, np.int64, add), np.int64)
     mean = max(1.0, counts.sum() / SKETCH)
     return np.maximum(0, np.floor(np.log2(np.maximum(counts, 1) / mean))).astype(np.uint8)
 
@@ -131,46 +143,75 @@ def _prefix(g: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
     return g[_order(g, classes)[: n - -(-percent * n // 100) + 1]] if n else g
 
 
+def _filter(parts: DataFrame, m: int) -> np.ndarray:
+    """Packed bits from rows (seg, data) of ``_segments``: set where a bit was said to be set twice, or came again."""
+
+    def add(total, data):
+        n, pos = int(np.frombuffer(data, "<u4", 1)[0]), np.frombuffer(data, "<u4", offset=4)
+        once, again = pos[:n], pos[n:]
+        total[once] = np.where(total[once] > 0, 2, 1)
+        total[again] = 2
+
+    return np.frombuffer(_merged(parts, SEGMENTS, m // SEGMENTS, np.uint8, add, lambda x: np.packbits(x > 1, bitorder="little")), np.uint8)
+
+
+def _segments(once: np.ndarray, again: np.ndarray, m: int) -> pa.RecordBatch:
+    """Bits of hashes that a task saw, and of those it saw again, by segment."""
+    once, again = np.unique(_bits(once, m)), np.unique(_bits(again, m))
+    at = np.arange(SEGMENTS + 1, dtype=np.uint64) * np.uint64(m // SEGMENTS)
+    i, j = np.searchsorted(once, at), np.searchsorted(again, at)
+    rows = [(k, np.uint32(i[k + 1] - i[k]).tobytes() + (once[i[k] : i[k + 1]] - at[k]).astype("<u4").tobytes() + (again[j[k] : j[k + 1]] - at[k]).astype("<u4").tobytes()) for k in range(SEGMENTS) if i[k + 1] > i[k]]
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["seg", "data"])
+
+
+def _known(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = _bits(h, len(bits) * 8)
+    return ((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
+
+
+def _size(n: int) -> int:
+    m = MIN_BITS
+    while m < min(MAX_BITS, n * BITS_PER_LINE):
+        m *= 2
+    return m
+
+
 def _twice(rows: DataFrame, classes, percent: int, m: int) -> np.ndarray:
-    """Twice-seen filter of prefix n-grams: bits 0 and 1 of a byte stand for seen and seen again."""
-    size = m // SEGMENTS
+    """Twice-seen filter of prefix n-grams."""
 
     def seen(batches):
         parts = [_prefix(np.frombuffer(raw.as_buffer(), np.uint64), classes.value, percent) for b in batches for raw in b.column(0)]
         if parts and len(all_ := np.concatenate(parts)):
             h, n = np.unique(all_, return_counts=True)
-            once, again = np.unique(_bits(h, m)), np.unique(_bits(h[n > 1], m))
-            at = np.arange(SEGMENTS + 1, dtype=np.uint64) * np.uint64(size)
-            i, j = np.searchsorted(once, at), np.searchsorted(again, at)
-            rows = [(k, np.uint32(i[k + 1] - i[k]).tobytes() + (once[i[k] : i[k + 1]] - at[k]).astype("<u4").tobytes() + (again[j[k] : j[k + 1]] - at[k]).astype("<u4").tobytes()) for k in range(SEGMENTS) if i[k + 1] > i[k]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["seg", "data"])
+            yield _segments(h, h[n > 1], m)
 
-    def add(total, data):
-        n, pos = int(np.frombuffer(data, "<u4", 1)[0]), np.frombuffer(data, "<u4", offset=4)
-        once, again = pos[:n], pos[n:]
-        total[once] = np.where(total[once] > 0, 2, 1)
-        total[again] = 2
+    return _filter(rows.select("grams").mapInArrow(seen, "seg int, data binary"), m)
 
-    bits = np.zeros(m, bool)
-    for seg, t in _merged(rows.select("grams").mapInArrow(seen, "seg int, data binary"), size, np.uint8, add).items():
-        bits[seg * size : (seg + 1) * size] = t > 1
-    return np.packbits(bits, bitorder="little")
+
+def _ids_filter(ids: DataFrame) -> np.ndarray:
+    """Filter that knows all of ``ids``."""
+    m = _size(ids.count())
+
+    def seen(batches):
+        for b in batches:
+            if b.num_rows:
+                h = _mix(b.column(0).to_numpy().view(np.uint64))
+                yield _segments(h, h, m)
+
+    return _filter(ids.mapInArrow(seen, "seg int, data binary"), m)
 
 
 def _postings(rows: DataFrame, classes, percent: int, known) -> DataFrame:
     """(gram, row, n) for prefix n-grams that may stand in several prefixes."""
 
     def emit(batches):
-        bits = known.value
-        m = len(bits) * 8
         for b in batches:
             for i in range(0, b.num_rows, 1024):
                 part = b.slice(i, 1024)
                 pre = [_prefix(np.frombuffer(raw.as_buffer(), np.uint64), classes.value, percent) for raw in part.column(2)]
                 owner, g = np.repeat(np.arange(len(pre)), [len(p) for p in pre]), np.concatenate(pre)
                 if len(g):
-                    at = _bits(g, m)
-                    hit = ((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)
+                    hit = _known(known.value, g)
                     owner, g = owner[hit], g[hit]
                     yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(part.column(0).to_numpy()[owner]), pa.array(part.column(1).to_numpy()[owner])], names=["gram", "id", "n"])
 
@@ -195,25 +236,30 @@ def components(edges: DataFrame) -> DataFrame:
 class _Links:
     """Decides proposed pairs (a, b) exactly."""
 
-    def __init__(self, sets: DataFrame, classes, percent: int):
-        self.percent, self.classes = percent, classes
-        self.sigs = sets.select("id", "n", "sig")
+    def __init__(self, rows: DataFrame, classes, percent: int):
+        self.rows, self.percent, self.classes = rows.withColumnRenamed("row", "id"), percent, classes
+        self.sigs = self.rows.select("id", "n", "sig")
+
+    def fragments(self, ids: DataFrame) -> DataFrame:
+        """(id, fragment, grams) of these ids and of few others, those that a Bloom filter takes for them: the sets are read,
+        and only what is needed of them is written and shuffled."""
+        wanted, classes = ids.sparkSession.sparkContext.broadcast(_ids_filter(ids)), self.classes
 
         def split(batches):
             for b in batches:
-                for i in range(0, b.num_rows, 256):
-                    ids, fs, ns, raws = [], [], [], []
-                    part = b.slice(i, 256)
-                    for k, raw in zip(part.column(0).to_pylist(), part.column(1)):
+                part = b.filter(pa.array(_known(wanted.value, _mix(b.column(0).to_numpy().view(np.uint64)))))
+                for i in range(0, part.num_rows, 256):
+                    own, fs, raws = [], [], []
+                    for k, raw in zip(part.column(0).slice(i, 256).to_pylist(), part.column(1).slice(i, 256)):
                         g = np.frombuffer(raw.as_buffer(), np.uint64)
                         # the frequent classes are the end of the order, and the last fragment
                         f = np.where(classes.value[(g & np.uint64(SKETCH - 1)).astype(np.int64)] > 0, FRAGMENTS - 1, (g >> np.uint64(32)).astype(np.int64) * (FRAGMENTS - 1) >> 32)
                         for at in range(FRAGMENTS):
-                            if len(own := g[f == at]):
-                                ids.append(k), fs.append(at), raws.append(own.tobytes())
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(fs, pa.int32()), pa.array(raws, pa.binary())], names=["id", "fragment", "grams"])
+                            if len(some := g[f == at]):
+                                own.append(k), fs.append(at), raws.append(some.tobytes())
+                    yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(fs, pa.int32()), pa.array(raws, pa.binary())], names=["id", "fragment", "grams"])
 
-        self.fragments = sets.select("id", "grams").mapInArrow(split, "id long, fragment int, grams binary")
+        return cut(self.rows.select("id", "grams").mapInArrow(split, "id long, fragment int, grams binary"), "fragments")
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b, na, nb) that the parity bitmaps don't rule out."""
@@ -237,7 +283,9 @@ class _Links:
                 got = [len(np.intersect1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True)) for x, y in zip(b.column("ga"), b.column("gb"))]
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("a", "b", "na", "nb")), pa.array(got, pa.int64())], names=["a", "b", "na", "nb", "both"])
 
-        side = lambda x: self.fragments.select(F.col("id").alias(x), "fragment", F.col("grams").alias(f"g{x}"))
+        pairs = cut(pairs, "pairs")
+        fragments = self.fragments(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        side = lambda x: fragments.select(F.col("id").alias(x), "fragment", F.col("grams").alias(f"g{x}"))
         parts = pairs.join(side("a"), "a").join(side("b"), ["b", "fragment"]).select("a", "b", "na", "nb", "ga", "gb")
         sums = parts.mapInArrow(overlap, "a long, b long, na long, nb long, both long").groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
         return sums.where(F.col("both") * 100 >= self.percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
@@ -305,17 +353,14 @@ def ngram_components(docs: DataFrame, size: int = 3, percent: int = 90, doc_id:
     linkable = rows.where("n > 0")
     classes = cut(linkable.groupBy("digest").agg(F.min("row").alias("id"), F.min("doc").alias("least")), "gram-classes")
     sketch = spark.sparkContext.broadcast(_sketch(linkable))
-    total, m = rows.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).head()[0] or 0, MIN_BITS
-    while m < min(MAX_BITS, total * BITS_PER_LINE):
-        m *= 2
-    known = spark.sparkContext.broadcast(_twice(linkable, sketch, percent, m))
+    total = rows.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).head()[0] or 0
+    known = spark.sparkContext.broadcast(_twice(linkable, sketch, percent, _size(total)))
     postings = cut(_postings(linkable, sketch, percent, known).join(classes.select("id"), "id", "left_semi"), "postings")
     open_ = cut(_labelled(postings, None), "open-postings")
-    sets = cut(linkable.withColumnRenamed("row", "id").join(open_.select("id").distinct(), "id", "left_semi").select("id", "n", "sig", "grams"), "open-sets")
-    decide, links, rounds = _Links(sets, sketch, percent), None, 0
+    decide, links, rounds = _Links(linkable, sketch, percent), None, 0
     while True:
         if rounds == ROUNDS:
-            pairs = _blocks(open_, sets, percent).distinct()
+            pairs = _blocks(open_, decide.sigs, percent).distinct()
         else:
             pivot = F.col("first" if rounds % 2 == 0 else "last")
             proposed = open_.select("id", "label", "n", pivot["id"].alias("p"), pivot["n"].alias("pn"), pivot["label"].alias("pl")).where((F.col("label") != F.col("pl")) & _near(percent))
