@@ -127,9 +127,10 @@ def seller_productivity(fact: DataFrame, by: list[str]) -> DataFrame:
 
 
 def activated_list(fact: DataFrame, by: list[str]) -> DataFrame:
-    """Activated customers with seller, sales, boxes, units; ranked by sales desc then code."""
+    """Activated customers with seller, sales, boxes and units of their positive lines, in order of sales within each
+    scope (a range-partitioned order, no rank: a rank would take a scope's customers to one task)."""
     keys = [*by, "cod_cli", "cod_ven"]
-    g = fact.groupBy(*keys).agg(F.sum("neto_dcto").alias("_v"), F.round(F.sum("cajas_vendidas"), 2).alias("cajas"),
-                                F.sum("unidades_vendidas").alias("unidades")).filter(F.col("_v") > 0)
-    w = Window.partitionBy(*by).orderBy(F.col("_v").desc(), F.col("cod_cli").asc(), F.col("cod_ven").asc())
-    return g.withColumn("posicion", F.row_number().over(w)).withColumn("venta_neta", F.round("_v", 2)).drop("_v")
+    g = fact.filter(F.col("neto_dcto") > 0).groupBy(*keys).agg(
+        F.round(F.sum("neto_dcto"), 2).alias("venta_neta"), F.round(F.sum("cajas_vendidas"), 2).alias("cajas"),
+        F.sum("unidades_vendidas").alias("unidades"))
+    return g.orderBy(*by, F.col("venta_neta").desc(), "cod_cli", "cod_ven")

@@ -30,7 +30,7 @@ def scan_envelopes(payloads: DataFrame, id_col: str = "payload_id", payload_col:
     BOM stripped; root object must have ``d`` (or, when that is empty/absent,
     ``datos``); ``llError`` true, a missing/empty ``laTablas``, a first table that
     is not a list, or a row that is not an object make the payload invalid
-    (``parse_error``). Row keys are lower-cased; two keys equal up to case make
+    (``schema_mismatch``, as any structural fault). Row keys are lower-cased; two keys equal up to case make
     the payload invalid too. An empty first table is valid with zero rows.
     """
     p = F.regexp_replace(F.col(payload_col), f"^{BOM}", "")
@@ -53,13 +53,9 @@ def scan_envelopes(payloads: DataFrame, id_col: str = "payload_id", payload_col:
     case_clash = F.exists(F.col("_rows"), lambda m: F.size(F.array_distinct(F.transform(F.map_keys(m), F.lower)))
                           != F.size(F.map_keys(m)))
     err = F.lower(F.coalesce(F.col("_doc").getField("llError"), F.lit("false"))).isin("true", "1")
-    reason = (F.when(F.col("_doc").isNull(), F.lit("parse_error"))
-               .when(err, F.lit("parse_error"))
-               .when(F.col("_root").isNull(), F.lit("parse_error"))
-               .when(F.col("_tables").isNull() | (F.size("_tables") == 0), F.lit("parse_error"))
-               .when(F.col("_first").isNull(), F.lit("parse_error"))
-               .when(~ok_rows, F.lit("parse_error"))
-               .when(case_clash, F.lit("parse_error")))
+    broken = (F.col("_doc").isNull() | err | F.col("_root").isNull() | F.coalesce(F.size("_tables") == 0, F.lit(True))
+              | F.col("_first").isNull() | ~ok_rows | case_clash)
+    reason = F.when(F.coalesce(broken, F.lit(True)), F.lit("schema_mismatch"))
     x = x.withColumn("_reason", reason)
     base = [c for c in payloads.columns if c != payload_col]
     invalid = x.filter(F.col("_reason").isNotNull()).select(*base, payload_col, F.col("_reason").alias("reason"))
@@ -153,8 +149,8 @@ def land(payloads: DataFrame, entity: Entity, scanned: tuple[DataFrame, DataFram
         validate_required(rows, entity).select("payload_id", F.lit("schema_mismatch").alias("reason")),
         underscore_keys(rows),
     ])
-    # one reason per payload, in the order parse > empty > schema
-    order = F.when(F.col("reason") == "parse_error", 0).when(F.col("reason") == "empty_rejected", 1).otherwise(2)
+    # one reason per payload: an empty table is rejected before its columns are looked at
+    order = F.when(F.col("reason") == "empty_rejected", 0).otherwise(1)
     bad = bad.groupBy("payload_id").agg(F.min_by("reason", order).alias("reason"))
     good_rows = rows.join(bad.select("payload_id"), "payload_id", "left_anti")
     landed = enrich(good_rows, entity)
@@ -171,9 +167,10 @@ def write_bronze(df: DataFrame, path: str, entity: str) -> DataFrame:
     """
     target = f"{path.rstrip('/')}/{entity}"
     out = df.withColumnRenamed("_run_id", "run_id")
-    out.repartition("source_empresa", "dt", "run_id").write.mode("append").partitionBy("source_empresa", "dt", "run_id") \
+    # REBALANCE brings a partition's rows together in files of the advisory size: a large one is split over tasks
+    out.hint("rebalance", "source_empresa", "dt", "run_id").write.mode("append").partitionBy("source_empresa", "dt", "run_id") \
         .option("compression", "gzip").json(target)
-    back = out.sparkSession.read.json(target)
+    back = out.sparkSession.read.schema("_lote_id string, source_empresa string, dt string, run_id string").json(target)
     return back.groupBy("source_empresa", "dt", "run_id").agg(F.count("*").alias("record_count")).withColumn(
         "uri", F.concat(F.lit(target + "/source_empresa="), F.col("source_empresa"), F.lit("/dt="), F.col("dt").cast("string"),
                         F.lit("/run_id="), F.col("run_id")))
@@ -195,7 +192,7 @@ def write_quarantine(df: DataFrame, path: str, entity: str) -> DataFrame:
     target = f"{path.rstrip('/')}/{entity}"
     df.select("source_empresa", "dt", "run_id", "reason", "payload_id", "payload", "_payload_hash") \
         .write.mode("append").partitionBy("source_empresa", "dt", "run_id", "reason").json(target)
-    back = df.sparkSession.read.json(target)
+    back = df.sparkSession.read.schema("payload_id string, source_empresa string, dt string, run_id string, reason string").json(target)
     return back.groupBy("source_empresa", "reason").agg(F.count("*").alias("payloads"))
 
 
@@ -204,33 +201,33 @@ def write_table(df: DataFrame, path: str, partition_date: str, cluster_cols: lis
     (pruning works on it), rows sorted by the cluster columns inside each file."""
     part = F.date_format(F.col(partition_date), "yyyy-MM" if grain == "month" else "yyyy-MM-dd")
     out = df.withColumn("_part", part)
-    out.repartition("_part").sortWithinPartitions(*cluster_cols).write.mode("overwrite").partitionBy("_part").parquet(path)
+    # REBALANCE: a large month goes to several tasks, small ones share files
+    out.hint("rebalance", "_part").sortWithinPartitions("_part", *cluster_cols).write.mode("overwrite").partitionBy("_part").parquet(path)
     return out.sparkSession.read.parquet(path)
 
 
 # ------------------------------------------------------------------ control log
 
 def latest_batches(log: DataFrame) -> DataFrame:
-    """A1: append-only status log -> latest status per batch (one aggregation)."""
-    last = F.max_by(F.struct("status", "record_count", "inserted_at"), "inserted_at")
-    g = log.groupBy("batch_id", "run_id", "entity", "source_empresa", "dt", "payload_hash").agg(last.alias("_l"))
-    return g.select("batch_id", "run_id", "entity", "source_empresa", "dt", "payload_hash",
-                    F.col("_l.status").alias("status"), F.col("_l.record_count").alias("record_count"),
-                    F.col("_l.inserted_at").alias("inserted_at"))
+    """A1: append-only status log -> latest status per batch (one aggregation). A batch that was landed again in another run
+    stays one row, with the run of its last status; at equal times the greatest status and run count."""
+    rest = ["run_id", "entity", "source_empresa", "dt", "payload_hash", "status", "record_count", "inserted_at"]
+    last = F.max_by(F.struct(*rest), F.struct("inserted_at", "status", "run_id"))
+    return log.groupBy("batch_id").agg(last.alias("_l")).select("batch_id", *[f"_l.{c}" for c in rest])
 
 
 def fold_runs(log: DataFrame) -> DataFrame:
-    """A2: start row + finish row per run -> one run with duration in seconds."""
+    """A2: start row + finish row per run -> one run with duration in seconds; at equal times the greatest status counts."""
     g = log.groupBy("run_id").agg(F.min("started_at").alias("started_at"), F.max("ended_at").alias("ended_at"),
-                                  F.max_by("status", F.coalesce("ended_at", "started_at")).alias("status"))
+                                  F.max_by("status", F.struct(F.coalesce("ended_at", "started_at"), "status")).alias("status"))
     return g.withColumn("duration_s", F.col("ended_at").cast("long") - F.col("started_at").cast("long"))
 
 
 def with_extras(df: DataFrame, extras: Column, max_bytes: int = MAX_EXTRAS_BYTES) -> DataFrame:
-    """A3: event extras as JSON text; over ``max_bytes`` replaced by a truncation marker with the size."""
-    size = F.octet_length(extras)
+    """A3: event extras as JSON text, whole, and ``extras_display``: the same, or a marker with its size over ``max_bytes``."""
+    size = F.octet_length("extras")
     marker = F.concat(F.lit('{"__truncated":true,"size_bytes":'), size.cast("string"), F.lit("}"))
-    return df.withColumn("extras", F.when(size > max_bytes, marker).otherwise(extras))
+    return df.withColumn("extras", extras).withColumn("extras_display", F.when(size > max_bytes, marker).otherwise(F.col("extras")))
 
 
 def skip_duplicates(new: DataFrame, registry: DataFrame) -> DataFrame:

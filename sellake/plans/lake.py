@@ -28,7 +28,7 @@ class Lake:
         self.as_of = as_of
         self._stg: dict[str, DataFrame] = {}
         self._sil: dict[str, DataFrame] = {}
-        self.key = MT.layer_key(sf_dir, as_of)
+        self.key = MT.layer_key(spark, sf_dir, as_of)
 
     def table(self, name: str, build, prepare=None) -> DataFrame:
         """A Silver/Gold boundary: written once, then read (see ``materialize``)."""

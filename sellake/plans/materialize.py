@@ -1,10 +1,10 @@
 """Silver/Gold boundaries written as tables in the session's shared checkpoint folder.
 
-A layer is written once per (source folder, as-of date, library code version)
+A layer is written once per (source files, as-of date, library code version)
 and read back by every later query, so reports run on the Gold tables instead
-of recomputing the whole chain. Writes go to a unique temporary folder and are
-published by an atomic rename; a concurrent writer that loses the race reads the
-winner's table. The written table also cuts the lineage (executor loss replays
+of recomputing the whole chain. A table is written to a folder of its own and published by a
+marker file that names it; readers follow the marker, so a half-written folder is
+never read and no rename is needed. The written table also cuts the lineage (executor loss replays
 from the table, not from the raw sources).
 """
 
@@ -16,9 +16,11 @@ import threading
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir
+from ..sources.tables import DRIVER_TABLES
 
 _LOCK = threading.Lock()
 _LOCKS: dict[str, threading.Lock] = {}
@@ -48,28 +50,40 @@ def _fs(spark: SparkSession, path: str):
 def table(spark: SparkSession, key: str, name: str, build: Callable[[], DataFrame],
           prepare: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The table ``name`` of the layer set ``key``: read it if published, else build, write, publish, read."""
-    try:
-        spark.sparkContext._jvm  # noqa: B018  (needs a classic session to manage files)
-    except Exception:  # noqa: BLE001
-        df = build()
-        return prepare(df) if prepare is not None else df
     base = f"{checkpoint_dir(spark).rstrip('/')}/sellake-tables/{CODE_VERSION}/{key}"
-    path = f"{base}/{name}"
+    marker = f"{base}/{name}.published"
     with _LOCK:
-        lock = _LOCKS.setdefault(path, threading.Lock())
+        lock = _LOCKS.setdefault(marker, threading.Lock())
     with lock:
-        fs, p, jvm = _fs(spark, path)
-        if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")):
+        fs, p, _ = _fs(spark, marker)
+        if not fs.exists(p):
             df = build()
             if prepare is not None:
                 df = prepare(df)
-            tmp = f"{base}/.tmp-{name}-{uuid.uuid4().hex}"
-            df.write.mode("overwrite").parquet(tmp)
-            fs.mkdirs(jvm.org.apache.hadoop.fs.Path(base))
-            if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), p):  # lost the race: keep the winner's table
-                fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
+            path = f"{base}/{name}-{uuid.uuid4().hex}"
+            df.write.parquet(path)
+            try:
+                out = fs.create(p, False)
+                out.writeUTF(path)
+                out.close()
+            except Py4JJavaError:  # another writer has published it meanwhile
+                if not fs.exists(p):
+                    raise
+        stream = fs.open(p)
+        path = stream.readUTF()
+        stream.close()
         return spark.read.parquet(path)
 
 
-def layer_key(sf_dir: str, as_of: str) -> str:
-    return hashlib.sha256(f"{os.path.abspath(sf_dir)}|{as_of}".encode()).hexdigest()[:16]
+def layer_key(spark: SparkSession, sf_dir: str, as_of: str) -> str:
+    """Digest of the source files (path, length, modification time) and the as-of date: new data makes new layers."""
+    h = hashlib.sha256(as_of.encode())
+    for name in DRIVER_TABLES:
+        fs, p, _ = _fs(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        if fs.exists(p):
+            files, found = fs.listFiles(p, True), []
+            while files.hasNext():
+                f = files.next()
+                found.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
+            h.update("\n".join(sorted(found)).encode())
+    return h.hexdigest()[:32]

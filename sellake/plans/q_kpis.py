@@ -137,12 +137,9 @@ def k11(lk):
     return K.seller_productivity(fm(lk), TM)
 
 
-@query("K12_activated_list", O.out("""SELECT source_empresa, mes_inicio, cod_cli, cod_ven, cajas, unidades, posicion,
-  round(v, 2) AS venta_neta FROM (
-  SELECT *, row_number() OVER (PARTITION BY source_empresa, mes_inicio ORDER BY v DESC, cod_cli ASC, cod_ven ASC) AS posicion
-  FROM (SELECT source_empresa, mes_inicio, cod_cli, cod_ven, sum(neto_dcto) AS v, round(sum(cajas_vendidas), 2) AS cajas,
-               sum(unidades_vendidas) AS unidades FROM fm GROUP BY ALL) g WHERE v > 0) r""",
-                                   TM_SPEC + "cod_cli:s, cod_ven:s, cajas:d, unidades:d, posicion:i, venta_neta:d"))
+@query("K12_activated_list", O.out("""SELECT source_empresa, mes_inicio, cod_cli, cod_ven, round(sum(cajas_vendidas), 2) AS cajas,
+  sum(unidades_vendidas) AS unidades, round(sum(neto_dcto), 2) AS venta_neta FROM fm WHERE neto_dcto > 0 GROUP BY ALL""",
+                                   TM_SPEC + "cod_cli:s, cod_ven:s, cajas:d, unidades:d, venta_neta:d"))
 def k12(lk):
-    """Activated customers with seller, sales, boxes, units, ranked by sales then code."""
+    """Activated customers with seller, sales, boxes and units of their positive lines."""
     return K.activated_list(fm(lk), TM)

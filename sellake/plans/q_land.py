@@ -86,11 +86,11 @@ FROM (SELECT source_empresa, o_orderkey, o_orderdate, array_to_string(list_sort(
 O.view("hashed", ["payloads"], """SELECT *, sha256(payload) AS _payload_hash,
   sha256(source_empresa || '|' || query_id || '|' || dt || '|' || sha256(payload)) AS _lote_id FROM payloads""")
 O.view("parsed", ["hashed"], """
-SELECT *, CASE WHEN doc IS NULL THEN 'parse_error' WHEN err THEN 'parse_error' WHEN root IS NULL OR json_type(root) <> 'OBJECT' THEN 'parse_error'
-  WHEN json_type(root, '$.laTablas') IS DISTINCT FROM 'ARRAY' OR json_array_length(root, '$.laTablas') = 0 THEN 'parse_error'
-  WHEN json_type(root, '$.laTablas[0]') IS DISTINCT FROM 'ARRAY' THEN 'parse_error'
+SELECT *, CASE WHEN doc IS NULL THEN 'schema_mismatch' WHEN err THEN 'schema_mismatch' WHEN root IS NULL OR json_type(root) <> 'OBJECT' THEN 'schema_mismatch'
+  WHEN json_type(root, '$.laTablas') IS DISTINCT FROM 'ARRAY' OR json_array_length(root, '$.laTablas') = 0 THEN 'schema_mismatch'
+  WHEN json_type(root, '$.laTablas[0]') IS DISTINCT FROM 'ARRAY' THEN 'schema_mismatch'
   WHEN NOT list_bool_and(list_transform(COALESCE(json_extract(root, '$.laTablas[0][*]'), []), lambda r: json_type(r) = 'OBJECT'))
-    THEN 'parse_error' END AS reason
+    THEN 'schema_mismatch' END AS reason
 FROM (SELECT *, CASE WHEN COALESCE(CAST(json_extract(doc, '$.d') AS VARCHAR), '') IN ('', '{}', 'null') THEN json_extract(doc, '$.datos')
                      ELSE json_extract(doc, '$.d') END AS root,
              lower(COALESCE(json_extract_string(doc, '$.llError'), 'false')) IN ('true', '1') AS err
@@ -112,7 +112,7 @@ WHERE len(miss) > 0 GROUP BY payload_id""")
 O.view("underscore", ["scan_rows"], """SELECT DISTINCT payload_id FROM scan_rows
   WHERE len(list_filter(map_keys(row), lambda k: starts_with(k, '_'))) > 0""")
 O.view("bad", ["scan_invalid", "scan_empty", "v1_missing", "underscore"], """
-SELECT payload_id, arg_min(reason, CASE reason WHEN 'parse_error' THEN 0 WHEN 'empty_rejected' THEN 1 ELSE 2 END) AS reason FROM (
+SELECT payload_id, min(reason) AS reason FROM (
   SELECT payload_id, reason FROM scan_invalid UNION ALL SELECT payload_id, 'empty_rejected' FROM scan_empty
   UNION ALL SELECT payload_id, 'schema_mismatch' FROM v1_missing UNION ALL SELECT payload_id, 'schema_mismatch' FROM underscore) u
 GROUP BY payload_id""")
@@ -136,8 +136,7 @@ FROM (SELECT h.*, o.record_count, unnest([struct_pack(status := 'WRITTEN', o :=
                                    ELSE o.final_status END, o := 1)], recursive := true)
       FROM hashed h JOIN outcome o USING (payload_id)) x WHERE status IS NOT NULL""")
 O.view("latest_batches", ["batch_log"], """
-SELECT batch_id, run_id, entity, source_empresa, dt, payload_hash, arg_max(status, inserted_at) AS status,
-  arg_max(record_count, inserted_at) AS record_count, max(inserted_at) AS inserted_at FROM batch_log GROUP BY ALL""")
+SELECT * FROM batch_log QUALIFY row_number() OVER (PARTITION BY batch_id ORDER BY inserted_at DESC, status DESC, run_id DESC) = 1""")
 
 
 def ld(lk):
@@ -249,22 +248,20 @@ def a2(lk):
     log = ld(lk).log()
     runs = log.select("run_id", F.when(F.col("status") == "WRITTEN", F.col("inserted_at")).alias("started_at"),
                       F.when(F.col("status") != "WRITTEN", F.col("inserted_at")).alias("ended_at"), "status")
-    g = runs.groupBy("run_id").agg(F.min("started_at").alias("started_at"), F.max("ended_at").alias("ended_at"),
-                                   F.max_by("status", F.struct(F.coalesce("ended_at", "started_at"), "status")).alias("status"))
-    return g.withColumn("duration_s", F.col("ended_at").cast("long") - F.col("started_at").cast("long"))
+    return LD.fold_runs(runs)
 
 
-@query("A3_event_append", O.out("""SELECT batch_id, CASE WHEN strlen(e) > 2048
-  THEN '{"__truncated":true,"size_bytes":' || CAST(strlen(e) AS VARCHAR) || '}' ELSE e END AS extras FROM (
+@query("A3_event_append", O.out("""SELECT batch_id, e AS extras, CASE WHEN strlen(e) > 2048
+  THEN '{"__truncated":true,"size_bytes":' || CAST(strlen(e) AS VARCHAR) || '}' ELSE e END AS extras_display FROM (
   SELECT batch_id, CAST(to_json(struct_pack(status := status, record_count := record_count,
            detalle := repeat(payload_hash, CAST(record_count AS INTEGER) * 2))) AS VARCHAR) AS e FROM latest_batches) x""",
-                                "batch_id:s, extras:s"))
+                                "batch_id:s, extras:s, extras_display:s"))
 def a3(lk):
-    """A3: event extras as JSON, replaced by a truncation marker when over 2048 bytes."""
+    """A3: event extras as JSON, whole, and as shown (a marker when over 2048 bytes)."""
     b = LD.latest_batches(ld(lk).log())
     extras = F.to_json(F.struct("status", "record_count",
                                 F.repeat(F.col("payload_hash"), (F.col("record_count") * 2).cast("int")).alias("detalle")))
-    return LD.with_extras(b, extras).select("batch_id", "extras")
+    return LD.with_extras(b, extras).select("batch_id", "extras", "extras_display")
 
 
 @query("A4_ops_daily", O.out("""WITH b AS (SELECT dt, source_empresa, count(*) AS lotes, count(*) FILTER (WHERE status = 'SUCCESS') AS exitosos,

@@ -33,10 +33,10 @@ def p2(lk):
 
 
 @query("P3_to_date", O.out(f"""SELECT source_empresa, tipo_documento, cod_suc, documento, renglon,
-  TRY_CAST({cs('substr(registro, 1, 10)')} AS DATE) AS fecha FROM stg_ventas_v3""", KEY_SPEC + "fecha:dt"))
+  TRY_CAST(TRY_CAST({cs('registro')} AS TIMESTAMP) AS DATE) AS fecha FROM stg_ventas_v3""", KEY_SPEC + "fecha:dt"))
 def p3(lk):
-    """Safe cast of the day part of the sale time to DATE."""
-    return lk.stg_ventas["v3"].select(*KEY, X.to_date_safe(F.substring("registro", 1, 10)).alias("fecha"))
+    """Safe cast of the whole sale time to DATE."""
+    return lk.stg_ventas["v3"].select(*KEY, X.to_date_safe("registro").alias("fecha"))
 
 
 @query("P4_to_numeric", O.out("SELECT source_empresa, cod_cli, TRY_CAST(mon_sal AS DECIMAL(28,10)) AS mon_sal FROM stg_clientes",
