@@ -190,12 +190,14 @@ def fct_post_cutover(sales: DataFrame, cutover: str, old: DataFrame | None = Non
     return fact, dropped
 
 
+# --- Fixed values: periods of the warehouse code ---
+PRE_TAG, POST_TAG = "PRE_COD_ALM", "POST_COD_ALM"
+
+
 def fct_gold(pre: DataFrame, post: DataFrame) -> DataFrame:
-    """Single fact; ``cod_alm_resolution`` tells where the warehouse came from."""
-    p = pre.withColumn("cod_alm_resolution", F.when(F.col("origen") == "SNAPSHOT", "SNAPSHOT_SUCURSAL")
-                       .otherwise("PRE_CUTOVER_FALLBACK")).drop("origen")
-    q = post.withColumn("cod_alm_resolution", F.lit("POST_CUTOVER_REAL"))
-    return p.unionByName(q, allowMissingColumns=True)
+    """Single fact; ``cod_alm_resolution`` tells the period of the warehouse code, ``origen`` where the line came from."""
+    return pre.withColumn("cod_alm_resolution", F.lit(PRE_TAG)).unionByName(
+        post.withColumns({"origen": F.lit("SILVER"), "cod_alm_resolution": F.lit(POST_TAG)}), allowMissingColumns=True)
 
 
 def fct_bi(gold: DataFrame, start: str, as_of: str) -> DataFrame:

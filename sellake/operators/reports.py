@@ -269,25 +269,28 @@ def zero_sale_sku(fact: DataFrame, branches: DataFrame, as_of: str) -> DataFrame
                             branches).withColumnRenamed(TENANT, "empresa").withColumnRenamed("cod_suc", "codigo_sucursal")
 
 
+#: Stands for all brands of the tenant that a seller did not sell in the window.
+REST = '(resto)'
+
+
 def sku_penetration(fact: DataFrame, as_of: str) -> DataFrame:
-    """Per seller and brand (pairs seen in the 90-day window): expected pairs =
-    portfolio customers x catalogue SKUs of the brand, bought pairs this month,
-    gaps and penetration %. Both factors are per-key aggregates joined by key."""
-    w = _window(fact, as_of, 90)
-    pairs = w.select(F.col(TENANT).alias("empresa"), F.col("cod_ven").alias("codigo_vendedor"),
-                     F.col("cod_mar").alias("codigo_marca")).dropDuplicates()
-    cust = w.groupBy(F.col(TENANT).alias("empresa"), F.col("cod_ven").alias("codigo_vendedor")).agg(
-        F.count_distinct("cod_cli").alias("clientes_cartera"))
-    skus = w.groupBy(F.col(TENANT).alias("empresa"), F.col("cod_mar").alias("codigo_marca")).agg(
-        F.count_distinct("cod_art").alias("skus_marca"))
-    month = fact.filter(F.col("fecha_registro").between(_month_start(as_of), _d(as_of)))
-    b = month.groupBy(F.col(TENANT).alias("empresa"), F.col("cod_ven").alias("codigo_vendedor"),
-                      F.col("cod_mar").alias("codigo_marca"), "cod_cli", "cod_art").agg(F.sum("neto_dcto").alias("_v"))
-    bought = b.filter(F.col("_v") > 0).groupBy("empresa", "codigo_vendedor", "codigo_marca").agg(
-        F.count("*").alias("pares_comprados"))
-    x = pairs.join(cust, ["empresa", "codigo_vendedor"]).join(skus, ["empresa", "codigo_marca"]) \
-        .join(bought, ["empresa", "codigo_vendedor", "codigo_marca"], "left")
-    x = x.withColumn("pares_comprados", F.coalesce("pares_comprados", F.lit(0)).cast("long"))
+    """Per branch, seller and brand: expected pairs = portfolio customers x SKUs of the brand, pairs bought this month,
+    gaps and penetration %. Brands sold in the 90-day window have a row each; the others share one row per seller
+    (``REST``), so a seller's gaps are complete without a row for every brand. Factors are per-key aggregates joined by key."""
+    seller = ["empresa", "codigo_sucursal", "codigo_vendedor"]
+    names = {TENANT: "empresa", "cod_suc": "codigo_sucursal", "cod_ven": "codigo_vendedor", "cod_mar": "codigo_marca"}
+    in_month = F.when(F.col("fecha_registro") >= _month_start(as_of), F.col("neto_dcto"))
+    sold = _window(fact, as_of, 90).withColumnsRenamed(names).groupBy(*seller, "codigo_marca", "cod_cli", "cod_art").agg(F.sum(in_month).alias("_v"))
+    # two-step distinct counts: one row per member, then a count
+    cust = sold.select(*seller, "cod_cli").dropDuplicates().groupBy(*seller).agg(F.count("cod_cli").alias("clientes_cartera"))
+    skus = sold.select("empresa", "codigo_marca", "cod_art").dropDuplicates().groupBy("empresa", "codigo_marca").agg(F.count("cod_art").alias("skus_marca"))
+    total = skus.groupBy("empresa").agg(F.sum("skus_marca").alias("_total"))
+    seen = sold.groupBy(*seller, "codigo_marca").agg(F.count_if(F.col("_v") > 0).alias("pares_comprados")).alias("a")
+    seen = seen.join(skus.alias("b"), (F.col("a.empresa") == F.col("b.empresa")) & F.col("a.codigo_marca").eqNullSafe(F.col("b.codigo_marca"))) \
+        .select("a.*", "b.skus_marca")
+    rest = seen.groupBy(*seller).agg(F.sum("skus_marca").alias("_seen")).join(total, "empresa").select(
+        *seller, F.lit(REST).alias("codigo_marca"), F.lit(0).cast("long").alias("pares_comprados"), (F.col("_total") - F.col("_seen")).alias("skus_marca"))
+    x = seen.unionByName(rest).join(cust, seller)
     x = x.withColumn("pares_esperados", (F.col("clientes_cartera") * F.col("skus_marca")).cast("long"))
     return x.withColumns({
         "brechas_venta_cero": F.col("pares_esperados") - F.col("pares_comprados"),

@@ -58,23 +58,26 @@ for _ent, (_key, _cols) in Lake.HISTORY_ATTRS.items():
 
 _DIMS = [("cliente", "clientes", "cod_cli"), ("articulo", "articulos", "cod_art"), ("vendedor", "vendedores", "cod_ven"),
          ("sucursal", "sucursales", "cod_suc"), ("almacen", "almacenes", "cod_alm"), ("proveedor", "proveedores", "cod_pro")]
-_joins = []
-_sel = []
-for _n, _e, _k in _DIMS:
-    _joins.append(f"LEFT JOIN dim_{_e}_scd2 {_n}_a ON {_n}_a.source_empresa = v.source_empresa AND {_n}_a.{_k} = v.{_k} "
-                  f"AND {_n}_a.valid_from <= v.registro AND ({_n}_a.valid_to IS NULL OR {_n}_a.valid_to > v.registro)")
-    _joins.append(f"LEFT JOIN dim_{_e}_scd2 {_n}_c ON {_n}_c.source_empresa = v.source_empresa AND {_n}_c.{_k} = v.{_k} "
-                  f"AND {_n}_c.is_current")
-    _sel.append(f"COALESCE({_n}_a.surrogate_key, {_n}_c.surrogate_key, 'UNKNOWN') AS {_n}_sk")
-    _sel.append(f"CASE WHEN {_n}_a.surrogate_key IS NOT NULL THEN 'RESOLVED_SCD2' WHEN {_n}_c.surrogate_key IS NOT NULL "
-                f"THEN 'CURRENT_MASTER_BACKFILL' ELSE 'UNKNOWN_UNRESOLVED' END AS {_n}_resolution_status")
-_missing = " OR ".join(f"{n}_a.surrogate_key IS NULL" for n, _, _ in _DIMS)
-_back = " OR ".join(f"({n}_a.surrogate_key IS NULL AND {n}_c.surrogate_key IS NOT NULL)" for n, _, _ in _DIMS)
-O.view("fct_ventas_v2", ["lines"] + [f"dim_{e}_scd2" for _, e, _ in _DIMS], f"""
-SELECT v.*, {', '.join(_sel)}, cliente_c.nom_cli AS current_nom_cli, almacen_c.nom_alm AS current_nom_alm,
-  ({_missing}) AS is_inferred,
-  CASE WHEN {_back} THEN 'CURRENT_MASTER_BACKFILL' WHEN {_missing} THEN 'INFERRED_FROM_FACT' ELSE 'RESOLVED_SCD2' END AS resolution_status
-FROM lines v {' '.join(_joins)}""")
+# --- Fixed values: resolution labels ---
+RESOLVED, BACKFILL, UNRESOLVED, INFERRED = "RESOLVED_SCD2", "CURRENT_MASTER_BACKFILL", "UNKNOWN_UNRESOLVED", "INFERRED_FROM_FACT"
+# The six codes of a line are stacked, so that one as-of join and one join to the current versions resolve them all.
+_stack = ", ".join(f"struct_pack(d := '{n}', e := '{e}', k := {k})" for n, e, k in _DIMS)
+_wide = ", ".join(f"max(a) FILTER (d = '{n}') AS {n}_a, max(c) FILTER (d = '{n}') AS {n}_c" for n, _, _ in _DIMS)
+_sks = ", ".join(f"COALESCE({n}_a, {n}_c, 'UNKNOWN') AS {n}_sk, list_extract(['{UNRESOLVED}', '{BACKFILL}', '{RESOLVED}'], "
+                 f"1 + if({n}_a IS NOT NULL, 2, ({n}_c IS NOT NULL)::int)) AS {n}_resolution_status" for n, _, _ in _DIMS)
+O.view("fct_ventas_v2", ["lines", "scd2"], f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, * FROM lines),
+ver AS MATERIALIZED (SELECT * FROM scd2),
+code AS (SELECT rid, source_empresa AS t, registro AS r, unnest([{_stack}], recursive := true) FROM v),
+hit AS (SELECT rid, d, s.surrogate_key AS a FROM code ASOF JOIN (SELECT * FROM ver WHERE valid_to IS NULL OR valid_to > valid_from) s
+  ON s.entity_name = e AND s.source_empresa = t AND s.natural_key = k AND r >= s.valid_from),
+now AS (SELECT rid, d, surrogate_key AS c, record_json FROM code JOIN ver ON entity_name = e AND source_empresa = t AND natural_key = k AND is_current),
+wide AS (SELECT rid, {_wide}, max(json_extract_string(record_json, '$.nom_cli')) FILTER (d = 'cliente') AS current_nom_cli,
+    max(json_extract_string(record_json, '$.nom_alm')) FILTER (d = 'almacen') AS current_nom_alm,
+    bool_or(a IS NULL AND c IS NOT NULL) AS back, count(a) < {len(_DIMS)} AS is_inferred
+  FROM code LEFT JOIN hit USING (rid, d) LEFT JOIN now USING (rid, d) GROUP BY rid)
+SELECT v.* EXCLUDE (rid), {_sks}, current_nom_cli, current_nom_alm, is_inferred,
+  if(back, '{BACKFILL}', if(is_inferred, '{INFERRED}', '{RESOLVED}')) AS resolution_status FROM v JOIN wide USING (rid)""")
 
 _T7_COLS = ["cliente_sk", "articulo_sk", "vendedor_sk", "sucursal_sk", "almacen_sk", "proveedor_sk",
             "cliente_resolution_status", "articulo_resolution_status", "vendedor_resolution_status",
@@ -152,11 +155,11 @@ def t7(lk):
     return _t7(lk)
 
 
-@query("T8_reconciled_view", O.out(f"""SELECT {', '.join(KEY)}, registro, resolution_status,
-  CASE WHEN CAST(registro AS DATE) < DATE '{Lake.CUTOVER}' AND resolution_status = 'CURRENT_MASTER_BACKFILL'
-       THEN 'LEGACY_FACT_BACKFILL' ELSE resolution_status END AS reconciliation_status,
-  CASE WHEN CAST(registro AS DATE) < DATE '{Lake.CUTOVER}' THEN 'PRODUCTION_LEGACY_HISTORY' ELSE 'SCD2_OPERATIONAL' END
-    AS resolution_source FROM fct_ventas_v2""",
+@query("T8_reconciled_view", O.out(f"""
+WITH period(pre, resolution_source) AS (VALUES (TRUE, 'PRODUCTION_LEGACY_HISTORY'), (FALSE, 'SCD2_OPERATIONAL')),
+renamed(pre, resolution_status, new_name) AS (VALUES (TRUE, '{BACKFILL}', 'LEGACY_FACT_BACKFILL'))
+SELECT {', '.join(KEY)}, registro, resolution_status, COALESCE(new_name, resolution_status) AS reconciliation_status, resolution_source
+FROM (SELECT *, registro < TIMESTAMP '{Lake.CUTOVER}' AS pre FROM fct_ventas_v2) JOIN period USING (pre) LEFT JOIN renamed USING (pre, resolution_status)""",
                                    KEY_SPEC + "registro:ts, resolution_status:s, reconciliation_status:s, resolution_source:s"))
 def t8(lk):
     """Cutover reconciliation: legacy backfill before the cutover, SCD2 after."""
@@ -226,18 +229,15 @@ O.view("snapshot_lines", ["stg_ventas_legacy"],
        ", ".join(O.clean_expr(_E3, n) for n in _E3.names) + " FROM stg_ventas_legacy) s")
 _ALM = f"COALESCE(NULLIF({cs('cod_alm')}, ''), cod_suc)"
 O.view("fct_pre", ["sil_ventas", "snapshot_lines"], f"""
-WITH s AS (SELECT * REPLACE ({_ALM} AS cod_alm) FROM sil_ventas WHERE fecha_registro < DATE '{Lake.CUTOVER}'),
+WITH s AS MATERIALIZED (SELECT * REPLACE ({_ALM} AS cod_alm) FROM sil_ventas WHERE fecha_registro < DATE '{Lake.CUTOVER}'),
 snap AS (SELECT *, {_ALM.replace('cod_alm', 'NULL')} AS cod_alm FROM snapshot_lines WHERE fecha_registro < DATE '{Lake.SNAPSHOT_UNTIL}')
 SELECT {', '.join(KEY)}, registro, fecha_registro, cod_alm, neto_dcto, 'SILVER' AS origen FROM s
 UNION ALL
-SELECT {', '.join(KEY)}, registro, fecha_registro, cod_alm, neto_dcto, 'SNAPSHOT' AS origen FROM snap
-WHERE NOT EXISTS (SELECT 1 FROM s WHERE {' AND '.join(f's.{k} = snap.{k}' for k in KEY)})""")
+SELECT {', '.join(KEY)}, registro, fecha_registro, cod_alm, neto_dcto, 'SNAPSHOT' AS origen FROM snap ANTI JOIN s USING ({', '.join(KEY)})""")
 O.view("fct_post", ["sil_ventas"], f"""SELECT {', '.join(KEY)}, registro, fecha_registro, cod_alm, neto_dcto FROM sil_ventas
 WHERE fecha_registro >= DATE '{Lake.CUTOVER}' AND COALESCE(trim(cod_alm), '') <> ''""")
 O.view("fct_gold", ["fct_pre", "fct_post"], """
-SELECT * EXCLUDE (origen), CASE WHEN origen = 'SNAPSHOT' THEN 'SNAPSHOT_SUCURSAL' ELSE 'PRE_CUTOVER_FALLBACK' END
-  AS cod_alm_resolution FROM fct_pre
-UNION ALL SELECT *, 'POST_CUTOVER_REAL' AS cod_alm_resolution FROM fct_post""")
+SELECT *, 'PRE_COD_ALM' AS cod_alm_resolution FROM fct_pre UNION ALL SELECT *, 'SILVER', 'POST_COD_ALM' FROM fct_post""")
 _PRE_SPEC = KEY_SPEC + "registro:ts, fecha_registro:dt, cod_alm:s, neto_dcto:d"
 _PRE_COLS = [*KEY, "registro", "fecha_registro", "cod_alm", "neto_dcto"]
 
@@ -254,10 +254,10 @@ def m10(lk):
     return lk.fct_post_split[0].select(*_PRE_COLS)
 
 
-@query("M11_fct_gold", O.out("SELECT * FROM fct_gold", _PRE_SPEC + ", cod_alm_resolution:s"))
+@query("M11_fct_gold", O.out("SELECT * FROM fct_gold", _PRE_SPEC + ", cod_alm_resolution:s, origen:s"))
 def m11(lk):
     """Single sales fact with the origin of its warehouse code."""
-    return lk.fct_gold.select(*_PRE_COLS, "cod_alm_resolution")
+    return lk.fct_gold.select(*_PRE_COLS, "cod_alm_resolution", "origen")
 
 
 @query("U2_union_periods", O.out("SELECT cod_alm_resolution, count(*) AS lineas, round(sum(neto_dcto), 2) AS venta FROM fct_gold GROUP BY ALL",
