@@ -13,6 +13,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import ChunkEncoder, cut, read, scratch
 
@@ -24,30 +25,31 @@ _TOTALS = "source string, lang string, tokenizer string, docs long, tokens long"
 WORDS = "words"
 
 
-def token_counts(docs: DataFrame, tokenizers: dict[str, str | None]) -> DataFrame:
-    """``docs`` (doc_id, source, lang, text) as one row per tokenizer version, with ``tokens``. NULL and empty texts have none."""
+def token_counts(docs: DataFrame, tokenizers: dict[str, str | None], text: str = "text") -> DataFrame:
+    """``docs`` less its text as one row per tokenizer version, with ``tokenizer`` and ``tokens``. NULL and empty texts have none."""
     files = {k: v for k, v in tokenizers.items() if v is not None}
     plain = [k for k, v in tokenizers.items() if v is None]
+    keep = [c for c in docs.columns if c not in (text, "tokenizer", "tokens")]
 
     def count(batches):
         encoders = [ChunkEncoder.of(p) for p in files.values()]
         for b in batches:
-            texts, cols = b.column("text"), [b.column(c) for c in ("doc_id", "source", "lang")]
-            lens = [pa.array([len(ids) for ids in e.each(texts)], pa.int64()) for e in encoders]
-            for name, n in zip(files, lens):
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([name] * b.num_rows), n], names=["doc_id", "source", "lang", "tokenizer", "tokens"])
+            texts, cols = b.column(text), [b.column(c) for c in keep]
+            found = {name: pa.array([len(ids) for ids in e.each(texts)], pa.int64()) for name, e in zip(files, encoders)}
             for name in plain:
-                n = [len(t.as_buffer().to_pybytes().split()) if t.is_valid else 0 for t in texts.cast(pa.binary())]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([name] * b.num_rows), pa.array(n, pa.int64())], names=["doc_id", "source", "lang", "tokenizer", "tokens"])
+                found[name] = pa.array([len(t.as_buffer().to_pybytes().split()) if t.is_valid else 0 for t in texts.cast(pa.binary())], pa.int64())
+            for name, n in found.items():
+                yield pa.RecordBatch.from_arrays([*cols, pa.array([name] * b.num_rows, pa.string()), n], names=[*keep, "tokenizer", "tokens"])
 
-    return docs.select("doc_id", "source", "lang", "text").mapInArrow(count, "doc_id long, source string, lang string, tokenizer string, tokens long")
+    schema = T.StructType([*docs.select(*keep).schema, T.StructField("tokenizer", T.StringType()), T.StructField("tokens", T.LongType())])
+    return docs.select(*keep, text).mapInArrow(count, schema)
 
 
 class TokenRollup:
     """Totals of documents and tokens by source, language and tokenizer version, in ``path`` (a shared folder).
 
     ``commit(batch, changes)``: ``changes`` has op (insert, revise, delete), doc_id, source, lang, text and seq. Of a document's
-    changes in a batch the one of greatest seq counts (ties: the greatest op, then text). An insert of a known document
+    changes in a batch the one of greatest seq counts (ties: the greatest op, then the greatest hash of the text). An insert of a known document
     revises it; a revision of an unknown one inserts it; a delete of an unknown one, and any other op, has no effect. A NULL
     doc_id, source or lang is a value like any other. An empty batch is committed and changes nothing.
     """
@@ -70,21 +72,21 @@ class TokenRollup:
             raise ValueError(f"batch id: {batch!r}")
         if batch in self.batches():
             return False
-        last = Window.partitionBy("doc_id").orderBy(F.desc("seq"), F.desc("op"), F.desc("text"))
-        known = F.col("op").isin("insert", "revise", "delete")
-        one = changes.select("op", "doc_id", "source", "lang", "text", "seq").where(known).withColumn("nth", F.row_number().over(last)).where("nth = 1")
-        one = cut(one.select("op", "doc_id", "source", "lang", "text"), "changes")
-        new = token_counts(one.where("op <> 'delete'"), self.tokenizers).withColumn("docs", F.lit(1).cast("long"))
-        new = new.select("doc_id", *KEYS, "docs", "tokens")
+        # texts are counted where they are; only counts are shuffled to find a document's last change
+        rows = changes.where(F.col("op").isin("insert", "revise", "delete")).select("op", "doc_id", "source", "lang", "seq", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tie"), F.when(F.col("op") != "delete", F.col("text")).alias("text"))
+        last = Window.partitionBy("doc_id", "tokenizer").orderBy(F.desc("seq"), F.desc("op"), F.desc("tie"))
+        one = token_counts(rows, self.tokenizers).withColumn("nth", F.row_number().over(last)).where("nth = 1")
+        one = cut(one.select("op", "doc_id", *KEYS, "tokens"), "changes")
+        new = one.where("op <> 'delete'").select("doc_id", *KEYS, F.lit(1).cast("long").alias("docs"), "tokens")
         if self.batches():
             ledger = self._committed("ledger", _LEDGER)
-            ids = one.select(F.col("doc_id").alias("id"))
+            ids = one.select(F.col("doc_id").alias("id")).distinct()
             now = ledger.join(ids, ledger["doc_id"].eqNullSafe(ids["id"]), "left_semi").groupBy("doc_id", *KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
             new = now.select("doc_id", *KEYS, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens")).unionByName(new)
         new.write.mode("overwrite").parquet(f"{self.path}/ledger/{batch}")
         signed = self.spark.read.schema(_LEDGER).parquet(f"{self.path}/ledger/{batch}")
         signed.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).write.mode("overwrite").parquet(f"{self.path}/totals/{batch}")
-        self.spark.createDataFrame([(batch, one.count())], _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        self.spark.createDataFrame([(batch, one.select("doc_id").distinct().count())], _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return True
 
     def totals(self) -> DataFrame:
@@ -94,15 +96,15 @@ class TokenRollup:
 
 
 def feed(documents: DataFrame, labels: DataFrame) -> dict[str, DataFrame]:
-    """Stand-in change batches: all documents are inserted; good labelled ones are revised to less their last line; toxic ones
-    are deleted."""
+    """Stand-in change batches: all documents are inserted; those of one source, which holds a third of the rows, are revised to
+    less their last line; toxic ones are deleted."""
     rows = documents.select("doc_id", "source", "lang", "text")
-    of = lambda what: labels.where(what).select("doc_id").distinct()
+    toxic = labels.where("toxic = 1").select("doc_id").distinct()
     as_batch = lambda df, op, text, seq: df.select(F.lit(op).alias("op"), "doc_id", "source", "lang", text.alias("text"), F.lit(seq).alias("seq"))
     return {
         "load": as_batch(rows, "insert", F.col("text"), 0),
-        "revise": as_batch(rows.join(of("quality = 1"), "doc_id", "left_semi"), "revise", F.regexp_replace("text", r"\n[^\n]*$", ""), 1),
-        "remove": as_batch(rows.join(of("toxic = 1"), "doc_id", "left_semi"), "delete", F.lit(None).cast("string"), 2),
+        "revise": as_batch(rows.where("source = 'src0'"), "revise", F.regexp_replace("text", r"\n[^\n]*$", ""), 1),
+        "remove": as_batch(rows.join(toxic, "doc_id", "left_semi"), "delete", F.lit(None).cast("string"), 2),
     }
 
 
