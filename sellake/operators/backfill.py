@@ -12,16 +12,16 @@ def fortnight_start(d) -> "F.Column":
     return F.when(F.dayofmonth(d) <= 15, m).otherwise(F.date_add(m, 15))
 
 
-def missing_windows(registry: DataFrame, start: str, as_of: str) -> DataFrame:
-    """B1: fortnight windows (1-15, 16-end, clipped at ``as_of``) per tenant x query with no
-    SUCCESS batch in the registry.
+def missing_windows(registry: DataFrame, expected: DataFrame, start: str, as_of: str) -> DataFrame:
+    """B1: fortnight windows (1-15, 16-end, clipped at ``as_of``) per pair of ``expected`` (source_empresa, query_id) with no
+    SUCCESS batch in the registry; a pair that never landed misses all of them.
 
     Windows are generated per (tenant, query) by exploding a month sequence (no
     cross join); the registry's successful days are bucketed to their window start,
     so coverage is an equi anti join instead of a range join.
     """
     s, a = F.lit(start).cast("date"), F.lit(as_of).cast("date")
-    pairs = registry.select("source_empresa", F.col("entity").alias("query_id")).distinct()
+    pairs = expected.select("source_empresa", "query_id").distinct()
     months = pairs.withColumn("_m", F.explode(F.sequence(F.trunc(s, "month"), F.trunc(a, "month"), F.expr("INTERVAL 1 MONTH"))))
     halves = months.withColumn("_h", F.explode(F.array(F.lit(0), F.lit(1))))
     ws = F.when(F.col("_h") == 0, F.col("_m")).otherwise(F.date_add("_m", 15))

@@ -200,9 +200,28 @@ def fct_gold(pre: DataFrame, post: DataFrame) -> DataFrame:
         post.withColumns({"origen": F.lit("SILVER"), "cod_alm_resolution": F.lit(POST_TAG)}), allowMissingColumns=True)
 
 
-def fct_bi(gold: DataFrame, start: str, as_of: str) -> DataFrame:
-    """BI fact window [start, as_of] (P12 filter on the partition date)."""
-    return gold.filter(F.col("fecha_registro").between(F.lit(start).cast("date"), F.lit(as_of).cast("date")))
+def fct_bi(gold: DataFrame, start: str, as_of: str, masters: dict[str, DataFrame]) -> DataFrame:
+    """BI fact: lines in [start, as_of] (P12) with customer, state, city, seller, article, brand, department and
+    supplier names of the masters (J1), and boxes, kg and tons from the article. ``masters``: entity -> Silver table."""
+    x = gold.filter(F.col("fecha_registro").between(F.lit(start).cast("date"), F.lit(as_of).cast("date")))
+    from_article = ["nom_art", "cod_mar", "cod_dep", "cod_sec", "modelo", "cod_uni1", "cap_bulto", "peso"]
+    x = star_enrich(x, [(masters["clientes"], [TENANT, "cod_cli"], ["nom_cli", "rif", "cod_est", "cod_ciu"]),
+                        (masters["articulos"], [TENANT, "cod_art"], from_article),
+                        (masters["vendedores"], [TENANT, "cod_ven"], ["nom_ven"]), (masters["proveedores"], [TENANT, "cod_pro"], ["nom_pro"]),
+                        (masters["estados"], [TENANT, "cod_est"], ["nom_est"]), (masters["ciudades"], [TENANT, "cod_ciu"], ["nom_ciu"]),
+                        (masters["marcas"], [TENANT, "cod_mar"], ["nom_mar"]), (masters["departamentos"], [TENANT, "cod_dep"], ["nom_dep"])])
+    weight = F.col("can_ven") * F.coalesce("peso", F.lit(0))
+    measures = {"unidades_vendidas": F.col("can_ven"), "cajas_vendidas": safe_ratio("can_ven", "cap_bulto", 2),
+                "peso_total_kg": F.round(weight, 2), "peso_total_toneladas": F.round(F.try_divide(weight, F.lit(1000)), 3),
+                "nom_cla": F.lit(None).cast("string")}
+    return x.withColumns(measures).select(*BI_COLUMNS)
+
+
+# --- Fixed values: columns of the BI fact ---
+BI_COLUMNS = [TENANT, "tipo_documento", "cod_suc", "documento", "renglon", "registro", "cod_ven", "nom_ven", "cod_cli", "nom_cli", "rif",
+              "nom_cla", "nom_est", "nom_ciu", "cod_art", "nom_art", "cod_alm", "cod_mar", "nom_mar", "cod_dep", "nom_dep", "cod_sec",
+              "modelo", "cod_pro", "nom_pro", "cod_uni1", "cod_mon", "cod_imp", "unidades_vendidas", "monto_bruto", "neto", "dcto",
+              "tasa", "neto_dcto", "cajas_vendidas", "peso_total_kg", "peso_total_toneladas"]
 
 
 def header_line(lines: DataFrame, headers: DataFrame, key: str, statuses: list[str], status_col: str = "status",

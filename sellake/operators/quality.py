@@ -78,17 +78,19 @@ def check_results(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
     ``actual``: (case_id, value double, row_count long).
     ``expected``: (case_id, criterion, target double, abs_tol double, rel_tol double, lo double, hi double).
-    One row per expectation with ok flag and detail; a case without result fails.
+    ``lo`` and ``hi`` are the least value of NonZeroNumeric (exclusive, default 0), the range of PercentageRange (default 0 to
+    1) and the row counts of RowCountExact (``hi`` defaults to ``lo``; without either, ``target``). One row per expectation
+    with ok flag and detail; a case without result fails.
     """
     x = expected.join(actual, "case_id", "left")
     v, t = F.col("value"), F.col("target")
     tol = F.greatest(F.coalesce(F.col("abs_tol"), F.lit(0.0)), F.coalesce(F.col("rel_tol"), F.lit(0.0)) * F.abs(t))
     c = F.col("criterion")
     ok = (F.when(c == "ExactNumeric", F.abs(v - t) <= tol)
-           .when(c == "NonZeroNumeric", v != 0)
-           .when(c == "PercentageRange", v.between(F.coalesce(F.col("lo"), F.lit(0.0)), F.coalesce(F.col("hi"), F.lit(100.0))))
-           .when(c == "RowCountExact", F.col("row_count") == t)
-           .when(c == "RowCountMinimum", F.col("row_count") >= t)
+           .when(c == "NonZeroNumeric", v > F.coalesce(F.col("lo"), F.lit(0.0)))
+           .when(c == "PercentageRange", v.between(F.coalesce(F.col("lo"), F.lit(0.0)), F.coalesce(F.col("hi"), F.lit(1.0))))
+           .when(c == "RowCountExact", F.col("row_count").between(F.coalesce("lo", t), F.coalesce("hi", "lo", t)))
+           .when(c == "RowCountMinimum", F.col("row_count") >= F.coalesce(t, F.lit(1.0)))
            .when(c == "NonNegativeNumeric", v >= 0)
            .otherwise(F.lit(False)))
     ok = F.coalesce(ok, F.lit(False))

@@ -267,17 +267,66 @@ def u2(lk):
     return lk.fct_gold.groupBy("cod_alm_resolution").agg(F.count("*").alias("lineas"), F.round(F.sum("neto_dcto"), 2).alias("venta"))
 
 
-@query("M12_fct_bi", O.out(f"""SELECT g.source_empresa, g.tipo_documento, g.cod_suc, g.documento, g.renglon, g.fecha_registro,
-  g.cod_alm, g.cod_alm_resolution, g.neto_dcto, COALESCE(suc.nom_suc, g.cod_suc) AS nom_suc, alm.nom_alm
-FROM fct_gold g LEFT JOIN branches suc ON g.source_empresa = suc.source_empresa AND g.cod_suc = suc.cod_suc
-LEFT JOIN sil_almacenes alm ON g.source_empresa = alm.source_empresa AND g.cod_alm = alm.cod_alm
-WHERE g.fecha_registro BETWEEN DATE '1999-01-01' AND DATE '{AS_OF}'""",
-                           KEY_SPEC + "fecha_registro:dt, cod_alm:s, cod_alm_resolution:s, neto_dcto:d, nom_suc:s, nom_alm:s"))
+_MORE = ["cod_ven", "cod_cli", "cod_art", "cod_pro", "cod_mon", "cod_imp", "can_ven", "monto_bruto", "neto", "dcto", "tasa"]
+O.view("gold_lines", ["sil_ventas", "snapshot_lines"], f"""
+WITH sil AS MATERIALIZED (SELECT * REPLACE (if(fecha_registro < DATE '{Lake.CUTOVER}', {_ALM}, cod_alm) AS cod_alm) FROM sil_ventas)
+SELECT {', '.join(KEY + _MORE)}, registro, fecha_registro, cod_alm, neto_dcto FROM sil
+WHERE fecha_registro < DATE '{Lake.CUTOVER}' OR trim(cod_alm) <> ''
+UNION ALL SELECT {', '.join(KEY + _MORE)}, registro, fecha_registro, cod_suc, neto_dcto
+FROM (SELECT * FROM snapshot_lines WHERE fecha_registro < DATE '{Lake.SNAPSHOT_UNTIL}') ANTI JOIN (SELECT * FROM sil WHERE fecha_registro < DATE '{Lake.CUTOVER}') s
+  USING ({', '.join(KEY)})""")
+
+
+def _of(kind: str, code: str) -> str:
+    return f"(SELECT max(n.name) FROM master_names n WHERE n.kind = '{kind}' AND n.source_empresa = g.source_empresa AND n.code = {code})"
+
+
+def _place(table: str, key: str, name: str) -> str:
+    return f"(SELECT max(p.{name}) FROM {table} p WHERE p.source_empresa = g.source_empresa AND p.{key} = g.cli.{key})"
+
+
+_BI_SPEC = ", ".join(f"{c}:{'ts' if c == 'registro' else 'd' if c in ('renglon', 'unidades_vendidas', 'monto_bruto', 'neto', 'dcto', 'tasa', 'neto_dcto') or c.startswith(('cajas', 'peso')) else 's'}"
+                     for c in facts.BI_COLUMNS)
+
+
+@query("M12_fct_bi", O.out(f"""
+SELECT source_empresa, tipo_documento, cod_suc, documento, renglon, registro, cod_ven, {_of('ven', 'g.cod_ven')} AS nom_ven, cod_cli,
+  g.cli.nom_cli AS nom_cli, g.cli.rif AS rif, NULL::VARCHAR AS nom_cla, {_place('sil_estados', 'cod_est', 'nom_est')} AS nom_est,
+  {_place('sil_ciudades', 'cod_ciu', 'nom_ciu')} AS nom_ciu, cod_art, g.art.nom_art AS nom_art, cod_alm, g.art.cod_mar AS cod_mar,
+  {_of('mar', 'g.art.cod_mar')} AS nom_mar, g.art.cod_dep AS cod_dep, {_of('dep', 'g.art.cod_dep')} AS nom_dep, g.art.cod_sec AS cod_sec,
+  g.art.modelo AS modelo, cod_pro, {_of('pro', 'g.cod_pro')} AS nom_pro, g.art.cod_uni1 AS cod_uni1, cod_mon, cod_imp, can_ven AS unidades_vendidas,
+  monto_bruto, neto, dcto, tasa, neto_dcto, round(CAST(can_ven / nullif(g.art.cap_bulto, 0) AS DECIMAL(38,10)), 2) AS cajas_vendidas,
+  round(can_ven * ifnull(g.art.peso, 0), 2) AS peso_total_kg, round(CAST(can_ven * ifnull(g.art.peso, 0) / 1000 AS DECIMAL(38,10)), 3) AS peso_total_toneladas
+FROM (SELECT l.*, (SELECT any_value(c) FROM sil_clientes c WHERE c.source_empresa = l.source_empresa AND c.cod_cli = l.cod_cli) AS cli,
+    (SELECT any_value(a) FROM sil_articulos a WHERE a.source_empresa = l.source_empresa AND a.cod_art = l.cod_art) AS art
+  FROM gold_lines l WHERE fecha_registro BETWEEN DATE '1999-01-01' AND DATE '{AS_OF}') g""", _BI_SPEC))
 def m12(lk):
-    """BI fact window [1999-01-01, as_of] enriched with branch and warehouse names."""
-    g = facts.fct_bi(lk.fct_gold, "1999-01-01", lk.as_of)
-    suc = lk.branches.select("source_empresa", "cod_suc", F.col("nom_suc").alias("_ns"))
-    alm = lk.sil("almacenes").select("source_empresa", "cod_alm", "nom_alm")
-    x = facts.star_enrich(g, [(suc, ["source_empresa", "cod_suc"], ["_ns"]), (alm, ["source_empresa", "cod_alm"], ["nom_alm"])])
-    return x.select(*KEY, "fecha_registro", "cod_alm", "cod_alm_resolution", "neto_dcto",
-                    F.coalesce("_ns", "cod_suc").alias("nom_suc"), "nom_alm")
+    """BI fact window [1999-01-01, as_of] with all master names, boxes, kg and tons."""
+    names = ["clientes", "articulos", "vendedores", "proveedores", "estados", "ciudades", "marcas", "departamentos"]
+    return facts.fct_bi(lk.fct_gold, "1999-01-01", lk.as_of, {n: lk.sil(n) for n in names})
+
+
+_LINE_COLS = [*KEY, "registro", "fecha_registro", "cod_ven", "nom_ven", "cod_cli", "nom_cli", "nom_cla", "nom_est", "nom_ciu", "cod_art", "cod_alm",
+              "cod_mar", "nom_mar", "nom_dep", "cod_sec", "modelo", "cod_pro", "nom_pro", "nom_art", "cod_uni1", "unidades_vendidas", "cajas_vendidas",
+              "peso_total_kg", "peso_total_toneladas", "monto_bruto", "cod_mon", "rif", "cod_imp", "neto", "dcto", "tasa", "neto_dcto"]
+_NUM = {"renglon", "unidades_vendidas", "cajas_vendidas", "peso_total_kg", "peso_total_toneladas", "monto_bruto", "neto", "dcto", "tasa", "neto_dcto"}
+
+
+def _spec(cols):
+    kind = {"registro": "ts", "fecha_registro": "dt", "anio": "i", "mes": "i", "fecha_key": "i", "trimestre": "i", "semana_del_anio": "i", "quincena": "i"}
+    return ", ".join(f"{c}:{kind.get(c, 'd' if c in _NUM else 's')}" for c in cols)
+
+
+@query("M7_sales_line_measures", O.out(f"SELECT {', '.join(_LINE_COLS)} FROM lines", _spec(_LINE_COLS)))
+def m7(lk):
+    """M7: sales lines with units, boxes, kg and tons, and names back-filled from the masters."""
+    return lk.lines.select(*_LINE_COLS)
+
+
+_FCT_COLS = [*_LINE_COLS, "nombre_empresa", "razon_social_empresa", *facts.CAL_COLS]
+
+
+@query("M8_fct_ventas_legacy", O.out(f"SELECT {', '.join(_FCT_COLS)} FROM fct_ventas", _spec(_FCT_COLS)))
+def m8(lk):
+    """M8: sales fact by an inner join to the calendar, with tenant names and calendar attributes."""
+    return facts.fct_sales(lk.lines, lk.dim_empresa, lk.calendar).select(*_FCT_COLS)

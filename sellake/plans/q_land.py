@@ -74,14 +74,14 @@ _J = (f"regexp_replace(CAST(CASE WHEN o_orderkey % 11 = 0 THEN to_json(struct_pa
       f"ELSE to_json(struct_pack({_snake}, campo_extra := {_EXTRA}, _interno := {_RES})) END AS VARCHAR), ',\"[A-Za-z_]+\":null', '', 'g')")
 O.view("payloads", ["erp_sales_lines"], f"""
 SELECT source_empresa || '-' || CAST(o_orderkey AS VARCHAR) AS payload_id, source_empresa, 'ventas_diarias_v3' AS query_id,
-  '3' AS query_version, '{A.QUERY_SQL_HASH}' AS query_sql_hash, strftime(o_orderdate, '%Y-%m-%d') AS dt,
-  'run-' || strftime(o_orderdate, '%Y%m%d') AS run_id, o_orderdate + INTERVAL 1 DAY AS _ingested_at,
+  '3' AS query_version, '{A.QUERY_SQL_HASH}' AS query_sql_hash, strftime(win, '%Y-%m-%d') AS dt,
+  'run-' || strftime(win, '%Y%m%d') AS run_id, o_orderdate + INTERVAL 1 DAY AS _ingested_at,
   CASE WHEN o_orderkey % 101 = 0 THEN '<html><body>Error 500</body></html>'
        WHEN o_orderkey % 103 = 0 THEN '{{"llError":true,"d":{{"laTablas":[]}}}}'
        WHEN o_orderkey % 107 = 0 THEN '{{"d":{{"laTablas":[[]]}}}}'
        ELSE (CASE WHEN o_orderkey % 5 = 0 THEN chr(65279) ELSE '' END) || '{{"' ||
             (CASE WHEN o_orderkey % 3 = 0 THEN 'datos' ELSE 'd' END) || '":{{"laTablas":[[' || rows || ']]}}}}' END AS payload
-FROM (SELECT source_empresa, o_orderkey, o_orderdate, array_to_string(list_sort(list({_J})), ',') AS rows
+FROM (SELECT source_empresa, o_orderkey, o_orderdate, date_trunc('month', o_orderdate)::DATE + if(day(o_orderdate) > 15, 15, 0) AS win, array_to_string(list_sort(list({_J})), ',') AS rows
       FROM erp_sales_lines GROUP BY source_empresa, o_orderkey, o_orderdate) g""")
 O.view("hashed", ["payloads"], """SELECT *, sha256(payload) AS _payload_hash,
   sha256(source_empresa || '|' || query_id || '|' || dt || '|' || sha256(payload)) AS _lote_id FROM payloads""")
@@ -132,7 +132,8 @@ SELECT _lote_id AS batch_id, run_id, query_id AS entity, source_empresa, dt, sta
   _ingested_at + to_seconds(o) AS inserted_at
 FROM (SELECT h.*, o.record_count, unnest([struct_pack(status := 'WRITTEN', o := 0),
         struct_pack(status := CASE WHEN o.final_status = 'SUCCESS'
-                                   THEN CASE WHEN CAST(split_part(h.payload_id, '-', -1) AS BIGINT) % 17 = 0 THEN NULL ELSE 'SUCCESS' END
+                                   THEN CASE WHEN CAST(split_part(h.payload_id, '-', -1) AS BIGINT) % 17 = 0
+                                                  OR (h.dt::DATE - DATE '1970-01-01' + length(h.source_empresa)) % 7 = 0 THEN NULL ELSE 'SUCCESS' END
                                    ELSE o.final_status END, o := 1)], recursive := true)
       FROM hashed h JOIN outcome o USING (payload_id)) x WHERE status IS NOT NULL""")
 O.view("latest_batches", ["batch_log"], """
@@ -279,7 +280,7 @@ def a4(lk):
 
 
 @query("B1_missing_windows", O.out(f"""
-WITH pairs AS (SELECT DISTINCT source_empresa, entity AS query_id FROM latest_batches),
+WITH pairs AS (SELECT source_empresa, unnest(['ventas_diarias_v3', 'clientes']) AS query_id FROM tenants),
 w AS (SELECT source_empresa, query_id, CASE WHEN h = 0 THEN m ELSE m + 15 END AS window_start,
         least(CASE WHEN h = 0 THEN m + 14 ELSE last_day(m) END, DATE '2001-07-31') AS window_end
       FROM pairs, unnest(generate_series(DATE '{BACKFILL_START}', DATE '2001-07-01', INTERVAL 1 MONTH)) AS g(mt),
@@ -293,8 +294,9 @@ SELECT * FROM w WHERE window_start <= DATE '2001-07-31' AND window_end >= DATE '
                   AND CAST(d.window_start AS DATE) = w.window_start)""",
     "source_empresa:s, query_id:s, window_start:dt, window_end:dt"))
 def b1(lk):
-    """B1: fortnight windows per tenant and query with no successful batch (to backfill)."""
-    return missing_windows(LD.latest_batches(ld(lk).log()), BACKFILL_START, lk.as_of)
+    """B1: fortnight windows per expected tenant and query with no successful batch, also where none was ever landed."""
+    expected = lk.tenants.select("source_empresa", F.explode(F.array(F.lit("ventas_diarias_v3"), F.lit("clientes"))).alias("query_id"))
+    return missing_windows(LD.latest_batches(ld(lk).log()), expected, BACKFILL_START, lk.as_of)
 
 
 @query("S2_bronze_write", O.out("SELECT source_empresa, dt, _run_id AS run_id, count(*) AS record_count FROM landed GROUP BY ALL",

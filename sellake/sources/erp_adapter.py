@@ -445,6 +445,8 @@ def sales_payloads(spark: SparkSession, d: str) -> DataFrame:
     rows = lines.withColumn("_j", F.when(k % 11 == 0, pascal).otherwise(snake))
     g = rows.groupBy("source_empresa", "o_orderkey", "o_orderdate").agg(
         F.array_join(F.sort_array(F.collect_list("_j")), ",").alias("_rows"))
+    # an extraction covers a fortnight (1-15, 16-end)
+    window = F.when(F.dayofmonth("o_orderdate") <= 15, F.trunc("o_orderdate", "month")).otherwise(F.date_add(F.trunc("o_orderdate", "month"), 15))
     root = F.when(k % 3 == 0, F.lit("datos")).otherwise(F.lit("d"))
     env = F.concat(F.lit('{"'), root, F.lit('":{"laTablas":[['), F.col("_rows"), F.lit("]]}}"))
     env = F.when(k % 5 == 0, F.concat(F.lit("﻿"), env)).otherwise(env)
@@ -456,18 +458,20 @@ def sales_payloads(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.col("source_empresa"), F.lit("-"), k.cast("string")).alias("payload_id"),
         "source_empresa", F.lit("ventas_diarias_v3").alias("query_id"), F.lit("3").alias("query_version"),
         F.lit(QUERY_SQL_HASH).alias("query_sql_hash"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"),
-        F.concat(F.lit("run-"), F.date_format("o_orderdate", "yyyyMMdd")).alias("run_id"),
+        F.date_format(window, "yyyy-MM-dd").alias("dt"),
+        F.concat(F.lit("run-"), F.date_format(window, "yyyyMMdd")).alias("run_id"),
         (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).cast("timestamp").alias("_ingested_at"),
         payload.alias("payload"))
 
 
 def batch_log(payloads_hashed: DataFrame, outcome: DataFrame) -> DataFrame:
     """Append-only batch status log: WRITTEN then the final status one second later;
-    every 17th landed batch stays at WRITTEN (crash between stage and promote)."""
+    every 17th landed batch stays at WRITTEN (crash between stage and promote), and so do all of a run whose day and tenant
+    name add up to a multiple of 7 (an extraction that broke down)."""
     x = payloads_hashed.join(outcome, "payload_id")
     k = F.substring_index("payload_id", "-", -1).cast("long")
-    final = F.when(F.col("final_status") == "SUCCESS", F.when(F.pmod(k, 17) == 0, F.lit(None)).otherwise(F.lit("SUCCESS"))) \
+    broken = F.pmod(F.datediff(F.col("dt").cast("date"), F.lit("1970-01-01").cast("date")) + F.length("source_empresa"), F.lit(7)) == 0
+    final = F.when(F.col("final_status") == "SUCCESS", F.when((F.pmod(k, 17) == 0) | broken, F.lit(None)).otherwise(F.lit("SUCCESS"))) \
         .otherwise(F.col("final_status"))
     ev = F.array(F.struct(F.lit("WRITTEN").alias("status"), F.lit(0).alias("o")),
                  F.struct(final.alias("status"), F.lit(1).alias("o")))
