@@ -94,30 +94,37 @@ def calendar_for(spark: SparkSession, df: DataFrame, ts_col: str) -> DataFrame:
     return calendar(spark, lo, hi)
 
 
-def flatten_scopes(users: DataFrame) -> DataFrame:
-    """User documents (nested seller array) -> one scope row per (mail, tenant, branch, seller).
+# --- Fixed values: roles and states of a scope ---
+SELLER, ANALYST, ADMIN = "VENDEDOR", "ANALISTA_VENTAS", "SUPERADMIN"
+ACTIVE, INACTIVE = "A", "I"
 
-    A scope is active only when the user and the seller entry are both active.
-    Admin/analyst roles keep NULL scope columns (unrestricted); users without
-    seller entries keep one row with NULL scopes.
+
+def flatten_scopes(users: DataFrame, admin: str | None = None, staff_domains: tuple[str, ...] = ()) -> DataFrame:
+    """User documents -> one scope row per (mail, tenant, branch, seller).
+
+    ``users`` has ``source``: documents of "vendedores" are sellers, with one row per assignment (or one for their tenant
+    when they have none), active when the user and the assignment are. Documents of "users" give a row only for analysts,
+    admins and mails of ``staff_domains``; it has no tenant, so it is global. ``admin`` is one more, unrestricted
+    administrator. Documents without a mail are left out.
     """
-    u = users.select(
-        F.col("id").alias("uid"),
-        F.lower(clean_str("email")).alias("correo"),
-        F.split(F.lower(clean_str("email")), "@").getItem(1).alias("domain"),
-        F.col("isActive").alias("user_active"),
-        F.col("tenantId").alias("tenant_id"),
-        F.upper(clean_str("role")).alias("role_type"),
-        F.explode_outer("vendedores").alias("v"),
-    )
-    return u.select(
-        "uid", "correo", "domain",
-        F.coalesce(F.col("v.empresa"), F.col("v.tenantId"), F.col("tenant_id")).alias("source_empresa"),
-        clean_str(F.col("v.codSucursal")).alias("cod_suc"),
-        F.lit(None).cast("string").alias("cod_pro"),
-        clean_str(F.col("v.codVendedor")).alias("cod_ven"),
-        "role_type",
-        F.when(F.coalesce(F.col("user_active"), F.lit(False)) &
-               (F.col("v").isNull() | (F.lower(F.coalesce(F.col("v.status"), F.lit("active"))) == "active")),
-               F.lit("ACTIVE")).otherwise(F.lit("INACTIVE")).alias("status"),
-    )
+    mail = F.lower(clean_str("email"))
+    u = users.filter(F.coalesce(mail, F.lit("")) != "").select(
+        "source", F.col("id").alias("uid"), mail.alias("correo"), F.when(mail.contains("@"), F.element_at(F.split(mail, "@"), -1)).alias("domain"),
+        F.lower(clean_str("tenantId")).alias("tenant"), F.coalesce("role", F.lit("")).alias("role"),
+        F.when(F.coalesce("isActive", F.lit(True)), F.lit(ACTIVE)).otherwise(F.lit(INACTIVE)).alias("state"), "vendedores")
+    null = F.lit(None).cast("string")
+    out = ["uid", "correo", "domain", "source_empresa", "cod_suc", "cod_pro", "cod_ven", "role_type", "status"]
+    sellers = u.filter("source = 'vendedores'").select("*", F.explode_outer("vendedores").alias("v"))
+    sellers = sellers.withColumns({
+        "source_empresa": F.when(F.col("v").isNull(), F.col("tenant")).otherwise(F.lower(clean_str(F.coalesce("v.empresa", "v.tenantId")))),
+        "cod_suc": clean_str(F.col("v.codSucursal")), "cod_pro": null, "cod_ven": clean_str(F.col("v.codVendedor")), "role_type": F.lit(SELLER),
+        "status": F.when((F.col("state") == ACTIVE) & (F.coalesce("v.status", F.lit(ACTIVE)) == ACTIVE), F.lit(ACTIVE)).otherwise(F.lit(INACTIVE))})
+    analyst, chief = F.col("role").contains("Analista"), F.col("role").contains("Admin")
+    staff = u.filter((F.col("source") == "users") & (analyst | chief | F.col("domain").isin(*staff_domains)))
+    staff = staff.withColumns({"source_empresa": null, "cod_suc": null, "cod_pro": null, "cod_ven": null, "status": F.col("state"),
+                               "role_type": F.when(~analyst & chief, F.lit(ADMIN)).otherwise(F.lit(ANALYST))})
+    rows = sellers.select(*out).unionByName(staff.select(*out))
+    if admin:
+        one = [F.lit("superadmin"), F.lit(admin), F.lit(admin.rpartition("@")[2]), null, null, null, null, F.lit(ADMIN), F.lit(ACTIVE)]
+        rows = rows.unionByName(users.sparkSession.range(1).select(*[c.alias(n) for c, n in zip(one, out)]))
+    return rows

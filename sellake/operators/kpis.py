@@ -106,16 +106,31 @@ def gps_share(fact: DataFrame, customers: DataFrame, by: list[str]) -> DataFrame
 
 
 def monthly_activation(fact: DataFrame, by: list[str]) -> DataFrame:
-    """One table per scope and month with K1, K2, K4, K5, K6, K7 and boxes."""
-    base = fact.groupBy(*by).agg(
-        F.round(F.sum("neto_dcto"), 2).alias("venta_neta"),
-        F.round(F.try_divide(F.sum("neto_dcto"), F.count_distinct("documento")), 2).alias("ticket_promedio"),
-        F.round(F.sum("cajas_vendidas"), 2).alias("cajas"))
-    rate = activation_rate(fact, by)
-    zero = zero_sale_customers(fact, by).groupBy(*by).agg(F.count("*").alias("clientes_venta_cero"))
-    x = base.join(rate, by, "left").join(zero, by, "left")
-    # scopes with a NULL key (e.g. lines without supplier) count 0 activated / portfolio customers
-    return x.fillna(0, ["clientes_venta_cero", "clientes_activados", "cartera_90d"])
+    """One table per scope and month with K1, K2, K4, K5, K6, K7 and boxes.
+
+    The fact is reduced once to (scope, month, customer) with amounts and a positive flag. A buyer is activated in its month
+    and in the portfolio of the next three; these flags are stacked, folded per customer and summed per scope. Invoices need a
+    reduction of their own. All parts meet in one aggregation instead of joins. A scope with a NULL key has no
+    activated or portfolio customers.
+    """
+    scope = [c for c in by if c != MONTH]
+    per = fact.groupBy(*by, "cod_cli").agg(F.sum("neto_dcto").alias("_v"), F.sum("cajas_vendidas").alias("_c"), F.max(F.col("neto_dcto") > 0).alias("_pos"))
+    whole = F.lit(True)
+    for c in by:
+        whole = whole & F.col(c).isNotNull()
+    buys = per.filter(F.col("_pos") & whole).select(*by, "cod_cli").withColumn("_k", F.explode(F.array(*[F.lit(k) for k in range(4)])))
+    buys = buys.select(*scope, F.add_months(MONTH, F.col("_k")).alias(MONTH), "cod_cli", (F.col("_k") == 0).cast("long").alias("_a"), (F.col("_k") > 0).cast("long").alias("_p"))
+    flags = buys.groupBy(*by, "cod_cli").agg(F.max("_a").alias("_a"), F.max("_p").alias("_p"))
+    docs = fact.filter(F.col("documento").isNotNull()).select(*by, "documento").dropDuplicates()
+    parts = [per.select(*by, "_v", "_c", F.lit(1).alias("_seen")), docs.select(*by, F.lit(1).alias("_d")),
+             flags.select(*by, "_a", "_p", F.greatest(F.col("_p") - F.col("_a"), F.lit(0)).alias("_z"))]
+    x = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True).groupBy(*by).agg(
+        F.sum("_v").alias("_v"), F.sum("_c").alias("_c"), F.sum("_d").alias("_d"), F.max("_seen").alias("_seen"),
+        *[F.coalesce(F.sum(s), F.lit(0)).alias(n) for s, n in (("_a", "clientes_activados"), ("_p", "cartera_90d"), ("_z", "clientes_venta_cero"))])
+    return x.filter("_seen = 1").select(
+        *by, F.round("_v", 2).alias("venta_neta"), F.round(F.try_divide("_v", "_d"), 2).alias("ticket_promedio"), F.round("_c", 2).alias("cajas"),
+        "clientes_activados", "cartera_90d",
+        F.round(F.try_divide(F.col("clientes_activados"), F.nullif(F.col("cartera_90d"), F.lit(0))) * 100, 2).alias("tasa_activacion"), "clientes_venta_cero")
 
 
 def seller_productivity(fact: DataFrame, by: list[str]) -> DataFrame:

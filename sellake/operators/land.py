@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..contracts import AUDIT_COLUMNS, Entity, contract_to_schema
 from ..functions.hashing import NULL_SENTINEL, UNIT_SEPARATOR, batch_id, payload_hash
@@ -119,7 +120,8 @@ def map_row_hash(m: Column) -> Column:
 
 
 def enrich(rows: DataFrame, entity: Entity, id_col: str = "payload_id") -> DataFrame:
-    """H4: typed contract columns from the row map + the nine lineage columns.
+    """H4: typed contract columns from the row map + the nine lineage columns. Nothing of the row is lost: ``_extra`` has the
+    fields outside the contract, ``_bad_numbers`` the text of numbers that do not parse (their columns are NULL).
 
     ``rows`` carry their batch attributes (query, version, sql hash, run, batch id,
     payload hash, ingest time) from the envelope scan. Payloads with reserved
@@ -130,7 +132,11 @@ def enrich(rows: DataFrame, entity: Entity, id_col: str = "payload_id") -> DataF
     for c in entity.columns:
         v = F.col("row").getItem(c.name)
         typed.append((v.try_cast("double") if c.type == "number" else v).alias(c.name))
-    return x.select(id_col, "row_index", *typed,
+    number = F.array(*[F.lit(c.name) for c in entity.columns if c.type == "number"])
+    known = F.array(*[F.lit(c) for c in entity.names])
+    extra = F.map_filter("row", lambda k, v: ~F.array_contains(known, k))
+    bad = F.map_filter("row", lambda k, v: F.array_contains(number, k) & v.isNotNull() & v.try_cast("double").isNull())
+    return x.select(id_col, "row_index", *typed, extra.alias("_extra"), bad.alias("_bad_numbers"),
                     F.col("_ingested_at"), F.col("source_empresa"), F.col("query_id").alias("_query_id"),
                     F.col("query_version").alias("_query_version"), F.col("query_sql_hash").alias("_query_sql_hash"),
                     F.col("run_id").alias("_run_id"), "_lote_id", "_payload_hash", map_row_hash(F.col("row")).alias("_row_hash"),
@@ -183,6 +189,8 @@ def load_staging(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
     for a in AUDIT_COLUMNS:
         if a not in ("source_empresa", "_run_id"):
             schema = schema.add(a, "timestamp" if a == "_ingested_at" else "string")
+    for m in ("_extra", "_bad_numbers"):
+        schema = schema.add(m, T.MapType(T.StringType(), T.StringType()))
     # partition columns (source_empresa, dt, run_id) are discovered from the directory layout
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 

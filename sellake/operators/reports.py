@@ -135,18 +135,25 @@ def activable_rif_90d(fact: DataFrame, branches: DataFrame, as_of: str) -> DataF
 
 
 def activable_volume(fact: DataFrame, as_of: str) -> DataFrame:
-    """90-day base per tenant/seller/supplier/brand with distinct customers, SKUs, documents,
-    units, boxes and tons."""
-    f = _window(fact, as_of, 90)
-    return f.groupBy(F.col(TENANT).alias("empresa"), F.col("cod_ven").alias("codigo_vendedor"),
-                     F.col("cod_pro").alias("codigo_proveedor"), F.col("cod_mar").alias("codigo_marca")).agg(
-        F.count_distinct("cod_cli").alias("clientes_90d"),
-        F.count_distinct("cod_art").alias("skus_distintos"),
-        F.count_distinct("documento").alias("documentos"),
-        F.sum("unidades_vendidas").alias("unidades"),
-        F.round(F.sum("cajas_vendidas"), 2).alias("cajas"),
-        F.round(F.sum("peso_total_toneladas"), 3).alias("toneladas"),
-    )
+    """90-day base per tenant, branch, seller, supplier and brand (codes and names) with distinct customers, SKUs and
+    documents, units, boxes, tons, amount and last sale."""
+    names = {TENANT: "empresa", "cod_suc": "codigo_sucursal", "cod_ven": "codigo_vendedor", "nom_ven": "nombre_vendedor", "cod_pro": "codigo_proveedor",
+             "nom_pro": "nombre_proveedor", "cod_mar": "codigo_marca", "nom_mar": "nombre_marca"}
+    keys = list(names.values())
+    f = _window(fact, as_of, 90).withColumnsRenamed(names)
+    sums = f.groupBy(*keys).agg(F.sum("unidades_vendidas").alias("total_unidades"), F.round(F.sum("cajas_vendidas"), 2).alias("total_cajas"),
+                                F.round(F.sum("peso_total_toneladas"), 3).alias("total_toneladas"), F.round(F.sum("neto_dcto"), 2).alias("monto_total_venta_usd"),
+                                F.max("fecha_registro").alias("fecha_ultima_venta"))
+    # distinct members in two steps, each kind reduced to one row per member before it is counted
+    kinds = {"cod_cli": "base_activable_clientes", "cod_art": "skus_distintos_comprados", "documento": "total_documentos"}
+    none = {n: F.lit(0).cast("long") for n in kinds.values()}
+    parts = [f.select(*keys, c).dropDuplicates().groupBy(*keys).agg(F.count(c).alias("_n")).select(*keys, *[(F.col("_n") if m == n else v).alias(m) for m, v in none.items()])
+             for c, n in kinds.items()]
+    typed = {c: F.lit(None).cast(sums.schema[c].dataType) for c in sums.columns if c not in keys}
+    stacked = sums.withColumns(none)
+    for part in parts:
+        stacked = stacked.unionByName(part.withColumns(typed))
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in typed], *[F.max(c).alias(c) for c in none])
 
 
 PORTFOLIO_KEY = ["empresa", "codigo_sucursal", "codigo_vendedor", "codigo_proveedor", "codigo_cliente"]
@@ -479,18 +486,16 @@ def inventory_shared(stock: DataFrame, articles: DataFrame) -> DataFrame:
                     F.col("fecha_registro").alias("fecha_actualizacion"))
 
 
-def inventory_sync(silver_stock: DataFrame, gold_snapshots: DataFrame) -> DataFrame:
-    """Per tenant rows, warehouses, articles and units in Silver vs the latest Gold snapshot."""
-    s = silver_stock.groupBy(TENANT).agg(F.count("*").alias("filas_silver"),
-                                         F.count_distinct("cod_alm").alias("almacenes_silver"),
-                                         F.count_distinct("cod_art").alias("articulos_silver"),
-                                         F.round(F.sum("exi_act1"), 2).alias("unidades_silver"))
-    last = gold_snapshots.groupBy(TENANT).agg(F.max("snapshot_date").alias("_last"))
-    g = gold_snapshots.join(last, TENANT).filter(F.col("snapshot_date") == F.col("_last")).groupBy(TENANT).agg(
-        F.count("*").alias("filas_gold"), F.round(F.sum("unidades"), 2).alias("unidades_gold"),
-        F.max("snapshot_date").alias("ultimo_snapshot"))
-    x = s.join(g, TENANT, "full")
-    return x.withColumn("sincronizado", F.coalesce(F.col("unidades_silver") == F.col("unidades_gold"), F.lit(False)))
+def inventory_sync(silver_stock: DataFrame, gold_report: DataFrame) -> DataFrame:
+    """Per tenant rows, warehouses, articles and units of the stock in Silver (above 0) and in the inventory report."""
+    def side(df, tenant, alm, art, units, name):
+        pairs = df.select(F.col(tenant).alias(TENANT), F.col(alm).alias("_w"), F.col(art).alias("_a"), F.col(units).alias("_u"))
+        return pairs.groupBy(TENANT).agg(F.count("*").alias(f"filas_{name}"), F.count_distinct("_w").alias(f"almacenes_{name}"),
+                                         F.round(F.sum("_u"), 2).alias(f"unidades_{name}"))
+    s = side(silver_stock.filter(F.col("exi_act1") > 0), TENANT, "cod_alm", "cod_art", "exi_act1", "silver")
+    g = side(gold_report, "empresa", "codigo_almacen", "codigo_articulo", "unidades_totales", "gold")
+    same = (F.col("filas_silver") == F.col("filas_gold")) & (F.col("unidades_silver") == F.col("unidades_gold"))
+    return s.join(g, TENANT, "full").withColumn("sincronizado", F.coalesce(same, F.lit(False)))
 
 
 def gps_coverage(customers: DataFrame) -> DataFrame:

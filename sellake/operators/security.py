@@ -17,23 +17,25 @@ NOT_EXPOSED = ("rif", "gps", "latitud", "longitud", "documento", "renglon")
 # -------------------------------------------------------------------------------
 
 
-def row_scope(fact: DataFrame, scopes: DataFrame, principal: str) -> DataFrame:
-    """Fact rows visible to ``principal`` (fail closed: unknown principal -> no rows).
+def row_scope(fact: DataFrame, scopes: DataFrame, principal: str, tenants: DataFrame) -> DataFrame:
+    """Fact rows visible to ``principal`` (fail closed: an unknown principal, and a tenant not in ``tenants``, see nothing).
 
-    Active scope rows of the principal are tiny (one per assignment) and are
-    broadcast; each NULL scope column means "unrestricted" on that column and an
-    unrestricted role sees every row. The semi join keeps the fact's grain.
+    A NULL scope column means "unrestricted" on that column; an unrestricted role sees every row. A scope without a tenant
+    becomes one row per tenant, so the join is an equi join on the tenant, with the other columns as a condition; the semi
+    join keeps the fact's grain, and Spark broadcasts the scopes only if they are small when it runs.
     """
-    mine = scopes.filter((F.lower(clean_str("correo")) == principal.strip().lower()) & (F.col("status") == "ACTIVE"))
-    s = mine.select(F.col("source_empresa").alias("_e"), F.col("cod_suc").alias("_s"), F.col("cod_pro").alias("_p"),
-                    F.col("cod_ven").alias("_v"), F.upper(F.col("role_type")).alias("_r"))
-    free = F.col("_r").isin(*UNRESTRICTED_ROLES)
+    mine = scopes.filter((F.lower(clean_str("correo")) == principal.strip().lower()) & (F.col("status") == "A"))
+    free = F.upper("role_type").isin(*UNRESTRICTED_ROLES)
+    part = lambda c: F.when(~free, F.col(c))
+    s = mine.select(part("source_empresa").alias("_e"), part("cod_suc").alias("_s"), part("cod_pro").alias("_p"), part("cod_ven").alias("_v"))
+    everywhere = s.filter("_e is null").drop("_e").select(F.lit(1).alias("_one"), "*").join(
+        tenants.select(F.lit(1).alias("_one"), F.col("source_empresa").alias("_e")).distinct(), "_one")
+    s = s.filter("_e is not null").unionByName(everywhere.drop("_one"))
 
     def ok(scope_col, fact_col):
         return F.col(scope_col).isNull() | (F.col(scope_col) == fact[fact_col])
 
-    cond = free | (ok("_e", "source_empresa") & ok("_s", "cod_suc") & ok("_p", "cod_pro") & ok("_v", "cod_ven"))
-    return fact.join(F.broadcast(s), cond, "left_semi")
+    return fact.join(s, (F.col("_e") == fact["source_empresa"]) & ok("_s", "cod_suc") & ok("_p", "cod_pro") & ok("_v", "cod_ven"), "left_semi")
 
 
 def tenant_view(df: DataFrame, tenant: str, sellers: list[str] | None = None) -> DataFrame:

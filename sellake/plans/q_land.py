@@ -121,7 +121,8 @@ _TYPED = ", ".join(f"TRY_CAST(row['{c.name}'] AS DOUBLE) AS {c.name}" if c.type
                    for c in E3.columns)
 O.view("landed", ["scan_rows", "bad"], f"""
 SELECT payload_id, row_index, {_TYPED}, _ingested_at, source_empresa, query_id AS _query_id, query_version AS _query_version,
-  query_sql_hash AS _query_sql_hash, run_id AS _run_id, _lote_id, _payload_hash, {_MAPHASH} AS _row_hash, dt
+  query_sql_hash AS _query_sql_hash, run_id AS _run_id, _lote_id, _payload_hash, {_MAPHASH} AS _row_hash, dt,
+  len(list_filter(map_keys(row), lambda k: NOT list_contains({list(E3.names)}, k))) AS n_extra
 FROM scan_rows WHERE payload_id NOT IN (SELECT payload_id FROM bad)""")
 O.view("outcome", ["payloads", "bad", "landed"], """
 SELECT p.payload_id, CASE WHEN b.payload_id IS NOT NULL THEN 'QUARANTINED' ELSE 'SUCCESS' END AS final_status,
@@ -184,16 +185,16 @@ def h3(lk):
 
 
 _H4 = ("payload_id, row_index, tipo_documento, documento, renglon, neto_dcto, _ingested_at, source_empresa, _query_id, "
-       "_query_version, _query_sql_hash, _run_id, _lote_id, _payload_hash, _row_hash, dt")
+       "_query_version, _query_sql_hash, _run_id, _lote_id, _payload_hash, _row_hash, dt, n_extra")
 
 
 @query("H4_enrich_lineage", O.out(f"SELECT {_H4} FROM landed",
                                   "payload_id:s, row_index:i, tipo_documento:s, documento:s, renglon:d, neto_dcto:d, "
                                   "_ingested_at:ts, source_empresa:s, _query_id:s, _query_version:s, _query_sql_hash:s, "
-                                  "_run_id:s, _lote_id:s, _payload_hash:s, _row_hash:s, dt:s"))
+                                  "_run_id:s, _lote_id:s, _payload_hash:s, _row_hash:s, dt:s, n_extra:i"))
 def h4(lk):
-    """H4: landed rows typed by the contract with the nine lineage columns."""
-    return ld(lk).landed.select(*[c.strip() for c in _H4.split(",")])
+    """H4: landed rows typed by the contract with the nine lineage columns; fields outside the contract are kept and counted."""
+    return ld(lk).landed.withColumn("n_extra", F.size("_extra")).select(*[c.strip() for c in _H4.split(",")])
 
 
 @query("V1_required_columns", O.out("SELECT * FROM v1_missing", "payload_id:s, row_index:i, missing:s"))

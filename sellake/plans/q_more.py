@@ -17,7 +17,7 @@ KEY_SPEC = "source_empresa:s, tipo_documento:s, cod_suc:s, documento:s, renglon:
 
 
 def _scopes(lk):
-    return dims.flatten_scopes(A.user_documents(lk.spark, lk.d))
+    return dims.flatten_scopes(A.user_documents(lk.spark, lk.d), ADMIN_MAIL)
 
 
 def _snapshots(lk):
@@ -137,20 +137,17 @@ def g19(lk):
 
 
 @query("G21_inventory_sync", O.out("""
-WITH s AS (SELECT source_empresa, count(*) AS filas_silver, count(DISTINCT cod_alm) AS almacenes_silver,
-             count(DISTINCT cod_art) AS articulos_silver, round(sum(exi_act1), 2) AS unidades_silver
-           FROM sil_renglones_almacenes GROUP BY ALL),
-g AS (SELECT source_empresa, count(*) AS filas_gold, round(sum(unidades), 2) AS unidades_gold, max(snapshot_date) AS ultimo_snapshot
-      FROM inv_snapshots i WHERE snapshot_date = (SELECT max(snapshot_date) FROM inv_snapshots j WHERE j.source_empresa = i.source_empresa)
-      GROUP BY ALL)
-SELECT COALESCE(s.source_empresa, g.source_empresa) AS source_empresa, filas_silver, almacenes_silver, articulos_silver,
-  unidades_silver, filas_gold, unidades_gold, ultimo_snapshot, COALESCE(unidades_silver = unidades_gold, FALSE) AS sincronizado
-FROM s FULL JOIN g ON s.source_empresa = g.source_empresa""",
-    "source_empresa:s, filas_silver:i, almacenes_silver:i, articulos_silver:i, unidades_silver:d, filas_gold:i, "
-    "unidades_gold:d, ultimo_snapshot:dt, sincronizado:b"))
+WITH gold AS (SELECT r.source_empresa, r.cod_alm, a.fraccion, r.exi_act1 FROM sil_renglones_almacenes r
+  LEFT JOIN sil_articulos a ON a.source_empresa = r.source_empresa AND a.cod_art = r.cod_art WHERE exi_act1 > 0),
+g AS (SELECT source_empresa, count(*) AS filas_gold, count(DISTINCT cod_alm) AS almacenes_gold, round(sum(exi_act1), 2) AS unidades_gold FROM gold GROUP BY ALL),
+s AS (SELECT source_empresa, count(*) AS filas_silver, count(DISTINCT cod_alm) AS almacenes_silver, round(sum(exi_act1), 2) AS unidades_silver
+  FROM sil_renglones_almacenes WHERE exi_act1 > 0 GROUP BY ALL)
+SELECT *, filas_gold = filas_silver AND unidades_gold = unidades_silver AS sincronizado FROM s JOIN g USING (source_empresa)""",
+    "source_empresa:s, filas_silver:i, almacenes_silver:i, unidades_silver:d, filas_gold:i, almacenes_gold:i, unidades_gold:d, sincronizado:b"))
 def g21(lk):
-    """Silver current stock vs the latest Gold snapshot per tenant."""
-    return R.inventory_sync(lk.sil("renglones_almacenes"), _snapshots(lk))
+    """Stock in Silver against the inventory report, per tenant."""
+    report = R.inventory_report(lk.sil("renglones_almacenes"), lk.dim_empresa, lk.sil("almacenes"), lk.sil("articulos"))
+    return R.inventory_sync(lk.sil("renglones_almacenes"), report)
 
 
 @query("G22_gps_coverage", O.out("""SELECT source_empresa, count(*) AS clientes, count(*) FILTER (WHERE COALESCE(gps, '') <> '') AS con_gps,
@@ -161,22 +158,20 @@ def g22(lk):
     return R.gps_coverage(lk.sil("clientes"))
 
 
-O.view("user_documents", ["stg_vendedores", "tenants"], """
-SELECT substr(sha256(correo), 1, 20) AS id, CASE WHEN CAST(cod_ven AS INTEGER) % 3 = 0 THEN upper(correo) ELSE correo END AS email,
-  CAST(cod_ven AS INTEGER) % 7 <> 0 AS isActive, source_empresa AS tenantId, 'vendedor' AS role,
-  [struct_pack(empresa := source_empresa, tenantId := source_empresa, codVendedor := cod_ven, codSucursal := NULL::VARCHAR,
-               status := CASE WHEN CAST(cod_ven AS INTEGER) % 5 = 0 THEN 'inactive' ELSE 'active' END)] AS vendedores
+ADMIN_MAIL = "admin@corp.example"
+_ENTRY = "STRUCT(empresa VARCHAR, codVendedor VARCHAR, status VARCHAR)[]"
+O.view("user_documents", ["stg_vendedores", "tenants"], f"""
+SELECT 'vendedores' AS source, substr(sha256(correo), 1, 20) AS id, if(cod_ven::INT % 3 = 0, upper(correo), correo) AS email, cod_ven::INT % 7 <> 0 AS on_,
+  source_empresa AS tenant, '' AS role, [struct_pack(empresa := source_empresa, codVendedor := cod_ven, status := if(cod_ven::INT % 5 = 0, 'I', 'A'))] AS entries
 FROM stg_vendedores
-UNION ALL
-SELECT substr(sha256(source_empresa), 1, 20), 'analista@' || source_empresa || '.com', TRUE, source_empresa, 'analista_ventas',
-  []::STRUCT(empresa VARCHAR, tenantId VARCHAR, codVendedor VARCHAR, codSucursal VARCHAR, status VARCHAR)[] FROM tenants""")
+UNION ALL SELECT source, substr(sha256(name || source_empresa), 1, 20), name || '@' || source_empresa || '.com', TRUE, source_empresa, role, []::{_ENTRY}
+FROM tenants, (VALUES ('vendedores', 'supervisor', ''), ('users', 'analista', 'Analista de Ventas'), ('users', 'oficina', 'Oficina')) AS k(source, name, role)""")
 O.view("scopes", ["user_documents"], f"""
-SELECT id AS uid, lower({cs('email')}) AS correo, split_part(lower({cs('email')}), '@', 2) AS domain,
-  COALESCE(v.empresa, v.tenantId, tenantId) AS source_empresa, {cs('v.codSucursal')} AS cod_suc, NULL::VARCHAR AS cod_pro,
-  {cs('v.codVendedor')} AS cod_ven, upper({cs('role')}) AS role_type,
-  CASE WHEN COALESCE(isActive, FALSE) AND (v IS NULL OR lower(COALESCE(v.status, 'active')) = 'active') THEN 'ACTIVE' ELSE 'INACTIVE' END
-    AS status
-FROM (SELECT *, unnest(CASE WHEN len(vendedores) = 0 THEN [NULL] ELSE vendedores END) AS v FROM user_documents) u""")
+SELECT id AS uid, lower(email) AS correo, split_part(lower(email), '@', 2) AS domain, if(source = 'users', NULL, coalesce(e.empresa, tenant)) AS source_empresa,
+  NULL::VARCHAR AS cod_suc, NULL::VARCHAR AS cod_pro, e.codVendedor AS cod_ven, if(source = 'users', 'ANALISTA_VENTAS', 'VENDEDOR') AS role_type,
+  if(on_ AND coalesce(e.status, 'A') = 'A', 'A', 'I') AS status
+FROM (SELECT *, unnest(if(len(entries) = 0, [NULL]::{_ENTRY}, entries)) AS e FROM user_documents) WHERE source = 'vendedores' OR contains(role, 'Analista')
+UNION ALL SELECT 'superadmin', '{ADMIN_MAIL}', split_part('{ADMIN_MAIL}', '@', 2), NULL, NULL, NULL, NULL, 'SUPERADMIN', 'A'""")
 SCOPE_SPEC = "uid:s, correo:s, domain:s, source_empresa:s, cod_suc:s, cod_pro:s, cod_ven:s, role_type:s, status:s"
 
 
@@ -209,23 +204,22 @@ def g24(lk):
 
 
 PRINCIPAL = "vendedor.3@asia.com"
+SUPERVISOR = "supervisor@asia.com"
 _X1 = f"""SELECT {', '.join('v.' + k for k in KEY)}, v.cod_ven, v.neto_dcto FROM fct_ventas v WHERE EXISTS (
-  SELECT 1 FROM scopes s WHERE lower({cs('s.correo')}) = '{PRINCIPAL}' AND s.status = 'ACTIVE' AND (
-    upper(s.role_type) IN ('SUPERADMIN', 'ANALISTA_VENTAS') OR (
-      (s.source_empresa IS NULL OR s.source_empresa = v.source_empresa) AND (s.cod_suc IS NULL OR s.cod_suc = v.cod_suc)
-      AND (s.cod_pro IS NULL OR s.cod_pro = v.cod_pro) AND (s.cod_ven IS NULL OR s.cod_ven = v.cod_ven))))"""
+  SELECT 1 FROM scopes s WHERE s.correo = '{PRINCIPAL}' AND s.status = 'A' AND (s.role_type <> 'VENDEDOR' OR (
+    coalesce(s.source_empresa = v.source_empresa, s.source_empresa IS NULL) AND coalesce(s.cod_ven = v.cod_ven, s.cod_ven IS NULL))))"""
 
 
 @query("X1_row_scope", O.out(_X1, KEY_SPEC + "cod_ven:s, neto_dcto:d"))
 def x1(lk):
     """Fact rows visible to one seller principal (scopes as a semi join, fail closed)."""
-    return security.row_scope(lk.fct_ventas, _scopes(lk), PRINCIPAL).select(*KEY, "cod_ven", "neto_dcto")
+    return security.row_scope(lk.fct_ventas, _scopes(lk), PRINCIPAL, lk.tenants).select(*KEY, "cod_ven", "neto_dcto")
 
 
-@query("J6_semi_security", O.out(_X1.replace(PRINCIPAL, "analista@asia.com"), KEY_SPEC + "cod_ven:s, neto_dcto:d"))
+@query("J6_semi_security", O.out(_X1.replace(PRINCIPAL, SUPERVISOR), KEY_SPEC + "cod_ven:s, neto_dcto:d"))
 def j6(lk):
-    """EXISTS-scope semi join for an analyst principal (unrestricted role sees every row)."""
-    return security.row_scope(lk.fct_ventas, _scopes(lk), "analista@asia.com").select(*KEY, "cod_ven", "neto_dcto")
+    """EXISTS-scope semi join for a principal whose scope is one tenant."""
+    return security.row_scope(lk.fct_ventas, _scopes(lk), SUPERVISOR, lk.tenants).select(*KEY, "cod_ven", "neto_dcto")
 
 
 @query("X2_tenant_contract", O.out("SELECT " + ", ".join(KEY) + ", cod_ven, neto_dcto FROM fct_ventas "

@@ -370,24 +370,26 @@ def stg_renglones_aprecios(spark: SparkSession, d: str) -> DataFrame:
 
 
 def user_documents(spark: SparkSession, d: str) -> DataFrame:
-    """Security user documents (nested seller assignments), one per seller plus one analyst
-    per tenant; some mails arrive in mixed case, some users or assignments inactive."""
+    """Security user documents: per seller one with an assignment; per tenant a supervisor without assignments, an analyst and a
+    clerk without a role that counts. Some mails arrive in upper case, some users or assignments are inactive."""
     s = stg_vendedores(spark, d)
     code = F.col("cod_ven").cast("int")
+    null = F.lit(None).cast("string")
     sellers = s.select(
-        F.sha2(F.col("correo"), 256).substr(1, 20).alias("id"),
+        F.lit("vendedores").alias("source"), F.sha2(F.col("correo"), 256).substr(1, 20).alias("id"),
         F.when(code % 3 == 0, F.upper("correo")).otherwise(F.col("correo")).alias("email"),
-        (code % 7 != 0).alias("isActive"), F.col("source_empresa").alias("tenantId"), F.lit("vendedor").alias("role"),
+        (code % 7 != 0).alias("isActive"), F.col("source_empresa").alias("tenantId"), null.alias("role"),
         F.array(F.struct(F.col("source_empresa").alias("empresa"), F.col("source_empresa").alias("tenantId"),
-                         F.col("cod_ven").alias("codVendedor"), F.lit(None).cast("string").alias("codSucursal"),
-                         F.when(code % 5 == 0, F.lit("inactive")).otherwise(F.lit("active")).alias("status"))).alias("vendedores"))
+                         F.col("cod_ven").alias("codVendedor"), null.alias("codSucursal"),
+                         F.when(code % 5 == 0, F.lit("I")).otherwise(F.lit("A")).alias("status"))).alias("vendedores"))
     t = tenants(spark, d)
-    analysts = t.select(
-        F.sha2(F.col("source_empresa"), 256).substr(1, 20).alias("id"),
-        F.concat(F.lit("analista@"), F.col("source_empresa"), F.lit(".com")).alias("email"), F.lit(True).alias("isActive"),
-        F.col("source_empresa").alias("tenantId"), F.lit("analista_ventas").alias("role"),
-        F.array().cast(sellers.schema["vendedores"].dataType).alias("vendedores"))
-    return sellers.unionByName(analysts)
+    kinds = F.explode(F.array(*[F.struct(F.lit(a).alias("source"), F.lit(b).alias("name"), F.lit(c).alias("role")) for a, b, c in
+                                (("vendedores", "supervisor", None), ("users", "analista", "Analista de Ventas"), ("users", "oficina", "Oficina"))]))
+    others = t.select("source_empresa", kinds.alias("k")).select(
+        F.col("k.source").alias("source"), F.sha2(F.concat("k.name", "source_empresa"), 256).substr(1, 20).alias("id"),
+        F.concat(F.col("k.name"), F.lit("@"), F.col("source_empresa"), F.lit(".com")).alias("email"), F.lit(True).alias("isActive"),
+        F.col("source_empresa").alias("tenantId"), F.col("k.role").alias("role"), F.array().cast(sellers.schema["vendedores"].dataType).alias("vendedores"))
+    return sellers.unionByName(others)
 
 
 def job_log(spark: SparkSession, d: str) -> DataFrame:

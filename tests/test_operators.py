@@ -80,14 +80,14 @@ def test_row_scope_fail_closed_and_null_unrestricted(spark):
     fact = spark.createDataFrame([("t1", "s1", "p1", "v1"), ("t1", "s2", "p1", "v2"), ("t2", "s1", "p1", "v1")],
                                  "source_empresa string, cod_suc string, cod_pro string, cod_ven string")
     scopes = spark.createDataFrame([
-        ("seller@x.com", "t1", None, None, "v1", "VENDEDOR", "ACTIVE"),
-        ("boss@x.com", None, None, None, None, "SUPERADMIN", "ACTIVE"),
-        ("gone@x.com", "t1", None, None, None, "VENDEDOR", "INACTIVE"),
+        ("seller@x.com", "t1", None, None, "v1", "VENDEDOR", "A"),
+        ("boss@x.com", None, None, None, None, "SUPERADMIN", "A"),
+        ("gone@x.com", "t1", None, None, None, "VENDEDOR", "I"),
     ], "correo string, source_empresa string, cod_suc string, cod_pro string, cod_ven string, role_type string, status string")
-    assert security.row_scope(fact, scopes, "Seller@X.com ").count() == 1
-    assert security.row_scope(fact, scopes, "boss@x.com").count() == 3
-    assert security.row_scope(fact, scopes, "gone@x.com").count() == 0
-    assert security.row_scope(fact, scopes, "nobody@x.com").count() == 0
+    assert security.row_scope(fact, scopes, "Seller@X.com ", fact).count() == 1
+    assert security.row_scope(fact, scopes, "boss@x.com", fact).count() == 3
+    assert security.row_scope(fact, scopes, "gone@x.com", fact).count() == 0
+    assert security.row_scope(fact, scopes, "nobody@x.com", fact).count() == 0
 
 
 def test_portfolio_and_zero_sale(spark):

@@ -75,15 +75,15 @@ def test_success_sampling_deterministic_and_keeps_failures(spark):
 
 def test_extras_truncation(spark):
     df = spark.createDataFrame([("a" * 10,), ("b" * 3000,)], "x string")
-    out = [r.extras for r in land.with_extras(df, F.to_json(F.struct("x"))).collect()]
-    assert out[0] == '{"x":"aaaaaaaaaa"}'
-    assert out[1] == '{"__truncated":true,"size_bytes":3008}'
+    out = land.with_extras(df, F.to_json(F.struct("x"))).collect()
+    assert out[0].extras == out[0].extras_display == '{"x":"aaaaaaaaaa"}'
+    assert out[1].extras == '{"x":"' + "b" * 3000 + '"}' and out[1].extras_display == '{"__truncated":true,"size_bytes":3008}'
 
 
 def test_missing_windows_finds_gap(spark):
     reg = spark.createDataFrame([("t", "q", "2024-01-03", "SUCCESS"), ("t", "q", "2024-01-20", "WRITTEN"),
                                  ("t", "q", "2024-02-16", "SUCCESS")], "source_empresa string, entity string, dt string, status string")
-    w = missing_windows(reg, "2024-01-01", "2024-02-20").orderBy("window_start").collect()
+    w = missing_windows(reg, reg.select("source_empresa", F.col("entity").alias("query_id")), "2024-01-01", "2024-02-20").orderBy("window_start").collect()
     assert [(str(r.window_start), str(r.window_end)) for r in w] == [("2024-01-16", "2024-01-31"), ("2024-02-01", "2024-02-15")]
 
 
@@ -103,3 +103,16 @@ def test_drift_and_required(spark):
                                  "payload_id string, row_index int, row map<string,string>")
     assert [(r.columns, r.kind) for r in land.check_drift(rows, C.VENTAS_V3).collect()] == [("x", "extra")]
     assert [(r.row_index, r.missing) for r in land.validate_required(rows, C.VENTAS_V3).collect()] == [(1, "documento,renglon")]
+
+
+def test_sampling_does_not_overflow(spark):
+    ids = [0, 1, 7, 4 * 10**9, 2**40 + 12345, 2**62, -5]
+    got = spark.createDataFrame([(i,) for i in ids], "event_id long").select("event_id", telemetry.sample_bucket().alias("b")).collect()
+    assert {r.event_id: r.b for r in got} == {i: (i * 2654435761 % 2**32) % 100 for i in ids}
+
+
+def test_missing_windows_of_a_pair_that_never_landed(spark):
+    reg = spark.createDataFrame([("t", "q", "2024-01-03", "SUCCESS")], "source_empresa string, entity string, dt string, status string")
+    pairs = spark.createDataFrame([("t", "q"), ("u", "q")], "source_empresa string, query_id string")
+    got = [(r.source_empresa, str(r.window_start)) for r in missing_windows(reg, pairs, "2024-01-01", "2024-01-31").collect()]
+    assert sorted(got) == [("t", "2024-01-16"), ("u", "2024-01-01"), ("u", "2024-01-16")]
