@@ -25,8 +25,19 @@ BATCH_STATUSES = ("WRITTEN", "SUCCESS", "SKIPPED", "QUARANTINED", "FAILED")
 # -------------------------------------------------------------------------------
 
 
-def scan_envelopes(payloads: DataFrame, id_col: str = "payload_id", payload_col: str = "payload") -> tuple[DataFrame, DataFrame]:
-    """Payloads -> (rows, invalid).
+def scan_envelopes(payloads: DataFrame, payload_col: str = "payload") -> tuple[DataFrame, DataFrame]:
+    """Payloads -> (rows, invalid), the two sides of ``scan_tagged``."""
+    return split_scan(scan_tagged(payloads, payload_col), payload_col)
+
+
+def split_scan(tagged: DataFrame, payload_col: str = "payload") -> tuple[DataFrame, DataFrame]:
+    rows = tagged.filter(F.col("reason").isNull()).drop(payload_col, "reason")
+    return rows, tagged.filter(F.col("reason").isNotNull()).drop("row_index", "row")
+
+
+def scan_tagged(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
+    """Each payload is parsed once; its rows come with ``row_index`` and ``row``, an invalid payload as one row with
+    ``reason`` and its text.
 
     BOM stripped; root object must have ``d`` (or, when that is empty/absent,
     ``datos``); ``llError`` true, a missing/empty ``laTablas``, a first table that
@@ -59,11 +70,10 @@ def scan_envelopes(payloads: DataFrame, id_col: str = "payload_id", payload_col:
     reason = F.when(F.coalesce(broken, F.lit(True)), F.lit("schema_mismatch"))
     x = x.withColumn("_reason", reason)
     base = [c for c in payloads.columns if c != payload_col]
-    invalid = x.filter(F.col("_reason").isNotNull()).select(*base, payload_col, F.col("_reason").alias("reason"))
-    good = x.filter(F.col("_reason").isNull())
-    out = good.select(*base, F.posexplode_outer("_rows").alias("row_index", "_m"))
-    out = out.withColumn("row", F.transform_keys("_m", lambda k, v: F.lower(k))).drop("_m")
-    return out, invalid
+    bad = F.col("_reason").isNotNull()
+    out = x.select(*base, F.when(bad, F.col(payload_col)).alias(payload_col), F.col("_reason").alias("reason"),
+                   F.posexplode_outer(F.when(~bad, F.col("_rows"))).alias("row_index", "_m"))
+    return out.withColumn("row", F.transform_keys("_m", lambda k, v: F.lower(k))).drop("_m")
 
 
 def row_count(rows: DataFrame, id_col: str = "payload_id") -> DataFrame:

@@ -33,12 +33,16 @@ class Landing:
         self.hashed = LD.with_batch_id(LD.with_payload_hash(self.payloads))
 
     @cached_property
+    def scan(self):
+        return LD.split_scan(self.lk.table("scan", lambda: LD.scan_tagged(self.hashed)))
+
+    @property
     def rows(self):
-        return self.lk.table("scan_rows", lambda: LD.scan_envelopes(self.hashed)[0])
+        return self.scan[0]
 
-    @cached_property
+    @property
     def invalid(self):
-        return self.lk.table("scan_invalid", lambda: LD.scan_envelopes(self.hashed)[1])
+        return self.scan[1]
 
     @cached_property
     def landed(self):

@@ -118,7 +118,7 @@ def test_envelope_scan_variants(spark):
     got = {r.payload_id: (r.row or {}).get("cod_art") for r in rows.collect()}
     assert got == {"p1": "1", "p2": "2", "p5": None}
     assert {r.payload_id: r.reason for r in invalid.collect()} == {
-        "p3": "parse_error", "p4": "parse_error", "p6": "parse_error", "p7": "parse_error"}
+        "p3": "schema_mismatch", "p4": "schema_mismatch", "p6": "schema_mismatch", "p7": "schema_mismatch"}
     assert [r.payload_id for r in land.empty_batches(rows, C.VENTAS_V3).collect()] == ["p5"]
 
 
