@@ -3,7 +3,7 @@
 The n-grams have one global order, rarest first: by classes of a frequency sketch over all documents, then by hash. Any fixed
 order gives exact results; the sketch only keeps frequent n-grams out of the prefixes.
 
-1. Each row becomes a sorted set of 64-bit n-gram hashes, its digest and a parity bitmap. Equal sets form one class, and
+1. Each row becomes a sorted set of 56-bit n-gram hashes, its digest and a parity bitmap. Equal sets form one class, and
    one row stands for it, so copies are never paired.
 2. Two sets with the wanted likeness share an n-gram of their prefixes (the first n - ceil(t n) + 1). Only n-grams that a
    twice-seen Bloom filter knows from several prefixes are shuffled.
@@ -16,7 +16,7 @@ order gives exact results; the sketch only keeps frequent n-grams out of the pre
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +25,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, key_back, key_of, read
-from .op05_line_dedup import BITS_PER_LINE, MAX_BITS, MIN_BITS, SEGMENTS, _bits
+from .op05_line_dedup import MAX_BITS, MIN_BITS, SEGMENTS, _bits
 
-SKETCH, SIG_BYTES, FRAGMENTS, BLOCK, ROUNDS = 1 << 22, 128, 4, 1000, 3
+SKETCH, SIG_BYTES, FRAGMENTS, BLOCK, ROUNDS = 1 << 21, 128, 4, 1000, 3
+BITS_PER_ENTRY = 16
 _ROWS = "row long, doc long, n long, digest binary, sig binary, grams binary"
 
 
@@ -38,7 +39,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def gram_set(text: bytes, size: int) -> np.ndarray:
-    """Sorted distinct hashes of the word ``size``-grams; of fewer words, one hash of them all; of none, nothing."""
+    """Sorted distinct 56-bit hashes of the word ``size``-grams; of fewer words, one hash of them all; of none, nothing."""
     import xxhash
 
     words = text.lower().split()  # of bytes: A-Z only, and the white space \x20 \x09-\x0D
@@ -49,7 +50,47 @@ def gram_set(text: bytes, size: int) -> np.ndarray:
     out = np.full(len(words) - k + 1, k, np.uint64)
     for i in range(k):
         out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i : len(words) - k + 1 + i])
-    return np.unique(out)
+    return np.unique(out >> np.uint64(8))
+
+
+def _packed(g: np.ndarray) -> bytes:
+    """A sorted set as the bytes of its gaps, like ones together, compressed."""
+    import zstandard
+
+    planes = np.diff(g, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T[:7]
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _grams(column) -> Iterator[np.ndarray]:
+    """The sets of an Arrow column of packed ones."""
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor()
+    for raw in column:
+        planes = np.frombuffer(unpack.decompress(raw.as_py()), np.uint8).reshape(7, -1)
+        out = np.zeros((planes.shape[1], 8), np.uint8)
+        out[:, :7] = planes.T
+        yield np.cumsum(out.reshape(-1).view("<u8"), dtype=np.uint64)
+
+
+def _parity(g: np.ndarray) -> bytes:
+    """Bit p is set where an odd number of n-grams fall on it. Two bits an n-gram, 128 bytes at least and 8 kB at most: of
+    two bitmaps the longer folds onto the shorter."""
+    m = 8 * SIG_BYTES
+    while m < min(2 * len(g), 1 << 16):
+        m *= 2
+    return np.packbits(np.bincount((g >> np.uint64(20)).astype(np.int64) % m, minlength=m).astype(np.uint8) & 1).tobytes()
+
+
+def _folded(sig: bytes, size: int) -> np.ndarray:
+    x = np.frombuffer(sig, np.uint8)
+    return np.bitwise_xor.reduce(x.reshape(-1, size), axis=0) if len(x) > size else x
+
+
+def _may_link(x: bytes, y: bytes, total: int, percent: int) -> bool:
+    """Whether the bits that differ, never more than the n-grams that do, leave the wanted likeness possible."""
+    size = min(len(x), len(y))
+    return int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum()) * (100 + percent) <= (100 - percent) * total
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
@@ -62,8 +103,8 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                 part, out = b.slice(i, 256), []
                 for doc, t in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
                     g = gram_set(t or b"", size)
-                    raw, bits = g.tobytes(), np.bincount((g >> np.uint64(20)).astype(np.int64) % (8 * SIG_BYTES), minlength=8 * SIG_BYTES)
-                    out.append((row, doc, len(g), xxhash.xxh3_128_digest(raw), np.packbits((bits & 1).astype(bool)).tobytes(), raw))
+                    raw = g.tobytes()
+                    out.append((row, doc, len(g), xxhash.xxh3_128_digest(raw), _parity(g), _packed(g)))
                     row += 1
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["row", "doc", "n", "digest", "sig", "grams"])
@@ -96,7 +137,7 @@ def _merged(parts: DataFrame, segments: int, size: int, dtype, add: Callable, fi
 
 
 def _sketch(rows: DataFrame) -> np.ndarray:
-    """Frequency class of each of SKETCH buckets (4 MB): 0 up to twice the mean, then one more for each doubling."""
+    """Frequency class of each of SKETCH buckets (2 MB): 0 up to twice the mean, then one more for each doubling."""
     width = SKETCH // 64
 
     def count(batches):
@@ -111,12 +152,12 @@ def _sketch(rows: DataFrame) -> np.ndarray:
             waiting, size = [], 0
 
         for b in batches:
-            for raw in b.column(0):
-                waiting.append(np.frombuffer(raw.as_buffer(), np.uint64))
+            for g in _grams(b.column(0)):
+                waiting.append(g)
                 size += len(waiting[-1])
-                if size > SKETCH:
+                if size > SKETCH // 2:
                     add_up()
-            add_up()
+        add_up()
         pack = zstandard.ZstdCompressor(level=1)
         if total.any():
             planes = [pack.compress(np.ascontiguousarray(total[s * width : (s + 1) * width].view(np.uint8).reshape(-1, 8).T).tobytes()) for s in range(64)]
@@ -171,7 +212,7 @@ def _known(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def _size(n: int) -> int:
     m = MIN_BITS
-    while m < min(MAX_BITS, n * BITS_PER_LINE):
+    while m < min(MAX_BITS, n * BITS_PER_ENTRY):
         m *= 2
     return m
 
@@ -180,9 +221,10 @@ def _twice(rows: DataFrame, classes, percent: int, m: int) -> np.ndarray:
     """Twice-seen filter of prefix n-grams."""
 
     def seen(batches):
-        parts = [_prefix(np.frombuffer(raw.as_buffer(), np.uint64), classes.value, percent) for b in batches for raw in b.column(0)]
+        parts = [_prefix(g, classes.value, percent) for b in batches for g in _grams(b.column(0))]
         if parts and len(all_ := np.concatenate(parts)):
             h, n = np.unique(all_, return_counts=True)
+            h = _mix(h)
             yield _segments(h, h[n > 1], m)
 
     return _filter(rows.select("grams").mapInArrow(seen, "seg int, data binary"), m)
@@ -208,10 +250,10 @@ def _postings(rows: DataFrame, classes, percent: int, known) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 1024):
                 part = b.slice(i, 1024)
-                pre = [_prefix(np.frombuffer(raw.as_buffer(), np.uint64), classes.value, percent) for raw in part.column(2)]
+                pre = [_prefix(g, classes.value, percent) for g in _grams(part.column(2))]
                 owner, g = np.repeat(np.arange(len(pre)), [len(p) for p in pre]), np.concatenate(pre)
                 if len(g):
-                    hit = _known(known.value, g)
+                    hit = _known(known.value, _mix(g))
                     owner, g = owner[hit], g[hit]
                     yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(part.column(0).to_numpy()[owner]), pa.array(part.column(1).to_numpy()[owner])], names=["gram", "id", "n"])
 
@@ -238,7 +280,20 @@ class _Links:
 
     def __init__(self, rows: DataFrame, classes, percent: int):
         self.rows, self.percent, self.classes = rows.withColumnRenamed("row", "id"), percent, classes
-        self.sigs = self.rows.select("id", "n", "sig")
+
+    def sigs(self, ids: DataFrame, fold: bool = False) -> DataFrame:
+        """(id, n, sig) of these ids and of few others, read through a Bloom filter; ``fold``: bitmaps of SIG_BYTES."""
+        wanted = ids.sparkSession.sparkContext.broadcast(_ids_filter(ids))
+
+        def pick(batches):
+            for b in batches:
+                b = b.filter(pa.array(_known(wanted.value, _mix(b.column(0).to_numpy().view(np.uint64)))))
+                if fold:
+                    short = [_folded(x, SIG_BYTES).tobytes() for x in b.column(2).to_pylist()]
+                    b = pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(short, pa.binary())], names=["id", "n", "sig"])
+                yield b
+
+        return cut(self.rows.select("id", "n", "sig").mapInArrow(pick, "id long, n long, sig binary"), "parity-bitmaps")
 
     def fragments(self, ids: DataFrame) -> DataFrame:
         """(id, fragment, grams) of these ids and of few others, those that a Bloom filter takes for them: the sets are read,
@@ -250,10 +305,9 @@ class _Links:
                 part = b.filter(pa.array(_known(wanted.value, _mix(b.column(0).to_numpy().view(np.uint64)))))
                 for i in range(0, part.num_rows, 256):
                     own, fs, raws = [], [], []
-                    for k, raw in zip(part.column(0).slice(i, 256).to_pylist(), part.column(1).slice(i, 256)):
-                        g = np.frombuffer(raw.as_buffer(), np.uint64)
+                    for k, g in zip(part.column(0).slice(i, 256).to_pylist(), _grams(part.column(1).slice(i, 256))):
                         # the frequent classes are the end of the order, and the last fragment
-                        f = np.where(classes.value[(g & np.uint64(SKETCH - 1)).astype(np.int64)] > 0, FRAGMENTS - 1, (g >> np.uint64(32)).astype(np.int64) * (FRAGMENTS - 1) >> 32)
+                        f = np.where(classes.value[(g & np.uint64(SKETCH - 1)).astype(np.int64)] > 0, FRAGMENTS - 1, (g >> np.uint64(24)).astype(np.int64) * (FRAGMENTS - 1) >> 32)
                         for at in range(FRAGMENTS):
                             if len(some := g[f == at]):
                                 own.append(k), fs.append(at), raws.append(some.tobytes())
@@ -267,12 +321,13 @@ class _Links:
 
         def test(batches):
             for b in batches:
-                x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(-1, SIG_BYTES // 8) for c in ("sa", "sb"))
-                total = b.column("na").to_numpy() + b.column("nb").to_numpy()
-                ok = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) * (100 + percent) <= (100 - percent) * total
-                yield b.select(["a", "b", "na", "nb"]).filter(pa.array(ok))
+                total = (b.column("na").to_numpy() + b.column("nb").to_numpy()).tolist()
+                ok = [_may_link(x.as_py(), y.as_py(), n, percent) for x, y, n in zip(b.column("sa"), b.column("sb"), total)]
+                yield b.select(["a", "b", "na", "nb"]).filter(pa.array(ok, pa.bool_()))
 
-        side = lambda x: self.sigs.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
+        pairs = cut(pairs, "proposed")
+        sigs = self.sigs(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
+        side = lambda x: sigs.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
         return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(test, "a long, b long, na long, nb long")
 
     def of(self, pairs: DataFrame) -> DataFrame:
@@ -292,13 +347,15 @@ class _Links:
 
 
 def _labelled(postings: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Postings with the component of each id; n-grams of one component are done with."""
-    if links is None:
-        out = postings.withColumn("label", F.col("id"))
-    else:
-        out = postings.drop("label").join(components(links), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    open_ = out.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct("label", "n", "id")).alias("first"), F.max(F.struct("label", "n", "id")).alias("last"), F.count("*").alias("entries")).where("lo < hi")
-    return out.join(open_.drop("lo", "hi"), "gram")
+    """Postings with the component of each id, a pivot and the number of entries of the n-gram; n-grams of one component are
+    done with. So are, from the second round on, those of two entries: the first round has proposed that pair."""
+    if links is None:  # each id is a component of its own
+        of = postings.groupBy("gram").agg(F.min(F.struct("id", "n")).alias("p"), F.max("id").alias("hi"), F.count("*").alias("entries")).where("p.id < hi")
+        return postings.withColumn("label", F.col("id")).join(of.select("gram", F.col("p.id").alias("p"), F.col("p.n").alias("pn"), F.col("p.id").alias("pl"), "entries"), "gram")
+    out = postings.where("entries > 2").select("gram", "id", "n", "entries").join(components(links), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    out = cut(out, "labelled-postings")
+    of = out.groupBy("gram").agg(F.min("label").alias("lo"), F.max(F.struct("label", "n", "id")).alias("p")).where("lo < p.label")
+    return out.join(of.select("gram", F.col("p.id").alias("p"), F.col("p.n").alias("pn"), F.col("p.label").alias("pl")), "gram")
 
 
 def _near(percent: int):
@@ -306,7 +363,7 @@ def _near(percent: int):
 
 
 def _blocks(postings: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components in the postings that the parity bitmaps don't rule out, in blocks of some 2 * BLOCK
+    """All pairs of different components in the postings that folded parity bitmaps don't rule out, in blocks of some 2 * BLOCK
     entries: an n-gram with more entries is cut into b parts, and its part pairs are b * (b + 1) / 2 blocks."""
     rows = postings.withColumn("parts", F.ceil(F.col("entries") / F.lit(BLOCK)).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -314,7 +371,7 @@ def _blocks(postings: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
 
     def pairs(batches):
         def done(group):
-            own, ids, labels, n, sig = (np.array([r[k] for r in group]) for k in range(5))
+            own, ids, labels, n = (np.array([r[k] for r in group]) for k in range(4))
             sig, i, j = np.frombuffer(b"".join(r[4] for r in group), np.uint64).reshape(len(group), -1), group[0][5], group[0][6]
             for k in range(len(group)):
                 if i != j and own[k] != i:
@@ -323,9 +380,7 @@ def _blocks(postings: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
                 others = others[(labels[others] != labels[k]) & (np.minimum(n[others], n[k]) * 100 >= np.maximum(n[others], n[k]) * percent)]
                 others = others[np.bitwise_count(sig[others] ^ sig[k]).sum(axis=1, dtype=np.int64) * (100 + percent) <= (100 - percent) * (n[others] + n[k])]
                 if len(others):
-                    a, b = np.minimum(ids[others], ids[k]), np.maximum(ids[others], ids[k])
-                    swap = ids[others] < ids[k]
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.where(swap, n[others], n[k])), pa.array(np.where(swap, n[k], n[others]))], names=["a", "b", "na", "nb"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[others], ids[k])), pa.array(np.maximum(ids[others], ids[k]))], names=["a", "b"])
 
         key, group = None, []
         for b in batches:
@@ -338,7 +393,7 @@ def _blocks(postings: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
         if len(group) > 1:
             yield from done(group)
 
-    return rows.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j").mapInArrow(pairs, "a long, b long, na long, nb long")
+    return rows.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j").mapInArrow(pairs, "a long, b long")
 
 
 def ngram_components(docs: DataFrame, size: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -360,16 +415,15 @@ def ngram_components(docs: DataFrame, size: int = 3, percent: int = 90, doc_id:
     decide, links, rounds = _Links(linkable, sketch, percent), None, 0
     while True:
         if rounds == ROUNDS:
-            pairs = _blocks(open_, decide.sigs, percent).distinct()
+            pairs = decide.bounded(_blocks(open_, decide.sigs(open_.select("id").distinct(), fold=True), percent).distinct())
         else:
-            pivot = F.col("first" if rounds % 2 == 0 else "last")
-            proposed = open_.select("id", "label", "n", pivot["id"].alias("p"), pivot["n"].alias("pn"), pivot["label"].alias("pl")).where((F.col("label") != F.col("pl")) & _near(percent))
+            proposed = open_.where((F.col("label") != F.col("pl")) & _near(percent))
             pairs = decide.bounded(proposed.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct())
         found = decide.of(pairs)
         links = cut(found if links is None else links.union(found), "links")
         if rounds == ROUNDS:
             break
-        open_, rounds = cut(_labelled(open_.select("gram", "id", "n"), links), "open-postings"), rounds + 1
+        open_, rounds = cut(_labelled(open_, links), "open-postings"), rounds + 1
         if not open_.limit(1).count():
             break
     named = classes.join(components(links), "id", "left").withColumn("label", F.coalesce("label", "id"))
