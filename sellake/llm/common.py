@@ -27,7 +27,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def cut(df: DataFrame, name: str, schema=None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, so a lost executor costs no recomputation."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", 32 << 20).parquet(path)  # row groups of 32 MB, so that a writer holds no more
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
@@ -74,7 +74,7 @@ class ChunkTable:
         import numpy as np
 
         self.known, self.flat, self.used = {}, np.zeros(1 << 16, "<u4"), 0
-        self.starts, self.lens, self.scores, self.hits = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14), np.zeros(1 << 14, np.int32)
+        self.starts, self.lens, self.scores, self.hits = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int32), np.zeros(1 << 14), np.zeros(1 << 14, np.int16)
         self.fixed = 0
 
     def _forget(self) -> None:
@@ -89,7 +89,7 @@ class ChunkTable:
         ids, ends = self._gather(numbers)
         self.flat, self.used, self.known = ids, len(ids), {names[i]: k for k, i in enumerate(numbers.tolist())}
         self.lens, self.scores = self.lens[numbers], self.scores[numbers]
-        self.starts, self.hits = ends - self.lens, np.ones(len(numbers), np.int32)
+        self.starts, self.hits = (ends - self.lens).astype(np.int32), np.ones(len(numbers), np.int16)
 
     def _keep(self, chunks: list[str], ids: list[list[int]], prefix: str = "", scores=0.0) -> None:
         import numpy as np
@@ -122,7 +122,7 @@ class ChunkTable:
         if new:
             self._learn(new)
         numbers = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
-        self.hits[numbers] += 1
+        self.hits[numbers] = np.minimum(self.hits[numbers], 999) + 1
         return numbers
 
     def _gather(self, numbers):
@@ -130,7 +130,7 @@ class ChunkTable:
         import numpy as np
 
         lens = self.lens[numbers]
-        ends = np.cumsum(lens)
+        ends = np.cumsum(lens, dtype=np.int64)
         return self.flat[np.repeat(self.starts[numbers] - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)], ends
 
 
@@ -155,7 +155,7 @@ class ChunkEncoder(ChunkTable):
     chunks of a batch are numbered by Arrow, and each chunk that is not known yet goes through the library once: a plain Latin
     word through its BPE model, which gives what the whole library gives (checked when the file is read), the rest many at
     a time with a mark between them. Other texts are cut at the safe places only. Memory is bounded: at most ``entries`` chunks
-    are kept, for all tasks of a worker, and about ``portion`` bytes of text are taken at a time.
+    are kept, for all tasks of a worker, and about ``portion`` bytes of text are taken at a time (some 200 MB a worker in all).
     """
 
     MARK, TAILS = "\x01", ".,;:!?"
@@ -172,7 +172,7 @@ class ChunkEncoder(ChunkTable):
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def __init__(self, path: str, entries: int = 700_000, portion: int = 6 << 20):
+    def __init__(self, path: str, entries: int = 700_000, portion: int = 1 << 20):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -253,8 +253,11 @@ class ChunkEncoder(ChunkTable):
 
     def each(self, texts):
         """Ids (uint32 array) of each text of an Arrow string array, in order; NULL has none."""
+        import pyarrow as pa
+
         for some in portions(texts, self.portion):
             yield from self._portion(some)
+        pa.default_memory_pool().release_unused()
 
     def _portion(self, texts: list[str]):
         import numpy as np
