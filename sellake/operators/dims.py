@@ -76,8 +76,7 @@ def calendar_columns(d: Column) -> list[Column]:
 def calendar(spark: SparkSession, start, end) -> DataFrame:
     """M6: one row per day in [start, end]; bounds are dates, strings or scalar Columns.
 
-    The day list is generated by ``range`` (distributed, no driver list), so a
-    calendar over any span stays a narrow, splittable scan.
+    The days are exploded from one row in one task: a calendar is small, and its bounds should be parameters where it is joined.
     """
     s = F.lit(start).cast("date") if isinstance(start, str) else start
     e = F.lit(end).cast("date") if isinstance(end, str) else end

@@ -112,8 +112,7 @@ def line_measures(sales: DataFrame, articles: DataFrame, clients: DataFrame, sel
 
 
 def with_calendar(fact: DataFrame, cal: DataFrame, date_col: str = "fecha_registro", cols: list[str] | None = None) -> DataFrame:
-    """INNER join to the calendar on the day. The calendar is bounded (one row
-    per day of the covered span), so it is broadcast."""
+    """INNER join to the calendar on the day. The calendar must have fixed bounds (one row per day); it is broadcast."""
     cols = cols or ["fecha_key", "anio", "mes", "nombre_mes", "anio_mes", "trimestre", "trimestre_nombre",
                     "anio_trimestre", "semana_del_anio", "anio_semana", "quincena", "quincena_nombre"]
     c = cal.select(F.col("fecha").alias(date_col), *cols)

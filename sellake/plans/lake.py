@@ -82,6 +82,8 @@ class Lake:
         return self.table("sil_ventas", lambda: self._sales_split()[0])
 
     # ---- Gold ----------------------------------------------------------------
+    CALENDAR = ("1990-01-01", "2009-12-31")
+
     @cached_property
     def tenants(self) -> DataFrame:
         return A.tenants(self.spark, self.d)
@@ -99,7 +101,8 @@ class Lake:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return dims.calendar_for(self.spark, self.sil_ventas, "fecha_registro")
+        """Some 7,300 days between fixed bounds, so that joins may broadcast it; a line dated outside has no day here."""
+        return dims.calendar(self.spark, *self.CALENDAR)
 
     @cached_property
     def fct_ventas(self) -> DataFrame:

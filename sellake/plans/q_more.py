@@ -46,7 +46,7 @@ WHERE ra.fecha_registro IS NOT NULL""",
 def g12(lk):
     """Stock with calendar attributes (inner calendar join) and boxes."""
     stock = lk.sil("renglones_almacenes")
-    return R.inventory_time(stock, dims.calendar_for(lk.spark, stock, "fecha_registro"), lk.sil("articulos"))
+    return R.inventory_time(stock, lk.calendar, lk.sil("articulos"))
 
 
 @query("G13_inventory_bi_history", O.out("""SELECT s.source_empresa, s.snapshot_date, s.codigo_almacen, al.nom_alm, s.codigo_articulo,
@@ -259,10 +259,9 @@ def j1(lk):
   CASE WHEN day(fecha_registro) <= 15 THEN 'Q1' ELSE 'Q2' END AS quincena_nombre
 FROM sil_ventas WHERE fecha_registro IS NOT NULL""", KEY_SPEC + "fecha_registro:dt, anio_mes:s, anio_semana:s, quincena_nombre:s"))
 def j2(lk):
-    """INNER join of the sales lines to a calendar generated over their date span."""
+    """INNER join of the sales lines to the calendar."""
     s = lk.sil_ventas
-    cal = dims.calendar_for(lk.spark, s, "fecha_registro")
-    return facts.with_calendar(s, cal, "fecha_registro", ["anio_mes", "anio_semana", "quincena_nombre"]).select(
+    return facts.with_calendar(s, lk.calendar, "fecha_registro", ["anio_mes", "anio_semana", "quincena_nombre"]).select(
         *KEY, "fecha_registro", "anio_mes", "anio_semana", "quincena_nombre")
 
 
