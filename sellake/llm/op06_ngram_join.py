@@ -28,7 +28,7 @@ from .common import cut, key_back, key_of, read
 from .op05_line_dedup import MAX_BITS, MIN_BITS, SEGMENTS, _bits
 
 SKETCH, SIG_BYTES, FRAGMENTS, BLOCK, ROUNDS = 1 << 21, 128, 4, 1000, 3
-BITS_PER_ENTRY = 16
+BITS_PER_ENTRY = 8
 _ROWS = "row long, doc long, n long, digest binary, sig binary, grams binary"
 
 
@@ -108,6 +108,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                     row += 1
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["row", "doc", "n", "digest", "sig", "grams"])
+            pa.default_memory_pool().release_unused()
 
     return cut(docs.mapInArrow(make, _ROWS), "gram-sets")
 
