@@ -163,14 +163,14 @@ class ChunkEncoder(ChunkTable):
     #: Where a text with other white space is cut: before a space or newline between two other characters.
     _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
     _WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-    _made: dict[str, ChunkEncoder] = {}
+    _made: dict[tuple[str, int], ChunkEncoder] = {}
 
     @classmethod
-    def of(cls, path: str) -> ChunkEncoder:
+    def of(cls, path: str, entries: int = 700_000) -> ChunkEncoder:
         """The encoder of this worker process."""
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+        if (path, entries) not in cls._made:
+            cls._made[path, entries] = cls(path, entries)
+        return cls._made[path, entries]
 
     def __init__(self, path: str, entries: int = 700_000, portion: int = 1 << 20):
         import os

@@ -21,6 +21,8 @@ KEYS = ["source", "lang", "tokenizer"]
 _COMMITS = "batch string, changes long"
 _LEDGER = "doc_id long, source string, lang string, tokenizer string, docs long, tokens long"
 _TOTALS = "source string, lang string, tokenizer string, docs long, tokens long"
+#: Chunks a worker remembers per tokenizer; fewer than for writing ids, as several tokenizers may count at once.
+ENTRIES = 350_000
 #: A tokenizer version without a file: words between white space.
 WORDS = "words"
 
@@ -32,7 +34,7 @@ def token_counts(docs: DataFrame, tokenizers: dict[str, str | None], text: str =
     keep = [c for c in docs.columns if c not in (text, "tokenizer", "tokens")]
 
     def count(batches):
-        encoders = [ChunkEncoder.of(p) for p in files.values()]
+        encoders = [ChunkEncoder.of(p, ENTRIES) for p in files.values()]
         for b in batches:
             texts, cols = b.column(text), [b.column(c) for c in keep]
             found = {name: pa.array([len(ids) for ids in e.each(texts)], pa.int64()) for name, e in zip(files, encoders)}
