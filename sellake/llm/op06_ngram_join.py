@@ -8,7 +8,8 @@ order gives exact results; the sketch only keeps frequent n-grams out of the pre
 2. Two sets with the wanted likeness share an n-gram of their prefixes (the first n - ceil(t n) + 1). Only n-grams that a
    twice-seen Bloom filter knows from several prefixes are shuffled.
 3. Links are looked for in rounds that make no more rows than there are prefix entries: each n-gram proposes its classes with
-   one pivot, and n-grams whose classes are in one component by then are done. What is left after ``ROUNDS`` is compared in
+   one pivot, and n-grams whose classes are in one component by then are done. What is left after ``ROUNDS``, or after a
+   round without a link, is compared in
    blocks of bounded size, class against class where components differ. No pair within a component is ever made, and no link between components is lost.
 4. A proposed pair must pass the parity bound (differing bits never exceed the true difference). Then the global order is cut
    into fragments, the overlaps of a pair are counted fragment by fragment in separate tasks, and summed.
@@ -420,11 +421,16 @@ def ngram_components(docs: DataFrame, size: int = 3, percent: int = 90, doc_id:
         else:
             proposed = open_.where((F.col("label") != F.col("pl")) & _near(percent))
             pairs = decide.bounded(proposed.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct())
-        found = decide.of(pairs)
-        links = cut(found if links is None else links.union(found), "links")
+        found = cut(decide.of(pairs), "links")
+        new = found.limit(1).count() > 0
+        if links is None or new:
+            links = found if links is None else cut(links.union(found), "links")
         if rounds == ROUNDS:
             break
-        open_, rounds = cut(_labelled(open_, links), "open-postings"), rounds + 1
+        if new:
+            open_, rounds = cut(_labelled(open_, links), "open-postings"), rounds + 1
+        else:  # no component has grown, so another pivot would hardly do better: on to the blocks
+            open_, rounds = open_.where("entries > 2"), ROUNDS
         if not open_.limit(1).count():
             break
     named = classes.join(components(links), "id", "left").withColumn("label", F.coalesce("label", "id"))
