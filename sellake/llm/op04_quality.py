@@ -5,12 +5,23 @@ limits. Beyond it, each rule "score above cutoff" is tested on all labelled docu
 to: in a stratum, of n good documents that pass the base rule, k are above the cutoff, and the exact binomial tail
 P(Bin(n, risk) <= k) must be at most ``delta`` divided by the number of tests (strata x rules x cutoffs). The lowest cutoff that
 passes is used; if none does, the rule is off in that stratum. ``risk`` is shared out evenly among the rules, so with
-probability 1 - delta no stratum loses more than ``risk`` of its good documents.
+probability 1 - delta no stratum loses more than ``risk`` of its good documents. The SQL of ``op4_quality_rules`` fixes this.
+
+That needs some 1,570 good labels in a stratum, so the pipeline (``keep_good``) takes its cutoffs from ``fit_in_order``. There the
+union of the rules is tested against the whole ``risk``, along one chain of settings per rule, each stricter than the one before:
+from its loosest cutoff to its strictest that rule alone, then the others level by level beside it. The first failure ends a
+chain, so delta is divided among the chains ((strata + 1) x rules) and not among cutoffs; some 300 good labels do at 4 strata. Of
+the certified settings of a stratum, which hold all at once, the one that rejects most documents labelled bad is used.
+
+Two guarantees hold together with probability 1 - delta. A stratum with enough good labels to pass a test at all loses no more
+than ``risk`` of its good documents. The others, also those without any label, take the setting certified on the pooled labels
+of all strata: of the good documents of all strata together it rejects no more than ``risk``, as far as labels are drawn evenly from
+them. For such a stratum by itself nothing is guaranteed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, read
@@ -26,6 +37,9 @@ RULES = {
     "word_length_x100": ("100 * word_chars", "n_words", [550, 575, 600, 625, 650, 700, 750, 800]),
 }
 RISK, DELTA = 0.02, 0.05
+#: Cutoffs of a rule, and settings of a chain of ``fit_in_order``.
+LEVELS = 8
+STEPS = 2 * LEVELS
 #: Up to so many strata their cutoffs (some 100 bytes each) are broadcast; beyond, they are joined by Spark's own choice.
 MAX_BROADCAST_STRATA = 10_000
 
@@ -107,12 +121,47 @@ def fit(counts: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
     return sums.select("stratum", *[F.array_min(F.array_compact(F.array(*c))).alias(f"cut_{r}") for r, c in picked.items()])
 
 
+def _first_step(rule: str) -> Column:
+    """The first setting of the rule's chain that rejects the row; STEPS + 1 if none does."""
+    n = {r: sum((_above(r, c).cast("long") for c in cutoffs), F.lit(0).cast("long")) for r, (_, _, cutoffs) in RULES.items()}
+    alone = F.when(n[rule] > 0, LEVELS + 1 - n[rule]).otherwise(F.lit(STEPS + 1))
+    return F.least(alone, *[STEPS + 1 - n[r] for r in RULES if r != rule])
+
+
+def fit_in_order(counts: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """Takes and returns what ``fit`` does, with a row for each stratum of ``counts``; cutoffs tested in a fixed order, pooled
+    ones where a stratum is too small (module docstring). A labelled document that no label calls good is bad.
+
+    Each labelled row becomes one step a chain, and rows of a step are counted, so what is held is at most strata x rules x
+    (STEPS + 1) rows. The rows rejected up to a step never grow fewer, so the steps that pass are the ones before the first that fails.
+    """
+    marked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max((F.col("quality") == 1).cast("long")).alias("good"))
+    held = counts.where("not base_failed").join(marked, "doc_id").withColumn("stratum", _stratum(stratum))
+    at = F.explode(F.array(*[F.struct(F.lit(-i).alias("chain"), _first_step(r).alias("step")) for i, r in enumerate(RULES)]))
+    sums = [F.sum("good").alias("good"), F.sum("bad").alias("bad")]
+    own = cut(held.select("stratum", "good", (1 - F.col("good")).alias("bad"), at.alias("at")).groupBy("stratum", "at.chain", "at.step").agg(*sums), "quality-steps")
+    limit = delta / ((own.where("good > 0").select("stratum").distinct().count() + 1) * len(RULES))
+    pooled = own.groupBy("chain", "step").agg(*sums).select(F.lit(None).cast("string").alias("stratum"), "chain", "step", "good", "bad")
+    chain = Window.partitionBy("stratum", "chain")
+    tried = own.union(pooled).withColumn("n", F.sum("good").over(chain)).withColumn("k", F.sum("good").over(chain.orderBy("step")))
+    tried = tried.withColumn("passed", binomial_tail(F.col("n"), F.col("k"), risk) <= limit)
+    ends = tried.where(binomial_tail(F.col("n"), F.lit(0).cast("long"), risk) <= limit).groupBy("stratum", "chain").agg(
+        F.coalesce(F.sum(F.when(F.col("passed"), F.col("bad"))), F.lit(0)).alias("caught"), (F.coalesce(F.min(F.when(~F.col("passed"), F.col("step"))), F.lit(STEPS + 1)) - 1).alias("step"))
+    best = cut(ends.groupBy("stratum").agg(F.max(F.struct("caught", "chain", "step")).alias("best")), "quality-settings")
+    rows = counts.select(_stratum(stratum).alias("stratum")).distinct().join(best, "stratum", "left")
+    rows = rows.join(F.broadcast(best.where("stratum is null").select(F.col("best").alias("all"))), F.lit(True), "left").select("stratum", F.coalesce("best", "all").alias("best"))
+    level = lambda i: F.when(F.col("best.chain") == -i, F.least(F.col("best.step"), F.lit(LEVELS))).otherwise(F.col("best.step") - LEVELS)
+    return rows.select("stratum", *[
+        F.when(level(i) > 0, F.get(F.array(*[F.lit(c).cast("long") for c in reversed(cutoffs)]), (level(i) - 1).cast("int"))).alias(f"cut_{r}")
+        for i, (r, (_, _, cutoffs)) in enumerate(RULES.items())])
+
+
 def _stratum(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
 def judge(counts: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """``counts`` with ``kept``. A stratum without labels has no cutoffs: there the base rule decides alone."""
+    """``counts`` with ``kept``. In a stratum without cutoffs the base rule decides alone."""
     cutoffs = cut(cutoffs, "quality-cutoffs")
     side = F.broadcast(cutoffs) if cutoffs.count() <= MAX_BROADCAST_STRATA else cutoffs
     rejected = F.lit(False)
@@ -124,9 +173,9 @@ def judge(counts: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataF
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that the rules keep. Counts are made twice, once for the cutoffs and once in the pass that
+    """The rows of ``docs`` that the rules keep, with the cutoffs of ``fit_in_order``. Counts are made twice, once for the cutoffs and once in the pass that
     filters; that costs less than to write the texts in between."""
-    cutoffs = fit(cut(add_counts(docs.select("doc_id", "text", stratum)).select("doc_id", stratum, *_COUNTS), "quality"), labels, stratum)
+    cutoffs = fit_in_order(cut(add_counts(docs.select("doc_id", "text", stratum)).select("doc_id", stratum, *_COUNTS), "quality"), labels, stratum)
     counted = add_counts(docs.select(F.struct(*docs.columns).alias("row"), "text", stratum))
     return judge(counted, cutoffs, stratum).where("kept").select("row.*")
 

@@ -105,6 +105,56 @@ def test_quality_cutoffs(spark):
     assert len(kept) == 9000 and all(kept[r[0]] == (r[1] is None or 100 * r[4] <= cutoffs["aa"].cut_symbols_per_100_words * r[2]) for r in rows)
 
 
+def test_quality_cutoffs_in_order(spark):
+    """Chains by brute force; small strata take the pooled cutoffs, large ones that fail a test do not."""
+    rnd = random.Random(5)
+    names, rows, labels = list(op04_quality.RULES), [], []
+    for lang, n_good, n_bad, odd in (("aa", 2400, 60, 0.002), ("bb", 40, 12, 0), ("cc", 420, 9, 0.06), (None, 330, 5, 0), ("dd", 0, 4, 0)):
+        for k in range(n_good + n_bad):
+            symbols = rnd.choice([7, 15, 50]) if k >= n_good or rnd.random() < odd else 0
+            rows.append((len(rows), lang, 100, rnd.choice([500, 500, 560, 640]), symbols, 20, rnd.choice([0, 0, 0, 3]), rnd.choice([0] * 9 + [7]), False))
+            if lang != "dd":
+                labels += [(len(rows) - 1, int(k < n_good))] + [(len(rows) - 1, 0)] * (k % 9 == 0) + [(None, 1), (len(rows) - 1, None)] * (k == 1)
+    counts = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long, base_failed boolean")
+    frame_ = spark.createDataFrame(labels, "doc_id long, quality int")
+    risk, limit, good = op04_quality.RISK, op04_quality.DELTA / (5 * len(names)), {d for d, q in labels if q == 1 and d is not None}
+    top = lambda r: {"symbols_per_100_words": 100 * r[4] / r[2], "repeat_words_percent": 100 * r[7] / r[2], "dup_lines_percent": 100 * r[6] / r[5], "word_length_x100": 100 * r[3] / r[2]}
+    over = lambda r, cuts: any(c is not None and top(r)[x] > c for x, c in cuts.items())
+
+    def search(part):
+        n, settings = sum(r[0] in good for r in part), []
+        if (1 - risk) ** n > limit:
+            return None
+        for mine in names:
+            held = dict.fromkeys(names)
+            for s in range(1, 17):
+                cuts = {x: (op04_quality.RULES[x][2][8 - min(s, 8)] if x == mine else op04_quality.RULES[x][2][16 - s] if s > 8 else None) for x in names}
+                k = sum(over(r, cuts) for r in part if r[0] in good)
+                if k >= n * risk or sum(math.comb(n, j) * risk**j * (1 - risk) ** (n - j) for j in range(k + 1)) > limit:
+                    break
+                held = cuts
+            settings.append((sum(over(r, held) for r in part if r[0] not in good), -names.index(mine), held))
+        return max(settings, key=lambda x: x[:2])[2]
+
+    got = {r.stratum: {x: r[f"cut_{x}"] for x in names} for r in op04_quality.fit_in_order(counts, frame_).collect()}
+    pooled = search([r for r in rows if r[1] != "dd"])
+    assert set(got) == {"aa", "bb", "cc", "dd", ""} and got["bb"] == got["dd"] == pooled
+    for lang in ("aa", "cc", ""):
+        assert got[lang] == search([r for r in rows if (r[1] or "") == lang]), lang
+    assert pooled["symbols_per_100_words"] == 5 and got["cc"]["symbols_per_100_words"] not in (5, 10, 15)
+    assert op04_quality.fit(counts, frame_).where("stratum = 'bb'").head().cut_symbols_per_100_words is None
+    assert all(r.cut_symbols_per_100_words is None for r in op04_quality.fit_in_order(counts, frame_.limit(100)).collect())
+
+
+def test_junk_of_a_small_stratum_goes(spark):
+    words = [f"w{i}" for i in range(300)]
+    rnd = random.Random(6)
+    docs = [(i, " ".join(rnd.sample(words, 60)) + " ####### ******" * (i % 10 == 0), "en" if i < 500 else "xx") for i in range(540)]
+    labels = spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(540) if i % 20 < 18], "doc_id long, quality int")
+    kept = op04_quality.keep_good(spark.createDataFrame(docs, "doc_id long, text string, lang string"), labels)
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(540) if i % 10 > 0]
+
+
 def test_quality_without_labels_or_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     docs = frame(spark, [(1, "a plain text of some ten or more words that all differ here"), (2, None), (None, "short")])
