@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, key_back, key_of, read
@@ -95,6 +95,9 @@ def _may_link(x: bytes, y: bytes, total: int, percent: int) -> bool:
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
+    """A row per row (doc, text) of ``docs``; a third column, ``mark``, goes along."""
+    marks = docs.columns[2:]
+
     def make(batches):
         import xxhash
 
@@ -107,11 +110,11 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
                     raw = g.tobytes()
                     out.append((row, doc, len(g), xxhash.xxh3_128_digest(raw), _parity(g), _packed(g)))
                     row += 1
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["row", "doc", "n", "digest", "sig", "grams"])
+                cols = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays([*cols, *part.columns[2:]], names=["row", "doc", "n", "digest", "sig", "grams", *marks])
             pa.default_memory_pool().release_unused()
 
-    return cut(docs.mapInArrow(make, _ROWS), "gram-sets")
+    return cut(docs.mapInArrow(make, _ROWS + ", mark binary" * len(marks)), "gram-sets")
 
 
 def _merged(parts: DataFrame, segments: int, size: int, dtype, add: Callable, finish: Callable = lambda x: x) -> bytes:
@@ -405,10 +408,17 @@ def ngram_components(docs: DataFrame, size: int = 3, percent: int = 90, doc_id:
     have no set and link with nothing. Each row is a document of its own, also where ids repeat; a NULL id counts as the least.
     An empty table gives no rows.
     """
-    spark = docs.sparkSession
     rows = _sets(docs.select(key_of(F.col(doc_id).cast("long")).alias("doc"), F.col(text).cast("string").alias("text")), size)
+    named = _named(rows, F.col("doc"), percent)
+    return rows.select("doc", "n", "digest").join(named, "digest", "left").select(
+        key_back("doc").alias("doc_id"), F.col("n").alias("n_shingles"), key_back(F.when(F.col("n") > 0, F.coalesce("component", "doc")).otherwise(F.col("doc"))).alias("component_id"))
+
+
+def _named(rows: DataFrame, name: Column, percent: int) -> DataFrame:
+    """(digest, component) of each class of ``rows`` (see ``_sets``): the least ``name`` in its component."""
+    spark = rows.sparkSession
     linkable = rows.where("n > 0")
-    classes = cut(linkable.groupBy("digest").agg(F.min("row").alias("id"), F.min("doc").alias("least")), "gram-classes")
+    classes = cut(linkable.groupBy("digest").agg(F.min("row").alias("id"), F.min(name).alias("least")), "gram-classes")
     sketch = spark.sparkContext.broadcast(_sketch(linkable))
     total = rows.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).head()[0] or 0
     known = spark.sparkContext.broadcast(_twice(linkable, sketch, percent, _size(total)))
@@ -435,19 +445,20 @@ def ngram_components(docs: DataFrame, size: int = 3, percent: int = 90, doc_id:
             break
     named = classes.join(components(links), "id", "left").withColumn("label", F.coalesce("label", "id"))
     least = cut(named, "class-labels").groupBy("label").agg(F.min("least").alias("component"))
-    named = named.join(least, "label").select("digest", "component")
-    return rows.select("doc", "n", "digest").join(named, "digest", "left").select(
-        key_back("doc").alias("doc_id"), F.col("n").alias("n_shingles"), key_back(F.when(F.col("n") > 0, F.coalesce("component", "doc")).otherwise(F.col("doc"))).alias("component_id"))
+    return named.join(least, "label").select("digest", "component")
 
 
 def keep_one(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """The rows of ``docs`` less all but one document of each component, that of least id. Rows equal in id and text count as
-    one; rows without words all stay."""
-    found = ngram_components(docs, size, percent)
-    ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key_of("doc_id").alias("__key")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), key_of("doc_id").alias("__key"), "text").join(ids, "__key", "left_semi")
-    first = F.row_number().over(Window.partitionBy("__key", "text").orderBy(F.lit(1)))
-    return rows.withColumn("__nth", first).where("__nth = 1").select("row.*")
+    """The rows of ``docs`` less all but one of each component, that of least id (NULL first), and of least hash of the text where
+    several have that id. Rows equal in id and text count as one (any of them); rows without words all stay."""
+    key, mark = key_of(F.col("doc_id").cast("long")), F.unhex(F.md5(F.col("text").cast("string")))
+    words = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    worded = docs.where(words)
+    rows = _sets(worded.select(key.alias("doc"), F.col("text").cast("string").alias("text"), mark.alias("mark")), size)
+    ids = _named(rows, F.struct("doc", "mark"), percent).select(F.col("component.doc").alias("__key"), F.col("component.mark").alias("__mark")).distinct()
+    kept = worded.select(F.struct(*docs.columns).alias("row"), key.alias("__key"), mark.alias("__mark")).join(ids, ["__key", "__mark"], "left_semi")
+    first = F.row_number().over(Window.partitionBy("__key", "__mark").orderBy(F.lit(1)))
+    return kept.withColumn("__nth", first).where("__nth = 1").select("row.*").union(docs.where(~words))
 
 
 def op6_ngram_join(spark, sf_dir: str) -> DataFrame:

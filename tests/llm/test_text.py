@@ -261,6 +261,18 @@ def test_ngram_join_edges(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 7, 8, 9] and kept.columns == SCHEMA.replace(",", "").split()[::2]
 
 
+def test_keep_one_where_ids_are_missing_or_repeat(spark):
+    words = [f"w{i}" for i in range(100)]
+    copies = [" ".join(words[:k] + ["x"] + words[k:]) for k in (97, 98, 99)]
+    other, third = " ".join(reversed(words)), " ".join(f"v{i}" for i in range(50))
+    rows = [(None, copies[0]), (None, copies[1]), (4, copies[2]), (7, other), (7, other + " z"), (8, other), (7, third), (9, third)] + [(3, " \n"), (3, " \n"), (None, None), (None, None)]
+    kept = sorted(((r.doc_id, r.text) for r in op06_ngram_join.keep_one(frame(spark, rows * 2).repartition(3)).collect()), key=str)
+    assert [r for r in kept if not (r[1] or "").strip()] == sorted(rows[8:] * 2, key=str)
+    kept = [r for r in kept if (r[1] or "").strip()]
+    assert len(kept) == 3 and (7, third) in kept
+    assert sum(r[0] is None and r[1] in copies[:2] for r in kept) == 1 and sum(r in [(7, other), (7, other + " z")] for r in kept) == 1
+
+
 def test_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     model = op09_language.learn(docs.where(~op09_language.held_out()))
