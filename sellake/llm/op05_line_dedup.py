@@ -110,6 +110,11 @@ def suspects(docs: DataFrame, bits: np.ndarray, min_chars: int) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(scan, "doc long, key string")
 
 
+def _to_drop(found: DataFrame, counted: DataFrame) -> DataFrame:
+    """(doc, __drop): each repeated key of an id once, however many rows share the id."""
+    return found.join(counted, "key").groupBy("doc").agg(F.collect_set(F.struct("key", (F.col("doc") == F.col("first")).alias("first"))).alias("__drop"))
+
+
 def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: str = "first", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``text`` less its repeated lines, and n_lines (before) and n_dropped.
 
@@ -132,7 +137,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: st
     found = cut(suspects(plain, twice_seen(plain.select("text"), m, min_chars), min_chars), "suspect-lines")
     # written, so that the join below has a shuffle on either side and a key of many documents can be split
     counted = cut(found.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("first")).where(F.col("n") >= min_docs), "repeated-lines")
-    drop = found.join(counted, "key").groupBy("doc").agg(F.collect_list(F.struct("key", (F.col("doc") == F.col("first")).alias("first"))).alias("__drop"))
+    drop = _to_drop(found, counted)
     first = keep == "first"
 
     def clean(batches):

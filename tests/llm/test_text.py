@@ -199,6 +199,16 @@ def test_line_dedup_is_exact_with_a_full_filter(spark, monkeypatch):
     assert got == {i: f"a{i}\nc{i // 2}" for i, _ in rows}
 
 
+def test_line_dedup_holds_a_key_once_an_id(spark):
+    found = spark.createDataFrame([(d, k) for d in [1] * 300 + [2] for k in "ab"] + [(1, "c"), (2, "c")], "doc long, key string")
+    counted = spark.createDataFrame([("a", 301, 1), ("b", 301, 1)], "key string, n long, first long")
+    got = {r.doc: sorted(map(tuple, r["__drop"])) for r in op05_line_dedup._to_drop(found.repartition(3), counted).collect()}
+    assert got == {1: [("a", True), ("b", True)], 2: [("a", False), ("b", False)]}
+    rows = [(i, t) for i in (1, 1, 1, None, None) for t in ("x y\nz", "x y\nz", "own\nX Y")]
+    kept = op05_line_dedup.dedup_lines(frame(spark, rows), 3, keep="none").collect()
+    assert sorted((r.text, r.n_dropped) for r in kept) == [("", 2)] * 10 + [("", 2)] * 5
+
+
 def components(rows, size, percent):
     tr = {c: c + 32 for c in range(65, 91)}
     sets = []
