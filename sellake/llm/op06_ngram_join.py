@@ -1,5 +1,9 @@
 """Operator 6, n-gram Jaccard join: vertical partitioning.
 
+This is a component operator: it returns the component of each document and no links. The links it finds join components and
+are not all there are, as pairs within a component are left out on purpose (their number grows with the square of a group); so the
+links between different texts and the number of links of a document cannot be had from it.
+
 The n-grams have one global order, rarest first: by classes of a frequency sketch over all documents, then by hash. Any fixed
 order gives exact results; the sketch only keeps frequent n-grams out of the prefixes.
 
