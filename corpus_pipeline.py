@@ -18,6 +18,8 @@ from sellake.llm.op10_packing import packed_documents
 
 #: Lines of so many documents are repeated ones; the first of them stays.
 LINE_DOCS = 10
+#: A line of more words than this is a repeated one in two documents already, once near copies are gone.
+LONG_WORDS = 50
 SHINGLE, PERCENT = 5, 80
 
 
@@ -33,13 +35,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; a line of ten documents or more stays in the first of them only."""
-    clean = dedup_lines(docs, min_docs=LINE_DOCS, keep="first")
-    return clean.select(*[F.char_length("text").cast("long").alias(c) if c == "n_chars" else c for c in docs.columns])
+    return _counted(dedup_lines(docs, min_docs=LINE_DOCS, keep="first"), docs.columns)
+
+
+def _counted(clean: DataFrame, columns: list[str]) -> DataFrame:
+    return clean.select(*[F.char_length("text").cast("long").alias(c) if c == "n_chars" else c for c in columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of linked ones: five-word shingles, likeness 0.8 or more."""
-    return keep_one(docs, SHINGLE, PERCENT)
+    """One document of each component of linked ones: five-word shingles, likeness 0.8 or more. Then a long line that two
+    documents or more still share stays in the first of them only; done before, that would leave rests of near copies, which
+    link with nothing any more."""
+    one = cut(keep_one(docs, SHINGLE, PERCENT), "one-each")
+    return _counted(dedup_lines(one, min_docs=2, min_chars=2 * LONG_WORDS + 1, keep="first", min_words=LONG_WORDS + 1), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

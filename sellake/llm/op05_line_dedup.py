@@ -115,11 +115,11 @@ def _to_drop(found: DataFrame, counted: DataFrame) -> DataFrame:
     return found.join(counted, "key").groupBy("doc").agg(F.collect_set(F.struct("key", (F.col("doc") == F.col("first")).alias("first"))).alias("__drop"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: str = "first", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: str = "first", doc_id: str = "doc_id", text: str = "text", min_words: int = 1) -> DataFrame:
     """``docs`` with ``text`` less its repeated lines, and n_lines (before) and n_dropped.
 
-    A line's key is the line without white space at its ends, A-Z in lower case. Keys of at least ``min_chars`` code points
-    found in at least ``min_docs`` documents are repeated: all their lines go, in every document, or with ``keep="first"`` all
+    A line's key is the line without white space at its ends, A-Z in lower case. Keys of at least ``min_chars`` code points and
+    ``min_words`` words found in at least ``min_docs`` documents are repeated: all their lines go, in every document, or with ``keep="first"`` all
     but the first line in the document of least id. Each row is a document; a document with a line many times counts once for
     it. Rows that share an id lose the same keys, and keep the same firsts. NULL and empty texts have one empty line and stay
     empty; a NULL id works as any other. Columns named n_lines or n_dropped are replaced.
@@ -136,7 +136,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: st
         m *= 2
     found = cut(suspects(plain, twice_seen(plain.select("text"), m, min_chars), min_chars), "suspect-lines")
     # written, so that the join below has a shuffle on either side and a key of many documents can be split
-    counted = cut(found.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("first")).where(F.col("n") >= min_docs), "repeated-lines")
+    counted = cut(found.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("first")).where((F.col("n") >= min_docs) & (F.size(F.split("key", r"[\x20\x09-\x0D]+")) >= min_words)), "repeated-lines")
     drop = _to_drop(found, counted)
     first = keep == "first"
 

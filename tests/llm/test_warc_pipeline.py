@@ -60,6 +60,18 @@ def test_warc_faults():
             list(w.read_records(io.BytesIO(data)))
 
 
+def test_long_lines_of_two_documents(spark):
+    import corpus_pipeline as c
+
+    said = lambda k, n: " ".join(f"{k}{i}" for i in range(n))
+    texts = {1: [said("a", 60), said("long", 51), "short"], 2: [said("b", 60), " " + said("LONG", 51), "short"], 3: [said("c", 60), said("mid", 50)],
+             4: [said("d", 60), said("mid", 50)], 5: [said("e", 60), said("f", 60)], 6: [said("e", 60), said("f", 60) + " z"], 7: [said("g", 60)]}
+    docs = spark.createDataFrame([(i, "\n".join(x), "en", "s", sum(map(len, x)) + len(x) - 1) for i, x in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in c.near_duplicates(spark, docs, "").collect()}
+    want = {i: "\n".join(x if i != 2 else [x[0], x[2]]) for i, x in texts.items() if i != 6}
+    assert {i: r.text for i, r in got.items()} == want and all(r.n_chars == len(r.text) for r in got.values())
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
     import __spark_entry__ as entry
