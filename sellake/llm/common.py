@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,38 @@ def key_back(column) -> F.Column:
     return F.when(c != F.lit(NULL_KEY), c)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
+def located(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with two more columns, whose names come along: a number of the row's Parquet file and the row's place in it. The
+    same row has the same ones in every scan, however the files are dealt to tasks. What is no plain Parquet scan is written first."""
+    home, at = fresh(docs, "home", "at")
+    if _plain_scan(docs):
+        try:
+            of = docs.metadataColumn("_metadata")
+            return docs.select(*docs.columns, F.xxhash64(of["file_path"]).alias(home), of["row_index"].alias(at)), home, at
+        except AnalysisException:
+            pass
+    return located(cut(docs, "rows"))
+
+
+def _plain_scan(docs: DataFrame) -> bool:
+    """Whether ``docs`` reads files and at most picks columns and rows of them."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
 def open_fs(path: str):
     """(file system, path inside it) of a URI, by pyarrow; used inside tasks."""
     from pyarrow import fs
@@ -49,6 +82,89 @@ def open_fs(path: str):
     return fs.FileSystem.from_uri(path if "://" in path else re.sub(r"^file:/*", "/", path))
 
 
+class SideTable:
+    """A table that tasks read beside files of rows: split by ``home`` into folders, each sorted by ``key``. A task that goes
+    through rows of a home in order of ``key`` takes the entries of those rows, a batch at a time; the rows are not shuffled."""
+
+    def __init__(self, table: DataFrame, home: str, key: str, name: str, *then: str):
+        self.key, self.path, self.home = key, scratch(table.sparkSession, name), home
+        self.columns = [c for c in table.columns if c != home]
+        table.repartition(home).sortWithinPartitions(home, key, *then).write.partitionBy(home).parquet(self.path)
+
+    def cursor(self) -> _Cursor:
+        return _Cursor(self)
+
+
+class _Cursor:
+    def __init__(self, side: SideTable):
+        self.side, self.home, self.last = side, None, 0
+
+    def _open(self, home: int, first: int) -> None:
+        import pyarrow.dataset as ds
+        from pyarrow import fs as files
+
+        self.home, self.held, self.batches = home, None, iter(())
+        fs, inner = open_fs(f"{self.side.path}/{self.side.home}={home}")
+        if fs.get_file_info(inner).type != files.FileType.NotFound:
+            self.batches = iter(ds.dataset(inner, filesystem=fs, format="parquet").to_batches(
+                columns=self.side.columns, filter=ds.field(self.side.key) >= first, batch_size=1 << 14, batch_readahead=1, fragment_readahead=1))
+
+    def take(self, home: int, keys):
+        """Entries (a table, or None) whose key is one of ``keys``, a rising array of one home."""
+        import numpy as np
+        import pyarrow as pa
+
+        if home != self.home or keys[0] <= self.last:
+            self._open(home, int(keys[0]))
+        self.last = keys[-1]
+        got = []
+        while True:
+            if self.held is None:
+                self.held = next(self.batches, None)
+                if self.held is None:
+                    break
+            k = self.held.column(self.side.key).to_numpy()
+            n = int(np.searchsorted(k, keys[-1], "right"))
+            if n:
+                got.append(self.held.slice(0, n).filter(pa.array(np.isin(k[:n], keys))))
+            if n < len(k):
+                self.held = self.held.slice(n)
+                break
+            self.held = None
+        return pa.Table.from_batches(got) if got else None
+
+
+def runs(homes):
+    """Slices of rows of one home that follow each other."""
+    import numpy as np
+
+    ends = (np.flatnonzero(np.diff(homes)) + 1).tolist()
+    for i, j in zip([0, *ends], [*ends, len(homes)]):
+        if j > i:
+            yield slice(i, j)
+
+
+def without(docs: DataFrame, home: str, at: str, dropped: DataFrame) -> DataFrame:
+    """``docs`` (see ``located``) without the rows (home, at) of ``dropped``, and without those two columns."""
+    side, cols = SideTable(dropped.select(F.col(home).alias("home"), F.col(at).alias("at")), "home", "at", "dropped-rows"), [c for c in docs.columns if c not in (home, at)]
+
+    def keep(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        cursor = side.cursor()
+        for b in batches:
+            homes, places = b.column(home).to_numpy(), b.column(at).to_numpy()
+            gone = np.zeros(b.num_rows, bool)
+            for run in runs(homes):
+                found = cursor.take(int(homes[run.start]), places[run])
+                if found is not None:
+                    gone[run] = np.isin(places[run], found.column("at").to_numpy())
+            yield b.select(cols).filter(pa.array(~gone))
+
+    return docs.mapInArrow(keep, docs.select(*cols).schema)
+
+
 def publish(path: str, write) -> None:
     """Write a file under a name of this attempt, then rename: a reader never sees half a file of a lost task."""
     fs, inner = open_fs(path)

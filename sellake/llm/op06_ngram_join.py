@@ -1,9 +1,5 @@
 """Operator 6, n-gram Jaccard join: vertical partitioning.
 
-This is a component operator: it returns the component of each document and no links. The links it finds join components and
-are not all there are, as pairs within a component are left out on purpose (their number grows with the square of a group); so the
-links between different texts and the number of links of a document cannot be had from it.
-
 The n-grams have one global order, rarest first: by classes of a frequency sketch over all documents, then by hash. Any fixed
 order gives exact results; the sketch only keeps frequent n-grams out of the prefixes.
 
@@ -11,71 +7,31 @@ order gives exact results; the sketch only keeps frequent n-grams out of the pre
    one row stands for it, so copies are never paired.
 2. Two sets with the wanted likeness share an n-gram of their prefixes (the first n - ceil(t n) + 1). Only n-grams that a
    twice-seen Bloom filter knows from several prefixes are shuffled.
-3. Links are looked for in rounds that make no more rows than there are prefix entries: each n-gram proposes its classes with
-   one pivot, and n-grams whose classes are in one component by then are done. What is left after ``ROUNDS``, or after a
-   round without a link, is compared in
-   blocks of bounded size, class against class where components differ. No pair within a component is ever made, and no link between components is lost.
+3. ``ngram_components`` looks for links in rounds and blocks (``links.Links.spanning``): every component is found without the pairs
+   within a big group. ``ngram_links`` gives every link between classes, with their members.
 4. A proposed pair must pass the parity bound (differing bits never exceed the true difference). Then the global order is cut
    into fragments, the overlaps of a pair are counted fragment by fragment in separate tasks, and summed.
+
+NULL, empty and wordless texts have no set and link with nothing. Each row is a document of its own, also where ids repeat; a
+NULL id counts as the least and stays NULL. A very long text is one set, held whole in one worker (some 40 bytes a word). Only the
+id and the text are read; other columns may have any names. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, key_back, key_of, read
+from .common import cut, key_back, key_of, located, read, without
+from .links import Links, gram_set, mix, named, unpacked, write_sets
 from .op05_line_dedup import MAX_BITS, MIN_BITS, SEGMENTS, _bits
 
-SKETCH, SIG_BYTES, FRAGMENTS, BLOCK, ROUNDS = 1 << 21, 128, 4, 1000, 3
+SKETCH, SIG_BYTES, FRAGMENTS = 1 << 21, 128, 4
 BITS_PER_ENTRY = 8
-_ROWS = "row long, doc long, n long, digest binary, sig binary, grams binary"
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def gram_set(text: bytes, size: int) -> np.ndarray:
-    """Sorted distinct 56-bit hashes of the word ``size``-grams; of fewer words, one hash of them all; of none, nothing."""
-    import xxhash
-
-    words = text.lower().split()  # of bytes: A-Z only, and the white space \x20 \x09-\x0D
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    k = min(size, len(words))
-    out = np.full(len(words) - k + 1, k, np.uint64)
-    for i in range(k):
-        out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i : len(words) - k + 1 + i])
-    return np.unique(out >> np.uint64(8))
-
-
-def _packed(g: np.ndarray) -> bytes:
-    """A sorted set as the bytes of its gaps, like ones together, compressed."""
-    import zstandard
-
-    planes = np.diff(g, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T[:7]
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
-
-
-def _grams(column) -> Iterator[np.ndarray]:
-    """The sets of an Arrow column of packed ones."""
-    import zstandard
-
-    unpack = zstandard.ZstdDecompressor()
-    for raw in column:
-        planes = np.frombuffer(unpack.decompress(raw.as_py()), np.uint8).reshape(7, -1)
-        out = np.zeros((planes.shape[1], 8), np.uint8)
-        out[:, :7] = planes.T
-        yield np.cumsum(out.reshape(-1).view("<u8"), dtype=np.uint64)
 
 
 def _parity(g: np.ndarray) -> bytes:
@@ -98,27 +54,13 @@ def _may_link(x: bytes, y: bytes, total: int, percent: int) -> bool:
     return int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum()) * (100 + percent) <= (100 - percent) * total
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """A row per row (doc, text) of ``docs``; a third column, ``mark``, goes along."""
-    marks = docs.columns[2:]
-
-    def make(batches):
-        import xxhash
+def _may(percent: int):
+    """The parity test for ``Links``."""
+    return lambda sa, sb, na, nb: np.fromiter((_may_link(x, y, t, percent) for x, y, t in zip(sa, sb, (na + nb).tolist())), bool, len(sa))
 
-        row = TaskContext.get().partitionId() << 36
-        for b in batches:
-            for i in range(0, b.num_rows, 256):
-                part, out = b.slice(i, 256), []
-                for doc, t in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
-                    g = gram_set(t or b"", size)
-                    raw = g.tobytes()
-                    out.append((row, doc, len(g), xxhash.xxh3_128_digest(raw), _parity(g), _packed(g)))
-                    row += 1
-                cols = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays([*cols, *part.columns[2:]], names=["row", "doc", "n", "digest", "sig", "grams", *marks])
-            pa.default_memory_pool().release_unused()
 
-    return cut(docs.mapInArrow(make, _ROWS + ", mark binary" * len(marks)), "gram-sets")
+def _may_fold(percent: int):
+    return lambda sigs, sig, n, own: np.bitwise_count(sigs ^ sig).sum(axis=1, dtype=np.int64) * (100 + percent) <= (100 - percent) * (n + own)
 
 
 def _merged(parts: DataFrame, segments: int, size: int, dtype, add: Callable, finish: Callable = lambda x: x) -> bytes:
@@ -161,7 +103,7 @@ def _sketch(rows: DataFrame) -> np.ndarray:
             waiting, size = [], 0
 
         for b in batches:
-            for g in _grams(b.column(0)):
+            for g in unpacked(b.column(0)):
                 waiting.append(g)
                 size += len(waiting[-1])
                 if size > SKETCH // 2:
@@ -230,28 +172,15 @@ def _twice(rows: DataFrame, classes, percent: int, m: int) -> np.ndarray:
     """Twice-seen filter of prefix n-grams."""
 
     def seen(batches):
-        parts = [_prefix(g, classes.value, percent) for b in batches for g in _grams(b.column(0))]
+        parts = [_prefix(g, classes.value, percent) for b in batches for g in unpacked(b.column(0))]
         if parts and len(all_ := np.concatenate(parts)):
             h, n = np.unique(all_, return_counts=True)
-            h = _mix(h)
+            h = mix(h)
             yield _segments(h, h[n > 1], m)
 
     return _filter(rows.select("grams").mapInArrow(seen, "seg int, data binary"), m)
 
 
-def _ids_filter(ids: DataFrame) -> np.ndarray:
-    """Filter that knows all of ``ids``."""
-    m = _size(ids.count())
-
-    def seen(batches):
-        for b in batches:
-            if b.num_rows:
-                h = _mix(b.column(0).to_numpy().view(np.uint64))
-                yield _segments(h, h, m)
-
-    return _filter(ids.mapInArrow(seen, "seg int, data binary"), m)
-
-
 def _postings(rows: DataFrame, classes, percent: int, known) -> DataFrame:
     """(gram, row, n) for prefix n-grams that may stand in several prefixes."""
 
@@ -259,210 +188,69 @@ def _postings(rows: DataFrame, classes, percent: int, known) -> DataFrame:
         for b in batches:
             for i in range(0, b.num_rows, 1024):
                 part = b.slice(i, 1024)
-                pre = [_prefix(g, classes.value, percent) for g in _grams(part.column(2))]
+                pre = [_prefix(g, classes.value, percent) for g in unpacked(part.column(2))]
                 owner, g = np.repeat(np.arange(len(pre)), [len(p) for p in pre]), np.concatenate(pre)
                 if len(g):
-                    hit = _known(known.value, _mix(g))
+                    hit = _known(known.value, mix(g))
                     owner, g = owner[hit], g[hit]
                     yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(part.column(0).to_numpy()[owner]), pa.array(part.column(1).to_numpy()[owner])], names=["gram", "id", "n"])
 
     return rows.select("row", "n", "grams").mapInArrow(emit, "gram long, id long, n long")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, label): the least id of each component, for ids with an edge (a, b). Every node takes the least label among its
-    neighbours and then its label's label, until nothing changes; each step is written, so lineage stays short."""
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    while True:
-        near = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        step = labels.join(near, "id").select("id", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        up = labels.select(F.col("id").alias("label"), F.col("label").alias("up"))
-        new = cut(step.join(up, "label", "left").select("id", F.least("label", "up").alias("label"), "was"), "labels")
-        labels, changed = new.drop("was"), new.where("label <> was").limit(1).count()
-        if not changed:
-            return labels
-
-
-class _Links:
-    """Decides proposed pairs (a, b) exactly."""
-
-    def __init__(self, rows: DataFrame, classes, percent: int):
-        self.rows, self.percent, self.classes = rows.withColumnRenamed("row", "id"), percent, classes
-
-    def sigs(self, ids: DataFrame, fold: bool = False) -> DataFrame:
-        """(id, n, sig) of these ids and of few others, read through a Bloom filter; ``fold``: bitmaps of SIG_BYTES."""
-        wanted = ids.sparkSession.sparkContext.broadcast(_ids_filter(ids))
-
-        def pick(batches):
-            for b in batches:
-                b = b.filter(pa.array(_known(wanted.value, _mix(b.column(0).to_numpy().view(np.uint64)))))
-                if fold:
-                    short = [_folded(x, SIG_BYTES).tobytes() for x in b.column(2).to_pylist()]
-                    b = pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(short, pa.binary())], names=["id", "n", "sig"])
-                yield b
-
-        return cut(self.rows.select("id", "n", "sig").mapInArrow(pick, "id long, n long, sig binary"), "parity-bitmaps")
-
-    def fragments(self, ids: DataFrame) -> DataFrame:
-        """(id, fragment, grams) of these ids and of few others, those that a Bloom filter takes for them: the sets are read,
-        and only what is needed of them is written and shuffled."""
-        wanted, classes = ids.sparkSession.sparkContext.broadcast(_ids_filter(ids)), self.classes
-
-        def split(batches):
-            for b in batches:
-                part = b.filter(pa.array(_known(wanted.value, _mix(b.column(0).to_numpy().view(np.uint64)))))
-                for i in range(0, part.num_rows, 256):
-                    own, fs, raws = [], [], []
-                    for k, g in zip(part.column(0).slice(i, 256).to_pylist(), _grams(part.column(1).slice(i, 256))):
-                        # the frequent classes are the end of the order, and the last fragment
-                        f = np.where(classes.value[(g & np.uint64(SKETCH - 1)).astype(np.int64)] > 0, FRAGMENTS - 1, (g >> np.uint64(24)).astype(np.int64) * (FRAGMENTS - 1) >> 32)
-                        for at in range(FRAGMENTS):
-                            if len(some := g[f == at]):
-                                own.append(k), fs.append(at), raws.append(some.tobytes())
-                    yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(fs, pa.int32()), pa.array(raws, pa.binary())], names=["id", "fragment", "grams"])
-
-        return cut(self.rows.select("id", "grams").mapInArrow(split, "id long, fragment int, grams binary"), "fragments")
-
-    def bounded(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b, na, nb) that the parity bitmaps don't rule out."""
-        percent = self.percent
-
-        def test(batches):
-            for b in batches:
-                total = (b.column("na").to_numpy() + b.column("nb").to_numpy()).tolist()
-                ok = [_may_link(x.as_py(), y.as_py(), n, percent) for x, y, n in zip(b.column("sa"), b.column("sb"), total)]
-                yield b.select(["a", "b", "na", "nb"]).filter(pa.array(ok, pa.bool_()))
-
-        pairs = cut(pairs, "proposed")
-        sigs = self.sigs(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        side = lambda x: sigs.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
-        return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(test, "a long, b long, na long, nb long")
-
-    def of(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that link: overlaps per fragment, summed."""
-
-        def overlap(batches):
-            for b in batches:
-                got = [len(np.intersect1d(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True)) for x, y in zip(b.column("ga"), b.column("gb"))]
-                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("a", "b", "na", "nb")), pa.array(got, pa.int64())], names=["a", "b", "na", "nb", "both"])
-
-        pairs = cut(pairs, "pairs")
-        fragments = self.fragments(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-        side = lambda x: fragments.select(F.col("id").alias(x), "fragment", F.col("grams").alias(f"g{x}"))
-        parts = pairs.join(side("a"), "a").join(side("b"), ["b", "fragment"]).select("a", "b", "na", "nb", "ga", "gb")
-        sums = parts.mapInArrow(overlap, "a long, b long, na long, nb long, both long").groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
-        return sums.where(F.col("both") * 100 >= self.percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
-
-
-def _labelled(postings: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Postings with the component of each id, a pivot and the number of entries of the n-gram; n-grams of one component are
-    done with. So are, from the second round on, those of two entries: the first round has proposed that pair."""
-    if links is None:  # each id is a component of its own
-        of = postings.groupBy("gram").agg(F.min(F.struct("id", "n")).alias("p"), F.max("id").alias("hi"), F.count("*").alias("entries")).where("p.id < hi")
-        return postings.withColumn("label", F.col("id")).join(of.select("gram", F.col("p.id").alias("p"), F.col("p.n").alias("pn"), F.col("p.id").alias("pl"), "entries"), "gram")
-    out = postings.where("entries > 2").select("gram", "id", "n", "entries").join(components(links), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    out = cut(out, "labelled-postings")
-    of = out.groupBy("gram").agg(F.min("label").alias("lo"), F.max(F.struct("label", "n", "id")).alias("p")).where("lo < p.label")
-    return out.join(of.select("gram", F.col("p.id").alias("p"), F.col("p.n").alias("pn"), F.col("p.label").alias("pl")), "gram")
-
-
-def _near(percent: int):
-    return F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent
-
-
-def _blocks(postings: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components in the postings that folded parity bitmaps don't rule out, in blocks of some 2 * BLOCK
-    entries: an n-gram with more entries is cut into b parts, and its part pairs are b * (b + 1) / 2 blocks."""
-    rows = postings.withColumn("parts", F.ceil(F.col("entries") / F.lit(BLOCK)).cast("int")).withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select("gram", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "n").join(sigs.select("id", "sig"), "id")
-
-    def pairs(batches):
-        def done(group):
-            own, ids, labels, n = (np.array([r[k] for r in group]) for k in range(4))
-            sig, i, j = np.frombuffer(b"".join(r[4] for r in group), np.uint64).reshape(len(group), -1), group[0][5], group[0][6]
-            for k in range(len(group)):
-                if i != j and own[k] != i:
-                    continue
-                others = np.arange(k + 1, len(group)) if i == j else np.flatnonzero(own == j)
-                others = others[(labels[others] != labels[k]) & (np.minimum(n[others], n[k]) * 100 >= np.maximum(n[others], n[k]) * percent)]
-                others = others[np.bitwise_count(sig[others] ^ sig[k]).sum(axis=1, dtype=np.int64) * (100 + percent) <= (100 - percent) * (n[others] + n[k])]
-                if len(others):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[others], ids[k])), pa.array(np.maximum(ids[others], ids[k]))], names=["a", "b"])
-
-        key, group = None, []
-        for b in batches:
-            for gram, i, j, *rest in zip(*(b.column(c).to_pylist() for c in ("gram", "i", "j", "own", "id", "label", "n", "sig"))):
-                if (gram, i, j) != key:
-                    if len(group) > 1:
-                        yield from done(group)
-                    key, group = (gram, i, j), []
-                group.append((*rest, i, j))
-        if len(group) > 1:
-            yield from done(group)
-
-    return rows.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j").mapInArrow(pairs, "a long, b long")
-
-
-def ngram_components(docs: DataFrame, size: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles and component_id, the least doc_id that links reach.
-
-    Rows link when their sets of word ``size``-grams have 100 * intersection >= percent * union. NULL, empty and wordless texts
-    have no set and link with nothing. Each row is a document of its own, also where ids repeat; a NULL id counts as the least.
-    An empty table gives no rows.
-    """
-    rows = _sets(docs.select(key_of(F.col(doc_id).cast("long")).alias("doc"), F.col(text).cast("string").alias("text")), size)
-    named = _named(rows, F.col("doc"), percent)
-    return rows.select("doc", "n", "digest").join(named, "digest", "left").select(
-        key_back("doc").alias("doc_id"), F.col("n").alias("n_shingles"), key_back(F.when(F.col("n") > 0, F.coalesce("component", "doc")).otherwise(F.col("doc"))).alias("component_id"))
+def _sets(docs: DataFrame, size: int) -> DataFrame:
+    return write_sets(docs, size, lambda g: {"sig": _parity(g)}, {"sig": pa.binary()}, ", sig binary")
 
 
-def _named(rows: DataFrame, name: Column, percent: int) -> DataFrame:
-    """(digest, component) of each class of ``rows`` (see ``_sets``): the least ``name`` in its component."""
+def _search(rows: DataFrame, name: Column, percent: int) -> tuple[DataFrame, DataFrame, Links]:
+    """Classes (id, digest, least) of the sets, the postings of one set a class, and what finds links in them."""
     spark = rows.sparkSession
     linkable = rows.where("n > 0")
     classes = cut(linkable.groupBy("digest").agg(F.min("row").alias("id"), F.min(name).alias("least")), "gram-classes")
     sketch = spark.sparkContext.broadcast(_sketch(linkable))
     total = rows.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).head()[0] or 0
     known = spark.sparkContext.broadcast(_twice(linkable, sketch, percent, _size(total)))
-    postings = cut(_postings(linkable, sketch, percent, known).join(classes.select("id"), "id", "left_semi"), "postings")
-    open_ = cut(_labelled(postings, None), "open-postings")
-    decide, links, rounds = _Links(linkable, sketch, percent), None, 0
-    while True:
-        if rounds == ROUNDS:
-            pairs = decide.bounded(_blocks(open_, decide.sigs(open_.select("id").distinct(), fold=True), percent).distinct())
-        else:
-            proposed = open_.where((F.col("label") != F.col("pl")) & _near(percent))
-            pairs = decide.bounded(proposed.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct())
-        found = cut(decide.of(pairs), "links")
-        new = found.limit(1).count() > 0
-        if links is None or new:
-            links = found if links is None else cut(links.union(found), "links")
-        if rounds == ROUNDS:
-            break
-        if new:
-            open_, rounds = cut(_labelled(open_, links), "open-postings"), rounds + 1
-        else:  # no component has grown, so another pivot would hardly do better: on to the blocks
-            open_, rounds = open_.where("entries > 2"), ROUNDS
-        if not open_.limit(1).count():
-            break
-    named = classes.join(components(links), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    least = cut(named, "class-labels").groupBy("label").agg(F.min("least").alias("component"))
-    return named.join(least, "label").select("digest", "component")
+    postings = cut(_postings(linkable, sketch, percent, known).hint("merge").join(classes.select("id"), "id", "left_semi"), "postings")
+
+    def fragment(g):  # the frequent classes are the end of the order, and the last fragment
+        return np.where(sketch.value[(g & np.uint64(SKETCH - 1)).astype(np.int64)] > 0, FRAGMENTS - 1, (g >> np.uint64(24)).astype(np.int64) * (FRAGMENTS - 1) >> 32)
+
+    return classes, postings, Links(linkable, percent, _may(percent), lambda s: _folded(s, SIG_BYTES).tobytes(), _may_fold(percent), fragment, FRAGMENTS)
+
+
+def _plain(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(key_of(F.col(doc_id).cast("long")).alias("doc"), F.col(text).cast("string").alias("text"))
+
+
+def ngram_components(docs: DataFrame, size: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles and component_id, the least doc_id that links reach. Rows link when their sets of
+    word ``size``-grams have 100 * intersection >= percent * union."""
+    rows = _sets(_plain(docs, doc_id, text), size)
+    classes, postings, links = _search(rows, F.col("doc"), percent)
+    return rows.select("doc", "n", "digest").hint("merge").join(named(classes, links.spanning(postings)), "digest", "left").select(
+        key_back("doc").alias("doc_id"), F.col("n").alias("n_shingles"), key_back(F.when(F.col("n") > 0, F.coalesce("component", "doc")).otherwise(F.col("doc"))).alias("component_id"))
+
+
+def ngram_links(docs: DataFrame, size: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Every link: (class_a, class_b) between different sets, and the members (class_id, doc_id, n_shingles) of each class; rows of
+    one class link as well. As long as there are links, so the square of a group of near copies; see ``ngram_components``."""
+    rows = _sets(_plain(docs, doc_id, text), size)
+    classes, postings, links = _search(rows, F.col("doc"), percent)
+    members = rows.where("n > 0").hint("merge").join(classes, "digest").select(F.col("id").alias("class_id"), key_back("doc").alias("doc_id"), F.col("n").alias("n_shingles"))
+    return links.all(postings).select(F.col("a").alias("class_a"), F.col("b").alias("class_b")), members
 
 
 def keep_one(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """The rows of ``docs`` less all but one of each component, that of least id (NULL first), and of least hash of the text where
-    several have that id. Rows equal in id and text count as one (any of them); rows without words all stay."""
-    key, mark = key_of(F.col("doc_id").cast("long")), F.unhex(F.md5(F.col("text").cast("string")))
-    words = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    worded = docs.where(words)
-    rows = _sets(worded.select(key.alias("doc"), F.col("text").cast("string").alias("text"), mark.alias("mark")), size)
-    ids = _named(rows, F.struct("doc", "mark"), percent).select(F.col("component.doc").alias("__key"), F.col("component.mark").alias("__mark")).distinct()
-    kept = worded.select(F.struct(*docs.columns).alias("row"), key.alias("__key"), mark.alias("__mark")).join(ids, ["__key", "__mark"], "left_semi")
-    first = F.row_number().over(Window.partitionBy("__key", "__mark").orderBy(F.lit(1)))
-    return kept.withColumn("__nth", first).where("__nth = 1").select("row.*").union(docs.where(~words))
+    """The rows of ``docs`` less all but one of each component: of its rows, the one of least id (NULL first), then of least hash of the
+    text, then the first in the files. Rows without words all stay. Who goes is decided on row numbers; texts are read, never shuffled."""
+    rows, home, at = located(docs)
+    mark = F.unhex(F.md5(F.col("text").cast("string")))
+    sets = _sets(rows.select(key_of(F.col("doc_id").cast("long")).alias("doc"), F.col("text").cast("string").alias("text"), mark.alias("mark"), F.col(home).alias("home"), F.col(at).alias("at")), size)
+    name = F.struct("doc", "mark", "home", "at")
+    classes, postings, links = _search(sets, name, percent)
+    of = sets.where("n > 0").select("digest", "home", "at").hint("merge").join(named(classes, links.spanning(postings)), "digest")
+    gone = of.where((F.col("home") != F.col("component.home")) | (F.col("at") != F.col("component.at")))
+    return without(rows, home, at, gone.select(F.col("home").alias(home), F.col("at").alias(at)))
 
 
 def op6_ngram_join(spark, sf_dir: str) -> DataFrame:

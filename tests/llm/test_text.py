@@ -8,7 +8,7 @@ from collections import Counter
 
 import pytest
 
-from sellake.llm import op04_quality, op05_line_dedup, op06_ngram_join, op09_language
+from sellake.llm import links, op04_quality, op05_line_dedup, op06_ngram_join, op09_language, op11_minhash
 from sellake.llm.op03_fingerprint import fingerprints
 
 SCHEMA = "doc_id long, text string, lang string, n int, label string, n_words string"
@@ -255,8 +255,9 @@ def near_copies(seed):
 
 @pytest.mark.parametrize("size,percent,rounds", [(3, 90, 3), (3, 90, 0), (5, 80, 1)])
 def test_ngram_join(spark, monkeypatch, size, percent, rounds):
-    monkeypatch.setattr(op06_ngram_join, "ROUNDS", rounds)
-    monkeypatch.setattr(op06_ngram_join, "BLOCK", 7)
+    monkeypatch.setattr(links, "ROUNDS", rounds)
+    monkeypatch.setattr(links, "BLOCK", 7)
+    monkeypatch.setattr(links, "CHUNK", 2)
     rows = near_copies(size + rounds)
     got = op06_ngram_join.ngram_components(frame(spark, rows).repartition(3), size, percent).collect()
     want = components(rows, size, percent)
@@ -264,6 +265,66 @@ def test_ngram_join(spark, monkeypatch, size, percent, rounds):
     assert len({w[2] for w in want}) < len(want) - 20
 
 
+def all_links(rows, size, percent):
+    words = [re.findall(SPACE, (t or "").translate({k: k + 32 for k in range(65, 91)})) for _, t in rows]
+    sets = [{tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set() for w in words]
+    return {(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
+
+
+def test_ngram_links_are_all_there(spark, monkeypatch):
+    monkeypatch.setattr(links, "BLOCK", 9)
+    rows = [(i, t) for i, (_, t) in enumerate(near_copies(11))]
+    found, members = op06_ngram_join.ngram_links(frame(spark, rows).repartition(3), 3, 90)
+    of, pairs = {}, set()
+    for r in members.collect():
+        of.setdefault(r.class_id, []).append(r.doc_id)
+    for r in found.collect():
+        assert r.class_a < r.class_b
+        pairs |= {(max(i, j), min(i, j)) for i in of[r.class_a] for j in of[r.class_b]}
+    for own in of.values():
+        pairs |= {(i, j) for i in own for j in own if i > j}
+    assert pairs == all_links(rows, 3, 90) and len(pairs) > 100
+
+
+@pytest.mark.parametrize("size,percent,rounds", [(3, 85, 2), (3, 85, 0), (5, 80, 1)])
+def test_minhash(spark, monkeypatch, size, percent, rounds):
+    monkeypatch.setattr(links, "ROUNDS", rounds)
+    monkeypatch.setattr(links, "BLOCK", 7)
+    monkeypatch.setattr(links, "CHUNK", 2)
+    rows = near_copies(size + rounds + 20)
+    got = op11_minhash.near_duplicates(frame(spark, rows).repartition(3), size, percent).collect()
+    want = components(rows, size, percent)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got) and len({w[2] for w in want}) < len(want) - 20
+
+
+def test_minhash_estimates(spark):
+    rnd = random.Random(8)
+    off = []
+    for _ in range(60):
+        n, same = rnd.randrange(20, 9000), rnd.random()
+        a = [rnd.getrandbits(56) for _ in range(n)]
+        b = [x if rnd.random() < same else rnd.getrandbits(56) for x in a]
+        import numpy as np
+
+        sig = lambda x: np.frombuffer(op11_minhash.signature(op11_minhash.minima(np.unique(np.array(x, np.uint64)))), np.uint8)
+        off.append(float(op11_minhash.estimate(op11_minhash.equal_values(sig(a), sig(b)))) - len(set(a) & set(b)) / len(set(a) | set(b)))
+    assert abs(sum(off)) / len(off) < 0.02 and max(map(abs, off)) < 0.2
+    p = 0.85 + 0.15 / 16
+    short = lambda k: sum(math.comb(128, i) * p**i * (1 - p) ** (128 - i) for i in range(k))
+    k = op11_minhash.fewest_equal(85)
+    assert short(k) <= 1e-9 < short(k + 1)
+
+
+def test_minhash_edges(spark):
+    assert op11_minhash.near_duplicates(frame(spark, [])).count() == 0
+    long = "lorem " * 10 + " ".join(f"w{i}" for i in range(400_000))
+    odd = [(4, None), (2, ""), (None, "a b c d e f"), (9, "a b c d e f"), (9, "A b c d e f "), (5, long), (6, long + " end")]
+    got = sorted((tuple(r) for r in op11_minhash.near_duplicates(frame(spark, odd)).collect()), key=str)
+    n = len(gram := {tuple(long.split()[i : i + 5]) for i in range(400_006)}) and len(gram)
+    assert got == sorted([(4, 0, 4, True), (2, 0, 2, True), (None, 2, None, True), (9, 2, None, False), (9, 2, None, False), (5, n, 5, True), (6, n + 1, 5, False)], key=str)
+
+
 def test_ngram_join_edges(spark):
     assert op06_ngram_join.ngram_components(frame(spark, [])).count() == 0
     assert [tuple(r) for r in op06_ngram_join.ngram_components(frame(spark, [(4, None), (2, "")])).orderBy("doc_id").collect()] == [(2, 0, 2), (4, 0, 4)]
