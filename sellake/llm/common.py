@@ -144,25 +144,25 @@ def runs(homes):
             yield slice(i, j)
 
 
-def without(docs: DataFrame, home: str, at: str, dropped: DataFrame) -> DataFrame:
-    """``docs`` (see ``located``) without the rows (home, at) of ``dropped``, and without those two columns."""
-    side, cols = SideTable(dropped.select(F.col(home).alias("home"), F.col(at).alias("at")), "home", "at", "dropped-rows"), [c for c in docs.columns if c not in (home, at)]
+def picked(docs: DataFrame, home: str, at: str, rows: DataFrame, leave: bool = False) -> DataFrame:
+    """The rows of ``docs`` (see ``located``) whose place is in ``rows`` (home, at), or with ``leave`` the others; the two columns go."""
+    side, cols = SideTable(rows.select(F.col(home).alias("home"), F.col(at).alias("at")), "home", "at", "picked-rows"), [c for c in docs.columns if c not in (home, at)]
 
-    def keep(batches):
+    def pick(batches):
         import numpy as np
         import pyarrow as pa
 
         cursor = side.cursor()
         for b in batches:
             homes, places = b.column(home).to_numpy(), b.column(at).to_numpy()
-            gone = np.zeros(b.num_rows, bool)
+            hit = np.zeros(b.num_rows, bool)
             for run in runs(homes):
                 found = cursor.take(int(homes[run.start]), places[run])
                 if found is not None:
-                    gone[run] = np.isin(places[run], found.column("at").to_numpy())
-            yield b.select(cols).filter(pa.array(~gone))
+                    hit[run] = np.isin(places[run], found.column("at").to_numpy())
+            yield b.select(cols).filter(pa.array(hit != leave))
 
-    return docs.mapInArrow(keep, docs.select(*cols).schema)
+    return docs.mapInArrow(pick, docs.select(*cols).schema)
 
 
 def publish(path: str, write) -> None:
@@ -271,14 +271,14 @@ class ChunkEncoder(ChunkTable):
     chunks of a batch are numbered by Arrow, and each chunk that is not known yet goes through the library once: a plain Latin
     word through its BPE model, which gives what the whole library gives (checked when the file is read), the rest many at
     a time with a mark between them. Other texts are cut at the safe places only. Memory is bounded: at most ``entries`` chunks
-    are kept, for all tasks of a worker, and about ``portion`` bytes of text are taken at a time (some 200 MB a worker in all).
+    are kept, for all tasks of a worker, and about ``portion`` bytes of text are taken at a time (some 250 MB a worker in all).
     """
 
     MARK, TAILS = "\x01", ".,;:!?"
     _ODD = re.compile(r"\s\s|^\s|\s$")
     #: Where a text with other white space is cut: before a space or newline between two other characters.
     _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-    _WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    _WHOLE = re.compile(r"([\n\x02]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
     _made: dict[tuple[str, int], ChunkEncoder] = {}
 
     @classmethod
@@ -288,7 +288,7 @@ class ChunkEncoder(ChunkTable):
             cls._made[path, entries] = cls(path, entries)
         return cls._made[path, entries]
 
-    def __init__(self, path: str, entries: int = 700_000, portion: int = 1 << 20):
+    def __init__(self, path: str, entries: int = 700_000, portion: int = 3 << 20):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -323,28 +323,41 @@ class ChunkEncoder(ChunkTable):
 
     def _word(self, word: str) -> list[int]:
         """Ids of a plain word after a space, or with FIRST before it, of the word alone."""
-        w = (" " if self.spaced else "") + word if word[0] != self.FIRST else word[1:]
-        w = w.lower() if self.lower else w
-        return [t.id for t in self.tokenizer.model.tokenize(w.encode().decode("latin-1").translate(self.bytes))]
+        return self._words([word])[0]
+
+    def _words(self, words: list[str]) -> list[list[int]]:
+        tokenize, space, out = self.tokenizer.model.tokenize, self.bytes[32] if self.spaced else "", []
+        for w in words:
+            before = space
+            if w[0] == self.FIRST:
+                before, w = "", w[1:]
+            if self.lower:
+                w = w.lower()
+            if not w.isascii():  # an ASCII letter stands for its own byte
+                w = w.encode().decode("latin-1").translate(self.bytes)
+            out.append([t.id for t in tokenize(before + w)])
+        return out
 
     def _learn(self, chunks: list[str]) -> None:
         """A chunk stands after a space that is left out, or begins with its newline, or with FIRST where its text begins."""
-        known, cores, rest, whole = self.known, {}, [], []
+        known, cores, rest, whole, match = self.known, {}, [], [], self._WHOLE.fullmatch
         for p in chunks:
-            lead = p[0] if p[0] in "\n\x02" else ""
-            tail = p[-1] if p[-1] in self.TAILS else ""
-            body = p[len(lead) : len(p) - len(tail)]
-            if self.plain and self._WORD.fullmatch(body):  # letters and a stop after them are always apart
-                core = self.FIRST + body if lead and self.spaced else body
-                cores[core] = None
-                whole.append((p, lead, core, tail))
-            else:
+            m = match(p) if self.plain else None  # letters and a stop after them are always apart
+            if m is None:
                 rest.append(p)
+                continue
+            lead, body, tail = m.groups()
+            core = self.FIRST + body if lead and self.spaced else body
+            cores[core] = None
+            if core is not body or lead or tail:
+                whole.append((p, lead, core, tail))
         new = [c for c in cores if c not in known]
-        self._keep(new, [self._word(c) for c in new])
+        made = self._words(new)
+        self._keep(new, made)
+        of = dict(zip(new, made))
         tails = {c: self._of(self.FIRST * 2 + c) for c in (*self.TAILS, "\n")} | {"": [], self.FIRST: []}
         whole = [w for w in whole if w[0] not in known]
-        self._keep([w[0] for w in whole], [tails[lead] + self._of(core) + tails[tail] for _, lead, core, tail in whole])
+        self._keep([w[0] for w in whole], [[*tails[lead], *(of[core] if core in of else self._of(core)), *tails[tail]] for _, lead, core, tail in whole])
         lead = {"\n": "", self.FIRST: ""}
         for i in range(0, len(rest), 4096):
             some = rest[i : i + 4096]
