@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, read
+from .common import SideTable, cut, located, read, runs
 
 SPACE = b" \t\n\x0b\x0c\r"
 BITS_PER_LINE, MIN_BITS, MAX_BITS, SEGMENTS = 16, 1 << 16, 1 << 30, 256
@@ -91,28 +91,29 @@ def twice_seen(lines: DataFrame, m: int, min_chars: int) -> np.ndarray:
 
 
 def suspects(docs: DataFrame, bits: np.ndarray, min_chars: int) -> DataFrame:
-    """(doc, key) for each distinct key of a document that the filter knows; ``docs`` has doc and text."""
-    m, shared = len(bits) * 8, docs.sparkSession.sparkContext.broadcast(bits)
+    """The rows of ``docs`` (doc, home, at; text comes last) once for each distinct key of the text that the filter knows, with the key."""
+    m, shared, own = len(bits) * 8, docs.sparkSession.sparkContext.broadcast(bits), docs.columns[:-1]
 
     def scan(batches):
         known = shared.value
         for b in batches:
-            ids, keys, owner = b.column(0).to_pylist(), [], []
-            for i, t in enumerate(_texts(b.column(1))):
-                own = _keys(t, min_chars)
-                keys.extend(own)
-                owner.extend([i] * len(own))
+            keys, owner = [], []
+            for i, t in enumerate(_texts(b.column(b.num_columns - 1))):
+                found = _keys(t, min_chars)
+                keys.extend(found)
+                owner.extend([i] * len(found))
             if keys:
                 at = _bits(_hashes(keys), m)
                 hit = np.flatnonzero(((known[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=0)).tolist()
-                yield pa.RecordBatch.from_arrays([pa.array([ids[owner[i]] for i in hit], pa.int64()), pa.array([keys[i] for i in hit], pa.binary()).cast(pa.string())], names=["doc", "key"])
+                rows = b.select(own).take(pa.array([owner[i] for i in hit], pa.int64()))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([keys[i] for i in hit], pa.binary()).cast(pa.string())], names=[*own, "key"])
 
-    return docs.select("doc", "text").mapInArrow(scan, "doc long, key string")
+    return docs.mapInArrow(scan, ", ".join(f"{c} long" for c in own) + ", key string")
 
 
-def _to_drop(found: DataFrame, counted: DataFrame) -> DataFrame:
-    """(doc, __drop): each repeated key of an id once, however many rows share the id."""
-    return found.join(counted, "key").groupBy("doc").agg(F.collect_set(F.struct("key", (F.col("doc") == F.col("first")).alias("first"))).alias("__drop"))
+def repeated(found: DataFrame, counted: DataFrame) -> DataFrame:
+    """(home, at, key, first) for each repeated key of each row; first: whether the row's document is the first that has it."""
+    return found.hint("merge").join(counted.select("key", F.col("first").alias("first_doc")), "key").select("home", "at", "key", (F.col("doc") == F.col("first_doc")).alias("first"))
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: str = "first", doc_id: str = "doc_id", text: str = "text", min_words: int = 1) -> DataFrame:
@@ -122,14 +123,18 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: st
     ``min_words`` words found in at least ``min_docs`` documents are repeated: all their lines go, in every document, or with ``keep="first"`` all
     but the first line in the document of least id. Each row is a document; a document with a line many times counts once for
     it. Rows that share an id lose the same keys, and keep the same firsts. NULL and empty texts have one empty line and stay
-    empty; a NULL id works as any other. Columns named n_lines or n_dropped are replaced.
+    empty; a NULL id works as any other (its row is known by its text). A very long text is held whole, in one worker, as a list of
+    its lines. Columns named n_lines or n_dropped are replaced, all others may have any names. An empty table gives no rows.
+
+    Texts are never shuffled: the repeated keys of a row are laid beside its file, and the last pass reads both.
     """
     if keep not in ("first", "none") or min_docs < 2:
         raise ValueError("keep: first or none; min_docs: 2 or more")
     cols = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    rows, home, at = located(docs.select(*cols))
     # a row without an id is known by its text; rows that meet under one key lose the same keys anyway
-    keyed = docs.select(*cols, F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text)).alias("__doc"))
-    plain = keyed.select(F.col("__doc").alias("doc"), F.col(text).cast("string").alias("text"))
+    doc = F.coalesce(F.col(doc_id).cast("long"), F.xxhash64(text))
+    plain = rows.select(doc.alias("doc"), F.col(home).alias("home"), F.col(at).alias("at"), F.col(text).cast("string").alias("text"))
     n = plain.agg(F.sum(F.char_length("text") - F.char_length(F.replace("text", F.lit("\n"))) + 1)).head()[0] or 0
     m = MIN_BITS
     while m < min(MAX_BITS, n * BITS_PER_LINE):
@@ -137,36 +142,40 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 1, keep: st
     found = cut(suspects(plain, twice_seen(plain.select("text"), m, min_chars), min_chars), "suspect-lines")
     # written, so that the join below has a shuffle on either side and a key of many documents can be split
     counted = cut(found.groupBy("key").agg(F.count("*").alias("n"), F.min("doc").alias("first")).where((F.col("n") >= min_docs) & (F.size(F.split("key", r"[\x20\x09-\x0D]+")) >= min_words)), "repeated-lines")
-    drop = _to_drop(found, counted)
-    first = keep == "first"
+    side, first = SideTable(repeated(found, counted), "home", "at", "lines-to-drop"), keep == "first"
 
     def clean(batches):
+        cursor = side.cursor()
         for b in batches:
+            homes, places = b.column(home).to_numpy(), b.column(at).to_numpy()
+            drop = {}
+            for run in runs(homes):
+                entries = cursor.take(int(homes[run.start]), places[run])
+                if entries is not None:
+                    where = np.searchsorted(places[run], entries.column("at").to_numpy()) + run.start
+                    for i, key, is_first in zip(where.tolist(), entries.column("key").to_pylist(), entries.column("first").to_pylist()):
+                        drop.setdefault(i, {})[key.encode()] = first and is_first
             texts, before, gone = [], [], []
-            for t, d in zip(_texts(b.column(text)), b.column("__drop").to_pylist()):
+            for i, t in enumerate(_texts(b.column(text))):
                 lines = t.split(b"\n")
                 before.append(len(lines))
-                if d:
-                    keys, spare = {x["key"].encode() for x in d}, {x["key"].encode() for x in d if first and x["first"]}
+                keys, kept = drop.get(i), lines
+                if keys:
                     kept = []
                     for line in lines:
                         k = line_key(line)
                         if k not in keys:
                             kept.append(line)
-                        elif k in spare:
-                            spare.remove(k)
+                        elif keys[k]:
+                            keys[k] = False
                             kept.append(line)
-                    gone.append(len(lines) - len(kept))
-                    texts.append(b"\n".join(kept))
-                else:
-                    gone.append(0)
-                    texts.append(t)
+                gone.append(len(lines) - len(kept))
+                texts.append(t if kept is lines else b"\n".join(kept))
             new = {text: pa.array(texts, pa.binary()).cast(pa.string())}
             yield pa.RecordBatch.from_arrays([*(new.get(c, b.column(c)) for c in cols), pa.array(before, pa.int64()), pa.array(gone, pa.int64())], names=[*cols, "n_lines", "n_dropped"])
 
     schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == text else f.dataType) for f in docs.select(*cols).schema] + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    joined = keyed.join(drop.withColumnRenamed("doc", "__doc"), "__doc", "left")
-    return joined.select(*cols, "__drop").mapInArrow(clean, schema)
+    return rows.mapInArrow(clean, schema)
 
 
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, key_back, key_of, located, read, without
+from .common import cut, key_back, key_of, located, picked, read
 from .links import Links, gram_set, mix, named, unpacked, write_sets
 from .op05_line_dedup import MAX_BITS, MIN_BITS, SEGMENTS, _bits
 
@@ -250,7 +250,7 @@ def keep_one(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
     classes, postings, links = _search(sets, name, percent)
     of = sets.where("n > 0").select("digest", "home", "at").hint("merge").join(named(classes, links.spanning(postings)), "digest")
     gone = of.where((F.col("home") != F.col("component.home")) | (F.col("at") != F.col("component.at")))
-    return without(rows, home, at, gone.select(F.col("home").alias(home), F.col("at").alias(at)))
+    return picked(rows, home, at, gone.select(F.col("home").alias(home), F.col("at").alias(at)), leave=True)
 
 
 def op6_ngram_join(spark, sf_dir: str) -> DataFrame:
