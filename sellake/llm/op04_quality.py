@@ -2,12 +2,11 @@
 
 Every document gets counts of its words, symbols, repeated lines and repeated five-word windows. A base rule rejects on fixed
 limits. Beyond it, each rule "score above cutoff" is tested on all labelled documents, which no part of the rules is fitted
-to: in a stratum, of n good documents that pass the base rule, k are above the cutoff, and the exact binomial tail
-P(Bin(n, risk) <= k) must be at most ``delta`` divided by the number of tests (strata x rules x cutoffs). The lowest cutoff that
-passes is used; if none does, the rule is off in that stratum. ``risk`` is shared out evenly among the rules, so with
-probability 1 - delta no stratum loses more than ``risk`` of its good documents. The SQL of ``op4_quality_rules`` fixes this.
+to: of n good documents that pass the base rule, k are above the cutoff, and the exact binomial tail P(Bin(n, risk) <= k) must be at
+most a share of ``delta``.
 
-That needs some 1,570 good labels in a stratum, so the pipeline (``keep_good``) takes its cutoffs from ``fit_in_order``. There the
+``fit`` shares delta out among all tests (strata x rules x cutoffs) and the risk among the rules, which needs some 1,570 good labels in
+a stratum; below, a rule is off there. The query and the pipeline (``keep_good``) take their cutoffs from ``fit_in_order``: the
 union of the rules is tested against the whole ``risk``, along one chain of settings per rule, each stricter than the one before:
 from its loosest cutoff to its strictest that rule alone, then the others level by level beside it. The first failure ends a
 chain, so delta is divided among the chains ((strata + 1) x rules) and not among cutoffs; some 300 good labels do at 4 strata. Of
@@ -24,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, read
+from .common import cut, fresh, located, picked, read
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -54,15 +53,17 @@ def add_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and base_failed.
 
     All of it happens inside the row, so no text is shuffled and a long document costs time in proportion to its words (n log n
-    where windows repeat). A NULL text counts as empty: no words, one blank line, rejected by the base rule.
+    where windows repeat). A NULL text counts as empty: no words, one blank line, rejected by the base rule. A very long text is held
+    whole in one task, with arrays of its words and windows. Columns with the names of counts are replaced, all others may have any
+    names. An empty table gives no rows; without labels no rule is certified, and the base rule decides alone.
     """
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     out = [c for c in docs.columns if c not in _COUNTS]
-    d = docs.select(*out, t.alias("_t"))
-    d = d.select(*out, "_t", F.filter(F.split("_t", SPACE), lambda w: w != F.lit("")).alias("_w"),
+    d = docs.select(F.struct(*out).alias("row"), t.alias("_t"))  # helper columns meet no column of the table
+    d = d.select("row", "_t", F.filter(F.split("_t", SPACE), lambda w: w != F.lit("")).alias("_w"),
                  F.filter(F.split("_t", "\n"), lambda x: _without(x, " \t\n\x0b\x0c\r") != F.lit("")).alias("_l"))
     d = d.select(
-        *out, F.size("_w").cast("long").alias("n_words"),
+        "row", F.size("_w").cast("long").alias("n_words"),
         F.char_length(_without(F.col("_t"), " \t\n\x0b\x0c\r")).cast("long").alias("word_chars"),
         (F.char_length("_t") - F.char_length(_without(F.col("_t"), SYMBOLS))).cast("long").alias("n_symbols"),
         (F.char_length("_t") - F.char_length(F.replace(F.col("_t"), F.lit("\n"))) + 1).cast("long").alias("n_lines"),
@@ -77,7 +78,7 @@ def add_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     d = d.withColumn("_p", F.sort_array(F.transform(F.filter("_s", lambda x, i: near(x, i - F.lit(1)) | near(x, i + F.lit(1))), lambda x: x["i"])))
     gap = F.transform("_p", lambda p, j: F.least(F.lit(WINDOW), F.coalesce(p - F.get("_p", j - F.lit(1)), F.lit(WINDOW))))
     d = d.withColumn("n_repeat_words", F.coalesce(F.aggregate(gap, F.lit(0).cast("long"), lambda a, b: a + b), F.lit(0).cast("long")))
-    return d.select(*out, *_COUNTS[:-1], ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"))
+    return d.select("row.*", *_COUNTS[:-1], ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"))
 
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -128,8 +129,8 @@ def _first_step(rule: str) -> Column:
     return F.least(alone, *[STEPS + 1 - n[r] for r in RULES if r != rule])
 
 
-def fit_in_order(counts: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """Takes and returns what ``fit`` does, with a row for each stratum of ``counts``; cutoffs tested in a fixed order, pooled
+def fit_in_order(counts: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA, strata: DataFrame | None = None) -> DataFrame:
+    """Takes and returns what ``fit`` does, with a row for each stratum of ``strata`` (by default those of ``counts``); cutoffs tested in a fixed order, pooled
     ones where a stratum is too small (module docstring). A labelled document that no label calls good is bad.
 
     Each labelled row becomes one step a chain, and rows of a step are counted, so what is held is at most strata x rules x
@@ -148,7 +149,8 @@ def fit_in_order(counts: DataFrame, labels: DataFrame, stratum: str = "lang", ri
     ends = tried.where(binomial_tail(F.col("n"), F.lit(0).cast("long"), risk) <= limit).groupBy("stratum", "chain").agg(
         F.coalesce(F.sum(F.when(F.col("passed"), F.col("bad"))), F.lit(0)).alias("caught"), (F.coalesce(F.min(F.when(~F.col("passed"), F.col("step"))), F.lit(STEPS + 1)) - 1).alias("step"))
     best = cut(ends.groupBy("stratum").agg(F.max(F.struct("caught", "chain", "step")).alias("best")), "quality-settings")
-    rows = counts.select(_stratum(stratum).alias("stratum")).distinct().join(best, "stratum", "left")
+    strata = counts.select(_stratum(stratum).alias("stratum")).distinct() if strata is None else strata
+    rows = strata.join(best, "stratum", "left")
     rows = rows.join(F.broadcast(best.where("stratum is null").select(F.col("best").alias("all"))), F.lit(True), "left").select("stratum", F.coalesce("best", "all").alias("best"))
     level = lambda i: F.when(F.col("best.chain") == -i, F.least(F.col("best.step"), F.lit(LEVELS))).otherwise(F.col("best.step") - LEVELS)
     return rows.select("stratum", *[
@@ -162,20 +164,28 @@ def _stratum(c: str) -> Column:
 
 def judge(counts: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
     """``counts`` with ``kept``. In a stratum without cutoffs the base rule decides alone."""
-    cutoffs = cut(cutoffs, "quality-cutoffs")
-    side = F.broadcast(cutoffs) if cutoffs.count() <= MAX_BROADCAST_STRATA else cutoffs
+    side = cutoffs = cut(cutoffs, "quality-cutoffs")
+    small = cutoffs.count() <= MAX_BROADCAST_STRATA
+    (of,) = fresh(counts, "stratum_of")
+    cuts = dict(zip(RULES, fresh(counts, *[f"cut_{r}" for r in RULES])))
+    side = side.select(F.col("stratum").alias(of), *[F.col(f"cut_{r}").alias(c) for r, c in cuts.items()])
+    joined = counts.withColumn(of, _stratum(stratum)).join(F.broadcast(side) if small else side, of, "left")
     rejected = F.lit(False)
-    for r in RULES:
-        rejected = rejected | F.coalesce(_above(r, F.col(f"cut_{r}")), F.lit(False))
-    joined = counts.withColumn("_stratum", _stratum(stratum)).join(side.withColumnRenamed("stratum", "_stratum"), "_stratum", "left")
+    for r, c in cuts.items():
+        rejected = rejected | F.coalesce(_above(r, F.col(c)), F.lit(False))
     # one expression of both sides: a part that is pushed below the join would make the counts once more for each time it names them
-    return joined.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(~rejected)).select(*counts.columns, "kept")
+    verdict = F.when(F.col("base_failed"), F.lit(False)).otherwise(~rejected)
+    return joined.select(*[c for c in counts.columns if c != "kept"], verdict.alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with the cutoffs of ``fit_in_order``. Counts are made twice, once for the cutoffs and once in the pass that
-    filters; that costs less than to write the texts in between."""
-    cutoffs = fit_in_order(cut(add_counts(docs.select("doc_id", "text", stratum)).select("doc_id", stratum, *_COUNTS), "quality"), labels, stratum)
+    """The rows of ``docs`` that the rules keep, with the cutoffs of ``fit_in_order``: those are learned on the labelled documents, which
+    alone are counted for it; then one pass counts and filters all. Rows without an id, or that share one, are judged one by one."""
+    held = cut(labels.where("doc_id is not null and quality is not null").select("doc_id", "quality"), "quality-labels")
+    rows, home, at = located(docs.select("doc_id", "text", stratum))
+    marked = rows.select("doc_id", home, at).hint("merge").join(held.select("doc_id").distinct(), "doc_id", "left_semi")
+    counts = cut(add_counts(picked(rows, home, at, marked)).select("doc_id", stratum, *_COUNTS), "quality")
+    cutoffs = fit_in_order(counts, held, stratum, strata=docs.select(_stratum(stratum).alias("stratum")).distinct())
     counted = add_counts(docs.select(F.struct(*docs.columns).alias("row"), "text", stratum))
     return judge(counted, cutoffs, stratum).where("kept").select("row.*")
 
@@ -183,15 +193,14 @@ def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> Data
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Counts and verdicts of all documents, with cutoffs from all labels."""
     counts = cut(add_counts(read(spark, sf_dir, "documents", "doc_id", "text", "lang")).select("doc_id", "lang", *_COUNTS), "quality")
-    kept = judge(counts, fit(counts, read(spark, sf_dir, "labels", "doc_id", "quality")))
+    kept = judge(counts, fit_in_order(counts, read(spark, sf_dir, "labels", "doc_id", "quality")))
     return kept.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def _sql() -> str:
-    at = [(r, *RULES[r][:2], c) for r in RULES for c in RULES[r][2]]
-    risk = RISK / len(RULES)
-    grid = ", ".join(f"('{r}', {c})" for r, _, _, c in at)
-    score = " ".join(f"WHEN '{r}' THEN {top} > cutoff * {under}" for r, (top, under, _) in RULES.items())
+    levels = {r: " + ".join(f"({top} > {c} * {under})::INT" for c in cutoffs) for r, (top, under, cutoffs) in RULES.items()}
+    first = lambda r: f"least(CASE WHEN l_{r} > 0 THEN {LEVELS + 1} - l_{r} ELSE {STEPS + 1} END, " + ", ".join(f"{STEPS + 1} - l_{o}" for o in RULES if o != r) + ")"
+    tail = lambda k: f"(SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({RISK}) + (n - j) * ln(1 - {RISK}))) FROM range(0, {k} + 1) AS r(j))"
     return f"""
 WITH base AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t FROM documents),
 parts AS (SELECT *, list_filter(regexp_split_to_array(t, '{SPACE}'), lambda x: x <> '') AS w,
@@ -202,18 +211,21 @@ covered AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i,
 counts AS (SELECT p.doc_id, p.stratum, len(w) AS n_words, length(regexp_replace(t, '{SPACE}', '', 'g')) AS word_chars,
   length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, length(t) - length(replace(t, chr(10), '')) + 1 AS n_lines,
   len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words FROM parts p LEFT JOIN covered c USING (rid)),
-judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts),
-held AS (SELECT * FROM judged WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
-tried AS (SELECT stratum, rule, cutoff, count(*) AS n, count(*) FILTER (CASE rule {score} END) AS k
-  FROM held, (VALUES {grid}) AS grid(rule, cutoff) GROUP BY ALL),
-tested AS (SELECT *, (SELECT sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({risk}) + (n - j) * ln(1 - {risk}))) FROM range(0, k + 1) AS r(j)) AS tail,
-  (SELECT count(DISTINCT stratum) FROM held) * {len(at)} AS tests FROM tried),
-cutoffs AS (SELECT stratum, rule, min(cutoff) AS cutoff FROM tested WHERE k < n * {risk} AND tail <= {DELTA} / tests GROUP BY ALL),
-rejected AS (SELECT DISTINCT j.stratum, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words FROM judged j JOIN cutoffs USING (stratum) WHERE CASE rule {score} END)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT EXISTS (SELECT 1 FROM rejected r WHERE r.stratum = j.stratum AND r.n_words = j.n_words AND r.word_chars = j.word_chars AND r.n_symbols = j.n_symbols
-    AND r.n_lines = j.n_lines AND r.n_dup_lines = j.n_dup_lines AND r.n_repeat_words = j.n_repeat_words) AS kept
-FROM judged j"""
+levels AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {", ".join(f"{v} AS l_{r}" for r, v in levels.items())} FROM counts),
+judged AS MATERIALIZED (SELECT *, [{", ".join(first(r) for r in RULES)}] AS first_steps FROM levels),
+marked AS (SELECT doc_id, max((quality = 1)::INT) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+held AS (SELECT stratum, good, unnest(range(0, {len(RULES)})) AS chain, unnest(first_steps) AS step FROM judged JOIN marked USING (doc_id) WHERE NOT base_failed),
+own AS MATERIALIZED (SELECT 'of ' || stratum AS body, chain, step, sum(good) AS good, sum(1 - good) AS bad FROM held GROUP BY ALL
+  UNION ALL SELECT 'all', chain, step, sum(good), sum(1 - good) FROM held GROUP BY ALL),
+share AS (SELECT {DELTA} / (((SELECT count(DISTINCT stratum) FROM held WHERE good > 0) + 1) * {len(RULES)}) AS most),
+tried AS (SELECT *, (sum(good) OVER (PARTITION BY body, chain))::BIGINT AS n, (sum(good) OVER (PARTITION BY body, chain ORDER BY step))::BIGINT AS k FROM own),
+tested AS MATERIALIZED (SELECT *, k < n * {RISK} AND CASE WHEN k < n * {RISK} THEN {tail("k")} ELSE 1 END <= most AS passed, n > 0 AND {tail("0")} <= most AS enough FROM tried, share),
+ends AS (SELECT body, chain, coalesce(sum(bad) FILTER (passed), 0) AS caught, coalesce(min(step) FILTER (NOT passed), {STEPS + 1}) - 1 AS step FROM tested WHERE enough GROUP BY body, chain),
+best AS (SELECT body, chain, step FROM ends QUALIFY row_number() OVER (PARTITION BY body ORDER BY caught DESC, chain, step DESC) = 1),
+used AS (SELECT stratum, coalesce(o.chain, a.chain) AS chain, coalesce(o.step, a.step) AS step FROM (SELECT DISTINCT stratum FROM judged)
+  LEFT JOIN best o ON o.body = 'of ' || stratum LEFT JOIN best a ON a.body = 'all')
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(first_steps[chain + 1] <= step, false) AS kept
+FROM judged JOIN used USING (stratum)"""
 
 
 SQL = _sql()

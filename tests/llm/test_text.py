@@ -105,6 +105,27 @@ def test_quality_cutoffs(spark):
     assert len(kept) == 9000 and all(kept[r[0]] == (r[1] is None or 100 * r[4] <= cutoffs["aa"].cut_symbols_per_100_words * r[2]) for r in rows)
 
 
+def test_quality_rules_reject_by_the_method(spark):
+    """At this size each language has too few labels of its own for any cutoff, so what goes beyond the base rule goes by pooled ones."""
+    sf = "/root/testdata/sf0.01"
+    rows = op04_quality.op4_quality_rules(spark, sf).collect()
+    quality = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    gone = [r.doc_id for r in rows if not r.base_failed and not r.kept]
+    assert len(gone) > 20 and sum(quality.get(d) == 0 for d in gone) >= 20 and sum(quality.get(d) == 1 for d in gone) <= 7
+
+
+def test_quality_with_clashing_names(spark):
+    names = ["_w", "_t", "_l", "_h", "_s", "_p", "_stratum", "stratum_of", "row", "cut_dup_lines_percent", "kept", "home", "at", "__home"]
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k", "en", *names), (2, "short", None, *names), (3, None, "en", *names), (None, "x " * 200_000, "en", *names)],
+                                 "doc_id long, text string, lang string, " + ", ".join(f"{n} string" for n in names))
+    counted = op04_quality.add_counts(docs)
+    assert {r["_w"] + r["_stratum"] for r in counted.collect()} == {"_w_stratum"} and counted.columns[: len(docs.columns)] == docs.columns
+    kept = op04_quality.keep_good(docs, spark.createDataFrame([(1, 1), (1, None)], "doc_id long, quality int")).collect()
+    assert [r.doc_id for r in kept] == [1] and kept[0].asDict() == docs.where("doc_id = 1").head().asDict()
+    judged = op04_quality.judge(counted, op04_quality.fit(counted, spark.createDataFrame([], "doc_id long, quality int")))
+    assert sorted((r.doc_id or 0, r.kept, r["_stratum"]) for r in judged.collect()) == [(0, False, "_stratum"), (1, True, "_stratum"), (2, False, "_stratum"), (3, False, "_stratum")]
+
+
 def test_quality_cutoffs_in_order(spark):
     """Chains by brute force; small strata take the pooled cutoffs, large ones that fail a test do not."""
     rnd = random.Random(5)
@@ -200,15 +221,30 @@ def test_line_dedup_is_exact_with_a_full_filter(spark, monkeypatch):
 
 
 def test_line_dedup_holds_a_key_once_an_id(spark):
-    found = spark.createDataFrame([(d, k) for d in [1] * 300 + [2] for k in "ab"] + [(1, "c"), (2, "c")], "doc long, key string")
+    found = spark.createDataFrame([(d, 7, d, k) for d in (1, 2) for k in "ab"] + [(1, 7, 1, "c"), (2, 7, 2, "c")], "doc long, home long, at long, key string")
     counted = spark.createDataFrame([("a", 301, 1), ("b", 301, 1)], "key string, n long, first long")
-    got = {r.doc: sorted(map(tuple, r["__drop"])) for r in op05_line_dedup._to_drop(found.repartition(3), counted).collect()}
-    assert got == {1: [("a", True), ("b", True)], 2: [("a", False), ("b", False)]}
+    assert sorted(map(tuple, op05_line_dedup.repeated(found.repartition(3), counted).collect())) == [(7, 1, "a", True), (7, 1, "b", True), (7, 2, "a", False), (7, 2, "b", False)]
     rows = [(i, t) for i in (1, 1, 1, None, None) for t in ("x y\nz", "x y\nz", "own\nX Y")]
     kept = op05_line_dedup.dedup_lines(frame(spark, rows), 3, keep="none").collect()
     assert sorted((r.text, r.n_dropped) for r in kept) == [("", 2)] * 10 + [("", 2)] * 5
 
 
+def test_line_dedup_of_scans_and_clashing_names(spark, tmp_path):
+    """Rows are found again in their files, whatever the scan; helper columns never meet a column of the table."""
+    rows = [(i % 40 if i % 7 else None, "\n".join([f"own {i}", "Shared", f"pair {i // 2}"] * (1 + i % 2)), i, "x", "y", "z") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, home int, at string, __doc string, __drop string").repartition(5)
+    path = str(tmp_path / "docs")
+    docs.write.parquet(path)
+    stored = spark.read.parquet(path)
+    for given in (stored, stored.where("home >= 0").select("*"), docs, stored.join(spark.range(1)), stored.union(stored.limit(0))):
+        got = op05_line_dedup.dedup_lines(given if "id" not in given.columns else given.drop("id"), 3, keep="none")
+        assert got.columns == [*docs.columns, "n_lines", "n_dropped"]
+        assert {r.home: r.text for r in got.collect()} == {r[2]: "\n".join([f"own {r[2]}", f"pair {r[2] // 2}"] * (1 + r[2] % 2)) for r in rows}
+    long = "\n".join(f"line {i}" for i in range(300_000))
+    got = op05_line_dedup.dedup_lines(frame(spark, [(1, long), (2, long + "\nend"), (3, None)])).orderBy("doc_id").collect()
+    assert [(r.n_lines, r.n_dropped) for r in got] == [(300_000, 0), (300_001, 300_000), (1, 0)] and got[1].text == "end"
+
+
 def components(rows, size, percent):
     tr = {c: c + 32 for c in range(65, 91)}
     sets = []
