@@ -2,11 +2,8 @@
 T3 typed SCD2 dimensions, T4/T5/T6 as-of resolution, T7 SCD2 sales fact,
 T8 reconciled view, T9-T11 snapshot facts.
 
-As-of resolution without a version fan-out: closed versions are expanded into
-the calendar months their interval touches and joined on (tenant, key, month)
-plus the range condition, so each fact line meets only the versions alive in
-its month (and a hot key is spread over its months; AQE splits what remains).
-The open (current) version is one row per key and joins on the key alone.
+As-of resolution without a version fan-out: lines and versions are stacked into one
+timeline per key and month, and each line takes the last version before it (see ``resolve``).
 """
 
 from __future__ import annotations
@@ -99,66 +96,57 @@ def scd2_dim(versions: DataFrame, entity: str, code_col: str, attrs: list[str])
                          "is_current", "run_id", "record_hash", *[F.col(f"_r.`{a}`").alias(a) for a in attrs])
 
 
-def _months(lo: Column, hi: Column) -> Column:
-    return F.sequence(F.trunc(lo, "month"), F.trunc(hi, "month"), F.expr("INTERVAL 1 MONTH"))
-
-
-def resolve_sk(fact: DataFrame, dim: DataFrame, fact_code: str, dim_code: str, t: str, name: str,
-               extra: list[str] = ()) -> DataFrame:
-    """T4 + T5 + T6 for one dimension.
-
-    Adds ``{name}_sk`` (as-of version, else current version, else UNKNOWN),
-    ``{name}_resolution_status`` and ``_{name}_asof`` / ``_{name}_cur`` helpers,
-    plus ``current_<col>`` for each column in ``extra`` (from the current version).
-    """
-    tcol = F.col(t)
-    closed = dim.filter(F.col("valid_to").isNotNull()).select(
-        F.col(TENANT).alias("_e"), F.col(dim_code).alias("_k"), F.col("surrogate_key").alias("_sk"),
-        F.col("valid_from").alias("_vf"), F.col("valid_to").alias("_vt"),
-        F.explode(_months(F.col("valid_from"), F.col("valid_to"))).alias("_cm"))
-    cur = dim.filter(F.col("is_current")).select(
-        F.col(TENANT).alias("_ce"), F.col(dim_code).alias("_ck"), F.col("surrogate_key").alias(f"_{name}_cur"),
-        F.col("valid_from").alias("_cvf"), *[F.col(c).alias(f"current_{c}") for c in extra])
-    x = fact.withColumn("_m", F.trunc(tcol, "month"))
-    cond = ((x[TENANT] == closed["_e"]) & (x[fact_code] == closed["_k"]) & (x["_m"] == closed["_cm"])
-            & (closed["_vf"] <= tcol) & (closed["_vt"] > tcol))
-    x = x.join(closed, cond, "left").drop("_e", "_k", "_vf", "_vt", "_cm", "_m").withColumnRenamed("_sk", f"_{name}_closed")
-    x = x.join(cur, (x[TENANT] == cur["_ce"]) & (x[fact_code] == cur["_ck"]), "left").drop("_ce", "_ck")
-    asof = F.coalesce(F.col(f"_{name}_closed"), F.when(F.col("_cvf") <= tcol, F.col(f"_{name}_cur")))
-    x = x.withColumn(f"_{name}_asof", asof).drop(f"_{name}_closed", "_cvf")
-    status = (F.when(F.col(f"_{name}_asof").isNotNull(), F.lit(RESOLVED))
-               .when(F.col(f"_{name}_cur").isNotNull(), F.lit(BACKFILL)).otherwise(F.lit(UNRESOLVED)))
-    return x.withColumns({
-        f"{name}_sk": F.coalesce(F.col(f"_{name}_asof"), F.col(f"_{name}_cur"), F.lit(UNKNOWN)),
-        f"{name}_resolution_status": status,
-    })
-
+def _versions(dims: dict[str, tuple[DataFrame, str, str, list[str]]]) -> DataFrame:
+    """Versions of all dimensions, stacked: (dim, tenant, code, time of start, run, hash, sk, is_current, extras)."""
+    parts = [dim.where(F.col(code).isNotNull() & F.col(TENANT).isNotNull()).select(
+        F.lit(name).alias("dim"), F.col(TENANT), F.col(code).cast("string").alias("code"), F.col("valid_from").alias("at"), "run_id", "record_hash",
+        F.col("surrogate_key").alias("sk"), "is_current", F.array(*[F.col(c).cast("string") for c in extra]).cast("array<string>").alias("extras"))
+        for name, (dim, _, code, extra) in dims.items()]
+    return reduce(DataFrame.unionByName, parts)
 
-def resolution(df: DataFrame, names: list[str]) -> DataFrame:
-    """Overall status and ``is_inferred`` over the per-dimension helpers."""
-    missing = [F.col(f"_{n}_asof").isNull() for n in names]
-    backfilled = [F.col(f"_{n}_asof").isNull() & F.col(f"_{n}_cur").isNotNull() for n in names]
-    any_missing = reduce(lambda a, b: a | b, missing)
-    any_backfill = reduce(lambda a, b: a | b, backfilled)
-    out = df.withColumns({
-        "is_inferred": any_missing,
-        "resolution_status": F.when(any_backfill, F.lit(BACKFILL)).when(any_missing, F.lit(INFERRED)).otherwise(F.lit(RESOLVED)),
-    })
-    return out.drop(*[f"_{n}_asof" for n in names], *[f"_{n}_cur" for n in names])
 
+def resolve(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str, list[str]]], t: str, rid: str) -> DataFrame:
+    """T4 + T5 + T6: every dimension of ``fact`` resolved as of ``t``, in one pass over one stacked timeline.
 
-def fct_sales_scd2(lines: DataFrame, dims: dict[str, tuple[DataFrame, str, str, list[str]]],
-                   key: list[str], t: str = "registro") -> DataFrame:
-    """Sales fact with every dimension resolved as of the sale time.
+    ``dims``: name -> (typed SCD2 dim, fact code column, dim code column, current attributes); ``rid``: a unique column of ``fact``.
+    Adds per dimension ``{name}_sk_asof`` (version with valid_from <= t < valid_to), ``{name}_sk`` (that, else the current version,
+    else UNKNOWN), ``{name}_resolution_status`` and ``current_<attribute>`` (of the current version), and the overall
+    ``is_inferred`` and ``resolution_status``. A NULL code or tenant resolves to UNKNOWN, a NULL time to the current version.
 
-    ``dims``: name -> (typed SCD2 dim, fact code column, dim code column, current attrs).
-    One line in, one line out (each dimension adds at most one closed and one
-    current match), so no dedup pass is needed.
+    The codes of a line are stacked, so all dimensions share each step. A version in force is first carried to the start of those
+    months in which its key has lines; then lines, carried versions and versions that start within the month are put in order
+    of time and each line takes the last version before it. A task orders one month of a key, not all its lines, and the range
+    condition of an as-of join (a fan-out of versions times lines) never arises.
     """
-    x = lines
-    for name, (dim, fcode, dcode, extra) in dims.items():
-        x = resolve_sk(x, dim, fcode, dcode, t, name, extra)
-    return resolution(x, list(dims))
+    keys = ["dim", TENANT, "code"]
+    stacked = F.explode(F.array(*[F.struct(F.lit(n).alias("dim"), F.col(c).cast("string").alias("code")) for n, (_, c, _, _) in dims.items()]))
+    lines = fact.select(F.col(rid).alias("rid"), TENANT, F.col(t).cast("timestamp").alias("at"), stacked.alias("c")).select(
+        "rid", TENANT, "at", F.trunc("at", "month").alias("month"), "c.dim", "c.code").where(F.col("code").isNotNull() & F.col(TENANT).isNotNull())
+    versions = _versions(dims).withColumn("at", F.col("at").cast("timestamp"))
+    marks = lines.select(*keys, "month").distinct().withColumns({"at": F.col("month").cast("timestamp"), "mark": F.lit(True)})
+    whole = Window.partitionBy(*keys)
+    so_far = whole.orderBy(F.col("at").asc_nulls_first(), F.col("mark").asc_nulls_first(), "run_id", "record_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = versions.unionByName(marks, allowMissingColumns=True).withColumns({
+        "sk": F.last("sk", ignorenulls=True).over(so_far), "now": F.max(F.when(F.col("is_current"), F.struct("at", "sk", "extras"))).over(whole)})
+    carried = known.where("mark").select(*keys, "month", "at", F.lit(0).alias("kind"), "sk", "now")
+    started = versions.select(*keys, F.trunc("at", "month").alias("month"), "at", F.lit(1).alias("kind"), "run_id", "record_hash", "sk")
+    timeline = carried.unionByName(started, allowMissingColumns=True).unionByName(lines.withColumn("kind", F.lit(2)), allowMissingColumns=True)
+    before = Window.partitionBy(*keys, "month").orderBy(F.col("at").asc_nulls_first(), "kind", "run_id", "record_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = timeline.select("rid", "dim", F.last("sk", ignorenulls=True).over(before).alias("asof"), F.last("now", ignorenulls=True).over(before).alias("now")).where("rid is not null")
+    of = lambda n, c: F.max(F.when(F.col("dim") == n, F.col(c)))
+    wide = met.groupBy("rid").agg(*[x for n in dims for x in (of(n, "asof").alias(f"_{n}_asof"), of(n, "now").alias(f"_{n}_now"))])
+    out = fact.join(wide.withColumnRenamed("rid", rid), rid, "left")
+    added, missing, backfilled = {}, [], []
+    for n, (_, _, _, extra) in dims.items():
+        asof, now = F.col(f"_{n}_asof"), F.col(f"_{n}_now.sk")
+        added |= {f"{n}_sk_asof": asof, f"{n}_sk": F.coalesce(asof, now, F.lit(UNKNOWN)),
+                  f"{n}_resolution_status": F.when(asof.isNotNull(), F.lit(RESOLVED)).when(now.isNotNull(), F.lit(BACKFILL)).otherwise(F.lit(UNRESOLVED))}
+        added |= {f"current_{c}": F.get(F.col(f"_{n}_now.extras"), F.lit(i)) for i, c in enumerate(extra)}
+        missing.append(asof.isNull())
+        backfilled.append(asof.isNull() & now.isNotNull())
+    any_missing, any_backfill = reduce(Column.__or__, missing), reduce(Column.__or__, backfilled)
+    added |= {"is_inferred": any_missing, "resolution_status": F.when(any_backfill, F.lit(BACKFILL)).when(any_missing, F.lit(INFERRED)).otherwise(F.lit(RESOLVED))}
+    return out.withColumns(added).drop(*[f"_{n}_{x}" for n in dims for x in ("asof", "now")])
 
 
 def reconcile(df: DataFrame, cutover: str, t: str = "registro") -> DataFrame:

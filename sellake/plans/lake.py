@@ -95,9 +95,13 @@ class Lake:
     @cached_property
     def lines(self) -> DataFrame:
         """M7 over the whole history (no year filter)."""
-        return facts.line_measures(self.sil_ventas, self.sil("articulos"), self.sil("clientes"),
-                                   self.sil("vendedores"), self.sil("proveedores"), self.sil("marcas"),
-                                   self.sil("departamentos"))
+        return self.lines_numbered.drop("_rid")
+
+    @cached_property
+    def lines_numbered(self) -> DataFrame:
+        """The written lines with a number of each."""
+        masters = [self.sil(n) for n in ("articulos", "clientes", "vendedores", "proveedores", "marcas", "departamentos")]
+        return self.table("lines", lambda: facts.line_measures(self.sil_ventas, *masters).withColumn("_rid", F.monotonically_increasing_id()))
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -149,7 +153,7 @@ class Lake:
             "almacen": (self.dim_scd2("almacenes"), "cod_alm", "cod_alm", ["nom_alm"]),
             "proveedor": (self.dim_scd2("proveedores"), "cod_pro", "cod_pro", ["nom_pro"]),
         }
-        return self.table("fct_ventas_v2", lambda: history.fct_sales_scd2(self.lines, dims_, facts.SALES_KEY))
+        return self.table("fct_ventas_v2", lambda: history.resolve(self.lines_numbered, dims_, "registro", "_rid").drop("_rid"))
 
     # ---- cutover facts -----------------------------------------------------------
     CUTOVER = "2000-01-01"

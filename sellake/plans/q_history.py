@@ -114,22 +114,25 @@ def t3(lk):
     return lk.dim_scd2("clientes")
 
 
-@query("T4_asof_join", O.out(f"""SELECT {', '.join('v.' + k for k in KEY)}, v.registro, d.surrogate_key AS cliente_sk_asof
-FROM lines v LEFT JOIN dim_clientes_scd2 d ON d.source_empresa = v.source_empresa AND d.cod_cli = v.cod_cli
-  AND d.valid_from <= v.registro AND (d.valid_to IS NULL OR d.valid_to > v.registro)""",
-                             KEY_SPEC + "registro:ts, cliente_sk_asof:s"))
+# T4: one range join per dimension, the plain reading of "valid_from <= t < valid_to"; T5: from the stacked look-ups above
+_as_of = "\n".join(f"""LEFT JOIN dim_{e}_scd2 {n} ON {n}.source_empresa = v.source_empresa AND {n}.{k} = v.{k} AND {n}.valid_from <= v.registro
+  AND (v.registro < {n}.valid_to OR {n}.valid_to IS NULL)""" for n, e, k in _DIMS)
+
+
+@query("T4_asof_join", O.out(f"""SELECT {', '.join('v.' + k for k in KEY)}, v.registro, {', '.join(f'{n}.surrogate_key AS {n}_sk_asof' for n, _, _ in _DIMS)}
+FROM lines v {_as_of}""", KEY_SPEC + "registro:ts, " + ", ".join(f"{n}_sk_asof:s" for n, _, _ in _DIMS)))
 def t4(lk):
-    """T4: each sales line gets the customer version valid at the sale time (valid_from <= t < valid_to)."""
-    x = history.resolve_sk(lk.lines, lk.dim_scd2("clientes"), "cod_cli", "cod_cli", "registro", "cliente")
-    return x.select(*KEY, "registro", F.col("_cliente_asof").alias("cliente_sk_asof"))
+    """T4: each sales line gets the version of each of its six masters valid at the sale time (valid_from <= t < valid_to)."""
+    return lk.fct_ventas_v2.select(*KEY, "registro", *[f"{n}_sk_asof" for n, _, _ in _DIMS])
+
+
+_T5_COLS = [c for n, _, _ in _DIMS for c in (f"{n}_sk", f"{n}_resolution_status")]
 
 
-@query("T5_current_fallback", O.out(f"""SELECT {', '.join(KEY)}, registro, cliente_sk, cliente_resolution_status
-FROM fct_ventas_v2""", KEY_SPEC + "registro:ts, cliente_sk:s, cliente_resolution_status:s"))
+@query("T5_current_fallback", O.out(f"SELECT {', '.join(KEY + _T5_COLS)}, registro FROM fct_ventas_v2", KEY_SPEC + "registro:ts, " + ", ".join(f"{c}:s" for c in _T5_COLS)))
 def t5(lk):
-    """T5: as-of customer version, else the current version, else UNKNOWN."""
-    x = history.resolve_sk(lk.lines, lk.dim_scd2("clientes"), "cod_cli", "cod_cli", "registro", "cliente")
-    return x.select(*KEY, "registro", "cliente_sk", "cliente_resolution_status")
+    """T5: as-of version of each master, else the current version, else UNKNOWN."""
+    return lk.fct_ventas_v2.select(*KEY, "registro", *_T5_COLS)
 
 
 @query("T6_resolution_status", O.out(f"""SELECT {', '.join(KEY)}, {', '.join(c for c in _T7_COLS if c.endswith('status'))},

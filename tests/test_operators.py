@@ -53,18 +53,47 @@ def test_scd2_versions_and_intervals(spark):
         assert a.valid_to == b.valid_from  # intervals touch, never overlap
 
 
+_DIM = "surrogate_key string, source_empresa string, cod string, valid_from timestamp, valid_to timestamp, is_current boolean, run_id string, record_hash string, nom string"
+
+
 def test_asof_resolution_with_fallback(spark):
-    dim = spark.createDataFrame([
-        ("sk1", "t", "k", T0, T0 + dt.timedelta(days=40), False),
-        ("sk2", "t", "k", T0 + dt.timedelta(days=40), None, True),
-    ], "surrogate_key string, source_empresa string, cod string, valid_from timestamp, valid_to timestamp, is_current boolean")
-    fact = spark.createDataFrame([
-        ("t", "k", T0 - dt.timedelta(days=1)), ("t", "k", T0), ("t", "k", T0 + dt.timedelta(days=40)),
-        ("t", "k", T0 + dt.timedelta(days=100)), ("t", "z", T0)], "source_empresa string, cod string, t timestamp")
-    x = history.resolve_sk(fact, dim, "cod", "cod", "t", "d").orderBy("cod", "t").collect()
-    assert [(r.d_sk, r.d_resolution_status) for r in x] == [
-        ("sk2", "CURRENT_MASTER_BACKFILL"), ("sk1", "RESOLVED_SCD2"), ("sk2", "RESOLVED_SCD2"), ("sk2", "RESOLVED_SCD2"),
-        ("UNKNOWN", "UNKNOWN_UNRESOLVED")]
+    dim = spark.createDataFrame([("sk1", "t", "k", T0, T0 + dt.timedelta(days=40), False, "r1", "a", "old"),
+                                 ("sk2", "t", "k", T0 + dt.timedelta(days=40), None, True, "r2", "b", "new")], _DIM)
+    fact = spark.createDataFrame([(1, "t", "k", T0 - dt.timedelta(days=1)), (2, "t", "k", T0), (3, "t", "k", T0 + dt.timedelta(days=40)),
+                                  (4, "t", "k", T0 + dt.timedelta(days=100)), (5, "t", "z", T0), (6, "t", None, T0), (7, "t", "k", None)],
+                                 "n int, source_empresa string, cod string, t timestamp")
+    x = history.resolve(fact, {"d": (dim, "cod", "cod", ["nom"])}, "t", "n").orderBy("n").collect()
+    back, done, lost = "CURRENT_MASTER_BACKFILL", "RESOLVED_SCD2", "UNKNOWN_UNRESOLVED"
+    assert [(r.d_sk, r.d_resolution_status) for r in x] == [("sk2", back), ("sk1", done), ("sk2", done), ("sk2", done), ("UNKNOWN", lost), ("UNKNOWN", lost), ("sk2", back)]
+    assert [r.resolution_status for r in x] == [back, done, done, done, "INFERRED_FROM_FACT", "INFERRED_FROM_FACT", back]
+    assert [r.current_nom for r in x] == ["new"] * 4 + [None, None, "new"] and [r.is_inferred for r in x] == [True, False, False, False, True, True, True]
+
+
+def test_asof_in_one_pass_against_brute_force(spark):
+    """Three dimensions, versions that start at once or at a month's first instant, one key with a third of the lines; six shuffles at most."""
+    import random
+
+    rnd, dims, plain, sizes = random.Random(7), {}, {}, {"a": 6, "b": 3, "c": 1}
+    when = lambda: rnd.choice([dt.datetime(2023, rnd.randrange(1, 13), 1), dt.datetime(2023, 1, 1) + dt.timedelta(hours=rnd.randrange(365 * 24))])
+    for name, n in sizes.items():
+        rows = []
+        for k in range(n):
+            starts = sorted((when() for _ in range(rnd.randrange(1, 6))))
+            for i, at in enumerate(starts):
+                rows.append((f"{name}{k}v{i}", "t", f"k{k}", at, starts[i + 1] if i + 1 < len(starts) else None, i + 1 == len(starts), f"r{i}", f"h{i}", f"{name}{k}n{i}"))
+        plain[name], dims[name] = rows, (spark.createDataFrame(rows, _DIM), f"k_{name}", "cod", ["nom"] if name == "a" else [])
+    lines = [(i, "t", when(), *[f"k{0 if rnd.random() < 0.4 else rnd.randrange(n + 1)}" for n in sizes.values()]) for i in range(600)]
+    fact = spark.createDataFrame(lines, "n int, source_empresa string, t timestamp, k_a string, k_b string, k_c string")
+    out = history.resolve(fact, dims, "t", "n")
+    for r in out.collect():
+        for name in sizes:
+            own = [v for v in plain[name] if v[2] == r[f"k_{name}"]]
+            asof = [v[0] for v in own if v[3] <= r.t and (v[4] is None or v[4] > r.t)]
+            assert r[f"{name}_sk_asof"] == (asof[0] if asof else None) and len(asof) < 2
+            assert r[f"{name}_sk"] == (asof or [v[0] for v in own if v[5]] or ["UNKNOWN"])[0]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    shuffles = plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning")
+    assert 0 < shuffles <= 6, plan
 
 
 def test_merge_by_key_idempotent_and_keeps_old(spark):
