@@ -4,6 +4,7 @@ Given postings (key, id), two sets are candidates when they share a key. All com
 of a group, and each link that is used is decided on the full sets:
 
 1. In each round every key proposes its sets with one pivot, the set of least hash in that round. A round makes no more rows than there are postings.
+   Between rounds ids get labels of connected ids (one step of ``components``; the whole components are found once, at the end).
    Keys whose sets are in one component by then are done.
 2. What is left after ``ROUNDS`` is compared in blocks of bounded size. In a key, only sets outside its largest component are
    held against the others, so a big group of copies with a few strangers costs rows in proportion to its size, not to its square.
@@ -28,6 +29,8 @@ from .common import SideTable, cut, runs
 
 #: Rounds with pivots; members that meet a pivot in one task, about; entries of a block, about.
 ROUNDS, CHUNK, BLOCK = 2, 1024, 1000
+#: Least bytes of a parity bitmap, and those of a folded one.
+SIG_BYTES = 128
 #: Bits of a row number that count rows of one file of sets; the bits above are the file's own number, its home.
 HOME_BITS = 36
 
@@ -73,6 +76,44 @@ def unpacked(column) -> Iterator[np.ndarray]:
         yield np.cumsum(out.reshape(-1).view("<u8"), dtype=np.uint64)
 
 
+#: Whether pairs may link: signatures of either side (lists of bytes) and sizes of either side (arrays) -> array of booleans.
+Test = Callable[[list, list, np.ndarray, np.ndarray], np.ndarray]
+
+
+def parity(g: np.ndarray) -> bytes:
+    """Bit p is set where an odd number of members fall on it. Two bits a member, SIG_BYTES at least and 8 kB at most: of two
+    bitmaps the longer folds onto the shorter."""
+    m = 8 * SIG_BYTES
+    while m < min(2 * len(g), 1 << 16):
+        m *= 2
+    return np.packbits(np.bincount((g >> np.uint64(20)).astype(np.int64) % m, minlength=m).astype(np.uint8) & 1).tobytes()
+
+
+def _fold(sig: bytes, size: int) -> np.ndarray:
+    x = np.frombuffer(sig, np.uint8)
+    return np.bitwise_xor.reduce(x.reshape(-1, size), axis=0) if len(x) > size else x
+
+
+def folded(sig: bytes) -> bytes:
+    """A bitmap of SIG_BYTES."""
+    return _fold(sig, SIG_BYTES).tobytes()
+
+
+def may_link(percent: int) -> Test:
+    """Whether the bits that differ, never more than the members that do, leave the wanted likeness possible."""
+
+    def bits(x: bytes, y: bytes) -> int:
+        size = min(len(x), len(y))
+        return int(np.bitwise_count(_fold(x, size) ^ _fold(y, size)).sum())
+
+    return lambda sa, sb, na, nb: np.fromiter((bits(x, y) * (100 + percent) <= (100 - percent) * t for x, y, t in zip(sa, sb, (na + nb).tolist())), bool, len(sa))
+
+
+def may_differ(percent: int):
+    """The same for rows of folded bitmaps against one."""
+    return lambda sigs, sig, n, own: np.bitwise_count(sigs ^ sig).sum(axis=1, dtype=np.int64) * (100 + percent) <= (100 - percent) * (n + own)
+
+
 def write_sets(docs: DataFrame, size: int, extra: Callable[[np.ndarray], dict], extra_types: dict[str, pa.DataType], extra_schema: str) -> DataFrame:
     """A written row per row (doc, text, ...) of ``docs``: row (its number), doc, n, digest of the set, what ``extra`` makes of
     the set, grams (the packed set), and the further columns of ``docs``. Row numbers rise within a file."""
@@ -98,23 +139,24 @@ def write_sets(docs: DataFrame, size: int, extra: Callable[[np.ndarray], dict],
     return cut(docs.mapInArrow(make, "row long, doc long, n long, digest binary, grams binary" + extra_schema + further), "sets")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, steps: int | None = None) -> DataFrame:
     """(id, label): the least id of each component, for ids with an edge (a, b). Every node takes the least label among its
-    neighbours and then its label's label, until nothing changes; each step is written, so lineage stays short."""
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
+    neighbours until nothing changes; from the third step on also its label's label, so that long chains end in few steps. Each step
+    is written, so lineage stays short. After ``steps`` steps it stops: ids of one label are then connected, but a component may have several."""
+    both = cut(edges.select("a", "b").union(edges.select("b", "a")), "edges")
     labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
-    while True:
+    done = 0
+    while done != steps:
         near = both.hint("merge").join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
         step = labels.hint("merge").join(near, "id").select("id", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        up = labels.where("id <> label").select(F.col("id").alias("label"), F.col("label").alias("up"))
-        new = cut(step.hint("merge").join(up, "label", "left").select("id", F.least("label", "up").alias("label"), "was"), "labels")
-        labels, changed = new.drop("was"), new.where("label <> was").limit(1).count()
-        if not changed:
-            return labels
-
-
-#: Whether pairs may link: signatures of either side (lists of bytes) and sizes of either side (arrays) -> array of booleans.
-Test = Callable[[list, list, np.ndarray, np.ndarray], np.ndarray]
+        if done >= 2:
+            up = labels.where("id <> label").select(F.col("id").alias("label"), F.col("label").alias("up"))
+            step = step.hint("merge").join(up, "label", "left").select("id", F.least("label", "up").alias("label"), "was")
+        new, done = cut(step, "labels"), done + 1
+        labels = new.drop("was")
+        if done != steps and not new.where("label <> was").limit(1).count():
+            break
+    return labels
 
 
 class Links:
@@ -254,13 +296,15 @@ class Links:
         parts = F.pow(F.lit(2), F.greatest(F.lit(0), F.ceil(F.log2(F.col("entries") / CHUNK)))).cast("int").alias("parts")
         links, open_ = self.sets.sparkSession.createDataFrame([], "a long, b long"), postings.withColumn("label", F.col("id"))
         for turn in range(ROUNDS):
-            of = open_.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("h"), "id", "n", "label")).alias("p"), F.count("*").alias("entries"))
+            # the first round has one order of the sets, so that a group meets few pivots; what is left meets up to eight a round
+            order = F.xxhash64("id", F.lit(turn), F.pmod("gram", F.lit(8 if turn else 1)))
+            of = open_.groupBy("gram").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(order.alias("h"), "id", "n", "label")).alias("p"), F.count("*").alias("entries"))
             of = cut(of.where("lo < hi").select("gram", F.col("p.id").alias("p"), F.col("p.n").alias("pn"), F.col("p.label").alias("pl"), "entries"), "pivots")
             open_ = cut(open_.select("gram", "id", "n", "label").hint("merge").join(of, "gram"), "open-postings")
             proposed = open_.where((F.col("label") != F.col("pl")) & self.near()).select(F.col("p").alias("a"), F.col("id").alias("b"), parts)
             links = cut(links.union(self.verified(self.bounded(proposed))), "links")
             # a key of two sets has had its only pair looked at
-            open_ = cut(open_.where("entries > 2").select("gram", "id", "n").hint("merge").join(components(links), "id", "left").withColumn("label", F.coalesce("label", "id")), "labelled-postings")
+            open_ = cut(open_.where("entries > 2").select("gram", "id", "n").hint("merge").join(components(links, 1), "id", "left").withColumn("label", F.coalesce("label", "id")), "labelled-postings")
         return cut(links.union(self.verified(self.bounded(self.blocks(open_)))), "links")
 
 

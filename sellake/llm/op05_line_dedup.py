@@ -85,7 +85,7 @@ def twice_seen(lines: DataFrame, m: int, min_chars: int) -> np.ndarray:
 
     rows = lines.mapInArrow(seen, "seg int, once binary, twice binary").repartition("seg").sortWithinPartitions("seg")
     out = np.zeros(m // 8, np.uint8)
-    for r in rows.mapInArrow(merge, "seg int, bits binary").toLocalIterator():
+    for r in rows.mapInArrow(merge, "seg int, bits binary").collect():  # 128 MB at most
         out[r.seg * (size // 8) : (r.seg + 1) * (size // 8)] = np.frombuffer(r.bits, np.uint8)
     return out
 

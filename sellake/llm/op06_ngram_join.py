@@ -27,42 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, key_back, key_of, located, picked, read
-from .links import Links, gram_set, mix, named, unpacked, write_sets
+from .links import Links, folded, may_differ, may_link, mix, named, parity, unpacked, write_sets
 from .op05_line_dedup import MAX_BITS, MIN_BITS, SEGMENTS, _bits
 
-SKETCH, SIG_BYTES, FRAGMENTS = 1 << 21, 128, 4
+#: N-grams for a bucket of the frequency sketch, buckets at most, and fragments of the global order.
+PER_BUCKET, MAX_SKETCH, FRAGMENTS = 16, 1 << 27, 4
 BITS_PER_ENTRY = 8
 
 
-def _parity(g: np.ndarray) -> bytes:
-    """Bit p is set where an odd number of n-grams fall on it. Two bits an n-gram, 128 bytes at least and 8 kB at most: of
-    two bitmaps the longer folds onto the shorter."""
-    m = 8 * SIG_BYTES
-    while m < min(2 * len(g), 1 << 16):
-        m *= 2
-    return np.packbits(np.bincount((g >> np.uint64(20)).astype(np.int64) % m, minlength=m).astype(np.uint8) & 1).tobytes()
-
-
-def _folded(sig: bytes, size: int) -> np.ndarray:
-    x = np.frombuffer(sig, np.uint8)
-    return np.bitwise_xor.reduce(x.reshape(-1, size), axis=0) if len(x) > size else x
-
-
-def _may_link(x: bytes, y: bytes, total: int, percent: int) -> bool:
-    """Whether the bits that differ, never more than the n-grams that do, leave the wanted likeness possible."""
-    size = min(len(x), len(y))
-    return int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum()) * (100 + percent) <= (100 - percent) * total
-
-
-def _may(percent: int):
-    """The parity test for ``Links``."""
-    return lambda sa, sb, na, nb: np.fromiter((_may_link(x, y, t, percent) for x, y, t in zip(sa, sb, (na + nb).tolist())), bool, len(sa))
-
-
-def _may_fold(percent: int):
-    return lambda sigs, sig, n, own: np.bitwise_count(sigs ^ sig).sum(axis=1, dtype=np.int64) * (100 + percent) <= (100 - percent) * (n + own)
-
-
 def _merged(parts: DataFrame, segments: int, size: int, dtype, add: Callable, finish: Callable = lambda x: x) -> bytes:
     """The segments of an array in a row, each merged from rows (seg, data); a task holds one segment at a time and hands on
     what ``finish`` makes of it. Segments without rows are zeros. The whole is of fixed size."""
@@ -82,52 +54,50 @@ def _merged(parts: DataFrame, segments: int, size: int, dtype, add: Callable, fi
     width = len(finish(np.zeros(size, dtype)).tobytes())
     done = parts.repartition("seg").sortWithinPartitions("seg").mapInArrow(merge, "seg int, data binary")
     out = bytearray(width * segments)
-    for r in done.toLocalIterator():
+    for r in done.collect():  # at most as long as the whole, 128 MB; an iterator would run a job per partition
         out[r.seg * width : (r.seg + 1) * width] = r.data
     return out
 
 
-def _sketch(rows: DataFrame) -> np.ndarray:
-    """Frequency class of each of SKETCH buckets (2 MB): 0 up to twice the mean, then one more for each doubling."""
-    width = SKETCH // 64
+def _sketch(rows: DataFrame, total: int) -> np.ndarray:
+    """Frequency class of each bucket of n-grams: 0 up to twice the mean, then one more for each doubling. A bucket for every
+    ``PER_BUCKET`` of the ``total`` n-grams, 2**16 buckets at least and MAX_SKETCH at most (one byte each, 128 MB)."""
+    size = 1 << 16
+    while size < min(MAX_SKETCH, total // PER_BUCKET):
+        size *= 2
+    width, mean = size // 64, max(1.0, total / size)
 
     def count(batches):
         import zstandard
 
-        total, waiting, size = np.zeros(SKETCH, np.int64), [], 0
-
-        def add_up():
-            nonlocal waiting, size, total
-            if waiting:
-                total += np.bincount((np.concatenate(waiting) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-            waiting, size = [], 0
-
-        for b in batches:
-            for g in unpacked(b.column(0)):
-                waiting.append(g)
-                size += len(waiting[-1])
-                if size > SKETCH // 2:
-                    add_up()
-        add_up()
+        parts = [(g & np.uint64(size - 1)).astype(np.uint32) for b in batches for g in unpacked(b.column(0))]
         pack = zstandard.ZstdCompressor(level=1)
-        if total.any():
-            planes = [pack.compress(np.ascontiguousarray(total[s * width : (s + 1) * width].view(np.uint8).reshape(-1, 8).T).tobytes()) for s in range(64)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array(planes, pa.binary())], names=["seg", "data"])
-
-    def add(total, data):
+        if parts:
+            buckets = np.concatenate(parts)
+            parts.clear()
+            buckets.sort()
+            ends = np.searchsorted(buckets, np.arange(65, dtype=np.uint64) * np.uint64(width))
+            for s in range(64):  # one segment at a time: its counts, like bytes together
+                if ends[s + 1] > ends[s]:
+                    held = np.bincount(buckets[ends[s] : ends[s + 1]] - np.uint32(s * width), minlength=width).astype("<u4")
+                    data = pack.compress(np.ascontiguousarray(held.view(np.uint8).reshape(-1, 4).T).tobytes())
+                    yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([data], pa.binary())], names=["seg", "data"])
+
+    def add(held, data):
         import zstandard
 
-        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
-        total += np.ascontiguousarray(raw.T).reshape(-1).view(np.int64)
+        planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+        held += np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
+
+    def classes(held):
+        return np.maximum(0, np.floor(np.log2(np.maximum(held, 1) / mean))).astype(np.uint8)
 
-    counts = np.frombuffer(_merged(rows.select("grams").mapInArrow(count, "seg int, data binary"), 64, width, np.int64, add), np.int64)
-    mean = max(1.0, counts.sum() / SKETCH)
-    return np.maximum(0, np.floor(np.log2(np.maximum(counts, 1) / mean))).astype(np.uint8)
+    return np.frombuffer(_merged(rows.select("grams").mapInArrow(count, "seg int, data binary"), 64, width, np.int64, add, classes), np.uint8)
 
 
 def _order(g: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Where each n-gram of a sorted set comes in the global order."""
-    return np.lexsort((g, classes[(g & np.uint64(SKETCH - 1)).astype(np.int64)]))
+    return np.lexsort((g, classes[(g & np.uint64(len(classes) - 1)).astype(np.int64)]))
 
 
 def _prefix(g: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
@@ -199,7 +169,7 @@ def _postings(rows: DataFrame, classes, percent: int, known) -> DataFrame:
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
-    return write_sets(docs, size, lambda g: {"sig": _parity(g)}, {"sig": pa.binary()}, ", sig binary")
+    return write_sets(docs, size, lambda g: {"sig": parity(g)}, {"sig": pa.binary()}, ", sig binary")
 
 
 def _search(rows: DataFrame, name: Column, percent: int) -> tuple[DataFrame, DataFrame, Links]:
@@ -207,15 +177,16 @@ def _search(rows: DataFrame, name: Column, percent: int) -> tuple[DataFrame, Dat
     spark = rows.sparkSession
     linkable = rows.where("n > 0")
     classes = cut(linkable.groupBy("digest").agg(F.min("row").alias("id"), F.min(name).alias("least")), "gram-classes")
-    sketch = spark.sparkContext.broadcast(_sketch(linkable))
-    total = rows.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).head()[0] or 0
-    known = spark.sparkContext.broadcast(_twice(linkable, sketch, percent, _size(total)))
+    grams, entries = linkable.agg(F.sum("n"), F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).head()
+    sketch = spark.sparkContext.broadcast(_sketch(linkable, grams or 0))
+    known = spark.sparkContext.broadcast(_twice(linkable, sketch, percent, _size(entries or 0)))
     postings = cut(_postings(linkable, sketch, percent, known).hint("merge").join(classes.select("id"), "id", "left_semi"), "postings")
 
     def fragment(g):  # the frequent classes are the end of the order, and the last fragment
-        return np.where(sketch.value[(g & np.uint64(SKETCH - 1)).astype(np.int64)] > 0, FRAGMENTS - 1, (g >> np.uint64(24)).astype(np.int64) * (FRAGMENTS - 1) >> 32)
+        held = sketch.value
+        return np.where(held[(g & np.uint64(len(held) - 1)).astype(np.int64)] > 0, FRAGMENTS - 1, (g >> np.uint64(24)).astype(np.int64) * (FRAGMENTS - 1) >> 32)
 
-    return classes, postings, Links(linkable, percent, _may(percent), lambda s: _folded(s, SIG_BYTES).tobytes(), _may_fold(percent), fragment, FRAGMENTS)
+    return classes, postings, Links(linkable, percent, may_link(percent), folded, may_differ(percent), fragment, FRAGMENTS)
 
 
 def _plain(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

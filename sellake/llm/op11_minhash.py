@@ -6,7 +6,8 @@
 2. Classes that share a band key are candidates; the rounds and blocks of ``links`` go through them without the pairs of a group.
 3. A candidate's likeness is estimated from the count of equal packed values: of ``MINIMA`` values, those of unlike minima are equal once
    in 2**BITS times, so the estimate is (equal / MINIMA - 2**-BITS) / (1 - 2**-BITS). Candidates go on unless so few are equal
-   that a pair at the limit would show fewer with probability ``LOST`` only.
+   that a pair at the limit would show fewer with probability ``LOST`` only. Families just below the limit pass that in great
+   number, so a candidate must also pass the exact parity bound of ``links`` (differing bits are never more than differing shingles).
 4. Links are confirmed on the full sets: 100 * intersection >= percent * union. So no wrong link is made; a right one at the very limit
    is missed with probability (1 - t**BAND)**BANDS + LOST (4e-7 at t = 0.85, 2e-6 at 0.8), less where the two
    are joined through others or are more alike.
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, key_back, key_of, read
-from .links import Links, mix, named, write_sets
+from .links import Links, folded, may_differ, may_link, mix, named, parity, write_sets
 
 MINIMA, BITS, BANDS, BAND, LOST, PIECE = 128, 4, 25, 5, 1e-9, 4096
 #: Multipliers and offsets of the orders: a 32-bit hash x comes at (a x + b) mod 2**32.
@@ -81,7 +82,7 @@ def fewest_equal(percent: int) -> int:
 
 def _extra(g: np.ndarray) -> dict:
     m = minima(g)
-    return {"sig": signature(m), "bands": bands(m) if len(g) else []}
+    return {"sig": signature(m) + parity(g), "bands": bands(m) if len(g) else []}
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -92,11 +93,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
     classes = cut(linkable.groupBy("digest").agg(F.min("row").alias("id"), F.min("doc").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands")), "set-classes")
     fewest = fewest_equal(percent)
 
-    def may(sa, sb, na, nb):
-        side = lambda s: np.frombuffer(b"".join(s), np.uint8).reshape(len(s), -1)
-        return equal_values(side(sa), side(sb)) >= fewest if len(sa) else np.zeros(0, bool)
+    head, bound, bound_fold = MINIMA * BITS // 8, may_link(percent), may_differ(percent)
 
-    links = Links(linkable, percent, may, lambda s: s, lambda sigs, sig, n, own: equal_values(sigs, sig) >= fewest)
+    def may(sa, sb, na, nb):
+        side = lambda s: np.frombuffer(b"".join([x[:head] for x in s]), np.uint8).reshape(len(s), head)
+        ok = equal_values(side(sa), side(sb)) >= fewest
+        at = np.flatnonzero(ok).tolist()
+        ok[at] = bound([sa[i][head:] for i in at], [sb[i][head:] for i in at], na[at], nb[at])
+        return ok
+
+    def may_fold(sigs, sig, n, own):
+        ok = equal_values(sigs[:, :head], sig[:head]) >= fewest
+        ok[ok] = bound_fold(sigs[ok, head:], sig[head:], n[ok], own)
+        return ok
+
+    links = Links(linkable, percent, may, lambda s: s[:head] + folded(s[head:]), may_fold)
     component = named(classes, links.spanning(classes.select(F.explode("bands").alias("gram"), "id", "n")))
     out = rows.select("doc", "n", "digest").hint("merge").join(component, "digest", "left")
     least = F.when(F.col("n") > 0, F.coalesce("component", "doc")).otherwise(F.col("doc"))
