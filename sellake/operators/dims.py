@@ -73,6 +73,17 @@ def calendar_columns(d: Column) -> list[Column]:
     ]
 
 
+#: Names of ``calendar_columns``, in their order.
+CALENDAR_NAMES = ["fecha_key", "fecha", "anio", "mes", "nombre_mes", "nombre_mes_corto", "dia", "dia_del_anio", "trimestre", "trimestre_nombre", "anio_trimestre",
+                  "semana_del_anio", "anio_semana", "anio_semana_num", "inicio_semana", "fin_semana", "dia_de_semana", "nombre_dia", "es_fin_de_semana", "quincena",
+                  "quincena_nombre", "anio_mes", "anio_mes_num", "es_primer_dia_mes", "es_fin_de_mes"]
+
+
+def calendar_named(d: Column) -> dict[str, Column]:
+    """The calendar attributes of a DATE column by name."""
+    return dict(zip(CALENDAR_NAMES, calendar_columns(d)))
+
+
 def calendar(spark: SparkSession, start, end) -> DataFrame:
     """M6: one row per day in [start, end]; bounds are dates, strings or scalar Columns.
 

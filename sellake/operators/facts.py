@@ -111,12 +111,29 @@ def line_measures(sales: DataFrame, articles: DataFrame, clients: DataFrame, sel
     )
 
 
+# --- Fixed value: reject reason of a line whose day the calendar lacks ---
+NO_DAY = "NO_CALENDAR_DAY"
+#: Days (some 500 years) up to which a calendar is broadcast; a longer one is joined by Spark's own choice.
+MAX_BROADCAST_DAYS = 200_000
+
+
+def tag_calendar(fact: DataFrame, cal: DataFrame, date_col: str = "fecha_registro", cols: list[str] | None = None) -> DataFrame:
+    """J2 with rejects: every line once, with the calendar's columns and ``reason``: NULL, or NO_DAY where the calendar has no such day
+    (the line is dated outside its bounds, or not at all). ``cal`` has one row per day."""
+    cols = cols or CAL_COLS
+    c = cal.select(F.col("fecha").alias(date_col), *cols, F.lit(True).alias("_day"))
+    side = F.broadcast(c) if cal.limit(MAX_BROADCAST_DAYS + 1).count() <= MAX_BROADCAST_DAYS else c
+    return fact.join(side, date_col, "left").withColumn("reason", F.when(F.col("_day").isNull(), F.lit(NO_DAY))).drop("_day")
+
+
 def with_calendar(fact: DataFrame, cal: DataFrame, date_col: str = "fecha_registro", cols: list[str] | None = None) -> DataFrame:
-    """INNER join to the calendar on the day. The calendar must have fixed bounds (one row per day); it is broadcast."""
-    cols = cols or ["fecha_key", "anio", "mes", "nombre_mes", "anio_mes", "trimestre", "trimestre_nombre",
-                    "anio_trimestre", "semana_del_anio", "anio_semana", "quincena", "quincena_nombre"]
-    c = cal.select(F.col("fecha").alias(date_col), *cols)
-    return fact.join(F.broadcast(c), date_col, "inner")
+    """INNER join to the calendar on the day; the lines that it leaves out are those of ``calendar_rejects``."""
+    return tag_calendar(fact, cal, date_col, cols).where("reason is null").drop("reason")
+
+
+def calendar_rejects(fact: DataFrame, cal: DataFrame, date_col: str = "fecha_registro") -> DataFrame:
+    """The lines of ``fact`` that J2 leaves out, with their reason."""
+    return tag_calendar(fact, cal, date_col, []).where("reason is not null")
 
 
 CAL_COLS = ["fecha_key", "anio", "mes", "nombre_mes", "anio_mes", "trimestre", "trimestre_nombre", "anio_trimestre",
@@ -130,7 +147,7 @@ def fct_sales(lines: DataFrame, companies: DataFrame, cal: DataFrame | None = No
     result as an inner join to a calendar that covers every day (lines without a
     day are dropped), without a join or a pass to find the date span.
     """
-    from .dims import calendar_columns
+    from .dims import calendar_named
 
     emp = companies.select(TENANT, F.col("nombre_empresa").alias("_nombre_empresa"),
                            F.col("razon_social").alias("razon_social_empresa"))
@@ -138,12 +155,7 @@ def fct_sales(lines: DataFrame, companies: DataFrame, cal: DataFrame | None = No
     x = x.withColumn("nombre_empresa", F.coalesce("_nombre_empresa", TENANT)).drop("_nombre_empresa")
     if cal is not None:
         return with_calendar(x, cal, cols=CAL_COLS)
-    cal_cols = [c for c in calendar_columns(F.col("fecha_registro"))]
-    named = dict(zip(["fecha_key", "fecha", "anio", "mes", "nombre_mes", "nombre_mes_corto", "dia", "dia_del_anio",
-                      "trimestre", "trimestre_nombre", "anio_trimestre", "semana_del_anio", "anio_semana",
-                      "anio_semana_num", "inicio_semana", "fin_semana", "dia_de_semana", "nombre_dia",
-                      "es_fin_de_semana", "quincena", "quincena_nombre", "anio_mes", "anio_mes_num",
-                      "es_primer_dia_mes", "es_fin_de_mes"], cal_cols))
+    named = calendar_named(F.col("fecha_registro"))
     return x.filter(F.col("fecha_registro").isNotNull()).select("*", *[named[c] for c in CAL_COLS])
 
 

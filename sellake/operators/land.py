@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -174,20 +174,32 @@ def land(payloads: DataFrame, entity: Entity, scanned: tuple[DataFrame, DataFram
     return landed, quarantined
 
 
-def write_bronze(df: DataFrame, path: str, entity: str) -> DataFrame:
-    """Gzip JSON lines in hive layout ``<entity>/source_empresa=/dt=/run_id=/``.
+def _promote(df: DataFrame, target: str, parts: list[str], order: list[str], **options: str) -> DataFrame:
+    """Write ``df`` as JSON lines below ``target``, one folder per value of ``parts``, and return the rows per folder.
 
-    Spark's output committer stages task files and publishes them on job commit
-    (the stage -> promote step); a failed job leaves no partial output. Returns
-    (uri, record_count) per written partition, read back from storage.
+    Spark stages the files beside the target and moves them when all tasks are done; a folder that is written again is replaced
+    (dynamic overwrite), so a batch landed twice stays once and a failed job changes nothing. Rows are sorted within a file, so equal
+    rows give equal bytes. Rows are counted by the writing job itself (observed metrics), not by reading them back; the counts per
+    folder come from the columns of ``parts`` alone and must add up to it.
     """
+    seen = Observation()
+    # REBALANCE brings a folder's rows together in files of the advisory size: a large one is split over tasks
+    out = df.hint("rebalance", *parts).sortWithinPartitions(*parts, *order).observe(seen, F.count(F.lit(1)).alias("rows"))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options).partitionBy(*parts).json(target)
+    counts = df.groupBy(*parts).agg(F.count("*").alias("record_count"))
+    counted = counts.agg(F.coalesce(F.sum("record_count"), F.lit(0))).head()[0]
+    if counted != seen.get["rows"]:
+        raise RuntimeError(f"{seen.get['rows']} rows promoted to {target}, {counted} in the batch")
+    return counts
+
+
+def write_bronze(df: DataFrame, path: str, entity: str) -> DataFrame:
+    """Gzip JSON lines in hive layout ``<entity>/source_empresa=/dt=/run_id=/``, each batch folder promoted once (see
+    ``_promote``). Returns (source_empresa, dt, run_id, record_count, uri) per folder."""
     target = f"{path.rstrip('/')}/{entity}"
-    out = df.withColumnRenamed("_run_id", "run_id")
-    # REBALANCE brings a partition's rows together in files of the advisory size: a large one is split over tasks
-    out.hint("rebalance", "source_empresa", "dt", "run_id").write.mode("append").partitionBy("source_empresa", "dt", "run_id") \
-        .option("compression", "gzip").json(target)
-    back = out.sparkSession.read.schema("_lote_id string, source_empresa string, dt string, run_id string").json(target)
-    return back.groupBy("source_empresa", "dt", "run_id").agg(F.count("*").alias("record_count")).withColumn(
+    parts = ["source_empresa", "dt", "run_id"]
+    order = [c for c in ("payload_id", "row_index", "_row_hash") if c in df.columns]
+    return _promote(df.withColumnRenamed("_run_id", "run_id"), target, parts, order, compression="gzip").withColumn(
         "uri", F.concat(F.lit(target + "/source_empresa="), F.col("source_empresa"), F.lit("/dt="), F.col("dt").cast("string"),
                         F.lit("/run_id="), F.col("run_id")))
 
@@ -206,12 +218,11 @@ def load_staging(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
 
 
 def write_quarantine(df: DataFrame, path: str, entity: str) -> DataFrame:
-    """Raw payload + reason under ``quarantine/<entity>/.../reason=<r>/``; returns counts per reason read back."""
+    """Raw payload + reason under ``<entity>/source_empresa=/dt=/run_id=/reason=<r>/``, each folder promoted once; counts per tenant and reason."""
     target = f"{path.rstrip('/')}/{entity}"
-    df.select("source_empresa", "dt", "run_id", "reason", "payload_id", "payload", "_payload_hash") \
-        .write.mode("append").partitionBy("source_empresa", "dt", "run_id", "reason").json(target)
-    back = df.sparkSession.read.schema("payload_id string, source_empresa string, dt string, run_id string, reason string").json(target)
-    return back.groupBy("source_empresa", "reason").agg(F.count("*").alias("payloads"))
+    cols = ["source_empresa", "dt", "run_id", "reason", "payload_id", "payload", "_payload_hash"]
+    done = _promote(df.select(*cols), target, cols[:4], ["payload_id", "_payload_hash"])
+    return done.groupBy("source_empresa", "reason").agg(F.sum("record_count").alias("payloads"))
 
 
 def write_table(df: DataFrame, path: str, partition_date: str, cluster_cols: list[str], grain: str = "month") -> DataFrame:

@@ -1,14 +1,14 @@
 """Analytic views over the sales and stock facts.
 
 Every view takes ``as_of`` explicitly (no "today" inside a query). Distinct
-counts are exact. Where a view needs several conditional distinct counts, the
-fact is first reduced to one row per (group, customer) with flags, so each
-distinct count becomes a plain sum and the fact is shuffled once.
+counts are exact. Where a view needs several distinct counts, the fact is first
+reduced to one row per group and member (or to bitmaps of members), so each
+count is a plain sum and no row is expanded once per count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TENANT = "source_empresa"
@@ -26,15 +26,18 @@ def period_summary(fact: DataFrame, companies: DataFrame, lo: str | None = None,
         f = f.filter(F.col("fecha_registro") >= _d(lo))
     if hi is not None:
         f = f.filter(F.col("fecha_registro") <= _d(hi))
-    g = f.groupBy(TENANT, *by).agg(
-        F.count("*").alias("total_renglones"),
-        F.count_distinct("documento").alias("total_facturas"),
-        F.count_distinct("cod_cli").alias("clientes_compradores"),
-        F.count_distinct("cod_ven").alias("vendedores_activos"),
-        F.round(F.sum("cajas_vendidas"), 2).alias("cajas_vendidas"),
-        F.round(F.sum("peso_total_toneladas"), 2).alias("toneladas_vendidas"),
-        F.round(F.sum("neto_dcto"), 2).alias("venta_usd"),
-    )
+    # lines are first reduced to one row per document, customer and seller; of those, each member is reduced to one row and counted
+    sums = {"total_renglones": None, "cajas_vendidas": "cajas_vendidas", "toneladas_vendidas": "peso_total_toneladas", "venta_usd": "neto_dcto"}
+    by_document = f.groupBy(TENANT, *by, "documento", "cod_cli", "cod_ven").agg(*[(F.count("*") if c is None else F.sum(c)).alias(n) for n, c in sums.items()])
+    kinds = {"total_facturas": "documento", "clientes_compradores": "cod_cli", "vendedores_activos": "cod_ven"}
+    first = next(iter(kinds))  # the sums travel with one kind only
+    member = F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), F.col(c).cast("string").alias("member"), *[F.when(F.lit(n == first), F.col(m)).alias(m) for m in sums])
+                                 for n, c in kinds.items()]))
+    members = by_document.select(TENANT, *by, member.alias("m")).select(TENANT, *by, "m.*").groupBy(TENANT, *by, "kind", "member").agg(*[F.sum(n).alias(n) for n in sums])
+    g = members.groupBy(TENANT, *by).agg(
+        F.sum("total_renglones").alias("total_renglones"),
+        *[F.count_if((F.col("kind") == n) & F.col("member").isNotNull()).alias(n) for n in kinds],
+        *[F.round(F.sum(n), 2).alias(n) for n in sums if n != "total_renglones"])
     emp = companies.select(TENANT, "nombre_empresa", F.col("razon_social").alias("razon_social_empresa"))
     g = g.join(F.broadcast(emp.withColumnRenamed("nombre_empresa", "_n")), TENANT, "left")
     return g.withColumn("nombre_empresa", F.coalesce("_n", TENANT)).drop("_n")
@@ -62,6 +65,12 @@ def with_branch_name(fact: DataFrame, branches: DataFrame) -> DataFrame:
         "nombre_sucursal", F.coalesce("_nom_suc", "cod_suc")).drop("_nom_suc")
 
 
+def _named_branch(g: DataFrame, branches: DataFrame) -> DataFrame:
+    """The branch's name beside its code in a result: joined to groups, not to lines."""
+    b = branches.select(F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"), F.col("nom_suc").alias("_nom_suc"))
+    return g.join(b, ["empresa", "codigo_sucursal"], "left").withColumn("nombre_sucursal", F.coalesce("_nom_suc", "codigo_sucursal")).drop("_nom_suc")
+
+
 def _group_90d() -> list:
     return [F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"), "nombre_sucursal",
              F.col("cod_ven").alias("codigo_vendedor"), F.col("nom_ven").alias("nombre_vendedor"),
@@ -219,20 +228,22 @@ FREQ_LABELS = {
 def weekly_frequency(fact: DataFrame, branches: DataFrame) -> DataFrame:
     """Distinct ISO weeks with purchases per customer and month -> frequency type 0-4
     ("type 4" = at least 4 distinct ISO weeks inside the month)."""
-    f = with_branch_name(fact, branches)
-    keys = [F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"), "nombre_sucursal",
+    keys = [F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"),
             F.col("cod_ven").alias("codigo_vendedor"), F.col("nom_ven").alias("nombre_vendedor"),
             F.col("cod_pro").alias("codigo_proveedor"), F.col("nom_pro").alias("nombre_proveedor"),
             F.col("cod_mar").alias("codigo_marca"), F.col("nom_mar").alias("nombre_marca"),
             F.col("cod_cli").alias("codigo_cliente"), F.col("nom_cli").alias("nombre_cliente"),
             F.nullif(F.trim("rif"), F.lit("")).alias("rif_cliente"), "anio_mes", "nombre_mes", "anio"]
-    g = f.groupBy(*keys).agg(
-        F.count_distinct("anio_semana").alias("semanas_con_compra"),
+    # the ISO weeks of a month follow each other, so their numbers modulo 64 are a bitmap that counts them exactly
+    week = F.pmod(F.floor(F.datediff("fecha_registro", F.lit("1970-01-05").cast("date")) / 7), F.lit(64)).cast("int")
+    g = fact.withColumn("_week", week).groupBy(*keys).agg(
+        F.bit_count(F.bit_or(F.expr("shiftleft(1L, _week)"))).cast("long").alias("semanas_con_compra"),
         F.count_distinct("documento").alias("total_facturas_mes"),
         F.round(F.sum("cajas_vendidas"), 2).alias("cajas_compradas_mes"),
         F.round(F.sum("neto_dcto"), 2).alias("venta_usd_mes"),
         F.max("fecha_registro").alias("fecha_ultima_compra_mes"),
     )
+    g = _named_branch(g, branches)
     n = F.col("semanas_con_compra")
     num = F.when(n >= 4, 4).when(n == 3, 3).when(n == 2, 2).when(n == 1, 1).otherwise(0)
     label = F.element_at(F.create_map(*[x for k, v in FREQ_LABELS.items() for x in (F.lit(k), F.lit(v))]), num)
@@ -248,32 +259,71 @@ def frequency_distribution(freq: DataFrame, month: str | None = None) -> DataFra
     )
 
 
+def number_members(members: DataFrame, scope: str, member: str, number: str = "number") -> DataFrame:
+    """Dense numbers 0, 1, 2, ... for the distinct ``member`` of each ``scope``: members are dealt to 256 buckets by the first
+    byte of their md5 and numbered in order within a bucket, after the members of the buckets before. So no task sorts a whole scope."""
+    each = members.select(scope, member).where(F.col(member).isNotNull()).dropDuplicates().withColumn("_bucket", F.substring(F.md5(F.col(member).cast("string")), 1, 2))
+    sizes = each.groupBy(scope, "_bucket").agg(F.count("*").alias("_n"))  # at most 256 rows a scope
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(scope).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select(scope, "_bucket", before.alias("_before"))
+    place = F.row_number().over(Window.partitionBy(scope, "_bucket").orderBy(member)) - 1
+    return each.withColumn("_place", place).join(starts, [scope, "_bucket"]).select(scope, member, (F.col("_before") + F.col("_place")).alias(number))
+
+
+def bitmap_words(numbered: DataFrame, keys: list[str], number: str = "number", name: str = "words") -> DataFrame:
+    """Exact bitmap of the numbers of each key: a map from word (number div 64) to its 64 bits, merged map-side by bit_or."""
+    words = numbered.groupBy(*keys, F.floor(F.col(number) / 64).cast("int").alias("_word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod({number}, 64) as int))")).alias("_bits"))
+    return words.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias(name))
+
+
+def bitmap_size(words: Column) -> Column:
+    """How many bits a map of words (or an array of them) has set."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w))
+
+
 def zero_sale_sku(fact: DataFrame, branches: DataFrame, as_of: str) -> DataFrame:
-    """Zero-sale SKU gaps per portfolio customer, as counts.
+    """The zero-sale SKU gaps of each portfolio customer: their number, and which they are.
 
-    Expected matrix = the tenant's 90-day SKU catalogue for every customer in a
-    seller's 90-day portfolio. Instead of emitting every (customer, SKU) pair,
-    each portfolio row carries the catalogue size of its tenant (one row per
-    tenant, joined by key), the SKUs it bought this month with a positive amount,
-    and their difference: the number of zero-sale SKUs.
+    Expected are the SKUs of the tenant's 90-day catalogue for every customer in a seller's 90-day portfolio. SKUs get dense
+    numbers per tenant, catalogue and purchases of the month (positive amounts) become bitmaps of 64-bit words, and the gaps are
+    the catalogue's words less the bought ones: ``brechas``, the words in order as 16 hexadecimal digits each. So a customer's
+    gaps take an eighth of a byte per SKU, and no (customer, SKU) pair is ever made; ``gap_skus`` lists them for chosen customers.
     """
-    w = _window(fact, as_of, 90)
-    portfolio = w.select(F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"),
-                         F.col("cod_ven").alias("codigo_vendedor"), F.col("cod_cli").alias("codigo_cliente")).dropDuplicates()
-    catalogue = w.groupBy(F.col(TENANT).alias("empresa")).agg(F.count_distinct("cod_art").alias("skus_catalogo"))
-    month = fact.filter(F.col("fecha_registro").between(_month_start(as_of), _d(as_of)))
-    bought = month.groupBy(F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"),
-                           F.col("cod_ven").alias("codigo_vendedor"), F.col("cod_cli").alias("codigo_cliente"),
-                           "cod_art").agg(F.sum("neto_dcto").alias("_v"))
-    # only SKUs of the tenant catalogue count (the month is inside the 90-day window)
-    per_cli = bought.filter(F.col("_v") > 0).groupBy("empresa", "codigo_sucursal", "codigo_vendedor", "codigo_cliente") \
-        .agg(F.count("cod_art").alias("skus_comprados_mes"))
-    x = portfolio.join(catalogue, "empresa", "inner").join(per_cli, ["empresa", "codigo_sucursal", "codigo_vendedor",
-                                                                    "codigo_cliente"], "left")
-    x = x.withColumn("skus_comprados_mes", F.coalesce("skus_comprados_mes", F.lit(0)))
-    x = x.withColumn("skus_venta_cero", F.col("skus_catalogo") - F.col("skus_comprados_mes"))
-    return with_branch_name(x.withColumnRenamed("empresa", TENANT).withColumnRenamed("codigo_sucursal", "cod_suc"),
-                            branches).withColumnRenamed(TENANT, "empresa").withColumnRenamed("cod_suc", "codigo_sucursal")
+    client = ["empresa", "codigo_sucursal", "codigo_vendedor", "codigo_cliente"]
+    names = {TENANT: "empresa", "cod_suc": "codigo_sucursal", "cod_ven": "codigo_vendedor", "cod_cli": "codigo_cliente"}
+    in_month = F.when(F.col("fecha_registro") >= _month_start(as_of), F.col("neto_dcto"))
+    sold = _window(fact, as_of, 90).withColumnsRenamed(names).groupBy(*client, "cod_art").agg(F.sum(in_month).alias("_v"))
+    numbers = number_members(sold, "empresa", "cod_art")
+    # one row a tenant: all words of its catalogue, full but for the last
+    size = numbers.groupBy("empresa").agg(F.count("*").alias("skus_catalogo"))
+    last = F.pmod(F.col("skus_catalogo"), F.lit(64)).cast("int")
+    words = F.transform(F.sequence(F.lit(0), F.ceil(F.col("skus_catalogo") / 64).cast("int") - 1),
+                        lambda i: F.when((i < F.floor(F.col("skus_catalogo") / 64)) | (last == 0), F.lit(-1).cast("long")).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), last) - 1))
+    catalogue = size.withColumn("_all", words)
+    bought = bitmap_words(sold.where("_v > 0").join(numbers, ["empresa", "cod_art"]), client, name="_bought")
+    portfolio = sold.select(*client).dropDuplicates()
+    # a catalogue row per tenant: small beside the portfolio, and left to the optimizer's measured sizes
+    x = portfolio.join(catalogue, "empresa").join(bought, client, "left")
+    mine = lambda i: F.coalesce(F.try_element_at("_bought", i), F.lit(0).cast("long"))
+    gaps = F.transform("_all", lambda w, i: w.bitwiseAND(F.bitwise_not(mine(i))))
+    x = x.withColumns({"_gaps": gaps}).withColumns({
+        "skus_comprados_mes": F.col("skus_catalogo") - bitmap_size(F.col("_gaps")), "skus_venta_cero": bitmap_size(F.col("_gaps")),
+        "brechas": F.array_join(F.transform("_gaps", lambda w: F.lpad(F.lower(F.hex(w)), 16, "0")), "")})
+    return _named_branch(x, branches).select("empresa", "codigo_sucursal", "nombre_sucursal", "codigo_vendedor", "codigo_cliente", "skus_catalogo", "skus_comprados_mes",
+                                             "skus_venta_cero", "brechas")
+
+
+def gap_skus(gaps: DataFrame, fact: DataFrame, as_of: str) -> DataFrame:
+    """The SKUs behind ``brechas`` of the customers in ``gaps`` (rows of ``zero_sale_sku``, as many as one wants listed)."""
+    names = _window(fact, as_of, 90).withColumnRenamed(TENANT, "empresa")
+    bits = F.explode(F.sequence(F.lit(0), (F.length("brechas") / 16 * 64).cast("int") - 1)).alias("number")
+    each = gaps.where(F.length("brechas") > 0).select("empresa", "codigo_sucursal", "codigo_vendedor", "codigo_cliente", "brechas", bits)
+    # bit k of a word is bit k % 4 of its hexadecimal digit 15 - k // 4
+    digit = F.substring(F.col("brechas"), (F.floor(F.col("number") / 64) * 16 + 16 - F.floor(F.pmod("number", F.lit(64)) / 4)).cast("int"), F.lit(1))
+    held = F.conv(digit, 16, 10).cast("int")
+    there = F.pmod(F.floor(held / F.pow(F.lit(2), F.pmod("number", F.lit(4)))), F.lit(2)) == 1
+    return each.where(there).join(number_members(names, "empresa", "cod_art"), ["empresa", "number"]).drop("brechas", "number")
 
 
 #: Stands for all brands of the tenant that a seller did not sell in the window.
@@ -313,34 +363,38 @@ def same_day_last_year(daily: DataFrame, prev: DataFrame, keys: list[str], date_
     return daily.join(prev.withColumnRenamed("fecha_equivalente", date_col), [*keys, date_col], "left")
 
 
-def sellout_yoy(fact: DataFrame, branches: DataFrame) -> DataFrame:
-    """Daily sell-out per branch/seller/supplier/brand/SKU with the same day last year
-    (Feb 29 + 1 year = Feb 28), variation and growth %."""
-    f = with_branch_name(fact, branches)
-    act = f.groupBy(
-        F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"), "nombre_sucursal",
-        F.col("cod_ven").alias("codigo_vendedor"), F.col("nom_ven").alias("nombre_vendedor"),
-        F.col("cod_pro").alias("codigo_proveedor"), F.col("nom_pro").alias("nombre_proveedor"),
-        F.col("cod_mar").alias("codigo_marca"), F.col("nom_mar").alias("nombre_marca"),
-        F.col("cod_art").alias("codigo_articulo"), F.col("nom_art").alias("nombre_articulo"), "modelo",
-        F.col("fecha_registro").alias("fecha"), "anio", "mes", "nombre_mes", "anio_mes", "trimestre", "trimestre_nombre",
-        "anio_trimestre", "semana_del_anio", "anio_semana", "quincena", "quincena_nombre",
-    ).agg(
-        F.count_distinct("documento").alias("total_documentos"),
-        F.count_distinct("cod_cli").alias("clientes_unicos_compradores"),
-        F.sum("unidades_vendidas").alias("unidades_vendidas_actual"),
-        F.round(F.sum("cajas_vendidas"), 2).alias("cajas_vendidas_actual"),
-        F.round(F.sum("peso_total_toneladas"), 3).alias("toneladas_vendidas_actual"),
-        F.round(F.sum("neto_dcto"), 2).alias("venta_usd_actual"),
-    )
-    prev = fact.groupBy(
-        F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"), F.col("cod_ven").alias("codigo_vendedor"),
-        F.col("cod_pro").alias("codigo_proveedor"), F.col("cod_mar").alias("codigo_marca"),
-        F.col("cod_art").alias("codigo_articulo"), F.add_months("fecha_registro", 12).alias("fecha_equivalente"),
-    ).agg(F.round(F.sum("cajas_vendidas"), 2).alias("_cp"), F.round(F.sum("neto_dcto"), 2).alias("_vp"))
-    x = same_day_last_year(act, prev, SELLOUT_KEYS)
+_SELLOUT_SUMS = {"unidades_vendidas_actual": "unidades_vendidas", "cajas_vendidas_actual": "cajas_vendidas", "toneladas_vendidas_actual": "peso_total_toneladas", "venta_usd_actual": "neto_dcto"}
+
+
+def sellout_daily(fact: DataFrame) -> DataFrame:
+    """One row per day, branch, seller, supplier, brand and SKU: documents, customers, units, boxes, tons and amount (not rounded).
+    Each document and each customer of a group is reduced to one row before it is counted."""
+    keys = [F.col(TENANT).alias("empresa"), F.col("cod_suc").alias("codigo_sucursal"), F.col("cod_ven").alias("codigo_vendedor"), F.col("nom_ven").alias("nombre_vendedor"),
+            F.col("cod_pro").alias("codigo_proveedor"), F.col("nom_pro").alias("nombre_proveedor"), F.col("cod_mar").alias("codigo_marca"), F.col("nom_mar").alias("nombre_marca"),
+            F.col("cod_art").alias("codigo_articulo"), F.col("nom_art").alias("nombre_articulo"), F.col("modelo"), F.col("fecha_registro").alias("fecha")]
+    kinds = {"total_documentos": "documento", "clientes_unicos_compradores": "cod_cli"}
+    first = next(iter(kinds))
+    member = F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), F.col(c).cast("string").alias("member"), *[F.when(F.lit(n == first), F.col(x)).alias(m) for m, x in _SELLOUT_SUMS.items()])
+                                 for n, c in kinds.items()]))
+    lines = fact.select(*keys, member.alias("m"))
+    names = lines.columns[:-1]
+    members = lines.select(*names, "m.*").groupBy(*names, "kind", "member").agg(*[F.sum(m).alias(m) for m in _SELLOUT_SUMS])
+    return members.groupBy(*names).agg(*[F.count_if((F.col("kind") == n) & F.col("member").isNotNull()).alias(n) for n in kinds], *[F.sum(m).alias(m) for m in _SELLOUT_SUMS])
+
+
+def sellout_yoy(daily: DataFrame, branches: DataFrame) -> DataFrame:
+    """Daily sell-out (rows of ``sellout_daily``, a written table) with the same day last year (Feb 29 + 1 year = Feb 28), variation and
+    growth %. Calendar columns are made from the day and the branch's name is joined to the result."""
+    from .dims import calendar_named
+
+    prev = daily.groupBy(*SELLOUT_KEYS, F.add_months("fecha", 12).alias("fecha_equivalente")).agg(
+        F.round(F.sum("cajas_vendidas_actual"), 2).alias("_cp"), F.round(F.sum("venta_usd_actual"), 2).alias("_vp"))
+    digits = {"cajas_vendidas_actual": 2, "toneladas_vendidas_actual": 3, "venta_usd_actual": 2}
+    act = daily.withColumns({c: F.round(c, n) for c, n in digits.items()})
+    x = _named_branch(same_day_last_year(act, prev, SELLOUT_KEYS), branches)
     vp = F.coalesce("_vp", F.lit(0))
-    return x.withColumns({
+    cal = calendar_named(F.col("fecha"))
+    return x.withColumns({c: cal[c] for c in ("anio", "mes", "nombre_mes", "anio_mes", "trimestre", "trimestre_nombre", "anio_trimestre", "semana_del_anio", "anio_semana", "quincena", "quincena_nombre")}).withColumns({
         "cajas_vendidas_anio_anterior": F.coalesce("_cp", F.lit(0)),
         "venta_usd_anio_anterior": vp,
         "variacion_venta_usd_yoy": F.round(F.col("venta_usd_actual") - vp, 2),
@@ -348,94 +402,6 @@ def sellout_yoy(fact: DataFrame, branches: DataFrame) -> DataFrame:
     }).drop("_cp", "_vp")
 
 
-def invoice_detail(fact: DataFrame, branches: DataFrame) -> DataFrame:
-    """Line-level invoice detail with the branch name."""
-    f = with_branch_name(fact, branches)
-    return f.select(
-        F.col(TENANT).alias("empresa"), "nombre_empresa", F.col("cod_suc").alias("codigo_sucursal"), "nombre_sucursal",
-        "tipo_documento", "documento", "renglon", F.col("fecha_registro").alias("fecha"),
-        F.col("cod_cli").alias("codigo_cliente"), F.col("nom_cli").alias("nombre_cliente"),
-        F.nullif(F.trim("rif"), F.lit("")).alias("rif_cliente"),
-        F.col("cod_ven").alias("codigo_vendedor"), F.col("nom_ven").alias("nombre_vendedor"),
-        F.col("cod_art").alias("codigo_articulo"), F.col("nom_art").alias("nombre_articulo"),
-        "unidades_vendidas", "cajas_vendidas", "peso_total_kg", "monto_bruto", "neto", "neto_dcto",
-    )
-
-
-def inventory_report(stock: DataFrame, companies: DataFrame, warehouses: DataFrame, articles: DataFrame) -> DataFrame:
-    """Stock > 0 with boxes (units / fraccion), kg, tons and bulk capacity fallback
-    (cap_bulto, else fraccion, else 1)."""
-    emp = companies.select(TENANT, F.col("nombre_empresa").alias("_ne"), F.col("razon_social"))
-    alm = warehouses.select(TENANT, "cod_alm", F.col("nom_alm").alias("_na"))
-    art = articles.select(TENANT, "cod_art", F.col("nom_art").alias("_nart"), "modelo", "cod_mar", "cod_pro",
-                          "fraccion", "peso", "cap_bulto")
-    x = stock.filter(F.col("exi_act1") > 0).join(F.broadcast(emp), TENANT, "left") \
-        .join(alm, [TENANT, "cod_alm"], "left").join(art, [TENANT, "cod_art"], "left")
-    units = F.coalesce(F.col("exi_act1"), F.lit(0))
-    peso = F.coalesce(F.col("peso"), F.lit(0))
-    frac = F.nullif(F.col("fraccion"), F.lit(0))
-    cap = F.coalesce(F.nullif(F.col("cap_bulto"), F.lit(0)), frac, F.lit(1))
-    return x.select(
-        F.col(TENANT).alias("empresa"), F.coalesce("_ne", TENANT).alias("nombre_empresa"), "razon_social",
-        F.col("cod_alm").alias("codigo_almacen"), F.coalesce("_na", "cod_alm").alias("nombre_almacen"),
-        F.col("cod_art").alias("codigo_articulo"), F.coalesce("_nart", "cod_art").alias("nombre_articulo"),
-        "modelo", F.col("cod_mar").alias("marca"), F.col("cod_pro").alias("proveedor"),
-        F.coalesce(frac, F.lit(1)).alias("fraccion_unitaria"), units.alias("unidades_totales"),
-        F.round(F.try_divide(F.col("exi_act1"), frac), 2).alias("cajas_totales"),
-        peso.alias("peso_unitario"), F.round(units * peso, 2).alias("kg_totales"),
-        F.round(F.try_divide(units * peso, F.lit(1000)), 3).alias("toneladas_totales"),
-        cap.alias("capacidad_bultos"), F.round(F.try_divide(F.col("exi_act1"), cap), 2).alias("bultos_totales"),
-        F.col("registro").alias("fecha_ultima_actualizacion"),
-    )
-
-
-def inventory_time(stock: DataFrame, cal: DataFrame, articles: DataFrame) -> DataFrame:
-    """Stock with calendar attributes (J2 inner join on the day) and boxes by bulk capacity."""
-    from .facts import with_calendar
-
-    art = articles.select(TENANT, "cod_art", "nom_art", "cod_mar", "cap_bulto")
-    x = with_calendar(stock, cal, "fecha_registro", ["anio", "mes", "nombre_mes", "anio_mes", "trimestre", "anio_semana"])
-    x = x.join(art, [TENANT, "cod_art"], "left")
-    return x.select(F.col(TENANT).alias("empresa"), F.col("cod_alm").alias("codigo_almacen"),
-                    F.col("cod_art").alias("codigo_articulo"), "nom_art", "cod_mar", "fecha_registro", "anio", "mes",
-                    "nombre_mes", "anio_mes", "trimestre", "anio_semana", F.col("exi_act1").alias("unidades"),
-                    F.round(F.try_divide(F.col("exi_act1"), F.nullif(F.col("cap_bulto"), F.lit(0))), 2).alias("cajas"))
-
-
-def inventory_bi(snapshots: DataFrame, warehouses: DataFrame, articles: DataFrame, brands: DataFrame) -> DataFrame:
-    """Snapshot fact enriched with warehouse, article and brand names."""
-    alm = warehouses.select(F.col(TENANT), F.col("cod_alm").alias("codigo_almacen"), "nom_alm")
-    art = articles.select(F.col(TENANT), F.col("cod_art").alias("codigo_articulo"), "nom_art", "cod_mar", "peso")
-    mar = brands.select(TENANT, "cod_mar", "nom_mar")
-    x = snapshots.join(alm, [TENANT, "codigo_almacen"], "left").join(art, [TENANT, "codigo_articulo"], "left") \
-        .join(mar, [TENANT, "cod_mar"], "left")
-    return x.select(TENANT, "snapshot_date", "codigo_almacen", "nom_alm", "codigo_articulo", "nom_art", "cod_mar", "nom_mar",
-                    "unidades", F.round(F.col("unidades") * F.coalesce(F.col("peso"), F.lit(0)), 2).alias("kg"))
-
-
-def inventory_matrix(stock: DataFrame, articles: DataFrame, sections: DataFrame) -> DataFrame:
-    """Current stock > 0 matrix with section name, price and barcode."""
-    art = articles.select(TENANT, "cod_art", "nom_art", "cod_sec", "precio", "codigo_barras")
-    sec = sections.select(TENANT, "cod_sec", "nom_sec")
-    x = stock.filter(F.col("exi_act1") > 0).join(art, [TENANT, "cod_art"], "left").join(sec, [TENANT, "cod_sec"], "left")
-    return x.select(F.col(TENANT).alias("Empresa"), F.col("cod_alm").alias("Almacen"), F.col("cod_art").alias("Codigo"),
-                    F.col("nom_art").alias("Descripcion"), F.col("nom_sec").alias("Seccion"),
-                    F.col("codigo_barras").alias("Codigo_Barras"), F.col("precio").alias("Precio"),
-                    F.col("exi_act1").alias("Existencia"))
-
-
-def sales_matrix(fct: DataFrame, articles: DataFrame) -> DataFrame:
-    """Sales matrix with display names, unit fraction and Fracc_Tot = units x fraccion."""
-    art = articles.select(TENANT, "cod_art", "fraccion")
-    x = fct.join(art, [TENANT, "cod_art"], "left")
-    return x.select(F.col(TENANT).alias("Empresa"), F.col("fecha_registro").alias("Fecha"), F.col("documento").alias("Documento"),
-                    F.col("renglon").alias("Renglon"), F.col("tipo_documento").alias("Tipo"), F.col("cod_cli").alias("Cliente"),
-                    F.col("cod_ven").alias("Vendedor"), F.col("cod_art").alias("Articulo"), F.col("nom_art").alias("Descripcion"),
-                    F.col("fraccion").alias("Frac Uni"),
-                    F.round(F.col("unidades_vendidas") * F.coalesce(F.col("fraccion"), F.lit(0)), 2).alias("Fracc_Tot"),
-                    F.col("unidades_vendidas").alias("Unidades"), F.col("neto_dcto").alias("Venta_USD"))
-
-
 def project_contract(df: DataFrame, mapping: list[tuple[str, str | None, str]]) -> DataFrame:
     """Business projection: (source column or None, display name, type) -> typed NULL when absent."""
     cols = []
@@ -452,38 +418,6 @@ SALES_CONSUMER = [("source_empresa", "source_empresa", "string"), ("tipo_documen
                   ("cod_art", "cod_art", "string"), ("nom_art", "nom_art", "string"), ("cod_pro", "cod_pro", "string"),
                   ("unidades_vendidas", "unidades_vendidas", "double"), ("cajas_vendidas", "cajas_vendidas", "double"),
                   ("neto_dcto", "neto_dcto", "double"), (None, "canal", "string")]
-CUSTOMERS_BI = [("source_empresa", "Empresa", "string"), ("cod_cli", "Codigo_Cliente", "string"),
-                ("nom_cli", "Nombre_Cliente", "string"), ("rif", "RIF", "string"), ("nom_est", "Estado", "string"),
-                ("nom_ciu", "Ciudad", "string"), ("nom_ven", "Vendedor", "string"), ("latitud", "Latitud", "double"),
-                ("longitud", "Longitud", "double"), ("gps_estado", "Estado_GPS", "string"), (None, "Zona", "string")]
-
-
-def customers_bi(customers: DataFrame, states: DataFrame, cities: DataFrame, sellers: DataFrame) -> DataFrame:
-    """Customer contract view (names of state, city and seller joined by code)."""
-    x = customers.join(states.select(TENANT, "cod_est", "nom_est"), [TENANT, "cod_est"], "left") \
-        .join(cities.select(TENANT, "cod_ciu", "nom_ciu"), [TENANT, "cod_ciu"], "left") \
-        .join(sellers.select(TENANT, "cod_ven", "nom_ven"), [TENANT, "cod_ven"], "left")
-    return project_contract(x, CUSTOMERS_BI)
-
-
-def sales_kpi(fact: DataFrame, lo: str, hi: str) -> DataFrame:
-    """Day x tenant x seller x customer x SKU KPIs (no fiscal id, no document)."""
-    f = fact.filter(F.col("fecha_registro").between(_d(lo), _d(hi)))
-    return f.groupBy(F.col("fecha_registro").alias("fecha"), TENANT, "cod_suc", "cod_ven", "cod_cli", "cod_art", "cod_mar",
-                     "cod_pro").agg(
-        F.count_distinct("documento").alias("documentos"), F.sum("unidades_vendidas").alias("unidades"),
-        F.round(F.sum("cajas_vendidas"), 2).alias("cajas"), F.round(F.sum("peso_total_kg"), 2).alias("kg"),
-        F.round(F.sum("neto_dcto"), 2).alias("venta_usd"))
-
-
-def inventory_shared(stock: DataFrame, articles: DataFrame) -> DataFrame:
-    """Shared stock contract: warehouse, article, units, boxes by fraction, kg."""
-    art = articles.select(TENANT, "cod_art", "nom_art", "cod_mar", "cod_pro", "fraccion", "peso")
-    x = stock.join(art, [TENANT, "cod_art"], "left")
-    return x.select(TENANT, "cod_alm", "cod_art", "nom_art", "cod_mar", "cod_pro", F.col("exi_act1").alias("unidades"),
-                    F.round(F.try_divide(F.col("exi_act1"), F.nullif(F.col("fraccion"), F.lit(0))), 2).alias("cajas"),
-                    F.round(F.col("exi_act1") * F.coalesce(F.col("peso"), F.lit(0)), 2).alias("kg"),
-                    F.col("fecha_registro").alias("fecha_actualizacion"))
 
 
 def inventory_sync(silver_stock: DataFrame, gold_report: DataFrame) -> DataFrame:
@@ -528,8 +462,3 @@ def between_dates(df: DataFrame, col: str, lo: str, hi: str) -> DataFrame:
     """Inclusive date range filter on a date column (a plain predicate, so it reaches the
     parquet scan as a pushed filter and prunes partitions when the table is partitioned by it)."""
     return df.filter(F.col(col).between(_d(lo), _d(hi)))
-
-
-def sales_consumer(fct_bi: DataFrame) -> DataFrame:
-    """Consumer projection of the BI sales fact (P11 with the consumer contract)."""
-    return project_contract(fct_bi, SALES_CONSUMER)

@@ -172,3 +172,15 @@ def silver_clientes(staging: DataFrame, entity: Entity, rejected_at: str | None
     cur = cur.withColumns({"latitud": lat, "longitud": lon})
     valid, state = gps_status("latitud", "longitud")
     return cur.withColumns({"gps_valido": valid, "gps_estado": state}), rej
+
+
+def unpivot(df: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
+    """One row per row of ``df`` and column: the keys, ``columna``, ``texto`` and ``numero``. Tables of different columns can then be
+    stacked and checked as one; timestamps become text."""
+    types = dict(df.dtypes)
+    columns = [c for c in df.columns if c not in keys] if columns is None else columns
+    number = lambda t: t.startswith("decimal") or t in ("double", "float", "int", "bigint")
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") if types[c].startswith(("timestamp", "date")) else F.col(c).cast("string")
+    cells = F.array(*[F.struct(F.lit(c).alias("columna"), (F.lit(None).cast("string") if number(types[c]) else text(c)).alias("texto"),
+                               (F.col(c).cast("double") if number(types[c]) else F.lit(None).cast("double")).alias("numero")) for c in columns])
+    return df.select(*keys, F.explode(cells).alias("_cell")).select(*keys, "_cell.*")

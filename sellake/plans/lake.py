@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contracts as C
-from ..operators import dims, facts, history, silver
+from ..operators import dims, facts, history, reports, silver, views
 from ..sources import erp_adapter as A
 from . import materialize as MT
 
@@ -178,6 +178,22 @@ class Lake:
     def fct_gold(self) -> DataFrame:
         return facts.fct_gold(self.fct_pre, self.fct_post_split[0])
 
+    @cached_property
+    def sellout_daily(self) -> DataFrame:
+        return self.table("sellout_daily", lambda: reports.sellout_daily(self.fct_ventas))
+
+    @cached_property
+    def fct_bi(self) -> DataFrame:
+        """The BI fact window with all master names."""
+        names = ["clientes", "articulos", "vendedores", "proveedores", "estados", "ciudades", "marcas", "departamentos"]
+        return self.table("fct_bi", lambda: facts.fct_bi(self.fct_gold, "1999-01-01", self.as_of, {n: self.sil(n) for n in names}))
+
+    @cached_property
+    def gold_stock(self) -> DataFrame:
+        """The written inventory report."""
+        names = ["almacenes", "articulos", "marcas", "departamentos", "secciones", "proveedores"]
+        return self.table("gold_stock", lambda: views.inventory_report(self.sil("renglones_almacenes"), self.dim_empresa, {n: self.sil(n) for n in names}))
+
     @cached_property
     def branches(self) -> DataFrame:
         return self.sil("sucursales").select("source_empresa", "cod_suc", "nom_suc")

@@ -116,6 +116,18 @@ view("stg_ciudades", ["nation_tenant"], landed("ciudades", """
 SELECT source_empresa, CAST(n_nationkey AS VARCHAR) AS cod_ciu, 'Capital ' || n_name || '  ' AS nom_ciu, 'A' AS status
 FROM nation_tenant""", ["cod_ciu", "nom_ciu", "status"]))
 
+view("stg_paises", ["nation_tenant"], landed("paises", """
+SELECT source_empresa, CAST(n_nationkey AS VARCHAR) AS cod_pai, n_name || '  ' AS nom_pai, 'A' AS status FROM nation_tenant""", ["cod_pai", "nom_pai", "status"]))
+view("stg_clases_clientes", ["tenants"], landed("clases_clientes", """
+SELECT t.source_empresa, c AS cod_cla, 'Clase ' || lower(c) || '  ' AS nom_cla, if(c = 'MACHINERY', 'I', 'A') AS status
+FROM (SELECT DISTINCT c_mktsegment AS c FROM customer) a, tenants t""", ["cod_cla", "nom_cla", "status"]))
+view("stg_conceptos", ["tenants"], landed("conceptos", """
+SELECT t.source_empresa, p[1] AS cod_con, if(p[1] = '4', '  ', p[3:22] || '  ') AS nom_con, 'A' AS status
+FROM (SELECT DISTINCT o_orderpriority AS p FROM orders) a, tenants t""", ["cod_con", "nom_con", "status"]))
+view("stg_impuestos", ["tenants"], landed("impuestos", """
+SELECT t.source_empresa, CAST(r AS VARCHAR) AS cod_imp, 'IVA ' || r || ' %  ' AS nom_imp, r::DOUBLE AS por_imp1, 'A' AS status
+FROM (SELECT DISTINCT round(l_discount * 100)::INT AS r FROM lineitem) a, tenants t""", ["cod_imp", "nom_imp", "por_imp1", "status"]))
+
 _LAT = "CAST(CAST(0.5::DOUBLE + (c_custkey % 160) / 10.0::DOUBLE AS DECIMAL(9,4)) AS VARCHAR)"
 _LON = "CAST(CAST(-74.0::DOUBLE + (CAST(trunc(abs(c_acctbal)) AS BIGINT) % 150) / 10.0::DOUBLE AS DECIMAL(9,4)) AS VARCHAR)"
 _GPS = f"""CASE c_custkey % 9
@@ -128,12 +140,14 @@ _GPS = f"""CASE c_custkey % 9
     WHEN 6 THEN 'sin coordenadas'
     WHEN 7 THEN ''
     ELSE NULL END"""
-_CLI = ["cod_cli", "nom_cli", "rif", "cod_pai", "cod_est", "cod_ciu", "gps", "cod_ven", "segmentacion1", "mon_sal", "cod_suc",
-        "status"]
+_CLI = ["cod_cli", "nom_cli", "rif", "dir_fis", "dir_exa", "cod_pai", "cod_est", "cod_ciu", "gps", "cod_ven", "segmentacion1", "mon_sal", "cod_suc",
+        "tip_con", "tip_cli", "status"]
 view("stg_clientes", ["nation_tenant"], landed("clientes", f"""
 SELECT nt.source_empresa, CAST(c_custkey AS VARCHAR) AS cod_cli,
        CASE WHEN c_custkey % 97 = 0 THEN '   ' ELSE c_name || '  ' END AS nom_cli,
        CASE WHEN c_custkey % 50 = 0 THEN ' ' ELSE 'J-' || CAST(c_custkey % 1000 AS VARCHAR) END AS rif,
+       'Calle ' || c_custkey % 500 || '  ' AS dir_fis, if(c_custkey % 5 = 0, '  ', 'Galpon ' || c_custkey % 90) AS dir_exa,
+       ['Ordinario', 'Especial', 'Formal'][c_custkey % 3 + 1] AS tip_con, 'T' || c_custkey % 4 AS tip_cli,
        CAST(c_nationkey AS VARCHAR) AS cod_pai, CAST(c_nationkey AS VARCHAR) AS cod_est, CAST(c_nationkey AS VARCHAR) AS cod_ciu,
        {_GPS} AS gps,
        CAST(c_custkey % 20 AS VARCHAR) AS cod_ven, c_mktsegment AS segmentacion1, c_acctbal AS mon_sal,
@@ -280,6 +294,8 @@ _PRESENT = {
     "almacenes": ["cod_alm", "nom_alm", "cod_suc", "status"], "marcas": ["cod_mar", "nom_mar", "status"],
     "departamentos": ["cod_dep", "nom_dep", "status"], "secciones": ["cod_sec", "nom_sec", "status"],
     "sucursales": ["cod_suc", "nom_suc", "contacto", "status"], "estados": ["cod_est", "nom_est", "status"],
+    "paises": ["cod_pai", "nom_pai", "status"], "clases_clientes": ["cod_cla", "nom_cla", "status"], "conceptos": ["cod_con", "nom_con", "status"],
+    "impuestos": ["cod_imp", "nom_imp", "por_imp1", "status"],
     "ciudades": ["cod_ciu", "nom_ciu", "status"], "clientes": _CLI, "vendedores": ["cod_ven", "nom_ven", "correo", "status"],
     "renglones_almacenes": ["cod_alm", "cod_art", "exi_act1", "registro"],
     "renglones_monedas": ["cod_mon", "renglon", "fecha", "tasa", "comentario", "registro"],
@@ -402,10 +418,14 @@ def _uses(body: str) -> list[str]:
     return [n for n in V if re.search(rf"\b{re.escape(n)}\b", body)]
 
 
+#: Views that several others read: made once a query.
+SHARED = {"sil_ventas", "stg_ventas_union", "snapshot_lines", "sil_articulos", "stock_now", "lines"}
+
+
 def ctes(uses: list[str]) -> str:
     if not uses:
         return ""
-    return "WITH " + ",\n".join(f"{n} AS (\n{V[n][1]}\n)" for n in _order(uses)) + "\n"
+    return "WITH " + ",\n".join(f"{n} AS {'MATERIALIZED ' if n in SHARED else ''}(\n{V[n][1]}\n)" for n in _order(uses)) + "\n"
 
 
 def sql(body: str, uses: list[str] | None = None) -> str:

@@ -106,14 +106,6 @@ def t2(lk):
     return lk.scd2
 
 
-@query("T3_scd2_dimension", O.out("SELECT * FROM dim_clientes_scd2",
-                                  "surrogate_key:s, source_empresa:s, cod_cli:s, valid_from:ts, valid_to:ts, is_current:b, "
-                                  "run_id:s, record_hash:s, nom_cli:s, prioridad:s, estado:s"))
-def t3(lk):
-    """Typed customer SCD2 dimension (JSON parsed once)."""
-    return lk.dim_scd2("clientes")
-
-
 # T4: one range join per dimension, the plain reading of "valid_from <= t < valid_to"; T5: from the stacked look-ups above
 _as_of = "\n".join(f"""LEFT JOIN dim_{e}_scd2 {n} ON {n}.source_empresa = v.source_empresa AND {n}.{k} = v.{k} AND {n}.valid_from <= v.registro
   AND (v.registro < {n}.valid_to OR {n}.valid_to IS NULL)""" for n, e, k in _DIMS)
@@ -292,7 +284,7 @@ _BI_SPEC = ", ".join(f"{c}:{'ts' if c == 'registro' else 'd' if c in ('renglon',
                      for c in facts.BI_COLUMNS)
 
 
-@query("M12_fct_bi", O.out(f"""
+O.view("fct_bi", ["gold_lines", "master_names", "sil_clientes", "sil_articulos", "sil_estados", "sil_ciudades"], f"""
 SELECT source_empresa, tipo_documento, cod_suc, documento, renglon, registro, cod_ven, {_of('ven', 'g.cod_ven')} AS nom_ven, cod_cli,
   g.cli.nom_cli AS nom_cli, g.cli.rif AS rif, NULL::VARCHAR AS nom_cla, {_place('sil_estados', 'cod_est', 'nom_est')} AS nom_est,
   {_place('sil_ciudades', 'cod_ciu', 'nom_ciu')} AS nom_ciu, cod_art, g.art.nom_art AS nom_art, cod_alm, g.art.cod_mar AS cod_mar,
@@ -302,11 +294,13 @@ SELECT source_empresa, tipo_documento, cod_suc, documento, renglon, registro, co
   round(can_ven * ifnull(g.art.peso, 0), 2) AS peso_total_kg, round(CAST(can_ven * ifnull(g.art.peso, 0) / 1000 AS DECIMAL(38,10)), 3) AS peso_total_toneladas
 FROM (SELECT l.*, (SELECT any_value(c) FROM sil_clientes c WHERE c.source_empresa = l.source_empresa AND c.cod_cli = l.cod_cli) AS cli,
     (SELECT any_value(a) FROM sil_articulos a WHERE a.source_empresa = l.source_empresa AND a.cod_art = l.cod_art) AS art
-  FROM gold_lines l WHERE fecha_registro BETWEEN DATE '1999-01-01' AND DATE '{AS_OF}') g""", _BI_SPEC))
+  FROM gold_lines l WHERE fecha_registro BETWEEN DATE '1999-01-01' AND DATE '{AS_OF}') g""")
+
+
+@query("M12_fct_bi", O.out("SELECT * FROM fct_bi", _BI_SPEC))
 def m12(lk):
     """BI fact window [1999-01-01, as_of] with all master names, boxes, kg and tons."""
-    names = ["clientes", "articulos", "vendedores", "proveedores", "estados", "ciudades", "marcas", "departamentos"]
-    return facts.fct_bi(lk.fct_gold, "1999-01-01", lk.as_of, {n: lk.sil(n) for n in names})
+    return lk.fct_bi.select(*facts.BI_COLUMNS)
 
 
 _LINE_COLS = [*KEY, "registro", "fecha_registro", "cod_ven", "nom_ven", "cod_cli", "nom_cli", "nom_cla", "nom_est", "nom_ciu", "cod_art", "cod_alm",

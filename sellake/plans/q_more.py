@@ -20,70 +20,6 @@ def _scopes(lk):
     return dims.flatten_scopes(A.user_documents(lk.spark, lk.d), ADMIN_MAIL)
 
 
-def _snapshots(lk):
-    return history.fct_inventory(silver.snapshot_dedup(lk.stg("renglones_almacenes")))
-
-
-O.view("inv_snapshots", ["stg_renglones_almacenes"], f"""SELECT source_empresa, snapshot_date, run_id, cod_alm AS codigo_almacen,
-  cod_art AS codigo_articulo, exi_act1 AS unidades FROM (
-  SELECT source_empresa, snapshot_date, run_id, {cs('cod_alm')} AS cod_alm, {cs('cod_art')} AS cod_art,
-         TRY_CAST(exi_act1 AS DECIMAL(28,10)) AS exi_act1, _ingested_at, _row_hash FROM stg_renglones_almacenes) s
-WHERE cod_alm <> '' AND cod_art <> '' AND exi_act1 IS NOT NULL
-QUALIFY row_number() OVER (PARTITION BY source_empresa, snapshot_date, run_id, cod_alm, cod_art
-  ORDER BY _ingested_at DESC NULLS LAST, _row_hash DESC NULLS LAST) = 1""")
-
-
-@query("G12_inventory_time", O.out(f"""SELECT ra.source_empresa AS empresa, ra.cod_alm AS codigo_almacen, ra.cod_art AS codigo_articulo,
-  a.nom_art, a.cod_mar, ra.fecha_registro, year(ra.fecha_registro) AS anio, month(ra.fecha_registro) AS mes,
-  {O.MONTHS}[month(ra.fecha_registro)] AS nombre_mes, strftime(ra.fecha_registro, '%Y-%m') AS anio_mes,
-  quarter(ra.fecha_registro) AS trimestre,
-  isoyear(ra.fecha_registro) || '-W' || lpad(CAST(week(ra.fecha_registro) AS VARCHAR), 2, '0') AS anio_semana,
-  ra.exi_act1 AS unidades, round(CAST(ra.exi_act1 / NULLIF(a.cap_bulto, 0) AS DECIMAL(38,10)), 2) AS cajas
-FROM sil_renglones_almacenes ra LEFT JOIN sil_articulos a ON ra.source_empresa = a.source_empresa AND ra.cod_art = a.cod_art
-WHERE ra.fecha_registro IS NOT NULL""",
-    "empresa:s, codigo_almacen:s, codigo_articulo:s, nom_art:s, cod_mar:s, fecha_registro:dt, anio:i, mes:i, nombre_mes:s, "
-    "anio_mes:s, trimestre:i, anio_semana:s, unidades:d, cajas:d"))
-def g12(lk):
-    """Stock with calendar attributes (inner calendar join) and boxes."""
-    stock = lk.sil("renglones_almacenes")
-    return R.inventory_time(stock, lk.calendar, lk.sil("articulos"))
-
-
-@query("G13_inventory_bi_history", O.out("""SELECT s.source_empresa, s.snapshot_date, s.codigo_almacen, al.nom_alm, s.codigo_articulo,
-  a.nom_art, a.cod_mar, m.nom_mar, s.unidades, round(s.unidades * COALESCE(a.peso, 0), 2) AS kg
-FROM inv_snapshots s LEFT JOIN sil_almacenes al ON s.source_empresa = al.source_empresa AND s.codigo_almacen = al.cod_alm
-LEFT JOIN sil_articulos a ON s.source_empresa = a.source_empresa AND s.codigo_articulo = a.cod_art
-LEFT JOIN sil_marcas m ON s.source_empresa = m.source_empresa AND a.cod_mar = m.cod_mar""",
-    "source_empresa:s, snapshot_date:dt, codigo_almacen:s, nom_alm:s, codigo_articulo:s, nom_art:s, cod_mar:s, nom_mar:s, "
-    "unidades:d, kg:d"))
-def g13(lk):
-    """Inventory snapshot history enriched with warehouse, article and brand."""
-    return R.inventory_bi(_snapshots(lk), lk.sil("almacenes"), lk.sil("articulos"), lk.sil("marcas"))
-
-
-@query("G14_inventory_bi_matrix", O.out("""SELECT ra.source_empresa AS "Empresa", ra.cod_alm AS "Almacen", ra.cod_art AS "Codigo",
-  a.nom_art AS "Descripcion", s.nom_sec AS "Seccion", a.codigo_barras AS "Codigo_Barras", a.precio AS "Precio",
-  ra.exi_act1 AS "Existencia"
-FROM sil_renglones_almacenes ra LEFT JOIN sil_articulos a ON ra.source_empresa = a.source_empresa AND ra.cod_art = a.cod_art
-LEFT JOIN sil_secciones s ON ra.source_empresa = s.source_empresa AND a.cod_sec = s.cod_sec WHERE ra.exi_act1 > 0""",
-    "Empresa:s, Almacen:s, Codigo:s, Descripcion:s, Seccion:s, Codigo_Barras:s, Precio:d, Existencia:d"))
-def g14(lk):
-    """Current stock > 0 matrix with section, price and barcode."""
-    return R.inventory_matrix(lk.sil("renglones_almacenes"), lk.sil("articulos"), lk.sil("secciones"))
-
-
-@query("G15_sales_bi_matrix", O.out("""SELECT v.source_empresa AS "Empresa", v.fecha_registro AS "Fecha", v.documento AS "Documento",
-  v.renglon AS "Renglon", v.tipo_documento AS "Tipo", v.cod_cli AS "Cliente", v.cod_ven AS "Vendedor", v.cod_art AS "Articulo",
-  v.nom_art AS "Descripcion", a.fraccion AS "Frac Uni", round(v.unidades_vendidas * COALESCE(a.fraccion, 0), 2) AS "Fracc_Tot",
-  v.unidades_vendidas AS "Unidades", v.neto_dcto AS "Venta_USD"
-FROM fct_ventas v LEFT JOIN sil_articulos a ON v.source_empresa = a.source_empresa AND v.cod_art = a.cod_art""",
-    "Empresa:s, Fecha:dt, Documento:s, Renglon:d, Tipo:s, Cliente:s, Vendedor:s, Articulo:s, Descripcion:s, Frac Uni:d, "
-    "Fracc_Tot:d, Unidades:d, Venta_USD:d"))
-def g15(lk):
-    """Sales matrix with display names and Fracc_Tot."""
-    return R.sales_matrix(lk.fct_ventas, lk.sil("articulos"))
-
-
 _CONS = ", ".join(f"{'NULL' if s is None else s}::{'VARCHAR' if t == 'string' else t.upper()} AS {n}" for s, n, t in R.SALES_CONSUMER)
 _CONS_SPEC = ", ".join(f"{n}:{ {'string': 's', 'double': 'd', 'timestamp': 'ts', 'date': 'dt'}[t] }" for _, n, t in R.SALES_CONSUMER)
 
@@ -94,48 +30,6 @@ def p11(lk):
     return R.project_contract(lk.fct_ventas, R.SALES_CONSUMER)
 
 
-@query("G16_sales_bi_consumo", O.out(f"SELECT {_CONS} FROM fct_ventas WHERE fecha_registro BETWEEN DATE '1999-01-01' AND DATE '{AS_OF}'",
-                                     _CONS_SPEC))
-def g16(lk):
-    """Consumer projection of the BI sales window."""
-    return R.sales_consumer(R.between_dates(lk.fct_ventas, "fecha_registro", "1999-01-01", AS_OF))
-
-
-_CB = ", ".join(f"{'NULL' if s is None else ('c.' + s if s in ('source_empresa', 'cod_cli', 'nom_cli', 'rif', 'latitud', 'longitud', 'gps_estado') else s)}"
-                f"::{'VARCHAR' if t == 'string' else t.upper()} AS \"{n}\"" for s, n, t in R.CUSTOMERS_BI)
-
-
-@query("G17_customers_bi", O.out(f"""SELECT {_CB} FROM sil_clientes c
-LEFT JOIN sil_estados e ON c.source_empresa = e.source_empresa AND c.cod_est = e.cod_est
-LEFT JOIN sil_ciudades ci ON c.source_empresa = ci.source_empresa AND c.cod_ciu = ci.cod_ciu
-LEFT JOIN sil_vendedores ve ON c.source_empresa = ve.source_empresa AND c.cod_ven = ve.cod_ven""",
-    ", ".join(f"{n}:{ {'string': 's', 'double': 'd'}[t] }" for _, n, t in R.CUSTOMERS_BI)))
-def g17(lk):
-    """Customer contract view with state, city and seller names."""
-    return R.customers_bi(lk.sil("clientes"), lk.sil("estados"), lk.sil("ciudades"), lk.sil("vendedores"))
-
-
-@query("G18_sales_kpi_shared", O.out(f"""SELECT fecha_registro AS fecha, source_empresa, cod_suc, cod_ven, cod_cli, cod_art, cod_mar, cod_pro,
-  count(DISTINCT documento) AS documentos, sum(unidades_vendidas) AS unidades, round(sum(cajas_vendidas), 2) AS cajas,
-  round(sum(peso_total_kg), 2) AS kg, round(sum(neto_dcto), 2) AS venta_usd
-FROM fct_ventas WHERE fecha_registro BETWEEN DATE '2000-01-01' AND DATE '{AS_OF}' GROUP BY ALL""",
-    "fecha:dt, source_empresa:s, cod_suc:s, cod_ven:s, cod_cli:s, cod_art:s, cod_mar:s, cod_pro:s, documentos:i, unidades:d, "
-    "cajas:d, kg:d, venta_usd:d"))
-def g18(lk):
-    """Day x tenant x seller x customer x SKU KPIs for the shared contract."""
-    return R.sales_kpi(lk.fct_ventas, "2000-01-01", AS_OF)
-
-
-@query("G19_inventory_shared", O.out("""SELECT ra.source_empresa, ra.cod_alm, ra.cod_art, a.nom_art, a.cod_mar, a.cod_pro,
-  ra.exi_act1 AS unidades, round(CAST(ra.exi_act1 / NULLIF(a.fraccion, 0) AS DECIMAL(38,10)), 2) AS cajas,
-  round(ra.exi_act1 * COALESCE(a.peso, 0), 2) AS kg, ra.fecha_registro AS fecha_actualizacion
-FROM sil_renglones_almacenes ra LEFT JOIN sil_articulos a ON ra.source_empresa = a.source_empresa AND ra.cod_art = a.cod_art""",
-    "source_empresa:s, cod_alm:s, cod_art:s, nom_art:s, cod_mar:s, cod_pro:s, unidades:d, cajas:d, kg:d, fecha_actualizacion:dt"))
-def g19(lk):
-    """Shared stock contract."""
-    return R.inventory_shared(lk.sil("renglones_almacenes"), lk.sil("articulos"))
-
-
 @query("G21_inventory_sync", O.out("""
 WITH gold AS (SELECT r.source_empresa, r.cod_alm, a.fraccion, r.exi_act1 FROM sil_renglones_almacenes r
   LEFT JOIN sil_articulos a ON a.source_empresa = r.source_empresa AND a.cod_art = r.cod_art WHERE exi_act1 > 0),
@@ -146,7 +40,7 @@ SELECT *, filas_gold = filas_silver AND unidades_gold = unidades_silver AS sincr
     "source_empresa:s, filas_silver:i, almacenes_silver:i, unidades_silver:d, filas_gold:i, almacenes_gold:i, unidades_gold:d, sincronizado:b"))
 def g21(lk):
     """Stock in Silver against the inventory report, per tenant."""
-    report = R.inventory_report(lk.sil("renglones_almacenes"), lk.dim_empresa, lk.sil("almacenes"), lk.sil("articulos"))
+    report = lk.gold_stock
     return R.inventory_sync(lk.sil("renglones_almacenes"), report)
 
 
@@ -254,15 +148,17 @@ def j1(lk):
     return x.select(*KEY, "nom_art", "nom_cli", "nom_ven")
 
 
-@query("J2_inner_calendar", O.out(f"""SELECT {', '.join(KEY)}, fecha_registro, strftime(fecha_registro, '%Y-%m') AS anio_mes,
-  isoyear(fecha_registro) || '-W' || lpad(CAST(week(fecha_registro) AS VARCHAR), 2, '0') AS anio_semana,
-  CASE WHEN day(fecha_registro) <= 15 THEN 'Q1' ELSE 'Q2' END AS quincena_nombre
-FROM sil_ventas WHERE fecha_registro IS NOT NULL""", KEY_SPEC + "fecha_registro:dt, anio_mes:s, anio_semana:s, quincena_nombre:s"))
+@query("J2_inner_calendar", O.out(f"""SELECT {', '.join(KEY)}, fecha_registro,
+  if(inside, strftime(fecha_registro, '%Y-%m'), NULL) AS anio_mes,
+  if(inside, isoyear(fecha_registro) || '-W' || lpad(CAST(week(fecha_registro) AS VARCHAR), 2, '0'), NULL) AS anio_semana,
+  if(inside, if(day(fecha_registro) <= 15, 'Q1', 'Q2'), NULL) AS quincena_nombre, if(inside, NULL, 'NO_CALENDAR_DAY') AS reason
+FROM (SELECT *, COALESCE(fecha_registro BETWEEN DATE '1995-06-01' AND DATE '2009-12-31', FALSE) AS inside FROM sil_ventas) s""",
+                                  KEY_SPEC + "fecha_registro:dt, anio_mes:s, anio_semana:s, quincena_nombre:s, reason:s"))
 def j2(lk):
-    """INNER join of the sales lines to the calendar."""
-    s = lk.sil_ventas
-    return facts.with_calendar(s, lk.calendar, "fecha_registro", ["anio_mes", "anio_semana", "quincena_nombre"]).select(
-        *KEY, "fecha_registro", "anio_mes", "anio_semana", "quincena_nombre")
+    """Join of the sales lines to a calendar that begins in June 1995; earlier lines come out as rejects with a reason, not lost."""
+    cal = dims.calendar(lk.spark, "1995-06-01", lk.CALENDAR[1])
+    return facts.tag_calendar(lk.sil_ventas, cal, "fecha_registro", ["anio_mes", "anio_semana", "quincena_nombre"]).select(
+        *KEY, "fecha_registro", "anio_mes", "anio_semana", "quincena_nombre", "reason")
 
 
 @query("J3_inner_header_line", O.out("""SELECT l.documento, l.renglon, l.cod_art, h.estado FROM

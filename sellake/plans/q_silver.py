@@ -25,18 +25,18 @@ def p1(lk):
                                      X.clean_str("rif").alias("rif"))
 
 
-@query("P2_to_timestamp", O.out(f"""SELECT source_empresa, tipo_documento, cod_suc, documento, renglon, registro,
-  TRY_CAST({cs('registro')} AS TIMESTAMP) AS registro_ts FROM stg_ventas_v3""", KEY_SPEC + "registro:s, registro_ts:ts"))
+@query("P2_to_timestamp", O.out(f"""SELECT _version, {', '.join(KEY)}, registro, TRY_CAST({cs('registro')} AS TIMESTAMP) AS registro_ts
+FROM stg_ventas_union""", "_version:s, " + KEY_SPEC + "registro:s, registro_ts:ts"))
 def p2(lk):
-    """.NET ISO text with 7 fractional digits -> timestamp (NULL when bad)."""
-    return lk.stg_ventas["v3"].select(*KEY, "registro", X.to_ts("registro").alias("registro_ts"))
+    """.NET ISO text with 7 fractional digits -> timestamp (NULL when bad), in all three sales contracts."""
+    return lk.stg_ventas_union.select("_version", *KEY, "registro", X.to_ts("registro").alias("registro_ts"))
 
 
-@query("P3_to_date", O.out(f"""SELECT source_empresa, tipo_documento, cod_suc, documento, renglon,
-  TRY_CAST(TRY_CAST({cs('registro')} AS TIMESTAMP) AS DATE) AS fecha FROM stg_ventas_v3""", KEY_SPEC + "fecha:dt"))
+@query("P3_to_date", O.out(f"""SELECT _version, {', '.join(KEY)}, TRY_CAST(TRY_CAST({cs('registro')} AS TIMESTAMP) AS DATE) AS fecha
+FROM stg_ventas_union""", "_version:s, " + KEY_SPEC + "fecha:dt"))
 def p3(lk):
-    """Safe cast of the whole sale time to DATE."""
-    return lk.stg_ventas["v3"].select(*KEY, X.to_date_safe("registro").alias("fecha"))
+    """Safe cast of the whole sale time to DATE, in all three sales contracts."""
+    return lk.stg_ventas_union.select("_version", *KEY, X.to_date_safe("registro").alias("fecha"))
 
 
 @query("P4_to_numeric", O.out("SELECT source_empresa, cod_cli, TRY_CAST(mon_sal AS DECIMAL(28,10)) AS mon_sal FROM stg_clientes",
@@ -129,12 +129,12 @@ def p16(lk):
     return src.select(*KEY, *[c.alias(n) for n, c in X.money_columns("mon_net", "mon_imp1", "tasa_doc", "por_des1").items()])
 
 
-@query("D1_latest_by_key", O.out("""SELECT source_empresa, tipo_documento, cod_suc, documento, renglon, _ingested_at, _row_hash
-FROM stg_ventas_v3 QUALIFY row_number() OVER (PARTITION BY source_empresa, tipo_documento, cod_suc, documento, renglon
-  ORDER BY _ingested_at DESC NULLS LAST, _row_hash DESC NULLS LAST) = 1""", KEY_SPEC + "_ingested_at:ts, _row_hash:s"))
+@query("D1_latest_by_key", O.out(f"""SELECT _version, {', '.join(KEY)}, max(_ingested_at) AS _ingested_at,
+  max(struct_pack(t := _ingested_at, h := _row_hash)).h AS _row_hash FROM stg_ventas_union GROUP BY _version, {', '.join(KEY)}""",
+                                 "_version:s, " + KEY_SPEC + "_ingested_at:ts, _row_hash:s"))
 def d1(lk):
-    """Newest staging row per raw key (ingest time, then row hash)."""
-    return silver.latest_by_key(lk.stg_ventas["v3"], KEY, ["_ingested_at"]).select(*KEY, "_ingested_at", "_row_hash")
+    """Newest staging row per contract and raw key (ingest time, then row hash)."""
+    return silver.latest_by_key(lk.stg_ventas_union, ["_version", *KEY], ["_ingested_at"]).select("_version", *KEY, "_ingested_at", "_row_hash")
 
 
 @query("D2_priority_dedup", O.out("SELECT " + ", ".join(KEY) + ", _priority, _row_hash FROM sil_ventas",
@@ -183,24 +183,6 @@ def r2(lk):
     return lk.sil_ventas_split[1].select(*KEY, "_priority", "motivo_rechazo", "_rechazado_en")
 
 
-_CLI_SPEC = ("source_empresa:s, cod_cli:s, nom_cli:s, rif:s, gps:s, latitud:d, longitud:d, gps_valido:b, gps_estado:s, "
-             "cod_ven:s, segmentacion1:s, mon_sal:d, cod_suc:s, status:s")
-
-
-@query("M1_silver_master", O.out("SELECT " + ", ".join(s.split(":")[0].strip() for s in _CLI_SPEC.split(",")) +
-                                 " FROM sil_clientes", _CLI_SPEC))
-def m1(lk):
-    """M1: current customer master (clean, typed, one row per key) with GPS columns."""
-    return lk.sil("clientes").select(*[s.split(":")[0].strip() for s in _CLI_SPEC.split(",")])
-
-
-@query("M2_silver_transaction", O.out("SELECT source_empresa, cod_alm, cod_art, exi_act1, registro, fecha_registro FROM sil_renglones_almacenes",
-                                      "source_empresa:s, cod_alm:s, cod_art:s, exi_act1:d, registro:ts, fecha_registro:dt"))
-def m2(lk):
-    """M2: current stock per warehouse and article (last snapshot wins)."""
-    return lk.sil("renglones_almacenes").select("source_empresa", "cod_alm", "cod_art", "exi_act1", "registro", "fecha_registro")
-
-
 _M3 = ("registro:ts, fecha_registro:dt, cod_ven:s, cod_cli:s, nom_cli:s, cod_art:s, cod_alm:s, cod_pro:s, can_ven:d, "
        "monto_bruto:d, neto:d, dcto:d, tasa:d, neto_dcto:d, rif:s, _priority:i")
 
@@ -212,13 +194,6 @@ def m3(lk):
     return lk.sil_ventas.select(*KEY, *[s.split(":")[0].strip() for s in _M3.split(",")])
 
 
-@query("M4_dim_passthrough", O.out("SELECT source_empresa, cod_mar, nom_mar, status FROM sil_marcas",
-                                   "source_empresa:s, cod_mar:s, nom_mar:s, status:s"))
-def m4(lk):
-    """M4: conformed brand dimension = the Silver brand table."""
-    return dims.dim_passthrough(lk.sil("marcas"), ["source_empresa", "cod_mar", "nom_mar", "status"])
-
-
 @query("M5_dim_empresa", O.out("SELECT * FROM dim_empresa", "source_empresa:s, nombre_empresa:s, razon_social:s"))
 def m5(lk):
     """M5: tenant dimension."""
@@ -256,11 +231,11 @@ def u3(lk):
     return facts.distinct_of(lk.fct_ventas, ["source_empresa", "cod_suc", "cod_ven", "cod_cli"])
 
 
-@query("Q1_unique_key", O.out("SELECT " + ", ".join(KEY) + ", count(*) AS n FROM stg_ventas_v3 GROUP BY ALL HAVING count(*) > 1",
-                              KEY_SPEC + "n:i"))
+@query("Q1_unique_key", O.out(f"SELECT _version, {', '.join(KEY)}, count(*) AS n FROM stg_ventas_union GROUP BY ALL HAVING count(*) > 1",
+                              "_version:s, " + KEY_SPEC + "n:i"))
 def q1(lk):
-    """Q1: duplicated raw keys in the v3 sales staging."""
-    return quality.assert_unique(lk.stg_ventas["v3"], KEY)
+    """Q1: duplicated raw keys in each sales contract's staging."""
+    return quality.assert_unique(lk.stg_ventas_union, ["_version", *KEY])
 
 
 _NN = ["nom_ven", "nom_cli", "nom_mar", "nom_dep", "nom_pro", "nom_art", "cod_uni1", "rif", "nom_est", "nom_ciu"]

@@ -173,6 +173,37 @@ def stg_ciudades(spark: SparkSession, d: str) -> DataFrame:
     return _landed(a, "ciudades", _snapshot_ts())
 
 
+def stg_paises(spark: SparkSession, d: str) -> DataFrame:
+    n = nation_tenant(spark, d)
+    a = n.select("source_empresa", F.col("n_nationkey").cast("string").alias("cod_pai"), _pad(F.col("n_name")).alias("nom_pai"), F.lit("A").alias("status"))
+    return _landed(a, "paises", _snapshot_ts())
+
+
+def stg_clases_clientes(spark: SparkSession, d: str) -> DataFrame:
+    """Customer classes = market segments, per tenant; one of them is inactive."""
+    a = read_table(spark, d, "customer", ["c_mktsegment"]).distinct()
+    a = a.select(F.col("c_mktsegment").alias("cod_cla"), _pad(F.concat(F.lit("Clase "), F.lower("c_mktsegment"))).alias("nom_cla"),
+                 F.when(F.col("c_mktsegment") == "MACHINERY", F.lit("I")).otherwise(F.lit("A")).alias("status"))
+    return _landed(_per_tenant(spark, d, a), "clases_clientes", _snapshot_ts())
+
+
+def stg_conceptos(spark: SparkSession, d: str) -> DataFrame:
+    """Concepts = order priorities, per tenant; the unspecified one comes without a name and is rejected."""
+    a = read_table(spark, d, "orders", ["o_orderpriority"]).distinct()
+    code = F.substring("o_orderpriority", 1, 1)
+    a = a.select(code.alias("cod_con"), F.when(code == "4", F.lit("  ")).otherwise(_pad(F.substring("o_orderpriority", 3, 20))).alias("nom_con"), F.lit("A").alias("status"))
+    return _landed(_per_tenant(spark, d, a), "conceptos", _snapshot_ts())
+
+
+def stg_impuestos(spark: SparkSession, d: str) -> DataFrame:
+    """Taxes = discount rates of the lines in whole percent, per tenant."""
+    rate = F.round(F.col("l_discount") * 100).cast("int")
+    a = read_table(spark, d, "lineitem", ["l_discount"]).select(rate.alias("r")).distinct()
+    a = a.select(F.col("r").cast("string").alias("cod_imp"), _pad(F.concat(F.lit("IVA "), F.col("r").cast("string"), F.lit(" %"))).alias("nom_imp"),
+                 F.col("r").cast("double").alias("por_imp1"), F.lit("A").alias("status"))
+    return _landed(_per_tenant(spark, d, a), "impuestos", _snapshot_ts())
+
+
 def _gps_text(k: Column, bal: Column) -> Column:
     """Free GPS text in the shapes the ERP holds (several separators, a spaced sign,
     points outside the country, junk, blank, NULL)."""
@@ -202,6 +233,10 @@ def stg_clientes(spark: SparkSession, d: str) -> DataFrame:
         F.when(k % DIRTY_MOD == 0, F.lit("   ")).otherwise(_pad(F.col("c_name"))).alias("nom_cli"),
         F.when(k % BLANK_RIF_MOD == 0, F.lit(" ")).otherwise(
             F.concat(F.lit("J-"), F.pmod(k, FISCAL_IDS).cast("string"))).alias("rif"),
+        _pad(F.concat(F.lit("Calle "), F.pmod(k, 500).cast("string"))).alias("dir_fis"),
+        F.when(k % 5 == 0, F.lit("  ")).otherwise(F.concat(F.lit("Galpon "), F.pmod(k, 90).cast("string"))).alias("dir_exa"),
+        F.element_at(F.array(F.lit("Ordinario"), F.lit("Especial"), F.lit("Formal")), (F.pmod(k, 3) + 1).cast("int")).alias("tip_con"),
+        F.concat(F.lit("T"), F.pmod(k, 4).cast("string")).alias("tip_cli"),
         nation.alias("cod_pai"), nation.alias("cod_est"), nation.alias("cod_ciu"),
         _gps_text(k, F.col("c_acctbal")).alias("gps"),
         F.pmod(k, SELLERS_PER_TENANT).cast("string").alias("cod_ven"),

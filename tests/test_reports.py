@@ -1,6 +1,7 @@
 """Reports and control operators on hand-made rows (FIXTURES part D edge cases)."""
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -116,3 +117,43 @@ def test_missing_windows_of_a_pair_that_never_landed(spark):
     pairs = spark.createDataFrame([("t", "q"), ("u", "q")], "source_empresa string, query_id string")
     got = [(r.source_empresa, str(r.window_start)) for r in missing_windows(reg, pairs, "2024-01-01", "2024-01-31").collect()]
     assert sorted(got) == [("t", "2024-01-16"), ("u", "2024-01-01"), ("u", "2024-01-16")]
+
+
+def test_gap_bitmaps_and_their_skus(spark):
+    """Gaps of every customer against a plain set difference; dense numbers; no pair of customer and SKU in the plan."""
+    import random
+
+    rnd, rows = random.Random(4), []
+    for t, n in (("t1", 150), ("t2", 64), ("t3", 1)):
+        for _ in range(400 if n > 1 else 3):
+            day = dt.date(2024, 3, 31) - dt.timedelta(days=rnd.randrange(120))
+            rows.append((t, "s", rnd.choice(["v1", "v2"]), f"c{rnd.randrange(8)}", f"sku{rnd.randrange(n)}", day, Decimal(rnd.choice([5, 5, 5, -5]))))
+    fact = spark.createDataFrame(rows, "source_empresa string, cod_suc string, cod_ven string, cod_cli string, cod_art string, fecha_registro date, neto_dcto decimal(18,2)")
+    branches = spark.createDataFrame([("t1", "s", "Centro")], "source_empresa string, cod_suc string, nom_suc string")
+    inside = [r for r in rows if dt.date(2024, 1, 1) <= r[5] <= dt.date(2024, 3, 31)]
+    catalogue, paid, clients = {}, {}, set()
+    for t, s, v, c, a, d, x in inside:
+        catalogue.setdefault(t, set()).add(a)
+        clients.add((t, s, v, c))
+        paid[t, s, v, c, a] = paid.get((t, s, v, c, a), 0) + (x if d >= dt.date(2024, 3, 1) else 0)
+    want = {k: catalogue[k[0]] - {a for a in catalogue[k[0]] if paid.get((*k, a), 0) > 0} for k in clients}
+    gaps = reports.zero_sale_sku(fact, branches, "2024-03-31")
+    got = {(r.empresa, r.codigo_sucursal, r.codigo_vendedor, r.codigo_cliente): r for r in gaps.collect()}
+    assert {k: (r.skus_catalogo, r.skus_venta_cero, r.skus_comprados_mes) for k, r in got.items()} == {
+        k: (len(catalogue[k[0]]), len(w), len(catalogue[k[0]]) - len(w)) for k, w in want.items()}
+    assert {r.nombre_sucursal for r in got.values()} == {"Centro", "s"}
+    listed = {}
+    for r in reports.gap_skus(gaps, fact, "2024-03-31").collect():
+        listed.setdefault((r.empresa, r.codigo_sucursal, r.codigo_vendedor, r.codigo_cliente), set()).add(r.cod_art)
+    assert listed == {k: w for k, w in want.items() if w}
+    numbers = reports.number_members(fact, "source_empresa", "cod_art").groupBy("source_empresa").agg(F.collect_list("number").alias("n")).collect()
+    assert all(sorted(r.n) == list(range(len(r.n))) for r in numbers)
+
+
+def test_distinct_counts_without_an_expansion(spark):
+    from sellake.plans.lake import Lake
+
+    lk = Lake(spark, SF)
+    for df in (reports.period_summary(lk.fct_ventas, lk.dim_empresa, by=("anio_mes",)), reports.weekly_frequency(lk.fct_ventas, lk.branches),
+               reports.sellout_daily(lk.fct_ventas), reports.zero_sale_sku(lk.fct_ventas, lk.branches, lk.as_of)):
+        assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()

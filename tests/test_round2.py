@@ -1,6 +1,7 @@
 """Landing keeps the whole row, layers follow their source files, replays build on committed versions."""
 
 import datetime as dt
+import os
 import shutil
 import tempfile
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from sellake import contracts as C
 from sellake.operators import facts, land, quality
 from sellake.plans import materialize
+from sellake.plans.lake import Lake
 from sellake.streaming import ops
 
 E3 = C.SALES["v3"]
@@ -28,16 +30,21 @@ def test_unknown_fields_and_bad_numbers_survive_to_staging(spark):
 
 def test_layers_see_new_source_files(spark):
     d = tempfile.mkdtemp()
-    shutil.copytree("/root/testdata/sf0.001", d, dirs_exist_ok=True)
+    for f in os.listdir("/root/testdata/sf0.001"):  # contents only: the test folder's own mode is read-only
+        shutil.copyfile(f"/root/testdata/sf0.001/{f}", f"{d}/{f}")
     before = materialize.layer_key(spark, d, "2001-07-31")
     assert before == materialize.layer_key(spark, d, "2001-07-31")
     spark.range(3).write.parquet(f"{d}/more.parquet")
     assert before == materialize.layer_key(spark, d, "2001-07-31")  # not a source table
-    shutil.copy(f"{d}/region.parquet", f"{d}/region2")
-    spark.read.parquet(f"{d}/region2").write.parquet(f"{d}/benchmark.parquet.new")
-    with open(f"{d}/region2", "rb") as a, open(f"{d}/orders.parquet", "wb") as b:
-        b.write(a.read())
+    names = {r.source_empresa for r in Lake(spark, d).sil("marcas").select("source_empresa").distinct().collect()}
+    parts = Lake(spark, d).sil("articulos").count()
+    more = spark.read.parquet(f"{d}/part.parquet")
+    more = more.union(more.orderBy("p_partkey").limit(1).withColumn("p_partkey", F.lit(10**6).cast(more.schema["p_partkey"].dataType)))
+    more.coalesce(1).write.parquet(f"{d}/grown")
+    grown = [f for f in os.listdir(f"{d}/grown") if f.endswith(".parquet")]
+    shutil.copyfile(f"{d}/grown/{grown[0]}", f"{d}/part.parquet")
     assert before != materialize.layer_key(spark, d, "2001-07-31")
+    assert Lake(spark, d).sil("articulos").count() == parts + len(names)  # the new part, once a tenant, through a written layer
     n = [0]
 
     def build():
@@ -89,3 +96,38 @@ def test_post_cutover_merge_updates_and_adds(spark):
     fact, dropped = facts.fct_post_cutover(new, "2000-01-01", old)
     assert sorted((r.documento, r.cod_alm, r.neto_dcto) for r in fact.collect()) == [("1", "A", 1.0), ("2", "B", 5.0), ("3", "B", 3.0)]
     assert dropped.head().lineas_sin_almacen == 1
+
+
+def _files(path):
+    return sorted(os.path.join(r, f) for r, _, fs in os.walk(path) for f in fs if f.endswith((".json", ".gz")))
+
+
+def test_a_batch_landed_twice_stays_once(spark):
+    """The same batch again replaces its own folder, byte for byte, and no other; quarantine the same."""
+    row = {c: "1" for c in E3.names}
+    rows = lambda run, n: land.enrich(spark.createDataFrame([(f"p{i}", 0, row | {"documento": str(i)}, dt.datetime(2024, 1, 1), "t", "q", "3", "h", run, "b", "ph", "2024-01-01") for i in range(n)],
+        "payload_id string, row_index int, row map<string,string>, _ingested_at timestamp, source_empresa string, query_id string, "
+        "query_version string, query_sql_hash string, run_id string, _lote_id string, _payload_hash string, dt string"), E3)
+    path, counted = tempfile.mkdtemp(), []
+    for run, n in (("r1", 5), ("r2", 3), ("r1", 5)):
+        counted.append([(r.run_id, r.record_count) for r in land.write_bronze(rows(run, n).repartition(3), path, E3.name).collect()])
+        kept = {f: open(f, "rb").read() for f in _files(path) if "run_id=r1" in f}
+        assert counted[-1] == [(run, n)]
+        first = kept if len(counted) == 1 else first
+    assert list(kept.values()) == list(first.values()) and len(kept) == 1
+    got = land.load_staging(spark, f"{path}/{E3.name}", E3)
+    assert sorted((r.run_id, r["count"]) for r in got.groupBy("run_id").count().collect()) == [("r1", 5), ("r2", 3)]
+    bad = spark.createDataFrame([("t", "2024-01-01", "r1", x, f"p{i}", "<html>", "h") for i, x in enumerate(["parse_error"] * 3 + ["unknown"])],
+                                "source_empresa string, dt string, run_id string, reason string, payload_id string, payload string, _payload_hash string")
+    for _ in range(2):
+        assert sorted(map(tuple, land.write_quarantine(bad, f"{path}/q", "x").collect())) == [("t", "parse_error", 3), ("t", "unknown", 1)]
+    assert spark.read.json(f"{path}/q/x").count() == 4
+
+
+def test_lines_outside_the_calendar_are_rejects(spark):
+    from sellake.operators import dims
+
+    cal = dims.calendar(spark, "2020-01-01", "2020-12-31")
+    lines = spark.createDataFrame([(1, dt.date(2020, 5, 1)), (2, dt.date(1980, 1, 1)), (3, None)], "n int, fecha_registro date")
+    assert [r.n for r in facts.with_calendar(lines, cal).collect()] == [1]
+    assert sorted((r.n, r.reason) for r in facts.calendar_rejects(lines, cal).collect()) == [(2, facts.NO_DAY), (3, facts.NO_DAY)]
