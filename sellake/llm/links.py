@@ -4,7 +4,7 @@ Given postings (key, id), two sets are candidates when they share a key. All com
 of a group, and each link that is used is decided on the full sets:
 
 1. In each round every key proposes its sets with one pivot, the set of least hash in that round. A round makes no more rows than there are postings.
-   Between rounds ids get labels of connected ids (one step of ``components``; the whole components are found once, at the end).
+   Between rounds ids get labels of connected ids (one step of ``components``); before the blocks the components so far are found whole.
    Keys whose sets are in one component by then are done.
 2. What is left after ``ROUNDS`` is compared in blocks of bounded size. In a key, only sets outside its largest component are
    held against the others, so a big group of copies with a few strangers costs rows in proportion to its size, not to its square.
@@ -304,7 +304,7 @@ class Links:
             proposed = open_.where((F.col("label") != F.col("pl")) & self.near()).select(F.col("p").alias("a"), F.col("id").alias("b"), parts)
             links = cut(links.union(self.verified(self.bounded(proposed))), "links")
             # a key of two sets has had its only pair looked at
-            open_ = cut(open_.where("entries > 2").select("gram", "id", "n").hint("merge").join(components(links, 1), "id", "left").withColumn("label", F.coalesce("label", "id")), "labelled-postings")
+            open_ = cut(open_.where("entries > 2").select("gram", "id", "n").hint("merge").join(components(links, None if turn + 1 == ROUNDS else 1), "id", "left").withColumn("label", F.coalesce("label", "id")), "labelled-postings")
         return cut(links.union(self.verified(self.bounded(self.blocks(open_)))), "links")
 
 
