@@ -299,7 +299,7 @@ def zero_sale_sku(fact: DataFrame, branches: DataFrame, as_of: str) -> DataFrame
     size = numbers.groupBy("empresa").agg(F.count("*").alias("skus_catalogo"))
     last = F.pmod(F.col("skus_catalogo"), F.lit(64)).cast("int")
     words = F.transform(F.sequence(F.lit(0), F.ceil(F.col("skus_catalogo") / 64).cast("int") - 1),
-                        lambda i: F.when((i < F.floor(F.col("skus_catalogo") / 64)) | (last == 0), F.lit(-1).cast("long")).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), last) - 1))
+                        lambda i: F.when((i < F.floor(F.col("skus_catalogo") / 64)) | (last == 0), F.lit(-1).cast("long")).otherwise(F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), 64 - last)))
     catalogue = size.withColumn("_all", words)
     bought = bitmap_words(sold.where("_v > 0").join(numbers, ["empresa", "cod_art"]), client, name="_bought")
     portfolio = sold.select(*client).dropDuplicates()

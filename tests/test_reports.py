@@ -153,7 +153,7 @@ def test_gap_bitmaps_and_their_skus(spark):
 def test_distinct_counts_without_an_expansion(spark):
     from sellake.plans.lake import Lake
 
-    lk = Lake(spark, SF)
+    lk = Lake(spark, "/root/testdata/sf0.001")
     for df in (reports.period_summary(lk.fct_ventas, lk.dim_empresa, by=("anio_mes",)), reports.weekly_frequency(lk.fct_ventas, lk.branches),
                reports.sellout_daily(lk.fct_ventas), reports.zero_sale_sku(lk.fct_ventas, lk.branches, lk.as_of)):
         assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
