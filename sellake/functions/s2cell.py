@@ -1,4 +1,4 @@
-"""S2 cell ids (level 30 leaf, parents, tokens) as a vectorised pandas UDF.
+"""S2 cell ids (level 30 leaf, parents, tokens) as column expressions.
 
 Cube face -> (u, v) -> quadratic (s, t) -> (i, j) on a 2^30 grid -> Hilbert
 position per face, following the published S2 geometry scheme. The position
@@ -8,9 +8,8 @@ lookup table (1024 entries) is generated from the recursive Hilbert rule below.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # --- Fixed values of the S2 scheme ----------------------------------------------
 MAX_LEVEL = 30
@@ -43,56 +42,33 @@ def _build_lookup() -> np.ndarray:
 LOOKUP_POS = _build_lookup()
 
 
-def _st(u: np.ndarray) -> np.ndarray:
-    with np.errstate(invalid="ignore"):
-        return np.where(u >= 0, 0.5 * np.sqrt(1 + 3 * u), 1 - 0.5 * np.sqrt(1 - 3 * u))
-
-
-def leaf_ids(lat_deg: np.ndarray, lng_deg: np.ndarray) -> np.ndarray:
-    """Level-30 cell ids (as uint64) of points in degrees."""
-    lat, lng = np.radians(lat_deg), np.radians(lng_deg)
-    x, y, z = np.cos(lat) * np.cos(lng), np.cos(lat) * np.sin(lng), np.sin(lat)
-    ax, ay, az = np.abs(x), np.abs(y), np.abs(z)
-    face = np.where((ax >= ay) & (ax >= az), 0, np.where(ay >= az, 1, 2))
-    comp = np.choose(face, [x, y, z])
-    face = np.where(comp < 0, face + 3, face)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        u = np.select([face == 0, face == 1, face == 2, face == 3, face == 4], [y / x, -x / y, -x / z, z / x, z / y], -y / z)
-        v = np.select([face == 0, face == 1, face == 2, face == 3, face == 4], [z / x, z / y, -y / z, y / x, -x / y], -x / z)
+def cell_token(lat: Column, lng: Column, level: int) -> Column:
+    """Token of the cell of ``level`` (0 to 30) that holds a point in degrees; NULL for NULL. Column expressions only."""
+    lat, lng = F.radians(lat), F.radians(lng)
+    x, y, z = F.cos(lat) * F.cos(lng), F.cos(lat) * F.sin(lng), F.sin(lat)
+    ax, ay, az = F.abs(x), F.abs(y), F.abs(z)
+    axis = F.when((ax >= ay) & (ax >= az), 0).when(ay >= az, 1).otherwise(2)
+    part = F.when(axis == 0, x).when(axis == 1, y).otherwise(z)
+    face = axis + F.when(part < 0, 3).otherwise(0)
+    # the two other coordinates of the face's plane, divided by its own
+    over = lambda a, b: F.try_divide(a, b)
+    u = F.when(face == 0, over(y, x)).when(face == 1, over(-x, y)).when(face == 2, over(-x, z)).when(face == 3, over(z, x)).when(face == 4, over(z, y)).otherwise(over(-y, z))
+    v = F.when(face == 0, over(z, x)).when(face == 1, over(z, y)).when(face == 2, over(-y, z)).when(face == 3, over(y, x)).when(face == 4, over(-x, y)).otherwise(over(-x, z))
+    st = lambda c: F.when(c >= 0, F.lit(0.5) * F.sqrt(1 + 3 * c)).otherwise(1 - F.lit(0.5) * F.sqrt(1 - 3 * c))
     size = 1 << MAX_LEVEL
-    i = np.clip(np.floor(size * _st(u)), 0, size - 1).astype(np.int64)
-    j = np.clip(np.floor(size * _st(v)), 0, size - 1).astype(np.int64)
-    n = face.astype(np.uint64) << np.uint64(60)
-    bits = (face & SWAP_MASK).astype(np.int64)
-    mask = (1 << LOOKUP_BITS) - 1
-    for k in range(7, -1, -1):
-        bits = bits + (((i >> (k * LOOKUP_BITS)) & mask) << (LOOKUP_BITS + 2))
-        bits = bits + (((j >> (k * LOOKUP_BITS)) & mask) << 2)
-        bits = LOOKUP_POS[bits]
-        n = n | ((bits >> 2).astype(np.uint64) << np.uint64(k * 2 * LOOKUP_BITS))
-        bits = bits & (SWAP_MASK | INVERT_MASK)
-    return (n << np.uint64(1)) | np.uint64(1)
-
-
-def parent_ids(ids: np.ndarray, level: int) -> np.ndarray:
-    lsb = np.uint64(1) << np.uint64(2 * (MAX_LEVEL - level))
-    return (ids & (~lsb + np.uint64(1))) | lsb
-
-
-def tokens(ids: np.ndarray) -> list[str]:
-    return [format(int(c), "016x").rstrip("0") or "X" for c in ids]
-
-
-def cell_token_udf(level: int):
-    """pandas UDF: (lat, lng) degrees -> token of the containing cell at ``level`` (NULL for NULL input)."""
-
-    @F.pandas_udf(T.StringType())
-    def cell_token(lat: pd.Series, lng: pd.Series) -> pd.Series:
-        ok = lat.notna() & lng.notna()
-        out = pd.Series([None] * len(lat), dtype=object)
-        if ok.any():
-            ids = parent_ids(leaf_ids(lat[ok].to_numpy(float), lng[ok].to_numpy(float)), level)
-            out[ok.to_numpy()] = tokens(ids)
-        return out
-
-    return cell_token
+    grid = lambda c: F.greatest(F.lit(0).cast("long"), F.least(F.lit(size - 1).cast("long"), F.floor(size * st(c))))
+    # eight look-ups of four bits of i and of j each; the low two bits of a look-up turn the curve for the next
+    table, point = F.lit(LOOKUP_POS.tolist()), F.struct(face.cast("long").alias("face"), grid(u).alias("i"), grid(v).alias("j"))
+    four = lambda c, k: F.call_function("shiftright", c, k * LOOKUP_BITS).bitwiseAND(F.lit(15).cast("long"))
+
+    def step(acc, k):
+        at = acc["bits"] + four(acc["i"], k) * 64 + four(acc["j"], k) * 4
+        got = F.get(table, at.cast("int"))
+        return F.struct((acc["n"] * 256 + F.shiftright(got, 2)).alias("n"), got.bitwiseAND(F.lit(3).cast("long")).alias("bits"), acc["i"].alias("i"), acc["j"].alias("j"))
+
+    start = F.struct(F.lit(0).cast("long").alias("n"), point["face"].bitwiseAND(F.lit(1).cast("long")).alias("bits"), point["i"].alias("i"), point["j"].alias("j"))
+    place = F.aggregate(F.array(*[F.lit(k) for k in range(7, -1, -1)]), start, step, lambda acc: acc["n"])  # 60 bits
+    leaf = F.shiftleft(F.shiftleft(point["face"], 60).bitwiseOR(place), 1).bitwiseOR(F.lit(1).cast("long"))
+    low = 1 << 2 * (MAX_LEVEL - level)
+    cell = leaf.bitwiseAND(F.lit(-low).cast("long")).bitwiseOR(F.lit(low).cast("long"))
+    return F.when(lat.isNotNull() & lng.isNotNull(), F.rtrim(F.lower(F.lpad(F.hex(cell), 16, "0")), F.lit("0")))

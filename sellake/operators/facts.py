@@ -201,6 +201,11 @@ def fct_post_cutover(sales: DataFrame, cutover: str, old: DataFrame | None = Non
     return fact, dropped
 
 
+def merge_post_cutover(table, sales: DataFrame, cutover: str, batch_id: str) -> set[str]:
+    """M10 on storage: a batch of lines from the cutover with a non-blank warehouse, merged into the days of ``table`` (a ``DayTable``)."""
+    return table.merge(fct_post_cutover(sales, cutover)[0], batch_id)
+
+
 # --- Fixed values: periods of the warehouse code ---
 PRE_TAG, POST_TAG = "PRE_COD_ALM", "POST_COD_ALM"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.s2cell import cell_token_udf
+from ..functions.s2cell import cell_token
 
 TENANT = "source_empresa"
 
@@ -15,7 +15,7 @@ def geo_density(customers: DataFrame, sales: DataFrame, level: int = 10) -> Data
     customers and their net sales. Sales are aggregated per customer before the
     join (one row per customer reaches the cell aggregation)."""
     c = customers.filter(F.col("latitud").between(-90, 90) & F.col("longitud").between(-180, 180))
-    c = c.select(TENANT, "cod_cli", cell_token_udf(level)(F.col("latitud"), F.col("longitud")).alias("celda"))
+    c = c.select(TENANT, "cod_cli", cell_token(F.col("latitud"), F.col("longitud"), level).alias("celda"))
     s = sales.groupBy(TENANT, "cod_cli").agg(F.sum("neto_dcto").alias("_v"))
     x = c.join(s, [TENANT, "cod_cli"], "left")
     return x.groupBy(TENANT, "celda").agg(F.count("*").alias("clientes"),

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from . import oracle as O
 from .lake import AS_OF, Lake
+from .q_land import _scratch
 from .queries import query
 from .. import contracts as C
 from ..operators import facts, history, silver
+from ..operators.daytable import DayTable
 
 cs = O.clean_str
 KEY = ["source_empresa", "tipo_documento", "cod_suc", "documento", "renglon"]
@@ -204,17 +206,26 @@ def t11(lk):
     return history.fct_inventory(silver.snapshot_dedup(lk.stg("renglones_almacenes")))
 
 
-@query("S8_incremental_merge", O.out(f"""SELECT {', '.join(KEY)}, registro, _priority, _row_hash FROM (
-  SELECT * FROM sil_ventas WHERE fecha_registro < DATE '2000-01-01'
-  UNION ALL SELECT * FROM sil_ventas WHERE fecha_registro >= DATE '1999-07-01') u
-QUALIFY row_number() OVER (PARTITION BY {', '.join(KEY)} ORDER BY _ingested_at DESC NULLS LAST, _row_hash DESC NULLS LAST) = 1""",
-                                     KEY_SPEC + "registro:ts, _priority:i, _row_hash:s"))
+_S8 = [*KEY, "registro", "fecha_registro", "neto_dcto", "_priority", "_ingested_at", "_row_hash"]
+
+
+@query("S8_incremental_merge", O.out(f"""
+SELECT {', '.join(KEY)}, registro + to_days(if(again AND renglon = 1, 40, 0)) AS registro, fecha_registro + if(again AND renglon = 1, 40, 0) AS fecha_registro,
+  neto_dcto + again::INT AS neto_dcto, _priority, if(again, sha256('u' || _row_hash), _row_hash) AS _row_hash
+FROM (SELECT *, fecha_registro >= DATE '1999-07-01' AS again FROM sil_ventas) s""",
+                                     KEY_SPEC + "registro:ts, fecha_registro:dt, neto_dcto:d, _priority:i, _row_hash:s"))
 def s8(lk):
-    """Upsert of an overlapping batch into an accumulating table: old keys kept, newest row wins."""
-    s = lk.sil_ventas
-    old = s.filter(F.col("fecha_registro") < F.lit("2000-01-01").cast("date"))
-    new = s.filter(F.col("fecha_registro") >= F.lit("1999-07-01").cast("date"))
-    return history.merge_by_key(old, new, KEY, ["_ingested_at"]).select(*KEY, "registro", "_priority", "_row_hash")
+    """An overlapping batch merged into an accumulating table by day: lines from July 1999 on come with a new amount, first
+    lines also 40 days later; lines before stay, with their files."""
+    s = lk.sil_ventas.select(*_S8)
+    late = lambda c: F.when(F.col("renglon") == 1, F.date_add("fecha_registro", 40) if c == "fecha_registro" else F.col(c) + F.expr("INTERVAL 40 DAYS")).otherwise(F.col(c))
+    new = s.filter(F.col("fecha_registro") >= F.lit("1999-07-01").cast("date")).withColumns({
+        "registro": late("registro"), "fecha_registro": late("fecha_registro"), "neto_dcto": (F.col("neto_dcto") + 1).cast(s.schema["neto_dcto"].dataType),
+        "_ingested_at": F.col("_ingested_at") + F.expr("INTERVAL 1 DAY"), "_row_hash": F.sha2(F.concat(F.lit("u"), "_row_hash"), 256)})
+    table = DayTable(lk.spark, _scratch(lk.spark, "s8"), "fecha_registro", KEY, ["_ingested_at"])
+    table.merge(s.filter(F.col("fecha_registro") < F.lit("2000-01-01").cast("date")), "history")
+    table.merge(new, "july")
+    return table.read().select(*KEY, "registro", "fecha_registro", "neto_dcto", "_priority", "_row_hash")
 
 
 # ---------------------------------------------------------------- cutover facts
@@ -243,10 +254,17 @@ def m9(lk):
     return lk.fct_pre.select(*_PRE_COLS, "origen")
 
 
-@query("M10_fct_post_cutover", O.out("SELECT * FROM fct_post", _PRE_SPEC))
+@query("M10_fct_post_cutover", O.out("""SELECT * REPLACE (neto_dcto + if(renglon = 1 AND fecha_registro >= DATE '2000-10-01', 1, 0) AS neto_dcto) FROM fct_post""", _PRE_SPEC))
 def m10(lk):
-    """Post-cutover fact: lines with a real (non-blank) warehouse."""
-    return lk.fct_post_split[0].select(*_PRE_COLS)
+    """Post-cutover fact of lines with a real (non-blank) warehouse, in two batches: the second overlaps the first by three
+    months and brings new amounts of first lines; only the days it touches are written again."""
+    s, late = lk.sil_ventas, F.col("fecha_registro") >= F.lit("2000-10-01").cast("date")
+    new = s.filter(late).withColumns({"neto_dcto": F.when(F.col("renglon") == 1, F.col("neto_dcto") + 1).otherwise(F.col("neto_dcto")).cast(s.schema["neto_dcto"].dataType),
+                                      "_ingested_at": F.col("_ingested_at") + F.expr("INTERVAL 1 DAY")})
+    table = DayTable(lk.spark, _scratch(lk.spark, "m10"), "fecha_registro", KEY, ["_ingested_at"])
+    facts.merge_post_cutover(table, s.filter(F.col("fecha_registro") <= F.lit("2000-12-31").cast("date")), lk.CUTOVER, "until 2000")
+    facts.merge_post_cutover(table, new, lk.CUTOVER, "from October")
+    return table.read().select(*_PRE_COLS)
 
 
 @query("M11_fct_gold", O.out("SELECT * FROM fct_gold", _PRE_SPEC + ", cod_alm_resolution:s, origen:s"))

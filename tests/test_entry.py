@@ -11,11 +11,11 @@ def test_entry_smoke(spark):
     assert "venta_usd" in df.columns
 
 
-def test_every_query_has_an_oracle_except_s2():
+def test_every_query_has_an_oracle():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     own = {k for k in q if not k.startswith("op") and k != "pipeline"}
-    assert own - set(o) <= {"P10_geo_density"}
+    assert own <= set(o)
 
 
 def test_sample_queries_run(spark):

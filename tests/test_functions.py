@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sellake.functions import columns as X
 from sellake.functions.hashing import row_hash_expr
-from sellake.functions.s2cell import leaf_ids, parent_ids, tokens
+from sellake.functions.s2cell import cell_token
 
 
 def test_clean_str_strips_any_whitespace(spark):
@@ -74,17 +74,25 @@ def test_row_hash_independent_of_column_order(spark):
     assert ha == expect
 
 
-def test_s2_known_cells():
-    ids = leaf_ids(np.array([0.0, 90.0, -90.0]), np.array([0.0, 0.0, 0.0]))
-    assert [format(int(i), "016x") for i in ids] == ["1000000000000001", "5000000000000001", "b000000000000001"]
-    assert tokens(parent_ids(ids, 0)) == ["1", "5", "b"]
+def _cells(spark, points, level):
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "n int, lat double, lng double")
+    return [r.c for r in df.select("n", cell_token(F.col("lat"), F.col("lng"), level).alias("c")).orderBy("n").collect()]
 
 
-def test_s2_parent_contains_leaf():
+def test_s2_known_cells(spark):
+    poles = [(0.0, 0.0), (90.0, 0.0), (-90.0, 0.0)]
+    assert _cells(spark, poles, 30) == ["1000000000000001", "5000000000000001", "b000000000000001"]
+    assert _cells(spark, poles + [(None, 1.0)], 0) == ["1", "5", "b", None]
+    df = spark.createDataFrame([(1.0, 2.0)], "lat double, lng double").select(cell_token(F.col("lat"), F.col("lng"), 10))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_s2_parent_contains_leaf(spark):
     rng = np.random.default_rng(7)
-    lat, lng = rng.uniform(-89, 89, 500), rng.uniform(-179, 179, 500)
-    leaf = leaf_ids(lat, lng)
+    points = list(zip(rng.uniform(-89, 89, 500).tolist(), rng.uniform(-179, 179, 500).tolist()))
+    whole = lambda tokens: [int(t.ljust(16, "0"), 16) for t in tokens]
+    leaf = whole(_cells(spark, points, 30))
+    assert len(set(leaf)) == 500 and {x >> 61 for x in leaf} == set(range(6))
     for level in (0, 5, 10, 20, 29):
-        p = parent_ids(leaf, level)
-        lsb = np.uint64(1) << np.uint64(2 * (30 - level))
-        assert np.all((p - lsb + np.uint64(1) <= leaf) & (leaf <= p + lsb - np.uint64(1)))
+        low = 1 << 2 * (30 - level)
+        assert all(p - low + 1 <= x <= p + low - 1 for p, x in zip(whole(_cells(spark, points, level)), leaf))

@@ -119,6 +119,31 @@ def test_row_scope_fail_closed_and_null_unrestricted(spark):
     assert security.row_scope(fact, scopes, "nobody@x.com", fact).count() == 0
 
 
+def test_row_scopes_of_many_principals(spark):
+    """Every pattern of NULL columns against brute force; equi joins only; a row once, however many scopes show it."""
+    import itertools
+
+    fact = spark.createDataFrame([(i, f"t{i % 3}", f"s{i % 5}", f"p{i % 7}" if i % 11 else None, f"v{i % 4}") for i in range(300)],
+                                 "n int, source_empresa string, cod_suc string, cod_pro string, cod_ven string")
+    rows, people = [], [f"u{k}" for k in range(9)]
+    for k, mask in enumerate(itertools.product([0, 1], repeat=4)):
+        rows.append((people[k % 8], *[f"{c}{k % 3}" if m else None for c, m in zip("tspv", mask)], "VENDEDOR", "A" if k != 3 else "I"))
+    rows += [("u8", "elsewhere", None, None, None, "VENDEDOR", "A"), (" U1 ", "t1", None, None, None, "VENDEDOR", "A"), ("u2", "t9", "s9", None, None, "SUPERADMIN", "A")]
+    scopes = spark.createDataFrame(rows, "correo string, source_empresa string, cod_suc string, cod_pro string, cod_ven string, role_type string, status string")
+    want = set()
+    for mail, *cols, role, status in rows:
+        for f in fact.collect():
+            if status == "A" and (role == "SUPERADMIN" or all(c is None or c == x for c, x in zip(cols, f[1:]))):
+                want.add((mail.strip().lower(), f.n))
+    got = security.row_scopes(fact, scopes, people, fact, ["n"])
+    assert sorted((r.correo, r.n) for r in got.collect()) == sorted(want)
+    for p in people:
+        one = security.row_scope(fact, scopes, p, fact)
+        assert sorted(r.n for r in one.collect()) == sorted(n for m, n in want if m == p)
+        joins = [x for x in one._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in x]
+        assert all("NestedLoop" not in x and "Cartesian" not in x and " OR " not in x for x in joins)
+
+
 def test_portfolio_and_zero_sale(spark):
     d = dt.date
     fact = spark.createDataFrame([

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from sellake import contracts as C
 from sellake.operators import facts, land, quality
+from sellake.operators.daytable import DayTable
 from sellake.plans import materialize
 from sellake.plans.lake import Lake
-from sellake.streaming import ops
 
 E3 = C.SALES["v3"]
 
@@ -55,14 +55,27 @@ def test_layers_see_new_source_files(spark):
     assert [materialize.table(spark, key, "x", build).count() for _ in range(2)] == [5, 5] and n[0] == 1
 
 
-def test_replay_builds_on_the_last_committed_version(spark):
-    target = tempfile.mkdtemp()
-    spark.range(1).write.parquet(f"{target}/epoch=000000000")
-    spark.range(2).write.parquet(f"{target}/epoch=000000001")
-    shutil.os.makedirs(f"{target}/epoch=000000002/_temporary")  # a crash
-    assert ops._latest_version(spark, target).endswith("epoch=000000001")
-    assert ops._latest_version(spark, target, before=1).endswith("epoch=000000000")
-    assert ops._latest_version(spark, target, before=0) is None
+def test_a_merge_rewrites_the_days_it_touches_only(spark):
+    """Untouched days keep their files; moved rows leave their old day; a replay, and a crash before the commit, change nothing."""
+    cols = "k int, v string, day date, _ingested_at timestamp, _row_hash string"
+    row = lambda k, v, d, t: (k, v, d and dt.date(2024, 1, d), dt.datetime(2024, 2, t), v)
+    path = tempfile.mkdtemp() + "/table"
+    table = DayTable(spark, path, "day", ["k"], ["_ingested_at"])
+    table.merge(spark.createDataFrame([row(1, "a", 1, 1), row(2, "b", 2, 1), row(3, "c", 3, 1), row(4, "d", None, 1)], cols), "one")
+    kept = lambda days: {f: os.stat(f).st_mtime_ns for f in _files(path, ".parquet") if any(f"_day=2024-01-0{d}" in f for d in days)}
+    before = kept([1])
+    touched = table.merge(spark.createDataFrame([row(2, "B", 2, 2), row(3, "C", 5, 2), row(5, "e", 6, 2), row(1, "old", 2, 0 + 1)][:3], cols), "two")
+    assert touched == {"2024-01-02", "2024-01-03", "2024-01-05", "2024-01-06"} and kept([1]) == before
+    now = lambda: sorted((r.k, r.v, r.day and r.day.day) for r in table.read().collect())
+    want = [(1, "a", 1), (2, "B", 2), (3, "C", 5), (4, "d", None), (5, "e", 6)]
+    assert now() == want and "2024-01-03" not in table.state()["days"]
+    files = _files(path, ".parquet")
+    assert table.merge(spark.createDataFrame([row(2, "again", 2, 9)], cols), "two") == set() and _files(path, ".parquet") == files
+    spark.createDataFrame([row(9, "x", 9, 9)], cols).write.parquet(f"{path}/data/000000002-crash")  # written, never committed
+    assert now() == want and sorted(r.k for r in table.read(table.versions()[0]).collect()) == [1, 2, 3, 4]
+    table.merge(spark.createDataFrame([row(2, "older", 2, 1)], cols), "three")
+    assert now() == want
+    assert DayTable(spark, path + "-none", "day", ["k"], ["_ingested_at"]).state()["days"] == {}
 
 
 def test_batch_landed_again_in_another_run_is_one_row(spark):
@@ -98,8 +111,8 @@ def test_post_cutover_merge_updates_and_adds(spark):
     assert dropped.head().lineas_sin_almacen == 1
 
 
-def _files(path):
-    return sorted(os.path.join(r, f) for r, _, fs in os.walk(path) for f in fs if f.endswith((".json", ".gz")))
+def _files(path, *ends):
+    return sorted(os.path.join(r, f) for r, _, fs in os.walk(path) for f in fs if f.endswith(ends or (".json", ".gz")))
 
 
 def test_a_batch_landed_twice_stays_once(spark):
