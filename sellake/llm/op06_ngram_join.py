@@ -59,13 +59,18 @@ def _merged(parts: DataFrame, segments: int, size: int, dtype, add: Callable, fi
     return out
 
 
+def _class_of(count):
+    return np.floor(4 * np.log2(count))
+
+
 def _sketch(rows: DataFrame, total: int) -> np.ndarray:
-    """Frequency class of each bucket of n-grams: 0 up to twice the mean, then one more for each doubling. A bucket for every
-    ``PER_BUCKET`` of the ``total`` n-grams, 2**16 buckets at least and MAX_SKETCH at most (one byte each, 128 MB)."""
+    """Frequency class of each bucket of n-grams: four for each doubling of its count, so that even among rare n-grams those in
+    lightly filled buckets come first. A bucket for every ``PER_BUCKET`` of the ``total`` n-grams, 2**16 buckets at least and
+    MAX_SKETCH at most (one byte each, 128 MB)."""
     size = 1 << 16
     while size < min(MAX_SKETCH, total // PER_BUCKET):
         size *= 2
-    width, mean = size // 64, max(1.0, total / size)
+    width = size // 64
 
     def count(batches):
         import zstandard
@@ -90,7 +95,7 @@ def _sketch(rows: DataFrame, total: int) -> np.ndarray:
         held += np.ascontiguousarray(planes.T).reshape(-1).view("<u4")
 
     def classes(held):
-        return np.maximum(0, np.floor(np.log2(np.maximum(held, 1) / mean))).astype(np.uint8)
+        return _class_of(np.maximum(held, 1)).astype(np.uint8)
 
     return np.frombuffer(_merged(rows.select("grams").mapInArrow(count, "seg int, data binary"), 64, width, np.int64, add, classes), np.uint8)
 
@@ -182,9 +187,11 @@ def _search(rows: DataFrame, name: Column, percent: int) -> tuple[DataFrame, Dat
     known = spark.sparkContext.broadcast(_twice(linkable, sketch, percent, _size(entries or 0)))
     postings = cut(_postings(linkable, sketch, percent, known).hint("merge").join(classes.select("id"), "id", "left_semi"), "postings")
 
+    frequent = _class_of(2 * max(1.0, (grams or 0) / len(sketch.value)))
+
     def fragment(g):  # the frequent classes are the end of the order, and the last fragment
         held = sketch.value
-        return np.where(held[(g & np.uint64(len(held) - 1)).astype(np.int64)] > 0, FRAGMENTS - 1, (g >> np.uint64(24)).astype(np.int64) * (FRAGMENTS - 1) >> 32)
+        return np.where(held[(g & np.uint64(len(held) - 1)).astype(np.int64)] > frequent, FRAGMENTS - 1, (g >> np.uint64(24)).astype(np.int64) * (FRAGMENTS - 1) >> 32)
 
     return classes, postings, Links(linkable, percent, may_link(percent), folded, may_differ(percent), fragment, FRAGMENTS)
 
