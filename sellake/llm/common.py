@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 
@@ -266,7 +267,7 @@ def portions(texts, size: int):
 class ChunkEncoder(ChunkTable):
     """Ids of whole texts from a ``tokenizers`` file.
 
-    A text of printable characters in which no two white-space characters meet is cut before each space and newline. Both
+    Files whose rules are not among ``SPLITS`` get whole texts. For the others: a text of printable characters in which no two white-space characters meet is cut before each space and newline. Both
     public tokenizers split there themselves before any merge, so the ids of the chunks in a row are the ids of the text. The
     chunks of a batch are numbered by Arrow, and each chunk that is not known yet goes through the library once: a plain Latin
     word through its BPE model, which gives what the whole library gives (checked when the file is read), the rest many at
@@ -275,6 +276,14 @@ class ChunkEncoder(ChunkTable):
     """
 
     MARK, TAILS = "\x01", ".,;:!?"
+    # --- Fixed values: rules of tokenizer files that split before each space and newline, and what comes before and after them ---
+    SPLITS = (
+        {"normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}},
+        {"normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+         "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+             {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+             {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}},
+    )
     _ODD = re.compile(r"\s\s|^\s|\s$")
     #: Where a text with other white space is cut: before a space or newline between two other characters.
     _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
@@ -295,6 +304,12 @@ class ChunkEncoder(ChunkTable):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.portion = Tokenizer.from_file(path), portion
+        rules = json.loads(self.tokenizer.to_str())
+        #: Whether the file's rules are known to split at white space; if not, whole texts go through the library.
+        self.splits = any(all(rules[k] == v for k, v in known.items()) for known in self.SPLITS) and rules["model"]["type"] == "BPE" and not any(
+            rules[k] for k in ("post_processor", "truncation", "padding")) and not rules["model"].get("dropout")
+        if not self.splits:
+            return
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.mark, self.first = self._ids(" " + self.MARK), len(self._ids("\n.")) - len(self._ids("."))
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -382,10 +397,15 @@ class ChunkEncoder(ChunkTable):
 
     def each(self, texts):
         """Ids (uint32 array) of each text of an Arrow string array, in order; NULL has none."""
+        import numpy as np
         import pyarrow as pa
 
         for some in portions(texts, self.portion):
-            yield from self._portion(some)
+            if self.splits:
+                yield from self._portion(some)
+            else:
+                for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False):
+                    yield np.asarray(e.ids, dtype="<u4")
         pa.default_memory_pool().release_unused()
 
     def _portion(self, texts: list[str]):

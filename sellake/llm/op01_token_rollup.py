@@ -52,8 +52,10 @@ class TokenRollup:
 
     ``commit(batch, changes)``: ``changes`` has op (insert, revise, delete), doc_id, source, lang, text and seq. Of a document's
     changes in a batch the one of greatest seq counts (ties: the greatest op, then the greatest hash of the text). An insert of a known document
-    revises it; a revision of an unknown one inserts it; a delete of an unknown one, and any other op, has no effect. A NULL
-    doc_id, source or lang is a value like any other. An empty batch is committed and changes nothing.
+    revises it; a revision of an unknown one inserts it; a delete of an unknown one, and any other op, has no effect. A row without
+    a doc_id is a document of its own, which no later change can name: each insert or revision adds one, a delete has no effect. A NULL
+    source or lang is a value like any other. A very long text is counted in portions. Only the named columns are read, others may have
+    any names. An empty batch is committed and changes nothing.
     """
 
     def __init__(self, spark: SparkSession, path: str, tokenizers: dict[str, str | None]):
@@ -76,14 +78,15 @@ class TokenRollup:
             return False
         # texts are counted where they are; only counts are shuffled to find a document's last change
         rows = changes.where(F.col("op").isin("insert", "revise", "delete")).select("op", "doc_id", "source", "lang", "seq", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("tie"), F.when(F.col("op") != "delete", F.col("text")).alias("text"))
-        last = Window.partitionBy("doc_id", "tokenizer").orderBy(F.desc("seq"), F.desc("op"), F.desc("tie"))
+        rows = rows.withColumn("alone", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+        last = Window.partitionBy("doc_id", "alone", "tokenizer").orderBy(F.desc("seq"), F.desc("op"), F.desc("tie"))
         one = token_counts(rows, self.tokenizers).withColumn("nth", F.row_number().over(last)).where("nth = 1")
         one = cut(one.select("op", "doc_id", *KEYS, "tokens"), "changes")
         new = one.where("op <> 'delete'").select("doc_id", *KEYS, F.lit(1).cast("long").alias("docs"), "tokens")
         if self.batches():
             ledger = self._committed("ledger", _LEDGER)
-            ids = one.select(F.col("doc_id").alias("id")).distinct()
-            now = ledger.join(ids, ledger["doc_id"].eqNullSafe(ids["id"]), "left_semi").groupBy("doc_id", *KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
+            ids = one.where("doc_id is not null").select("doc_id").distinct()
+            now = ledger.join(ids, "doc_id", "left_semi").groupBy("doc_id", *KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
             new = now.select("doc_id", *KEYS, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens")).unionByName(new)
         new.write.mode("overwrite").parquet(f"{self.path}/ledger/{batch}")
         signed = self.spark.read.schema(_LEDGER).parquet(f"{self.path}/ledger/{batch}")

@@ -49,6 +49,39 @@ def test_chunks_give_the_library_s_ids(path):
         assert ids.tolist() == ref(t), repr(t)
 
 
+@pytest.mark.parametrize("change", [{"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}, {"normalizer": {"type": "Lowercase"}},
+                                    {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}}])
+def test_files_with_other_rules_get_whole_texts(tmp_path, change):
+    import json
+
+    rules = json.load(open(BYTE)) | change
+    path = str(tmp_path / "other.json")
+    with open(path, "w") as f:
+        json.dump(rules, f)
+    own, ref = ChunkEncoder(path), library(path)
+    assert not own.splits and ChunkEncoder(BYTE).splits and ChunkEncoder(WORD).splits
+    for t, ids in zip(TEXTS, own.each(pa.array(TEXTS, pa.string()))):
+        assert ids.tolist() == ref(t), repr(t)
+
+
+def test_very_long_texts(spark):
+    """Texts of several portions through token files and packing."""
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice(["alpha", "Beta,", "gamma.", "é", str(k)]) for k in range(900_000)), "x" * 4_000_000, "short"]
+    assert len(texts[0]) > 4 << 20
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ref, out = library(BYTE), tempfile.mkdtemp()
+    got = {r.doc_id: r for r in read_documents(write_token_files(given, out, BYTE, end_id=0)).collect()}
+    for i, t in enumerate(texts):
+        ids = np.array([*ref(t), 0], "<u4")
+        assert (got[i].n_tokens, got[i].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+    word = library(WORD)
+    whole = {}
+    for r in sorted(pack(given, WORD, end_id=1).collect(), key=lambda r: (r.doc_id, r.start)):
+        whole[r.doc_id] = whole.get(r.doc_id, b"") + bytes(r.ids)
+    assert all(whole[i] == np.array([*word(t), 1], "<u4").tobytes() for i, t in enumerate(texts))
+
+
 def test_token_files_round_trip(spark):
     out = tempfile.mkdtemp()
     manifest = write_token_files(docs(spark), out, BYTE, end_id=0, seq_len=16)
@@ -128,8 +161,8 @@ def test_rollup(spark):
         assert rollup.commit(f"n{n}", changes) and not rollup.commit(f"n{n}", changes)
         last = {}
         for r in rows:
-            if r[0] != "other":
-                last[r[1]] = r
+            if r[0] != "other" and (r[1] is not None or r[0] != "delete"):
+                last[r[1] if r[1] is not None else (n, r[5])] = r  # a row without an id is a document of its own
         for k, r in last.items():
             state.pop(k, None)
             if r[0] != "delete":
