@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -217,6 +218,74 @@ def load_staging(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
     return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
 
 
+# --- Fixed values: faults of a landed file ---
+DAMAGED, BAD_ROWS, MISSING = "damaged_file", "unreadable_rows", "missing"
+
+
+def _damaged(files: DataFrame) -> DataFrame:
+    """Paths of gzip files that do not unpack to their end. Files are unpacked a megabyte at a time, and the rows thrown away."""
+    def check(batches):
+        import zlib
+
+        import pyarrow as pa
+
+        for b in batches:
+            bad = []
+            for path, content in zip(b.column(0).to_pylist(), b.column(1)):
+                raw, unpack = content.as_buffer(), zlib.decompressobj(31)
+                try:
+                    for i in range(0, len(raw), 1 << 20):
+                        unpack.decompress(raw[i : i + (1 << 20)])
+                    if not unpack.eof:
+                        bad.append(path)
+                except zlib.error:
+                    bad.append(path)
+            yield pa.RecordBatch.from_arrays([pa.array(bad, pa.string())], names=["path"])
+
+    return files.select("path", "content").mapInArrow(check, "path string")
+
+
+def load_readable(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The rows of all readable files below ``path``, and the faults: (path, reason, bad_rows) of each file that is not.
+
+    A file is unreadable as a whole if it is damaged or if a row of it is no JSON of the schema; none of its rows are loaded, and no
+    other file is affected. Faults are found by file (path and corrupt-record column), so one bad file never fails a job.
+    """
+    corrupt, file = "_corrupt_record", F.col("_metadata.file_path")
+    declared = T.StructType([*schema, T.StructField(corrupt, T.StringType())])
+    lines = spark.read.option("ignoreCorruptFiles", "true").text(path)
+    parts = [c for c in lines.columns if c != "value"]  # columns of the folder names
+    parsed = F.from_json(F.regexp_replace("value", "^\ufeff", ""), declared, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    rows = lines.where(F.trim("value") != "").select(*parts, file.alias("_file"), parsed.alias("_row"))
+    packed = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").load(path)
+    damaged = _damaged(packed.select(file.alias("path"), "content")).select("path", F.lit(DAMAGED).alias("reason"), F.lit(None).cast("long").alias("bad_rows"))
+    bad = rows.where(F.col(f"_row.{corrupt}").isNotNull()).groupBy(F.col("_file").alias("path")).agg(F.count("*").alias("bad_rows"))
+    bad = bad.join(damaged, "path", "left_anti").select("path", F.lit(BAD_ROWS).alias("reason"), "bad_rows")
+    faults = damaged.unionByName(bad)
+    good = rows.join(faults.select(F.col("path").alias("_file")), "_file", "left_anti").select(*parts, *[F.col(f"_row.`{f.name}`").alias(f.name) for f in schema])
+    return good, faults
+
+
+def load_entities(spark: SparkSession, folders: dict[str, tuple[str, T.StructType]]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """S4 over several entities (name -> folder and schema): the readable rows of each, and all faults with their entity. An
+    entity whose folder cannot be listed is a fault; the others load."""
+    loaded, faults = {}, []
+    for name, (path, schema) in folders.items():
+        try:
+            loaded[name], found = load_readable(spark, path, schema)
+            faults.append(found.select(F.lit(name).alias("entity"), "path", "reason", "bad_rows"))
+        except AnalysisException:
+            faults.append(spark.createDataFrame([(name, path, MISSING, None)], "entity string, path string, reason string, bad_rows long"))
+    return loaded, reduce(DataFrame.unionByName, faults)
+
+
+def quarantine_files(spark: SparkSession, root: str, faults: DataFrame, target: str) -> DataFrame:
+    """Copies of the files in ``faults`` (entity, path, reason), byte for byte, below ``target``: one row a file, by entity."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(F.col("_metadata.file_path").alias("path"), "length", "content")
+    files.join(faults.select("entity", "path", "reason"), "path").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("entity").parquet(target)
+    return spark.read.parquet(target)
+
+
 def write_quarantine(df: DataFrame, path: str, entity: str) -> DataFrame:
     """Raw payload + reason under ``<entity>/source_empresa=/dt=/run_id=/reason=<r>/``, each folder promoted once; counts per tenant and reason."""
     target = f"{path.rstrip('/')}/{entity}"
@@ -225,13 +294,38 @@ def write_quarantine(df: DataFrame, path: str, entity: str) -> DataFrame:
     return done.groupBy("source_empresa", "reason").agg(F.sum("record_count").alias("payloads"))
 
 
+#: Values that range bounds are taken from, at most, and bits of a range number.
+BOUND_SAMPLE, RANGE_BITS = 4096, 4
+
+
+def range_number(df: DataFrame, column: str) -> Column:
+    """Which of 16 ranges of about equal size a value of ``column`` falls into; NULL is in the first. Bounds come from at most
+    BOUND_SAMPLE values, those of least hash; they affect where rows lie, never which rows there are."""
+    held = df.select(column).where(F.col(column).isNotNull()).orderBy(F.xxhash64(F.struct(*df.columns))).limit(BOUND_SAMPLE)
+    values = sorted(r[0] for r in held.collect())
+    n = 1 << RANGE_BITS
+    bounds = sorted({values[len(values) * k // n] for k in range(1, n)}) if values else []
+    return reduce(Column.__add__, [F.coalesce((F.col(column) >= F.lit(b)).cast("int"), F.lit(0)) for b in bounds], F.lit(0))
+
+
+def interleaved(numbers: list[Column]) -> Column:
+    """The bits of several range numbers in turn, highest first: rows that are near in every column are near in this number."""
+    out, k = F.lit(0), len(numbers)
+    for bit in range(RANGE_BITS):
+        for i, n in enumerate(numbers):
+            out = out + F.call_function("shiftright", n, F.lit(bit)).bitwiseAND(F.lit(1)) * F.lit(1 << bit * k + (k - 1 - i))
+    return out
+
+
 def write_table(df: DataFrame, path: str, partition_date: str, cluster_cols: list[str], grain: str = "month") -> DataFrame:
-    """Partitioned + clustered table: a real partition column derived from the date
-    (pruning works on it), rows sorted by the cluster columns inside each file."""
+    """Partitioned + clustered table: a real partition column derived from the date (pruning works on it), and within it
+    rows in order of the interleaved ranges of up to four cluster columns, so that a filter on any of them skips row groups."""
     part = F.date_format(F.col(partition_date), "yyyy-MM" if grain == "month" else "yyyy-MM-dd")
-    out = df.withColumn("_part", part)
-    # REBALANCE: a large month goes to several tasks, small ones share files
-    out.hint("rebalance", "_part").sortWithinPartitions("_part", *cluster_cols).write.mode("overwrite").partitionBy("_part").parquet(path)
+    z = interleaved([range_number(df, c) for c in cluster_cols[:4]])
+    out = df.withColumns({"_part": part, "_z": z})
+    # ranges of (month, place): a large month goes to several tasks, each with places next to each other; small ones share files
+    ordered = out.repartitionByRange("_part", "_z").sortWithinPartitions("_part", "_z", *cluster_cols).drop("_z")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_part").parquet(path)
     return out.sparkSession.read.parquet(path)
 
 

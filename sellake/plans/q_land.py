@@ -6,6 +6,7 @@ import uuid
 from functools import cached_property
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import oracle as O
 from .queries import query
@@ -229,10 +230,19 @@ def v3(lk):
 @query("S4_staging_drift", O.out(f"""SELECT payload_id, array_to_string(list_sort(list(DISTINCT k)), ',') AS columns,
   '{E3.name}' AS entity, 'extra' AS kind FROM (
   SELECT payload_id, unnest(list_filter(map_keys(row), lambda k: NOT list_contains([{', '.join(repr(n) for n in E3.names)}], k))) AS k
-  FROM scan_rows) e GROUP BY payload_id""", "payload_id:s, columns:s, entity:s, kind:s"))
+  FROM scan_rows) e GROUP BY payload_id
+UNION ALL SELECT DISTINCT NULL, 'source_empresa=' || source_empresa || '/run_id=' || run_id, 'sobres', 'unreadable' FROM parsed WHERE doc IS NULL
+UNION ALL SELECT NULL, 'no_such_folder', 'conceptos', 'unreadable'""", "payload_id:s, columns:s, entity:s, kind:s"))
 def s4(lk):
-    """Columns observed in payload rows but not in the contract (drift), per payload."""
-    return LD.check_drift(ld(lk).rows, E3)
+    """Drift: columns observed in payload rows but not in the contract, per payload; and files that cannot be read, per entity, here raw
+    envelopes landed by tenant and run, some of them HTML pages, beside an entity without a folder."""
+    base = _scratch(lk.spark, "sobres")
+    ld(lk).payloads.select("payload", "source_empresa", "run_id").hint("rebalance", "source_empresa", "run_id").write.partitionBy("source_empresa", "run_id").option("compression", "gzip").text(base)
+    envelope = T.StructType([T.StructField(c, T.StringType()) for c in ("d", "datos", "llError")])
+    _, faults = LD.load_entities(lk.spark, {"sobres": (base, envelope), "conceptos": (f"{base}/no_such_folder", envelope)})
+    where = F.regexp_extract("path", r"(source_empresa=[^/]+/run_id=[^/]+|no_such_folder)", 1)
+    unreadable = faults.select(F.lit(None).cast("string").alias("payload_id"), where.alias("columns"), "entity", F.lit("unreadable").alias("kind")).distinct()
+    return LD.check_drift(ld(lk).rows, E3).select("payload_id", "columns", "entity", "kind").unionByName(unreadable)
 
 
 @query("A1_batch_registry", O.out("SELECT batch_id, status, record_count, inserted_at FROM latest_batches",

@@ -144,3 +144,61 @@ def test_lines_outside_the_calendar_are_rejects(spark):
     lines = spark.createDataFrame([(1, dt.date(2020, 5, 1)), (2, dt.date(1980, 1, 1)), (3, None)], "n int, fecha_registro date")
     assert [r.n for r in facts.with_calendar(lines, cal).collect()] == [1]
     assert sorted((r.n, r.reason) for r in facts.calendar_rejects(lines, cal).collect()) == [(2, facts.NO_DAY), (3, facts.NO_DAY)]
+
+
+def test_unreadable_files_do_not_stop_the_others(spark):
+    """A damaged file and one with a bad row are faults of their own; the rest loads, entity by entity; copies are byte for byte."""
+    import gzip
+
+    from pyspark.sql import types as T
+
+    root, schema = tempfile.mkdtemp(), T.StructType([T.StructField("a", T.LongType())])
+    whole = gzip.compress(b"".join(b'{"a": %d}\n' % i for i in range(5000)))
+    files = {"x/good.json.gz": gzip.compress(b'{"a": 1}\n{"a": 2, "more": 3}\n'), "x/cut.json.gz": whole[: len(whole) // 2], "x/flipped.json.gz": whole[:200] + b"\0" * 40 + whole[240:],
+             "x/html.json": b'{"a": 7}\n<html>\n', "x/plain.json": b'{"a": 9}\n', "y/one.json": b'{"a": 4}\n'}
+    for name, data in files.items():
+        os.makedirs(os.path.dirname(f"{root}/{name}"), exist_ok=True)
+        with open(f"{root}/{name}", "wb") as f:
+            f.write(data)
+    loaded, faults = land.load_entities(spark, {"x": (f"{root}/x", schema), "gone": (f"{root}/gone", schema), "y": (f"{root}/y", schema)})
+    assert {e: sorted(r.a for r in df.collect()) for e, df in loaded.items()} == {"x": [1, 2, 9], "y": [4]}
+    got = {(r.entity, os.path.basename(r.path)): (r.reason, r.bad_rows) for r in faults.collect()}
+    assert got == {("x", "cut.json.gz"): (land.DAMAGED, None), ("x", "flipped.json.gz"): (land.DAMAGED, None), ("x", "html.json"): (land.BAD_ROWS, 1), ("gone", "gone"): (land.MISSING, None)}
+    kept = land.quarantine_files(spark, f"{root}/x", faults.where("entity = 'x'"), tempfile.mkdtemp() + "/q").collect()
+    assert {os.path.basename(r.path): bytes(r.content) for r in kept} == {k[2:]: v for k, v in files.items() if k[2:] in ("cut.json.gz", "flipped.json.gz", "html.json")}
+
+
+def test_versions_do_not_depend_on_the_order_of_batches(spark):
+    import random
+
+    from sellake.operators import history
+
+    rnd = random.Random(6)
+    cols = "entity_name string, source_empresa string, natural_key string, snapshot_date date, run_id string, ingested_at timestamp, record_hash string, record_json string"
+    at = lambda: dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(200))
+    rows = [("c", "t", f"k{rnd.randrange(4)}", dt.date(2024, 1, 1), f"r{i}", at(), rnd.choice("AB"), "{}") for i in range(60)]
+    want = sorted(map(str, history.scd2(spark.createDataFrame(rows, cols)).collect()))
+    rnd.shuffle(rows)
+    versions, seen = history.scd2(spark.createDataFrame(rows[:25], cols)), rows[:25]
+    for i in (25, 40):
+        batch = rows[i : i + (15 if i == 25 else 20)]
+        seen = seen + batch
+        versions = history.refresh_versions(versions, spark.createDataFrame(seen, cols), spark.createDataFrame(batch, cols))
+    assert sorted(map(str, versions.collect())) == want
+
+
+def test_a_filter_on_any_cluster_column_skips_row_groups(spark):
+    import pyarrow.parquet as pq
+
+    df = spark.range(20000).select(F.lit("2024-01-05").cast("date").alias("day"), *[F.format_string("%03d", F.pmod(F.xxhash64("id", F.lit(i)), F.lit(500))).alias(f"c{i}") for i in range(4)])
+    path = tempfile.mkdtemp() + "/t"
+    spark.conf.set("parquet.block.size", "16384")
+    try:
+        back = land.write_table(df, path, "day", ["c0", "c1", "c2", "c3"])
+    finally:
+        spark.conf.unset("parquet.block.size")
+    assert back.count() == 20000 and sorted(map(tuple, back.drop("_part").collect())) == sorted(map(tuple, df.collect()))
+    for c in range(4):
+        groups = [g.column(i).statistics for f in _files(path, ".parquet") for m in [pq.read_metadata(f)] for g in map(m.row_group, range(m.num_row_groups)) for i in range(m.num_columns)
+                  if g.column(i).path_in_schema == f"c{c}"]
+        assert len(groups) >= 8 and sum(g.min <= "123" <= g.max for g in groups) <= 0.7 * len(groups), c
