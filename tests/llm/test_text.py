@@ -391,3 +391,31 @@ def test_language(spark):
     assert op09_language.learn(frame(spark, [])) == {} and op09_language.predict(frame(spark, [(1, "a")]), {}).head().lang_pred == "und"
     assert op09_language.predict(frame(spark, []), model).count() == 0
     assert op09_language.predict(frame(spark, [(1, "zz qq")]), {"a": b"same text", "b": b"same text"}).head().accepted is False
+
+
+def test_language_against_a_plain_loop(spark):
+    """Every block with every dictionary, each time in a new compressor: the same language, margin and verdict for every row."""
+    import regex
+    import zstandard as z
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.union(frame(spark, [(-1, None), (-2, "?!"), (-3, "der die das und " * 4000), (-4, "ÄÖÜ ß été")]).select("doc_id", "text", "lang"))
+    model = op09_language.learn(docs.where(~op09_language.held_out()))
+    got = {r.doc_id: r for r in op09_language.predict(docs, model).collect()}
+
+    def size(raw, dictionary):
+        how = z.ZstdCompressionParameters(write_content_size=0, write_dict_id=0, **op09_language.ZSTD)
+        each = lambda block: z.ZstdCompressor(dict_data=z.ZstdCompressionDict(dictionary, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=how).compress(block)
+        return sum(len(each(raw[i : i + 4096])) for i in range(0, len(raw), 4096))
+
+    wrong = rejected = 0
+    for r in docs.collect():
+        raw = regex.sub(r"\P{L}+", " ", (r.text or "").lower()).strip().encode()
+        if not raw:
+            assert (got[r.doc_id].lang_pred, got[r.doc_id].score, got[r.doc_id].accepted) == ("und", 0.0, False)
+            continue
+        (best, lang), (second, _) = sorted((size(raw, d), name) for name, d in model.items())[:2]
+        assert (got[r.doc_id].lang_pred, got[r.doc_id].score) == (lang, pytest.approx(1 - best / second)), r.doc_id
+        assert got[r.doc_id].accepted == (1 - best / second >= op09_language.MIN_MARGIN)
+        wrong, rejected = wrong + (lang != r.lang and r.doc_id >= 0), rejected + (not got[r.doc_id].accepted)
+    assert wrong <= 0.03 * len(got) and rejected < 0.1 * len(got)
