@@ -4,6 +4,9 @@ Documents are sorted by id into ranges. Each task encodes its range, joins the i
 ``seq_len`` ids with a mask of as many bits (false: padding, at the end of a file only). A file of ids has record batches of
 ``BATCH`` rows, so row ``i`` is batch ``i // BATCH``, and a reader maps it into memory without copying. A second file beside
 it has the documents: id, first position, number of ids.
+
+A very long text is encoded in one piece and handed on a record batch at a time. Only the id and the text are read, so other
+columns may have any names.
 """
 
 from __future__ import annotations

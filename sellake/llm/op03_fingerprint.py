@@ -79,7 +79,8 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next. NULL and empty texts
     have no terms: their fingerprint is all f, like only to such another. Of rows that repeat an id the least text counts; a NULL
-    id comes first. One document follows itself. An empty table gives no rows.
+    id comes first. One document follows itself. An empty table gives no rows. A very long text is one row of terms, and its terms
+    are rows of their own before they meet. Only the id and the text are read, so other columns may have any names.
     """
     rows = docs.select(key_of(F.col(doc_id).cast("long")).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     ids = cut(rows.select("key", F.char_length("text").cast("long").alias("n")), "ids")

@@ -1,7 +1,8 @@
 """Operator 7, WARC: a writer with one gzip member per record and a sequential reader.
 
 The reader takes the compressed bytes in portions, decompresses them incrementally, finds a record's end by its Content-Length
-and the end of its member, and verifies block and payload digests. It holds one record at a time.
+and the end of its member, and verifies block and payload digests. It holds one record at a time, so a very long payload costs its
+own length. Only page_id, url and html are read, so other columns may have any names.
 """
 
 from __future__ import annotations

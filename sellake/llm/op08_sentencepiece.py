@@ -139,6 +139,7 @@ def encode_documents(docs: DataFrame, model: str, doc_id: str = "doc_id", text:
     """doc_id, ids (little-endian uint32), n_pieces, score and ``decoded`` (the text of the ids) per row, without a shuffle.
 
     NULL and empty texts have no pieces and decode to the empty text; ids may be NULL or repeat; an empty table gives no rows.
+    A very long text is cut at spaces and its words are coded one by one. Only the id and the text are read, so other columns may have any names.
     """
 
     def run(batches):

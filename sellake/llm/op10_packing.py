@@ -2,7 +2,8 @@
 
 Each document's ids are cut into pieces whose lengths are powers of two, the largest first: as many of ``max_len`` as fit,
 then the binary digits of the rest. Each piece is a sequence of its own, and sequences of equal length share a bucket, so no
-sequence crosses documents and none needs padding.
+sequence crosses documents and none needs padding. A very long text is encoded in one piece and leaves in portions of rows. Only
+the id and the text are read, so other columns may have any names.
 """
 
 from __future__ import annotations
