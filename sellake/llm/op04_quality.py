@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, located, picked, read
+from .common import cut, fresh, read
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -59,26 +59,27 @@ def add_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
     out = [c for c in docs.columns if c not in _COUNTS]
-    d = docs.select(F.struct(*out).alias("row"), t.alias("_t"))  # helper columns meet no column of the table
-    d = d.select("row", "_t", F.filter(F.split("_t", SPACE), lambda w: w != F.lit("")).alias("_w"),
-                 F.filter(F.split("_t", "\n"), lambda x: _without(x, " \t\n\x0b\x0c\r") != F.lit("")).alias("_l"))
+    _t, _w, _l, _h, _s, _p = fresh(docs, "_t", "_w", "_l", "_h", "_s", "_p")  # helper columns meet no column of the table
+    d = docs.select(*out, t.alias(_t))
+    d = d.select(*out, _t, F.filter(F.split(_t, SPACE), lambda w: w != F.lit("")).alias(_w),
+                 F.filter(F.split(_t, "\n"), lambda x: _without(x, " \t\n\x0b\x0c\r") != F.lit("")).alias(_l))
     d = d.select(
-        "row", F.size("_w").cast("long").alias("n_words"),
-        F.char_length(_without(F.col("_t"), " \t\n\x0b\x0c\r")).cast("long").alias("word_chars"),
-        (F.char_length("_t") - F.char_length(_without(F.col("_t"), SYMBOLS))).cast("long").alias("n_symbols"),
-        (F.char_length("_t") - F.char_length(F.replace(F.col("_t"), F.lit("\n"))) + 1).cast("long").alias("n_lines"),
-        (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
-        F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"),
+        *out, F.size(_w).cast("long").alias("n_words"),
+        F.char_length(_without(F.col(_t), " \t\n\x0b\x0c\r")).cast("long").alias("word_chars"),
+        (F.char_length(_t) - F.char_length(_without(F.col(_t), SYMBOLS))).cast("long").alias("n_symbols"),
+        (F.char_length(_t) - F.char_length(F.replace(F.col(_t), F.lit("\n"))) + 1).cast("long").alias("n_lines"),
+        (F.size(_l) - F.size(F.array_distinct(_l))).cast("long").alias("n_dup_lines"),
+        F.transform(_w, lambda w: F.xxhash64(w)).alias(_h),
     )
-    last = F.size("_h") - F.lit(WINDOW)
-    d = d.withColumn("_h", F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(*[F.get("_h", i + F.lit(j)) for j in range(WINDOW)]))))
+    last = F.size(_h) - F.lit(WINDOW)
+    d = d.withColumn(_h, F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.xxhash64(*[F.get(_h, i + F.lit(j)) for j in range(WINDOW)]))))
     # windows in order of hash, with their places; only where some window comes twice
-    d = d.withColumn("_s", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), F.sort_array(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    near = lambda x, j: x["h"] == F.get("_s", j)["h"]
-    d = d.withColumn("_p", F.sort_array(F.transform(F.filter("_s", lambda x, i: near(x, i - F.lit(1)) | near(x, i + F.lit(1))), lambda x: x["i"])))
-    gap = F.transform("_p", lambda p, j: F.least(F.lit(WINDOW), F.coalesce(p - F.get("_p", j - F.lit(1)), F.lit(WINDOW))))
+    d = d.withColumn(_s, F.when(F.size(F.array_distinct(_h)) < F.size(_h), F.sort_array(F.transform(_h, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
+    near = lambda x, j: x["h"] == F.get(_s, j)["h"]
+    d = d.withColumn(_p, F.sort_array(F.transform(F.filter(_s, lambda x, i: near(x, i - F.lit(1)) | near(x, i + F.lit(1))), lambda x: x["i"])))
+    gap = F.transform(_p, lambda p, j: F.least(F.lit(WINDOW), F.coalesce(p - F.get(_p, j - F.lit(1)), F.lit(WINDOW))))
     d = d.withColumn("n_repeat_words", F.coalesce(F.aggregate(gap, F.lit(0).cast("long"), lambda a, b: a + b), F.lit(0).cast("long")))
-    return d.select("row.*", *_COUNTS[:-1], ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"))
+    return d.select(*out, *_COUNTS[:-1], ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"))
 
 
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed"]
@@ -129,8 +130,8 @@ def _first_step(rule: str) -> Column:
     return F.least(alone, *[STEPS + 1 - n[r] for r in RULES if r != rule])
 
 
-def fit_in_order(counts: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA, strata: DataFrame | None = None) -> DataFrame:
-    """Takes and returns what ``fit`` does, with a row for each stratum of ``strata`` (by default those of ``counts``); cutoffs tested in a fixed order, pooled
+def fit_in_order(counts: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
+    """Takes and returns what ``fit`` does, with a row for each stratum of ``counts``; cutoffs tested in a fixed order, pooled
     ones where a stratum is too small (module docstring). A labelled document that no label calls good is bad.
 
     Each labelled row becomes one step a chain, and rows of a step are counted, so what is held is at most strata x rules x
@@ -149,8 +150,7 @@ def fit_in_order(counts: DataFrame, labels: DataFrame, stratum: str = "lang", ri
     ends = tried.where(binomial_tail(F.col("n"), F.lit(0).cast("long"), risk) <= limit).groupBy("stratum", "chain").agg(
         F.coalesce(F.sum(F.when(F.col("passed"), F.col("bad"))), F.lit(0)).alias("caught"), (F.coalesce(F.min(F.when(~F.col("passed"), F.col("step"))), F.lit(STEPS + 1)) - 1).alias("step"))
     best = cut(ends.groupBy("stratum").agg(F.max(F.struct("caught", "chain", "step")).alias("best")), "quality-settings")
-    strata = counts.select(_stratum(stratum).alias("stratum")).distinct() if strata is None else strata
-    rows = strata.join(best, "stratum", "left")
+    rows = counts.select(_stratum(stratum).alias("stratum")).distinct().join(best, "stratum", "left")
     rows = rows.join(F.broadcast(best.where("stratum is null").select(F.col("best").alias("all"))), F.lit(True), "left").select("stratum", F.coalesce("best", "all").alias("best"))
     level = lambda i: F.when(F.col("best.chain") == -i, F.least(F.col("best.step"), F.lit(LEVELS))).otherwise(F.col("best.step") - LEVELS)
     return rows.select("stratum", *[
@@ -179,13 +179,10 @@ def judge(counts: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataF
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with the cutoffs of ``fit_in_order``: those are learned on the labelled documents, which
-    alone are counted for it; then one pass counts and filters all. Rows without an id, or that share one, are judged one by one."""
-    held = cut(labels.where("doc_id is not null and quality is not null").select("doc_id", "quality"), "quality-labels")
-    rows, home, at = located(docs.select("doc_id", "text", stratum))
-    marked = rows.select("doc_id", home, at).hint("merge").join(held.select("doc_id").distinct(), "doc_id", "left_semi")
-    counts = cut(add_counts(picked(rows, home, at, marked)).select("doc_id", stratum, *_COUNTS), "quality")
-    cutoffs = fit_in_order(counts, held, stratum, strata=docs.select(_stratum(stratum).alias("stratum")).distinct())
+    """The rows of ``docs`` that the rules keep, with the cutoffs of ``fit_in_order``. Counts are made twice, once for the cutoffs and once in the pass that
+    filters; that costs less than to write the texts in between, and neither pass shuffles them. Rows without an id, or that share
+    one, are judged one by one."""
+    cutoffs = fit_in_order(cut(add_counts(docs.select("doc_id", "text", stratum)).select("doc_id", stratum, *_COUNTS), "quality"), labels, stratum)
     counted = add_counts(docs.select(F.struct(*docs.columns).alias("row"), "text", stratum))
     return judge(counted, cutoffs, stratum).where("kept").select("row.*")
 
