@@ -42,7 +42,7 @@ def test_sellout_feb29_maps_to_feb28(spark):
     d = dt.date
     rows = [_row("c", d(2024, 2, 29), net=100.0), _row("c", d(2025, 2, 28), net=150.0)]
     br = spark.createDataFrame([("t", "s", "Suc")], "source_empresa string, cod_suc string, nom_suc string")
-    out = {r.fecha: (r.venta_usd_anio_anterior, r.pct_crecimiento_yoy) for r in reports.sellout_yoy(_fact(spark, rows), br).collect()}
+    out = {r.fecha: (r.venta_usd_anio_anterior, r.pct_crecimiento_yoy) for r in reports.sellout_yoy(reports.sellout_daily(_fact(spark, rows)), br).collect()}
     assert out[d(2025, 2, 28)] == (100.0, 50.0)
 
 
