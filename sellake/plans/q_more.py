@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .lake import AS_OF
 from .queries import query
-from ..operators import dims, facts, history, kpis, reports as R, security, silver, telemetry as L
+from ..operators import dims, facts, kpis, reports as R, security, telemetry as L
 from ..sources import erp_adapter as A
 
 cs = O.clean_str

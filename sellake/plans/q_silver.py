@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from . import oracle as O
 from .lake import REJECTED_AT
