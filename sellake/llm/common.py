@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +27,23 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "16m"):
+    """Within it, rows go to Python in batches of ``size`` bytes: whole texts are long, and a batch is held on both sides."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def cut(df: DataFrame, name: str, schema=None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, so a lost executor costs no recomputation."""
     path = scratch(df.sparkSession, name)
-    df.write.option("parquet.block.size", 32 << 20).parquet(path)  # row groups of 32 MB, so that a writer holds no more
+    with small_batches(df.sparkSession):
+        df.write.option("parquet.block.size", 32 << 20).parquet(path)  # row groups of 32 MB, so that a writer holds no more
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ChunkEncoder, read, scratch
+from .common import ChunkEncoder, read, scratch, small_batches
 
 _PIECES = "sequence_id long, doc_id long, start long, length int, doc_tokens long, ids binary"
 _SCHEMA = pa.schema([("sequence_id", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int32()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
@@ -29,18 +29,19 @@ def piece_lengths(n: int, max_len: int = 2048) -> list[int]:
     return [max_len] * (n // max_len) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, max_len: int = 2048, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int, max_len: int = 2048, doc_id: str = "doc_id", text: str = "text", entries: int = 700_000) -> DataFrame:
     """One row per sequence: ``sequence_id``, ``doc_id``, ``start`` (its document's ids before it), ``length``, ``doc_tokens``
     (with the end id) and ``ids`` (little-endian uint32).
 
     Nothing is shuffled: a piece depends on its document alone. ``sequence_id`` is the input partition times 2**36 plus a
     count, the same again when a lost task is repeated over the same input. NULL and empty texts give one sequence with the
-    end id; NULL ids stay NULL; repeated rows are packed one by one; an empty table gives no sequences.
+    end id; NULL ids stay NULL; repeated rows are packed one by one; an empty table gives no sequences. ``entries``: chunks of text
+    whose ids a worker remembers (some 500 bytes each).
     """
     piece_lengths(0, max_len)
 
     def cut_up(batches):
-        encode, end = ChunkEncoder.of(tokenizer), np.array([end_id], dtype="<u4").tobytes()
+        encode, end = ChunkEncoder.of(tokenizer, entries), np.array([end_id], dtype="<u4").tobytes()
         number, rows, held = TaskContext.get().partitionId() << 36, {n: [] for n in _SCHEMA.names}, 0
         for batch in batches:
             for doc, ids in zip(batch.column(0).to_pylist(), encode.each(batch.column(1))):
@@ -61,7 +62,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, max_len: int = 2048, doc_
 
 def write_buckets(pieces: DataFrame, path: str) -> DataFrame:
     """Write the sequences to one folder per length and read them back."""
-    pieces.withColumn("bucket", F.col("length")).write.partitionBy("bucket").parquet(path)
+    with small_batches(pieces.sparkSession):
+        pieces.withColumn("bucket", F.col("length")).write.partitionBy("bucket").parquet(path)
     return pieces.sparkSession.read.schema(_PIECES + ", bucket int").parquet(path)
 
 
@@ -69,11 +71,11 @@ def digest(sequences: DataFrame) -> DataFrame:
     return sequences.select("doc_id", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", F.lit(0).cast("long").alias("offset"))
 
 
-def packed_documents(spark, docs: DataFrame) -> DataFrame:
+def packed_documents(spark, docs: DataFrame, entries: int = 700_000) -> DataFrame:
     """The sequences of ``docs`` by the public word tokenizer, written to their buckets and read back, one digest row a piece."""
     import public_tokenizers
 
-    return digest(write_buckets(pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1), scratch(spark, "sequences")))
+    return digest(write_buckets(pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, entries=entries), scratch(spark, "sequences")))
 
 
 def op10_packing(spark, sf_dir: str) -> DataFrame:
