@@ -51,8 +51,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per packed sequence."""
-    return packed_documents(spark, docs)
+    """One row per packed sequence. A worker remembers fewer chunks than by itself, as the stages before have had their share of memory."""
+    return packed_documents(spark, docs, entries=250_000)
 
 
 STAGES = [
