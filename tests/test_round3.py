@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from sellake.functions.hashing import packed_hash, unpacked_hash
-from sellake.operators import silver
+from sellake.operators import history, silver
 from sellake.plans.lake import Lake
 from sellake.session import checkpoint_dir
 
@@ -56,3 +56,15 @@ def test_a_hash_goes_through_the_shuffle_as_bytes(spark):
     best = silver.latest_by_key(rows.withColumn("_ingested_at", F.lit(1)), ["k"])
     assert [(r.v, r._row_hash) for r in best.collect()] == [(2, "b1" * 32)] and best.columns == ["k", "_row_hash", "v", "_ingested_at"]
     assert "unhex" in best._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_line_resolves_to_hex_and_other_keys(spark):
+    dim = spark.createDataFrame([("ab" * 32, "t", "c", dt.datetime(2000, 1, 1), "r", "h1", False, "old"), ("plain", "t", "c", dt.datetime(2000, 3, 1), "r", "h2", True, "new")],
+                                "surrogate_key string, source_empresa string, cod string, valid_from timestamp, run_id string, record_hash string, is_current boolean, nom string")
+    at = [dt.datetime(1999, 5, 1), dt.datetime(2000, 2, 1), dt.datetime(2000, 4, 1), None]
+    fact = spark.createDataFrame([(i, "t", "c", a) for i, a in enumerate(at)] + [(9, "t", "z", at[2])], "rid int, source_empresa string, cod string, registro timestamp")
+    out = history.resolve(fact, {"d": (dim, "cod", "cod", ["nom"])}, "registro", "rid")
+    got = {r.rid: (r.d_sk_asof, r.d_sk, r.d_resolution_status, r.current_nom) for r in out.collect()}
+    assert got == {0: (None, "plain", history.BACKFILL, "new"), 1: ("ab" * 32, "ab" * 32, history.RESOLVED, "new"), 2: ("plain", "plain", history.RESOLVED, "new"),
+                   3: (None, "plain", history.BACKFILL, "new"), 9: (None, "UNKNOWN", history.UNRESOLVED, None)}
+    assert "unhex" in out._jdf.queryExecution().executedPlan().toString()
