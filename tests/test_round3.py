@@ -68,3 +68,16 @@ def test_a_line_resolves_to_hex_and_other_keys(spark):
     assert got == {0: (None, "plain", history.BACKFILL, "new"), 1: ("ab" * 32, "ab" * 32, history.RESOLVED, "new"), 2: ("plain", "plain", history.RESOLVED, "new"),
                    3: (None, "plain", history.BACKFILL, "new"), 9: (None, "UNKNOWN", history.UNRESOLVED, None)}
     assert "unhex" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_masters_are_dealt_over_all_tasks_before_they_multiply(spark):
+    """One small file is one task: its rows are dealt before the copies per tenant are made and sorted there."""
+    from sellake.sources import erp_adapter as A
+
+    d = sales_tables(spark)
+    spark.range(100, 200).selectExpr("id p_partkey", "'P' || id p_name", "'B' p_brand", "'T' p_type", "4 p_size", "1d p_retailprice").coalesce(1).write.parquet(
+        f"{d}/part.parquet", mode="overwrite")
+    for df, n in ((A.stg_articulos(spark, d), 100), (A.stg_proveedores(spark, d), 8), (A.stg_almacenes(spark, d), 8), (A.stg_clientes(spark, d), 1)):
+        assert "RoundRobinPartitioning(4)" in df._jdf.queryExecution().executedPlan().toString() and df.count() == n
+    codes = A.stg_articulos(spark, d).select("cod_art", F.spark_partition_id().alias("p"))
+    assert codes.select("p").distinct().count() == 4 and codes.select("cod_art").distinct().count() == 100
