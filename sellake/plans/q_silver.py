@@ -179,7 +179,7 @@ def r1(lk):
 FROM rej_ventas""", KEY_SPEC + "_priority:i, motivo_rechazo:s, _rechazado_en:ts"))
 def r2(lk):
     """R2: rejected sales rows with the list of failing columns, from the union of contracts."""
-    return lk.sil_ventas_split[1].select(*KEY, "_priority", "motivo_rechazo", "_rechazado_en")
+    return lk.rej_ventas.select(*KEY, "_priority", "motivo_rechazo", "_rechazado_en")
 
 
 _M3 = ("registro:ts, fecha_registro:dt, cod_ven:s, cod_cli:s, nom_cli:s, cod_art:s, cod_alm:s, cod_pro:s, can_ven:d, "
