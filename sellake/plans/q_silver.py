@@ -281,7 +281,7 @@ SELECT sha256('r1|ventas_diarias|' || check_name) AS check_id, 'r1' AS run_id, '
 FROM a""", "check_id:s, run_id:s, entity:s, check_name:s, status:s, details:s"))
 def q4(lk):
     """Q4: unique, non-null and domain checks as data_quality_results rows."""
-    s = lk.sil_ventas
+    s = lk.checked_ventas
     return quality.quality_report(quality.assert_unique(s, KEY), quality.assert_non_null(s, _NN2, "sil_ventas"),
                                   quality.assert_domain(lk.sil("articulos"), _ART, "sil_articulos"), "r1", "ventas_diarias")
 
